@@ -1,0 +1,38 @@
+"""Write raw edges as dump files, the inverse of the Bronze reader."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from clickweir.functions.periods import month_text
+from clickweir.session import fresh_dir
+from clickweir.sources import files
+
+
+def land_dumps(bronze: DataFrame, root: str) -> None:
+    """Write (lang, year, month, prev, curr, type, n) rows below ``root`` as
+    ``YYYY-MM/clickstream-<lang>wiki-YYYY-MM[.k].tsv.gz``.
+
+    Spark writes the lines in parallel; the driver only renames the finished files. A
+    partition too large for one task becomes several numbered files.
+    """
+    spark = bronze.sparkSession
+    fields = [F.coalesce(F.col(c), F.lit("")) for c in ("prev", "curr", "type", "n")]
+    lines = bronze.select(
+        month_text().alias("dump_month"), "lang", F.concat_ws("\t", *fields).alias("value")
+    )
+    raw = fresh_dir(spark, "landing")
+    (
+        lines.hint("rebalance", "dump_month", "lang")
+        .sortWithinPartitions("dump_month", "lang")
+        .write.partitionBy("dump_month", "lang")
+        .option("compression", "gzip")
+        .text(raw)
+    )
+    seen: dict[tuple[str, str], int] = {}
+    for path in files.glob(spark, f"{raw}/dump_month=*/lang=*/part-*"):
+        month, lang = (step.split("=", 1)[1] for step in path.split("/")[-3:-1])
+        nth = seen[month, lang] = seen.get((month, lang), -1) + 1
+        suffix = f".{nth}" if nth else ""
+        files.rename(spark, path, f"{root}/{month}/clickstream-{lang}wiki-{month}{suffix}.tsv.gz")
