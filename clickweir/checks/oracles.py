@@ -304,7 +304,7 @@ _QUERIES: dict[str, tuple[list[str], str]] = {
         EXCEPT SELECT curr_title FROM top10 WHERE lang = 'eu' AND year = 1999"""),
     "n06_fastest_growth": (["trending"], """
         SELECT year, month, curr_title, clicks_prev, clicks_now, abs_delta, pct_delta
-        FROM trending WHERE lang = 'eu'
+        FROM trending WHERE lang = 'mi'
         ORDER BY pct_delta DESC NULLS LAST, abs_delta DESC, curr_title LIMIT 20"""),
     "n07_most_years": (["top10"], """
         SELECT curr_title, count(*) AS years_in_top10 FROM top10 WHERE lang = 'eu'

@@ -49,9 +49,7 @@ def bronze_scan_strict(w: Workbench) -> DataFrame:
 
 @_query
 def bronze_scan_lenient(w: Workbench) -> DataFrame:
-    rows = bronze.read_dumps(
-        w.spark, w.dumps, allow_name_form=False, one_file_per_partition=False
-    )
+    rows = bronze.read_dumps(w.spark, w.dumps, allow_name_form=False, one_file_per_partition=False)
     readable = rows.filter(cleaning.readable("lenient"))
     return readable.withColumn("n", F.col("n").try_cast("int"))
 
@@ -279,7 +277,7 @@ def largest_ids(w: Workbench) -> DataFrame:
 
 @_query
 def hot_titles(w: Workbench) -> DataFrame:
-    return ids.hot_titles(w.stats, w.dictionary)
+    return ids.hot_titles(w.stats, w.dictionary, limit=512)
 
 
 @_query
@@ -301,7 +299,8 @@ def encode_ids_foreign(w: Workbench) -> DataFrame:
 
 @_query
 def decode_ids(w: Workbench) -> DataFrame:
-    return ids.decode_ids(w.gold("article_popularity"), w.dictionary, w.hot)
+    popularity = w.gold("article_popularity")
+    return ids.decode_ids(popularity, w.dictionary, ids.hot_ids(popularity, w.dictionary))
 
 
 # -- Gold ---------------------------------------------------------------------------
@@ -390,9 +389,10 @@ def trending_mom(w: Workbench) -> DataFrame:
 
 @_query
 def referrers_6m(w: Workbench) -> DataFrame:
-    """Decoded by shuffle with the hot titles taken out: one row per target and place."""
+    """Decoded by shuffle with the hot titles taken out: rows grow with the targets."""
     ranked = I.referrers_6m(w.gold("edges_monthly"), INSIGHT_OPTIONS["topm_referrers"])
-    return I.with_titles(ranked, w.dictionary, w.hot)
+    winners = stage(ranked, "winners")
+    return I.with_titles(winners, w.dictionary, ids.hot_ids(winners, w.dictionary))
 
 
 # -- queries on the insight tables ----------------------------------------------------
@@ -425,7 +425,7 @@ def n05_new_in_top(w: Workbench) -> DataFrame:
 
 @_query
 def n06_fastest_growth(w: Workbench) -> DataFrame:
-    return N.fastest_growth(w.insight("trending_mom"), "eu")
+    return N.fastest_growth(w.insight("trending_mom"), "mi")
 
 
 @_query

@@ -12,7 +12,7 @@ from clickweir.operators import dictionary as ids
 from clickweir.plans.lakehouse import Lakehouse
 from clickweir.session import fresh_dir, stage, tune
 from clickweir.sinks.landing import land_dumps
-from clickweir.sources import layers
+from clickweir.sources import files, layers
 from clickweir.sources.star_schema import clicks_raw
 
 # Thresholds and list lengths of the registered queries.
@@ -25,7 +25,7 @@ _open: dict[tuple[str, str], "Workbench"] = {}
 def workbench(spark: SparkSession, folder: str) -> "Workbench":
     key = (spark.sparkContext.applicationId, folder.rstrip("/"))
     if key not in _open:
-        _open[key] = Workbench(tune(spark), key[1])
+        _open[key] = Workbench(tune(spark, files.total_bytes(spark, key[1])), key[1])
     return _open[key]
 
 

@@ -12,11 +12,12 @@ from pyspark.sql import functions as F
 from clickweir.functions.periods import month_index
 from clickweir.session import stage
 
-# At most this many titles can each hold more than 1/HOT_TITLES of all uses, so the
-# hot-title frame has a proven size bound and is safe to broadcast.
-HOT_TITLES = 512
+# Fewer than this many titles can each hold more than 1/HOT_TITLES of all uses, so the
+# hot-title frame has a proven size bound (a few MB) and is safe to broadcast. A title
+# below the bound has too few rows to slow one task down.
+HOT_TITLES = 100_000
 # Hot and missing keys are spread over this many stand-in keys that match nothing.
-STAND_INS = 4096
+STAND_INS = 1 << 20
 # Rows up to this measured count are broadcast when decoding.
 BROADCAST_ROWS = 200_000
 # monotonically_increasing_id() keeps the partition number above this bit.
@@ -100,6 +101,19 @@ def hot_titles(stats: DataFrame, dictionary: DataFrame, limit: int = HOT_TITLES)
     return dictionary.join(F.broadcast(heavy), ["lang", "title"], "left_semi")
 
 
+def hot_ids(rows: DataFrame, dictionary: DataFrame, limit: int = HOT_TITLES) -> DataFrame:
+    """Dictionary rows of ids found in more than 1/``limit`` of the id cells of ``rows``.
+
+    Reads ``rows`` twice, so it should be a written table.
+    """
+    sides = [F.col(c) for c in ("curr_id", "prev_id") if c in rows.columns]
+    used = rows.select("lang", F.explode(F.array(*sides)).alias("id"))
+    counted = used.groupBy("lang", "id").agg(F.count("*").alias("uses"))
+    total = used.agg(F.count("*")).scalar()
+    heavy = counted.filter(F.col("uses") * limit > total).select("lang", "id")
+    return dictionary.join(F.broadcast(heavy), ["lang", "id"], "left_semi")
+
+
 def _attach(
     rows: DataFrame,
     dictionary: DataFrame,

@@ -142,7 +142,9 @@ class Lakehouse:
         if not periods:
             return []
 
-        silver = layers.read_positive(self.silver().filter(layers.in_periods(periods)))
+        silver = layers.read_positive(
+            layers.read_periods(self.spark, self.silver_path, schemas.SILVER, periods)
+        )
         stats = stage(ids.title_stats(silver), "title-stats")
         self.extend_dictionary(stats)
         dictionary = self.dictionary()
@@ -151,7 +153,7 @@ class Lakehouse:
 
         def popularity_and_top() -> None:
             self._write_gold("article_popularity", G.article_popularity(pairs))
-            written = self.gold("article_popularity").filter(layers.in_periods(periods))
+            written = self._gold_part("article_popularity", periods)
             self._write_gold("article_top", G.article_top(written, topn))
 
         jobs = [popularity_and_top]
@@ -219,12 +221,18 @@ class Lakehouse:
 
     def _write_insight(self, topic: str, build: Callable[[], DataFrame]) -> None:
         winners = stage(build(), topic)
-        labelled = I.with_titles(winners, self.dictionary(), row_count=winners.count())
+        dictionary, count, hot = self.dictionary(), winners.count(), None
+        if count > ids.BROADCAST_ROWS:
+            hot = stage(ids.hot_ids(winners, dictionary), "hot-ids")
+        labelled = I.with_titles(winners, dictionary, hot, row_count=count)
         columns = schemas.INSIGHTS[topic].names
         by = schemas.INSIGHT_PARTITIONS[topic]
         order = {"top10_by_year": ("rn",), "referrers_6m": ("curr_title", "rn")}.get(topic, ())
         tables.write_partitions(labelled.select(*columns), self.insight_path(topic), by, order)
 
+    def _gold_part(self, topic: str, periods: list[increments.Period]) -> DataFrame:
+        return layers.read_periods(self.spark, self.gold_path(topic), schemas.GOLD[topic], periods)
+
     def _gold_periods(self, topic: str, languages: list[str] | None):
         periods = layers.list_periods(self.spark, self.gold_path(topic))
         return [p for p in periods if languages is None or p[0] in languages]
@@ -237,14 +245,14 @@ class Lakehouse:
             )
             have = {(lang, int(year)) for lang, year in done}
             periods = [p for p in periods if p[:2] not in have]
-        return self.gold("article_popularity").filter(layers.in_periods(periods))
+        return self._gold_part("article_popularity", periods)
 
     def _pending_languages(self, languages, skip_existing: bool) -> DataFrame:
         periods = self._gold_periods("article_popularity", languages)
         if skip_existing:
             have = layers.list_languages(self.spark, self.insight_path("all_time_top"))
             periods = [p for p in periods if p[0] not in have]
-        return self.gold("article_popularity").filter(layers.in_periods(periods))
+        return self._gold_part("article_popularity", periods)
 
     def _pending_window(
         self, topic: str, source: str, months: int, languages, skip_existing: bool
@@ -256,8 +264,7 @@ class Lakehouse:
             latest = set(layers.latest_window(periods, 1))
             finished = {p[0] for p in latest if p in have}
             periods = [p for p in periods if p[0] not in finished]
-        window = layers.latest_window(periods, months)
-        return self.gold(source).filter(layers.in_periods(window))
+        return self._gold_part(source, layers.latest_window(periods, months))
 
     # -- catalog -----------------------------------------------------------------
 

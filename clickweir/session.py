@@ -22,20 +22,33 @@ RUNTIME_SETTINGS = {
 }
 
 
-def tune(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to an existing session and return it."""
+# Compressed columnar input grows by about this factor when its rows are shuffled.
+GROWTH = 4
+# Aim for shuffle partitions of this many bytes, and for written files of this size on
+# inputs large enough that the number of files matters.
+TARGET_BYTES = 128 << 20
+LARGE_INPUT = 1 << 40
+
+
+def tune(spark: SparkSession, input_bytes: int = 0) -> SparkSession:
+    """Apply the runtime settings to an existing session and return it.
+
+    ``input_bytes`` sizes the shuffles. Adaptive execution merges partitions that turn
+    out small but never creates more than it started with, so a large job has to start
+    high enough; a session that asks for more keeps its own number.
+    """
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
+    have = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.conf.set("spark.sql.shuffle.partitions", str(max(have, shuffle_partitions(input_bytes))))
+    if input_bytes > LARGE_INPUT:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(2 * TARGET_BYTES))
     return spark
 
 
-def shuffle_partitions(input_bytes: int, cores: int, target_bytes: int = 128 << 20) -> int:
-    """Initial shuffle partition count for a job that shuffles ``input_bytes``.
-
-    Adaptive execution merges partitions that turn out small but never creates more
-    than it started with, so a large job has to start high enough.
-    """
-    return max(cores, -(-input_bytes // target_bytes))
+def shuffle_partitions(input_bytes: int) -> int:
+    """Shuffle partitions of about ``TARGET_BYTES`` for compressed input of this size."""
+    return -(-input_bytes * GROWTH // TARGET_BYTES)
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -25,6 +25,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(target))
 
 
+def total_bytes(spark: SparkSession, folder: str) -> int:
+    """Size of everything below ``folder``."""
+    fs, target = _handle(spark, folder)
+    return int(fs.getContentSummary(target).getLength())
+
+
 def rename(spark: SparkSession, source: str, target: str) -> None:
     fs, old = _handle(spark, source)
     _, new = _handle(spark, target)

@@ -22,6 +22,21 @@ def read_layer(spark: SparkSession, path: str, layout: StructType) -> DataFrame:
     return spark.read.schema(layout).parquet(path)
 
 
+def read_periods(
+    spark: SparkSession, path: str, layout: StructType, periods: list[tuple[str, int, int]]
+) -> DataFrame:
+    """Only the given partitions of a table; no other folder is listed."""
+    wanted = set(periods)
+    folders = [
+        f"{path}/lang={lang}/year={year}/month={month}"
+        for lang, year, month in files.hive_partitions(spark, path, PERIOD)
+        if (lang, int(year), int(month)) in wanted
+    ]
+    if not folders:
+        return spark.createDataFrame([], layout)
+    return spark.read.schema(layout).option("basePath", path).parquet(*folders)
+
+
 def list_periods(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
     """(lang, year, month) of every partition, from folder names."""
     found = files.hive_partitions(spark, path, PERIOD)

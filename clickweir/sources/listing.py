@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Fixed formats of the index pages and of dump file names.
@@ -65,11 +65,9 @@ def acquisition_plan(
     if since:
         plan = plan.filter(F.col("dump_month") >= since)
     if latest:
-        # Rank the distinct months, not the files: one row per month ever published.
-        months = plan.select("dump_month").distinct()
-        newest = Window.orderBy(F.desc("dump_month"))
-        kept = months.withColumn("_age", F.row_number().over(newest)).filter(F.col("_age") <= latest)
-        plan = plan.join(F.broadcast(kept.drop("_age")), "dump_month", "left_semi")
+        # ``latest`` rows at most, so the months are safe to broadcast.
+        newest = plan.select("dump_month").distinct().orderBy(F.desc("dump_month")).limit(latest)
+        plan = plan.join(F.broadcast(newest), "dump_month", "left_semi")
     if sites:
         plan = plan.filter(F.col("site").isin(sites))
     return plan.join(present.select("dump_month", "file"), ["dump_month", "file"], "left_anti")
