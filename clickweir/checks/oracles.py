@@ -214,6 +214,24 @@ _QUERIES: dict[str, tuple[list[str], str]] = {
     "profile_top_global": (["silver"], """
         SELECT curr_title, CAST(sum(n) AS BIGINT) AS total_clicks, count(DISTINCT lang) AS languages
         FROM silver GROUP BY curr_title ORDER BY total_clicks DESC, curr_title LIMIT 10"""),
+    "title_functions": (["clicks_raw"], """
+        SELECT DISTINCT curr, type, trim(translate(curr, '_', ' '), ' ') AS title, type AS kind,
+               regexp_matches(curr, '^(Special|User|File|Talk|Category):|404') AS is_noise,
+               curr <> '' AS has_title, type <> 'redlink' AS known_type
+        FROM clicks_raw"""),
+    "period_functions": (["period_keys"], """
+        SELECT lang, year, month, ym AS month_text, year * 12 + month AS month_index,
+               CAST(year(first_day - INTERVAL 5 MONTH) AS INT) AS from_year,
+               CAST(month(first_day - INTERVAL 5 MONTH) AS INT) AS from_month,
+               strftime(first_day + INTERVAL 1 MONTH, '%Y-%m-%d') AS next_start,
+               lang || '/' || year || '/' || month AS partition_key
+        FROM (SELECT *, make_date(year, month, 1) AS first_day FROM period_keys)"""),
+    "pending_partitions": (["silver"], """
+        SELECT DISTINCT lang, year, month FROM silver WHERE NOT (lang = 'eu' AND year = 2000)"""),
+    "catalog_views": (["top10", "all_time"], """
+        SELECT t.lang, t.year, t.curr_title, t.clicks_year, a.clicks_all_time
+        FROM top10 t JOIN all_time a ON a.lang = t.lang AND a.curr_title = t.curr_title
+        WHERE t.rn <= 5"""),
     "partition_replace": (["mixed", "silver", "lenient"], """
         SELECT * FROM mixed UNION ALL
         SELECT * FROM silver s WHERE year >= 2000 AND NOT EXISTS (

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickweir.checks.workbench import GOLD_OPTIONS, INSIGHT_OPTIONS, Workbench, workbench
+from clickweir.functions import periods as P
+from clickweir.functions import titles as T
 from clickweir.operators import analytics as N
 from clickweir.operators import cleaning
 from clickweir.operators import dictionary as ids
@@ -22,6 +24,7 @@ from clickweir.schemas import DICTIONARY, PERIOD, SILVER
 from clickweir.session import fresh_dir, stage
 from clickweir.sinks import tables
 from clickweir.sources import bronze, layers, listing
+from clickweir.streaming import increments
 
 Query = Callable[[SparkSession, str], DataFrame]
 _registered: dict[str, Callable[[Workbench], DataFrame]] = {}
@@ -187,6 +190,34 @@ def profile_top_global(w: Workbench) -> DataFrame:
     return Q.profile_top_titles(w.silver)
 
 
+@_query
+def title_functions(w: Workbench) -> DataFrame:
+    """Every raw title and type with its normal form and the outcome of each rule."""
+    return w.raw.select("curr", "type").distinct().select(
+        "curr",
+        "type",
+        T.normalise_title(F.col("curr")).alias("title"),
+        T.normalise_type(F.concat(F.lit(" "), F.upper("type"), F.lit(" "))).alias("kind"),
+        T.is_noise(F.col("curr")).alias("is_noise"),
+        (F.length("curr") > 0).alias("has_title"),
+        F.col("type").isin(T.REFERRAL_TYPES).alias("known_type"),
+    )
+
+
+@_query
+def period_functions(w: Workbench) -> DataFrame:
+    """Month arithmetic on every month that occurs."""
+    return w.period_keys().select(
+        "lang", "year", "month",
+        P.month_text().alias("month_text"),
+        P.month_index().alias("month_index"),
+        P.index_year(P.month_index() - 5).alias("from_year"),
+        P.index_month(P.month_index() - 5).alias("from_month"),
+        F.date_format(F.add_months(P.month_start(), 1), "yyyy-MM-dd").alias("next_start"),
+        P.partition_key().alias("partition_key"),
+    )
+
+
 # -- sinks --------------------------------------------------------------------------
 
 
@@ -230,6 +261,16 @@ def partition_export(w: Workbench) -> DataFrame:
     return layers.read_layer(w.spark, path, SILVER)
 
 
+@_query
+def pending_partitions(w: Workbench) -> DataFrame:
+    """Silver months still to do when an output holds only one language and year."""
+    assert w.silver is not None
+    path = fresh_dir(w.spark, "partial")
+    tables.export_partitions(w.silver, path, (F.col("lang") == "eu") & (F.col("year") == 2000))
+    pending = increments.pending_periods(w.spark, w.lake.silver_path, [path])
+    return layers.periods_frame(w.spark, pending)
+
+
 @_query
 def catalog_refresh(w: Workbench) -> DataFrame:
     assert w.silver is not None
@@ -238,6 +279,19 @@ def catalog_refresh(w: Workbench) -> DataFrame:
     return Q.partition_counts(table)
 
 
+@_query
+def catalog_views(w: Workbench) -> DataFrame:
+    """SQL text with parameters over the registered insight views."""
+    assert not w.insight("top10_by_year").isEmpty()
+    w.lake.register_views()
+    return w.spark.sql(
+        "SELECT t.lang, t.year, t.curr_title, t.clicks_year, a.clicks_all_time "
+        "FROM gs_top10_by_year t JOIN gs_all_time_top a USING (lang, curr_title) "
+        "WHERE t.rn <= :places",
+        args={"places": 5},
+    )
+
+
 # -- dictionary ---------------------------------------------------------------------
 
 

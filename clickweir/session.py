@@ -24,10 +24,18 @@ RUNTIME_SETTINGS = {
 
 # Compressed columnar input grows by about this factor when its rows are shuffled.
 GROWTH = 4
-# Aim for shuffle partitions of this many bytes, and for written files of this size on
-# inputs large enough that the number of files matters.
+# Aim for shuffle partitions of this many bytes, but not for more than so many of them:
+# a shuffle keeps track of map tasks times partitions, and larger partitions spill.
 TARGET_BYTES = 128 << 20
+MAX_PARTITIONS = 1 << 16
+# From this input size on, the numbers of map tasks and of written files matter more
+# than fine-grained tasks.
 LARGE_INPUT = 1 << 40
+LARGE_SETTINGS = {
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "4m",
+}
 
 
 def tune(spark: SparkSession, input_bytes: int = 0) -> SparkSession:
@@ -42,13 +50,14 @@ def tune(spark: SparkSession, input_bytes: int = 0) -> SparkSession:
     have = int(spark.conf.get("spark.sql.shuffle.partitions"))
     spark.conf.set("spark.sql.shuffle.partitions", str(max(have, shuffle_partitions(input_bytes))))
     if input_bytes > LARGE_INPUT:
-        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(2 * TARGET_BYTES))
+        for key, value in LARGE_SETTINGS.items():
+            spark.conf.set(key, value)
     return spark
 
 
 def shuffle_partitions(input_bytes: int) -> int:
     """Shuffle partitions of about ``TARGET_BYTES`` for compressed input of this size."""
-    return -(-input_bytes * GROWTH // TARGET_BYTES)
+    return min(-(-input_bytes * GROWTH // TARGET_BYTES), MAX_PARTITIONS)
 
 
 def shared_dir(spark: SparkSession) -> str:
