@@ -42,6 +42,11 @@ def title_stats(silver: DataFrame) -> DataFrame:
     )
 
 
+def match_titles(stats: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """The statistics with the ids already given; ``id`` is NULL for a new title."""
+    return stats.join(dictionary, ["lang", "title"], "left")
+
+
 def new_titles(stats: DataFrame, dictionary: DataFrame) -> DataFrame:
     return stats.join(dictionary, ["lang", "title"], "left_anti")
 

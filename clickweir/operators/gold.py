@@ -25,8 +25,13 @@ def article_popularity(ids: DataFrame) -> DataFrame:
 
 
 def article_top(popularity: DataFrame, n: int = 1000) -> DataFrame:
+    """The ``n`` most clicked targets of every language and month.
+
+    The written popularity table keeps a month in few files, so few tasks hold
+    candidates for it and one ranking is enough.
+    """
     order = [F.desc("total_clicks"), F.asc("curr_id")]
-    return top_n(popularity, PERIOD, order, n, slice_by=["curr_id"])
+    return top_n(popularity, PERIOD, order, n, slice_by=["curr_id"], slices=1)
 
 
 def edges_monthly(pairs: DataFrame, min_clicks: int = 1) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # From this many rows per group on, candidates are first cut in hashed slices.
-SLICED_FROM = 1_000
+SLICED_FROM = 100
 SLICES = 64
 
 
@@ -17,6 +17,7 @@ def top_n(
     n: int,
     slice_by: list[str],
     rank: str | None = "rn",
+    slices: int = SLICES,
 ) -> DataFrame:
     """The first ``n`` rows of each group in ``order``, numbered from 1 in ``rank``.
 
@@ -24,16 +25,16 @@ def top_n(
     into a group limit ahead of the shuffle, so a task sends at most n rows per group.
     For large n that still adds up over thousands of tasks, so the rows are first ranked
     within hashed slices of the group: any row of the final answer is among the first n
-    of its slice, and the last ranking sees at most SLICES * n rows per group.
+    of its slice, and the last ranking sees at most ``slices * n`` rows per group.
     """
 
     def first(rows: DataFrame, keys: list[str]) -> DataFrame:
         place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
         return rows.withColumn("_place", place).filter(F.col("_place") <= n)
 
-    if n > SLICED_FROM:
-        slices = F.pmod(F.xxhash64(*slice_by), F.lit(SLICES))
-        df = first(df.withColumn("_slice", slices), [*group, "_slice"]).drop("_slice", "_place")
+    if n >= SLICED_FROM and slices > 1:
+        slice_no = F.pmod(F.xxhash64(*slice_by), F.lit(slices))
+        df = first(df.withColumn("_slice", slice_no), [*group, "_slice"]).drop("_slice", "_place")
     ranked = first(df, group)
     if rank is None:
         return ranked.drop("_place")

@@ -11,6 +11,7 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from clickweir import schemas
 from clickweir.operators import dictionary as ids
@@ -146,10 +147,9 @@ class Lakehouse:
             layers.read_periods(self.spark, self.silver_path, schemas.SILVER, periods)
         )
         stats = stage(ids.title_stats(silver), "title-stats")
-        self.extend_dictionary(stats)
-        dictionary = self.dictionary()
-        hot = stage(ids.hot_titles(stats, dictionary), "hot-titles")
-        pairs = stage(G.pair_totals(ids.encode_ids(silver, dictionary, hot)), "pair-totals")
+        entries = self.extend_dictionary(stats, sorted({p[0] for p in periods}))
+        hot = stage(ids.hot_titles(stats, entries), "hot-titles")
+        pairs = stage(G.pair_totals(ids.encode_ids(silver, entries, hot)), "pair-totals")
 
         def popularity_and_top() -> None:
             self._write_gold("article_popularity", G.article_popularity(pairs))
@@ -166,19 +166,27 @@ class Lakehouse:
         _together(jobs)
         return periods
 
-    def extend_dictionary(self, stats: DataFrame) -> None:
-        """Append the titles of ``stats`` that the dictionary lacks, with new ids."""
+    def extend_dictionary(self, stats: DataFrame, languages: list[str] | None = None) -> DataFrame:
+        """Append the titles of ``stats`` that the dictionary lacks, with new ids.
+
+        Returns the dictionary rows of exactly those titles. The whole dictionary is
+        joined once, here; encoding then works with the rows it needs. ``languages``
+        names those that occur in ``stats``, so that no others are read.
+        """
         known = self.dictionary()
-        languages = layers.list_languages(self.spark, self.dictionary_path)
-        if languages:
-            fresh = ids.number_titles(ids.new_titles(stats, known), known)
+        if languages is not None:
+            known = known.filter(F.col("lang").isin(languages))
+        if layers.list_languages(self.spark, self.dictionary_path):
+            matched = stage(ids.match_titles(stats, known), "matched-titles")
+            unseen = matched.filter(F.col("id").isNull())
+            found = matched.filter(F.col("id").isNotNull()).select(*schemas.DICTIONARY.names)
+            fresh = ids.number_titles(unseen, known)
         else:
-            fresh = ids.backfill(stats)
-        # Numbering reads the old files lazily, so the new rows are staged before the
-        # append adds to the folder.
-        tables.write_partitions(
-            stage(fresh, "new-titles"), self.dictionary_path, ["lang"], ("id",), mode="append"
-        )
+            fresh, found = ids.backfill(stats), None
+        # Written once before the append: numbering reads the folder that then grows.
+        fresh = stage(fresh, "new-titles")
+        tables.write_partitions(fresh, self.dictionary_path, ["lang"], ("id",), mode="append")
+        return fresh if found is None else found.unionByName(fresh)
 
     def _write_gold(self, topic: str, rows: DataFrame) -> None:
         tables.write_partitions(rows, self.gold_path(topic), sort_by=("curr_id",))
@@ -217,11 +225,17 @@ class Lakehouse:
                 topm_referrers,
             ),
         }
-        _together([partial(self._write_insight, topic, build) for topic, build in builders.items()])
+        _together([
+            partial(self._write_insight, topic, build, languages) for topic, build in builders.items()
+        ])
 
-    def _write_insight(self, topic: str, build: Callable[[], DataFrame]) -> None:
+    def _write_insight(
+        self, topic: str, build: Callable[[], DataFrame], languages: list[str] | None
+    ) -> None:
         winners = stage(build(), topic)
         dictionary, count, hot = self.dictionary(), winners.count(), None
+        if languages is not None:
+            dictionary = dictionary.filter(F.col("lang").isin(languages))
         if count > ids.BROADCAST_ROWS:
             hot = stage(ids.hot_ids(winners, dictionary), "hot-ids")
         labelled = I.with_titles(winners, dictionary, hot, row_count=count)

@@ -10,12 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 # Runtime SQL settings every job here relies on. Adaptive execution sizes shuffles,
 # splits skewed join and rebalance partitions and switches join strategy by measured
 # size. The small minimum partition size keeps writes of many small (language, month)
-# partitions spread over all cores. The group-limit threshold lets ``row_number() <= n`` cut rows *before* the
+# partitions spread over all cores. A shuffled join hashes its smaller side instead of
+# sorting both wherever every partition of that side is measured to be small enough,
+# which spares sorting the edges in the title lookups. The group-limit threshold lets ``row_number() <= n`` cut rows *before* the
 # shuffle for the largest n used (100,000 pairs per language).
 RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.optimizer.windowGroupLimitThreshold": "100000",
     "spark.sql.parquet.filterPushdown": "true",
