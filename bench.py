@@ -62,16 +62,18 @@ def main() -> None:
         "profile": clock(lambda: Q.profile_languages(lake.silver()).collect()),
     }
 
+    lake.register_views()
+
     def top10():
-        return lake.insight("top10_by_year")
+        return spark.table("gs_top10_by_year")
 
     queries = {
         "n01": lambda: N.top_of_year(top10(), "eu", 2000),
         "n02": lambda: N.top_of_years(top10(), "eu", [1999, 2000]),
-        "n03": lambda: N.all_time_leaders(lake.insight("all_time_top"), "eu"),
+        "n03": lambda: N.all_time_leaders(spark.table("gs_all_time_top"), "eu"),
         "n04": lambda: N.compare_languages(top10(), ["eu", "as", "af"], 2000),
         "n05": lambda: N.new_in_top(top10(), "eu", 2000, 1999),
-        "n06": lambda: N.fastest_growth(lake.insight("trending_mom"), "mi"),
+        "n06": lambda: N.fastest_growth(spark.table("gs_trending_mom"), "mi"),
         "n07": lambda: N.most_years_in_top(top10(), "eu"),
         "n08": lambda: N.popular_in_both(top10(), "eu", "as", 2000),
         "n09": lambda: N.leader_of_each_year(top10(), "eu"),

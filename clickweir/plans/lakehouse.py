@@ -10,14 +10,14 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from clickweir import schemas
 from clickweir.operators import dictionary as ids
 from clickweir.operators import gold as G
 from clickweir.operators import insights as I
-from clickweir.operators.cleaning import clean
+from clickweir.operators.cleaning import clean, keepable, readable
 from clickweir.session import stage
 from clickweir.sinks import tables
 from clickweir.sources import bronze, layers
@@ -74,35 +74,38 @@ class Lakehouse:
     # -- Bronze -> Silver --------------------------------------------------------
 
     def ingest_dumps(
-        self,
-        folder: str,
-        profile: str = "strict",
-        lang: str | None = None,
-        year: int | None = None,
-        month: int | None = None,
-        limit: int | None = None,
-        skip_existing: bool = False,
-    ) -> None:
-        """Clean the dump files below ``folder`` into Silver.
+        self, folder: str, profile: str = "strict", skip_existing: bool = False, **selection
+    ) -> dict[str, int]:
+        """Clean the dump files below ``folder`` into Silver; returns the row counts.
 
-        The strict profile also takes the month from a file name; the lenient one only
-        from the folder.
+        ``selection`` is lang, year, month and limit. The strict profile also takes the
+        month from a file name, the lenient one only from the folder. Files of finished
+        partitions are not opened, and the counts come from the write itself.
         """
-        rows = bronze.read_dumps(
-            self.spark, folder, lang, year, month, limit, allow_name_form=profile == "strict"
+        done = layers.list_periods(self.spark, self.silver_path) if skip_existing else None
+        files = bronze.select_files(
+            self.spark, folder, allow_name_form=profile == "strict", done=done, **selection
+        )
+        if not files:
+            return {"rows_read": 0, "rows_clean": 0}
+        counts = Observation("ingest")
+        rows = bronze.scan(self.spark, files).observe(
+            counts,
+            F.count_if(readable(profile)).alias("rows_read"),
+            F.count_if(keepable(profile)).alias("rows_clean"),
         )
-        self.ingest(rows, profile, skip_existing)
+        self.ingest(rows, profile)
+        return counts.get
 
     def ingest(self, rows: DataFrame, profile: str = "strict", skip_existing: bool = False) -> None:
         """Clean raw edges into Silver, replacing the partitions they belong to.
 
-        Partitions without a valid row write nothing.
+        Partitions without a valid row write nothing. ``skip_existing`` leaves finished
+        partitions out before anything is shuffled.
         """
         if skip_existing:
-            # Skip before cleaning: rows of finished partitions need no shuffle.
             done = layers.list_periods(self.spark, self.silver_path)
-            if done:
-                rows = rows.filter(~layers.in_periods(done))
+            rows = tables.without_existing(rows, layers.periods_frame(self.spark, done))
         tables.write_partitions(clean(rows, profile), self.silver_path, sort_by=("curr_title",))
 
     # -- Silver -> Gold ----------------------------------------------------------

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from clickweir.functions.paths import dump_partition
 from clickweir.schemas import BRONZE
+from clickweir.sources.layers import in_periods
 
 FIELDS = ["prev", "curr", "type", "n"]
 FILES = "uri string, lang string, year int, month int"
@@ -101,7 +102,7 @@ def scan(spark: SparkSession, manifest: list[Row]) -> DataFrame:
     )
 
 
-def read_dumps(
+def select_files(
     spark: SparkSession,
     root: str,
     lang: str | None = None,
@@ -110,17 +111,24 @@ def read_dumps(
     limit: int | None = None,
     allow_name_form: bool = True,
     one_file_per_partition: bool = True,
-) -> DataFrame:
-    """Discover, select and scan the dump files below ``root``.
+    done: list[tuple[str, int, int]] | None = None,
+) -> list[Row]:
+    """The dump files to read below ``root``, without those of the partitions ``done``.
 
-    Only the file list reaches the driver, which needs it to plan the scan; the lines
-    are read by the tasks, one task per gzip file.
+    Only this list reaches the driver, which needs it to plan the scan.
     """
     files = discover(spark, root)
     if limit is not None:
         files = first_files(files, limit)
     manifest = with_partition(files, allow_name_form).filter("accepted")
     manifest = select_partitions(manifest, lang, year, month)
+    if done:
+        manifest = manifest.filter(~in_periods(done))
     if one_file_per_partition:
         manifest = last_file_per_partition(manifest)
-    return scan(spark, manifest.orderBy("path").collect())
+    return manifest.orderBy("path").collect()
+
+
+def read_dumps(spark: SparkSession, root: str, **selection) -> DataFrame:
+    """Rows of the selected dump files (see ``select_files``), one task per gzip file."""
+    return scan(spark, select_files(spark, root, **selection))

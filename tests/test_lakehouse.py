@@ -160,16 +160,26 @@ def test_dumps_round_trip(spark, lake, raw):
     assert f"{root}/2024-02/clickstream-eswiki-2024-02.tsv.gz" in [n.removeprefix("file:") for n in names]
     assert len(names) == 5
     assert rows(bronze.read_dumps(spark, root), *BRONZE.names) == rows(raw, *BRONZE.names)
-    lake.ingest_dumps(root, lang="es")
+    counts = lake.ingest_dumps(root, lang="es")
+    assert counts == {"rows_read": 240, "rows_clean": 240}
     whole = Lakehouse(spark, fresh_dir(spark, "whole"))
     whole.ingest(raw.filter("lang = 'es'"))
     assert rows(lake.silver(), *SILVER.names) == rows(whole.silver(), *SILVER.names)
-    lake.ingest_dumps(root, profile="lenient", skip_existing=True)
+    assert lake.ingest_dumps(root, profile="lenient", skip_existing=True)["rows_clean"] == 160
+    assert lake.ingest_dumps(root, skip_existing=True) == {"rows_read": 0, "rows_clean": 0}
     kept = lake.silver().filter("lang = 'es'")
     assert rows(kept, *SILVER.names) == rows(whole.silver(), *SILVER.names)
     assert lake.silver().filter("lang = 'en' and curr_title like 'T\\\\_%'").count() == 160
 
 
+def test_ingest_skips_finished_partitions(lake, raw):
+    lake.ingest(raw.filter("lang = 'es'"))
+    before = rows(lake.silver(), *SILVER.names)
+    lake.ingest(raw.withColumn("n", F.lit("1")), skip_existing=True)
+    assert rows(lake.silver().filter("lang = 'es'"), *SILVER.names) == before
+    assert {r.n for r in lake.silver().filter("lang = 'en'").collect()} == {1}
+
+
 def test_empty_partitions_leave_earlier_rows_alone(lake, raw):
     lake.ingest(raw)
     before = rows(lake.silver(), *SILVER.names)
