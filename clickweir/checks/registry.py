@@ -347,8 +347,9 @@ def encode_ids_foreign(w: Workbench) -> DataFrame:
         F.replace("prev", F.lit("_"), F.lit(" ")).alias("prev_title"),
         F.replace("curr", F.lit("_"), F.lit(" ")).alias("curr_title"),
         F.col("n").try_cast("long").alias("n"),
-    )
-    return ids.encode_ids(rows.filter("n > 0"), w.dictionary, w.hot)
+    ).filter("n > 0")
+    numbered = stage(rows.withColumn("row_no", F.monotonically_increasing_id()), "foreign")
+    return ids.encode_ids(numbered, w.dictionary, w.hot, row_no="row_no")
 
 
 @_query

@@ -77,7 +77,8 @@ class Workbench:
 
     @cached_property
     def pairs(self) -> DataFrame:
-        return stage(gold.pair_totals(self.encoded()), "pair-totals")
+        totals = gold.pair_totals(layers.read_positive(self.silver))
+        return stage(ids.encode_ids(totals, self.dictionary, self.hot), "pair-totals")
 
     @cached_property
     def _gold_built(self) -> bool:

@@ -6,7 +6,7 @@ never changed once given; later titles are numbered after the largest id.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickweir.functions.periods import month_index
@@ -119,6 +119,28 @@ def hot_ids(rows: DataFrame, dictionary: DataFrame, limit: int = HOT_TITLES) ->
     return dictionary.join(F.broadcast(heavy), ["lang", "id"], "left_semi")
 
 
+def spread_keys(rows: DataFrame, by: str, take: str, using: str, hot: DataFrame | None) -> DataFrame:
+    """Add ``_key``, the key to look ``using`` up with, and ``_quick``, a ready answer.
+
+    Rows whose key is hot get their answer from a small broadcast frame; those rows and
+    rows with a NULL key then carry a spread-out stand-in key, so the shuffle of the
+    lookup never puts one key's rows into one task.
+    """
+    spread = F.pmod(F.xxhash64(*rows.columns), F.lit(STAND_INS))
+    stand_in = F.concat(F.lit("\u0000"), spread.cast("string")) if by == "title" else -1 - spread
+    if hot is None:
+        kind = "long" if take == "id" else "string"
+        rows = rows.withColumn("_quick", F.lit(None).cast(kind))
+    else:
+        quick = hot.select(
+            F.col("lang").alias("_hot_lang"), F.col(by).alias("_hot_key"), F.col(take).alias("_quick")
+        )
+        matches = (F.col("lang") == F.col("_hot_lang")) & (F.col(using) == F.col("_hot_key"))
+        rows = rows.join(F.broadcast(quick), matches, "left").drop("_hot_lang", "_hot_key")
+    cold = F.when(F.col("_quick").isNull(), F.col(using))
+    return rows.withColumn("_key", F.coalesce(cold, stand_in))
+
+
 def _attach(
     rows: DataFrame,
     dictionary: DataFrame,
@@ -130,40 +152,34 @@ def _attach(
 ) -> DataFrame:
     """Add ``name``: the dictionary's ``take`` for the row's ``using`` value, or NULL.
 
-    Rows whose key is hot get their answer from a small broadcast frame; those rows and
-    rows with a NULL key then carry a spread-out stand-in key, so the shuffle never puts
-    one key's rows into one task. Stand-ins match no entry, and the answer does not
-    depend on the second join for them.
+    Stand-in keys match no entry, and the answer does not depend on the second join for
+    rows that carry one.
     """
-    spread = F.pmod(F.xxhash64(*rows.columns), F.lit(STAND_INS))
-    stand_in = F.concat(F.lit("\u0000"), spread.cast("string")) if by == "title" else -1 - spread
-    columns = [F.col(c) for c in rows.columns]
-
-    key: Column = F.col(using)
-    answer: Column = F.col("_found")
-    if hot is not None:
-        quick = hot.select(
-            F.col("lang").alias("_hot_lang"), F.col(by).alias("_hot_key"), F.col(take).alias("_quick")
-        )
-        rows = rows.join(
-            F.broadcast(quick),
-            (F.col("lang") == F.col("_hot_lang")) & (F.col(using) == F.col("_hot_key")),
-            "left",
-        )
-        key = F.when(F.col("_quick").isNull(), key)
-        answer = F.coalesce("_quick", answer)
-    rows = rows.withColumn("_key", F.coalesce(key, stand_in))
     entries = dictionary.select(
         F.col("lang").alias("_lang"), F.col(by).alias("_entry"), F.col(take).alias("_found")
     )
-    matched = rows.join(
+    matched = spread_keys(rows, by, take, using, hot).join(
         entries, (F.col("lang") == F.col("_lang")) & (F.col("_key") == F.col("_entry")), "left"
     )
-    return matched.select(*columns, F.when(F.col(using).isNotNull(), answer).alias(name))
+    answer = F.when(F.col(using).isNotNull(), F.coalesce("_quick", "_found"))
+    return matched.select(*rows.columns, answer.alias(name))
 
 
-def encode_ids(silver: DataFrame, dictionary: DataFrame, hot: DataFrame | None = None) -> DataFrame:
-    """Silver edges with ids for titles; an unknown or missing referrer stays NULL."""
+def encode_ids(
+    silver: DataFrame,
+    dictionary: DataFrame,
+    hot: DataFrame | None = None,
+    row_no: str | None = None,
+) -> DataFrame:
+    """Silver edges with ids for titles; an unknown or missing referrer stays NULL.
+
+    Rows are spread by their values. Where a large share of the rows may be copies of
+    one row, ``row_no`` names a column of the written input that tells them apart; it
+    has to be stored, as a number made up during the join could change on a retry.
+    """
+    silver = silver.select(
+        "lang", "year", "month", "prev_title", "curr_title", "n", *([row_no] if row_no else [])
+    )
     with_target = _attach(silver, dictionary, "title", "id", "curr_title", "curr_id", hot)
     known = with_target.filter(F.col("curr_id").isNotNull()).drop("curr_title")
     both = _attach(known, dictionary, "title", "id", "prev_title", "prev_id", hot)

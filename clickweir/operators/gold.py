@@ -10,13 +10,15 @@ from clickweir.operators.ranking import top_n
 from clickweir.schemas import PERIOD
 
 
-def pair_totals(ids: DataFrame) -> DataFrame:
-    """Transitions per month and (prev, curr) pair, referral types merged.
+def pair_totals(edges: DataFrame) -> DataFrame:
+    """Transitions per month and (prev, curr) pair, by id or by title, types merged.
 
     Every other Gold table follows from this one. The grouping key includes both ends,
-    so neither a hot target nor a hot referrer makes a large shuffle partition.
+    so neither a hot target nor a hot referrer makes a large shuffle partition, and
+    copies of a row are merged before the shuffle.
     """
-    return ids.groupBy(*PERIOD, "prev_id", "curr_id").agg(F.sum("n").alias("n"))
+    ends = [c for c in ("prev_id", "curr_id", "prev_title", "curr_title") if c in edges.columns]
+    return edges.groupBy(*PERIOD, *ends).agg(F.sum("n").alias("n"))
 
 
 def article_popularity(ids: DataFrame) -> DataFrame:

@@ -152,7 +152,9 @@ class Lakehouse:
         stats = stage(ids.title_stats(silver), "title-stats")
         entries = self.extend_dictionary(stats, sorted({p[0] for p in periods}))
         hot = stage(ids.hot_titles(stats, entries), "hot-titles")
-        pairs = stage(G.pair_totals(ids.encode_ids(silver, entries, hot)), "pair-totals")
+        # Summed by title first: the lookups then see each pair once, however many rows
+        # or copies of rows it had. Titles and ids correspond, so the totals stay apart.
+        pairs = stage(ids.encode_ids(G.pair_totals(silver), entries, hot), "pair-totals")
 
         def popularity_and_top() -> None:
             self._write_gold("article_popularity", G.article_popularity(pairs))

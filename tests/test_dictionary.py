@@ -120,14 +120,31 @@ def test_encoding_keeps_missing_referrers_and_drops_unknown_targets(spark):
         assert rows(ids.encode_ids(silver, dictionary, hot)) == sorted(expected, key=repr)
 
 
-def test_spread_of_hot_and_missing_keys(spark, silver):
-    """No join key of the shuffled lookup holds more than a few rows of a hot title."""
+def test_no_lookup_key_gathers_hot_or_missing_rows(silver):
+    """A third of the rows share a referrer and some have none; no key keeps them together."""
     stats = ids.title_stats(silver)
     dictionary = ids.backfill(stats)
     hot = ids.hot_titles(stats, dictionary, 30)
-    joined = ids._attach(silver, dictionary, "title", "id", "prev_title", "prev_id", hot)
-    plan = joined._jdf.queryExecution().optimizedPlan().toString()
-    assert "xxhash64" in plan and joined.count() == silver.count()
+    keyed = ids.spread_keys(silver, "title", "id", "prev_title", hot)
+    largest = keyed.groupBy("lang", "_key").count().agg(F.max("count")).first()[0]
+    assert largest < 60 < 900 < silver.groupBy("lang", "prev_title").count().agg(F.max("count")).first()[0]
+
+    encoded = ids.encode_ids(silver, dictionary).withColumn("k", F.monotonically_increasing_id())
+    by_id = ids.spread_keys(encoded, "id", "title", "prev_id", ids.hot_ids(encoded, dictionary, 30))
+    largest = by_id.groupBy("lang", "_key").count().agg(F.max("count")).first()[0]
+    assert largest < 60
+
+
+def test_copies_of_one_row_are_told_apart_by_their_number(spark):
+    dictionary = spark.createDataFrame([("es", 1, "A"), ("es", 2, "B")], DICTIONARY)
+    copies = spark.range(3_000).select(
+        F.lit("es").alias("lang"), F.lit(2024).alias("year"), F.lit(1).alias("month"),
+        F.lit("A").alias("prev_title"), F.lit("B").alias("curr_title"), F.lit(7).alias("n"),
+        F.col("id").alias("row_no"))
+    keyed = ids.spread_keys(copies, "title", "id", "prev_title", dictionary)
+    assert keyed.groupBy("_key").count().agg(F.max("count")).first()[0] < 10
+    found = ids.encode_ids(copies, dictionary, dictionary, row_no="row_no")
+    assert rows(found) == [("es", 2024, 1, 1, 2, 7)] * 3_000
 
 
 def test_decoding_both_ways(silver):

@@ -218,6 +218,25 @@ def test_catalog_table_and_views(spark, lake, raw):
     assert spark.sql("SELECT * FROM gs_trending_mom").count() == 0
 
 
+def test_large_partition_is_written_by_several_tasks(spark):
+    """One language and month with nearly all rows, small ones beside it."""
+    row = F.col("id")
+    df = spark.range(400_000).select(
+        F.when(row % 100 == 0, "en").otherwise("es").alias("lang"),
+        F.lit(2024).alias("year"), F.lit(1).alias("month"), F.md5(row.cast("string")).alias("t"))
+    path = fresh_dir(spark, "skewed")
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "1m")
+    try:
+        tables.write_partitions(df.repartition(16), path)
+    finally:
+        spark.conf.set(key, before)
+    assert len(files.glob(spark, f"{path}/lang=es/*/*/part-*")) > 4
+    assert len(files.glob(spark, f"{path}/lang=en/*/*/part-*")) < 4
+    assert spark.read.parquet(path).count() == 400_000
+
+
 def test_period_lists():
     periods = [("en", 2023, 12), ("es", 2023, 9), ("es", 2024, 1), ("es", 2024, 2)]
     assert increments.newest_periods(periods) == [("es", 2024, 2)]
