@@ -106,25 +106,42 @@ def all_time_top(popularity: DataFrame, n: int = 500) -> DataFrame:
     return top_n(totals, ["lang"], order, n, slice_by=[key], rank=None)
 
 
-def _edge_totals(edges: DataFrame, keys: list[str], name: str, months: int) -> DataFrame:
-    recent = within_last_months(edges, months)
-    return recent.groupBy("lang", "_last", *keys).agg(F.sum("total_transitions").alias(name))
+def window_pair_totals(edges: DataFrame, months: int = 6) -> DataFrame:
+    """Transitions of every pair over each language's last calendar months.
+
+    Both window insights follow from it.
+    """
+    gold, keys = _keyed(edges, "prev", "curr")
+    recent = within_last_months(gold, months)
+    return recent.groupBy("lang", "_last", *keys).agg(F.sum("total_transitions").alias("total"))
+
+
+def _side_key(totals: DataFrame, side: str) -> str:
+    return next(c for c in totals.columns if c.startswith(side + "_"))
+
+
+def busiest_pairs(totals: DataFrame, n: int = 100_000) -> DataFrame:
+    """The ``n`` pairs with the largest totals per language."""
+    keys = [_side_key(totals, "prev"), _side_key(totals, "curr")]
+    order = [F.desc("total"), *[F.asc(k) for k in keys]]
+    top = top_n(totals, ["lang"], order, n, slice_by=keys, rank=None)
+    return _with_period(top.withColumnRenamed("total", "transitions_6m"))
+
+
+def strongest_referrers(totals: DataFrame, m: int = 50) -> DataFrame:
+    """The ``m`` referrers with the largest totals for every target."""
+    target, referrer = _side_key(totals, "curr"), _side_key(totals, "prev")
+    order = [F.desc("total"), F.asc(referrer)]
+    top = top_n(totals, ["lang", target], order, m, slice_by=[referrer])
+    return _with_period(top.withColumnRenamed("total", "clicks_6m"))
 
 
 def edges_6m(edges: DataFrame, n: int = 100_000, months: int = 6) -> DataFrame:
-    """The ``n`` busiest pairs per language over the last calendar months."""
-    gold, keys = _keyed(edges, "prev", "curr")
-    totals = _edge_totals(gold, keys, "transitions_6m", months)
-    order = [F.desc("transitions_6m"), *[F.asc(k) for k in keys]]
-    return _with_period(top_n(totals, ["lang"], order, n, slice_by=keys, rank=None))
+    return busiest_pairs(window_pair_totals(edges, months), n)
 
 
 def referrers_6m(edges: DataFrame, m: int = 50, months: int = 6) -> DataFrame:
-    """The ``m`` strongest referrers of every target over the last calendar months."""
-    gold, [target, referrer] = _keyed(edges, "curr", "prev")
-    totals = _edge_totals(gold, [target, referrer], "clicks_6m", months)
-    order = [F.desc("clicks_6m"), F.asc(referrer)]
-    return _with_period(top_n(totals, ["lang", target], order, m, slice_by=[referrer]))
+    return strongest_referrers(window_pair_totals(edges, months), m)
 
 
 def trending_mom(popularity: DataFrame, n: int = 1000) -> DataFrame:

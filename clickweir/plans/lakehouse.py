@@ -20,7 +20,7 @@ from clickweir.operators import insights as I
 from clickweir.operators.cleaning import clean, keepable, readable
 from clickweir.session import stage
 from clickweir.sinks import tables
-from clickweir.sources import bronze, layers
+from clickweir.sources import bronze, files, layers
 from clickweir.streaming import increments
 
 
@@ -83,13 +83,13 @@ class Lakehouse:
         partitions are not opened, and the counts come from the write itself.
         """
         done = layers.list_periods(self.spark, self.silver_path) if skip_existing else None
-        files = bronze.select_files(
+        dumps = bronze.select_files(
             self.spark, folder, allow_name_form=profile == "strict", done=done, **selection
         )
-        if not files:
+        if not dumps:
             return {"rows_read": 0, "rows_clean": 0}
         counts = Observation("ingest")
-        rows = bronze.scan(self.spark, files).observe(
+        rows = bronze.scan(self.spark, dumps).observe(
             counts,
             F.count_if(readable(profile)).alias("rows_read"),
             F.count_if(keepable(profile)).alias("rows_clean"),
@@ -212,26 +212,39 @@ class Lakehouse:
         With ``skip_existing`` the partitions already written are left out, so the
         Gold rows of finished languages are not even read.
         """
-        builders = {
-            "top10_by_year": lambda: I.top10_by_year(self._pending_years(languages, skip_existing)),
-            "all_time_top": lambda: I.all_time_top(
-                self._pending_languages(languages, skip_existing), topn_all_time
-            ),
-            "trending_mom": lambda: I.trending_mom(
-                self._pending_window("trending_mom", "article_popularity", 2, languages, skip_existing),
-                topn_trending,
-            ),
-            "edges_6m": lambda: I.edges_6m(
-                self._pending_window("edges_6m", "edges_monthly", 6, languages, skip_existing),
-                topn_edges,
-            ),
-            "referrers_6m": lambda: I.referrers_6m(
-                self._pending_window("referrers_6m", "edges_monthly", 6, languages, skip_existing),
-                topm_referrers,
-            ),
-        }
+        def write(topic: str, build: Callable[[], DataFrame]) -> Callable[[], None]:
+            return partial(self._write_insight, topic, build, languages)
+
+        def window_insights() -> None:
+            pending = {
+                topic: self._pending_window(topic, "edges_monthly", 6, languages, skip_existing)
+                for topic in ("edges_6m", "referrers_6m")
+            }
+            months = sorted({p for periods in pending.values() for p in periods})
+            edges = self._gold_part("edges_monthly", months)
+            totals = stage(I.window_pair_totals(edges), "window-totals")
+
+            def of(topic: str) -> DataFrame:
+                return totals.filter(F.col("lang").isin(sorted({p[0] for p in pending[topic]})))
+
+            _together([
+                write("edges_6m", lambda: I.busiest_pairs(of("edges_6m"), topn_edges)),
+                write("referrers_6m", lambda: I.strongest_referrers(of("referrers_6m"), topm_referrers)),
+            ])
+
+        def popularity(periods: list[increments.Period]) -> DataFrame:
+            return self._gold_part("article_popularity", periods)
+
         _together([
-            partial(self._write_insight, topic, build, languages) for topic, build in builders.items()
+            window_insights,
+            write("top10_by_year", lambda: I.top10_by_year(
+                popularity(self._pending_years(languages, skip_existing)))),
+            write("all_time_top", lambda: I.all_time_top(
+                popularity(self._pending_languages(languages, skip_existing)), topn_all_time)),
+            write("trending_mom", lambda: I.trending_mom(
+                popularity(self._pending_window(
+                    "trending_mom", "article_popularity", 2, languages, skip_existing)),
+                topn_trending)),
         ])
 
     def _write_insight(
@@ -256,34 +269,32 @@ class Lakehouse:
         periods = layers.list_periods(self.spark, self.gold_path(topic))
         return [p for p in periods if languages is None or p[0] in languages]
 
-    def _pending_years(self, languages, skip_existing: bool) -> DataFrame:
+    def _pending_years(self, languages, skip_existing: bool) -> list[increments.Period]:
         periods = self._gold_periods("article_popularity", languages)
         if skip_existing:
-            done = layers.files.hive_partitions(
-                self.spark, self.insight_path("top10_by_year"), ["lang", "year"]
-            )
+            path = self.insight_path("top10_by_year")
+            done = files.hive_partitions(self.spark, path, ["lang", "year"])
             have = {(lang, int(year)) for lang, year in done}
             periods = [p for p in periods if p[:2] not in have]
-        return self._gold_part("article_popularity", periods)
+        return periods
 
-    def _pending_languages(self, languages, skip_existing: bool) -> DataFrame:
+    def _pending_languages(self, languages, skip_existing: bool) -> list[increments.Period]:
         periods = self._gold_periods("article_popularity", languages)
         if skip_existing:
             have = layers.list_languages(self.spark, self.insight_path("all_time_top"))
             periods = [p for p in periods if p[0] not in have]
-        return self._gold_part("article_popularity", periods)
+        return periods
 
     def _pending_window(
         self, topic: str, source: str, months: int, languages, skip_existing: bool
-    ) -> DataFrame:
+    ) -> list[increments.Period]:
         """The Gold months a windowed insight needs, found from folder names."""
         periods = self._gold_periods(source, languages)
         if skip_existing:
             have = set(layers.list_periods(self.spark, self.insight_path(topic)))
-            latest = set(layers.latest_window(periods, 1))
-            finished = {p[0] for p in latest if p in have}
+            finished = {p[0] for p in layers.latest_window(periods, 1) if p in have}
             periods = [p for p in periods if p[0] not in finished]
-        return self._gold_part(source, layers.latest_window(periods, months))
+        return layers.latest_window(periods, months)
 
     # -- catalog -----------------------------------------------------------------
 

@@ -63,6 +63,9 @@ def shuffle_partitions(input_bytes: int) -> int:
     return min(-(-input_bytes * GROWTH // TARGET_BYTES), MAX_PARTITIONS)
 
 
+_local_dirs: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach, as named by ``spark.checkpoint.dir``.
 
@@ -74,9 +77,10 @@ def shared_dir(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="clickweir-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _local_dirs:
+        _local_dirs[application] = tempfile.mkdtemp(prefix="clickweir-")
+    return _local_dirs[application]
 
 
 def fresh_dir(spark: SparkSession, label: str) -> str:

@@ -1,6 +1,7 @@
 """Whole jobs: ingest, Gold, insights, increments, skipping, replacing, catalog."""
 
 import tempfile
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -278,6 +279,18 @@ def test_shared_folder_and_shuffle_size(spark):
     assert shuffle_partitions(100 << 40) == 65_536
 
 
+def session_without_folder(master):
+    context = SimpleNamespace(master=master, applicationId=f"test-{master}")
+    return SimpleNamespace(conf={}, sparkContext=context)
+
+
+def test_only_local_sessions_get_a_temporary_folder():
+    local = session_without_folder("local[2]")
+    assert shared_dir(local) == shared_dir(local)
+    with pytest.raises(RuntimeError):
+        shared_dir(session_without_folder("yarn"))
+
+
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
