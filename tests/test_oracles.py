@@ -5,7 +5,7 @@ import os
 import duckdb
 import pytest
 
-from __spark_entry__ import oracle_sql, queries
+from __spark_entry__ import entry, oracle_sql, queries
 
 FOLDER = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages".split()
@@ -36,6 +36,11 @@ def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
 
 
+def test_entry_equals_the_layered_query(spark):
+    layered = QUERIES["n01_top_of_year"](spark, "/root/testdata/sf0.001")
+    assert entry(spark).collect() == layered.collect()
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_matches_oracle(spark, duck, name):
     frame = QUERIES[name](spark, FOLDER)
