@@ -5,13 +5,15 @@ import os
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from clickweir.checks.oracles import all_oracles
+from clickweir.checks.registry import all_queries
 
 FOLDER = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages".split()
 
-QUERIES = queries()
-ORACLES = oracle_sql()
+QUERIES = all_queries()
+ORACLES = all_oracles()
 
 
 @pytest.fixture(scope="module")
