@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from clickweir.llm import byte_gru, chat_schema, packing, pii_spans, quality_cascade, warc_chain
+from clickweir.llm import byte_gru, chat_schema, line_templates, packing, pii_spans, quality_cascade, warc_chain
 from clickweir.llm.frames import table
 from clickweir.session import fresh_dir
 
@@ -17,6 +18,15 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_lines(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", F.col("text").alias("before"))
+    cut = line_templates.drop_recurring(docs)
+    n_chars = F.coalesce(F.length("text"), F.lit(0))
+    return cut.select(
+        "doc_id", "text", (F.coalesce(F.length("before"), F.lit(0)) - n_chars).cast("long").alias("chars_dropped"),
+    )
+
+
 def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return packing.digest(packing.pack(docs, tokenizer_path("word_bpe_49k.json")))
@@ -52,6 +62,7 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lines": op1_lines,
     "op2_packing": op2_packing,
     "op3_quality": op3_quality,
     "op4_chat": op4_chat,
@@ -61,6 +72,41 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_lines": r"""
+        WITH docs AS (
+            SELECT row_number() OVER () AS row, doc_id, text FROM documents
+        ), same AS (
+            SELECT *, min(row) OVER (PARTITION BY doc_id, text) AS doc FROM docs
+        ), split AS (
+            SELECT doc, doc_id, string_split(text, chr(10)) AS lines FROM same WHERE row = doc AND text IS NOT NULL
+        ), lines AS (
+            SELECT doc, doc_id, unnest(lines) AS body, unnest(range(len(lines))) AS line FROM split
+        ), tokens AS (
+            SELECT doc, doc_id, line, list_transform(
+                regexp_extract_all(body, '[^\x20\x09-\x0D]+'),
+                lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END) AS t
+            FROM lines
+        ), occurrences AS (
+            SELECT doc, doc_id, line, -1 AS part, t AS template FROM tokens WHERE len(t) >= 3
+            UNION ALL
+            SELECT doc, doc_id, line, part, t[:2 + (len(t) - 2) * part // 4] || ['<open>'] || t[2 + (len(t) - 2) * (part + 1) // 4 + 1:]
+            FROM tokens, (SELECT unnest(range(4)) AS part) WHERE len(t) >= 12
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY part, template, n_tokens ORDER BY doc_id NULLS LAST, doc, line) AS place,
+                dense_rank() OVER (PARTITION BY part, template, n_tokens ORDER BY doc) AS r
+            FROM (SELECT o.*, len(t) AS n_tokens FROM occurrences o JOIN tokens USING (doc, line))
+        ), recurring AS (
+            SELECT *, max(r) OVER (PARTITION BY part, template, n_tokens) AS docs FROM ranked
+        ), lost AS (
+            SELECT DISTINCT doc, line FROM recurring WHERE docs >= 3 AND place > 1
+        ), kept AS (
+            SELECT l.doc, string_agg(body, chr(10) ORDER BY line) FILTER (lost.doc IS NULL) AS text
+            FROM lines l LEFT JOIN lost USING (doc, line) GROUP BY l.doc
+        )
+        SELECT s.doc_id, CASE WHEN s.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text,
+            (coalesce(length(s.text), 0) - coalesce(length(k.text), 0))::BIGINT AS chars_dropped
+        FROM same s LEFT JOIN kept k USING (doc)
+    """,
     "op3_quality": r"""
         WITH docs AS (
             SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text FROM documents
