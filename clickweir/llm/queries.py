@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickweir.llm import byte_gru, chat_schema, line_templates, packing, pii_spans, quality_cascade, warc_chain
+from clickweir.llm import byte_gru, chat_schema, line_templates, order_minhash, packing, pii_spans, quality_cascade, warc_chain
 from clickweir.llm.frames import table
 from clickweir.session import fresh_dir
 
@@ -44,6 +44,10 @@ def op4_chat(spark: SparkSession, folder: str) -> DataFrame:
     return chat_schema.digest(chat_schema.format_turns(turns))
 
 
+def op5_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return order_minhash.classes(table(spark, folder, "documents")).select("doc_id", "class_id")
+
+
 def op6_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii_spans.digest(pii_spans.find_spans(table(spark, folder, "documents")))
 
@@ -66,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op3_quality": op3_quality,
     "op4_chat": op4_chat,
+    "op5_near_duplicates": op5_near_duplicates,
     "op6_pii": op6_pii,
     "op9_language": op9_language,
     "op10_warc": op10_warc,
