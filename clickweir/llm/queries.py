@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickweir.llm import byte_gru, chat_schema, line_templates, order_minhash, packing, pii_spans, quality_cascade, warc_chain
+from clickweir.llm import byte_gru, chat_schema, line_templates, norm_topk, order_minhash, packing, pii_spans, quality_cascade, warc_chain
 from clickweir.llm.frames import table
 from clickweir.session import fresh_dir
 
@@ -52,6 +52,10 @@ def op6_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii_spans.digest(pii_spans.find_spans(table(spark, folder, "documents")))
 
 
+def op8_topk(spark: SparkSession, folder: str) -> DataFrame:
+    return norm_topk.top_k(table(spark, folder, "embeddings"), F.col("id") % 50 == 0)
+
+
 def op9_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     languages, net = byte_gru.fit(docs, ~byte_gru.held_out())
@@ -72,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_chat": op4_chat,
     "op5_near_duplicates": op5_near_duplicates,
     "op6_pii": op6_pii,
+    "op8_topk": op8_topk,
     "op9_language": op9_language,
     "op10_warc": op10_warc,
 }
@@ -163,6 +168,18 @@ ORACLES: dict[str, str] = {
             sum(n + CASE role WHEN 'user' THEN 15 WHEN 'assistant' THEN 10 ELSE 18 + r END)::BIGINT AS formatted_chars
         FROM sized GROUP BY conv_id
     """,
+    "op8_topk": """
+        WITH usable AS (
+            SELECT vec_id, list_transform(embedding, lambda c: floor(256 * c::DOUBLE)) AS v FROM embeddings
+            WHERE vec_id IS NOT NULL AND len(embedding) > 0
+                AND len(list_filter(embedding, lambda c: c IS NOT NULL AND isfinite(c))) = len(embedding)
+        ), scored AS (
+            SELECT q.vec_id AS query_id, x.vec_id, list_inner_product(q.v, x.v)::BIGINT AS score
+            FROM usable q JOIN usable x ON q.vec_id % 50 = 0 AND q.vec_id <> x.vec_id AND len(q.v) = len(x.v)
+        )
+        SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
+        FROM scored QUALIFY rank <= 5
+    """,
     "op10_warc": """
         WITH rows AS (
             SELECT page_id, coalesce(html, '') AS html FROM pages
