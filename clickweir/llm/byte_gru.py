@@ -235,7 +235,14 @@ def fit(
     usable = docs.where(learn & F.col(key).isNotNull() & F.col(label).isNotNull()).select(
         F.col(key).alias("key"), F.col(label).alias("label"), F.col(text).alias("text"),
     ).where(F.col("text").rlike(r"\p{L}"))
-    by_hash = Window.partitionBy("label").orderBy(F.xxhash64("key"), "key")
+    # A language's rows are thinned by the hash of their ids to a few times the number wanted,
+    # so that the ranking sees a bounded number of rows of each, however many there are.
+    chance = F.pmod(F.xxhash64("key"), F.lit(1 << 30)) / float(1 << 30)
+    counts = usable.groupBy("label").agg(F.count("*").alias("n")).collect()
+    common = [F.when(F.col("label") == r["label"], 4 * per_language / r["n"]) for r in counts if r["n"] > 4 * per_language]
+    if common:
+        usable = usable.where(chance < F.coalesce(*common, F.lit(2.0)))
+    by_hash = Window.partitionBy("label").orderBy(chance, "key")
     # Only segments travel: ``windows`` of them, evenly spread over the text.
     size = F.length("text")
     spread = F.transform(

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickweir.llm import byte_gru, chat_schema, line_templates, norm_topk, order_minhash, packing, pii_spans, quality_cascade, warc_chain
+from clickweir.llm import byte_gru, chat_schema, line_templates, norm_topk, order_minhash, packing, pii_spans, quality_cascade, viterbi_pieces, warc_chain
 from clickweir.llm.frames import table
 from clickweir.session import fresh_dir
 
@@ -52,6 +52,11 @@ def op6_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii_spans.digest(pii_spans.find_spans(table(spark, folder, "documents")))
 
 
+def op7_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    model = tokenizer_path("piece_bpe_32k.model")
+    return viterbi_pieces.digest(viterbi_pieces.encode(table(spark, folder, "documents"), model), model)
+
+
 def op8_topk(spark: SparkSession, folder: str) -> DataFrame:
     return norm_topk.top_k(table(spark, folder, "embeddings"), F.col("id") % 50 == 0)
 
@@ -76,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_chat": op4_chat,
     "op5_near_duplicates": op5_near_duplicates,
     "op6_pii": op6_pii,
+    "op7_sentencepiece": op7_sentencepiece,
     "op8_topk": op8_topk,
     "op9_language": op9_language,
     "op10_warc": op10_warc,
