@@ -117,22 +117,23 @@ class Pieces:
 
     def stands(self, before: np.ndarray, piece: np.ndarray) -> np.ndarray:
         """Whether each piece is what merging leaves behind ``before`` (-1: the chunk's start)."""
-        keys = (before + 1) * len(self.names) + piece
-        if len(self.pair_keys):
-            at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
-            missing = np.unique(keys[self.pair_keys[at] != keys])
-        else:
-            missing = np.unique(keys)
-        if len(missing):
-            verdicts = []
+        keys, back = np.unique((before + 1) * len(self.names) + piece, return_inverse=True)
+        at = np.searchsorted(self.pair_keys, keys)
+        known = np.zeros(len(keys), bool)
+        inside = at < len(self.pair_keys)
+        known[inside] = self.pair_keys[at[inside]] == keys[inside]
+        stands = np.empty(len(keys), bool)
+        stands[known] = self.pair_stands[at[known]]
+        if not known.all():
+            missing, verdicts = keys[~known], []
             for key in missing.tolist():
                 left, right = divmod(key, len(self.names))
                 parts = [self.names[right]] if left == 0 else [self.names[left - 1], self.names[right]]
                 verdicts.append(self.merged("".join(parts)) == parts)
-            at = np.searchsorted(self.pair_keys, missing)
-            self.pair_keys = np.insert(self.pair_keys, at, missing)
-            self.pair_stands = np.insert(self.pair_stands, at, verdicts)
-        return self.pair_stands[np.searchsorted(self.pair_keys, keys)]
+            stands[~known] = verdicts
+            self.pair_keys = np.insert(self.pair_keys, at[~known], missing)
+            self.pair_stands = np.insert(self.pair_stands, at[~known], verdicts)
+        return stands[back]
 
 
 def loaded(path: str) -> Pieces:
@@ -195,6 +196,8 @@ def viterbi(pieces: Pieces, chunks: list[str]) -> list[list[int]]:
 
 def _with_bytes(pieces: Pieces, tokens: list[int]) -> list[int]:
     """Unknown characters as the pieces of their bytes, or as the unknown piece."""
+    if max(tokens) < len(pieces.names):
+        return tokens
     out = []
     for token in tokens:
         if token < len(pieces.names):
