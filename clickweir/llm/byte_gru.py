@@ -15,6 +15,7 @@ Repeated rows get the same answer; other columns, whatever their names, are igno
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -260,17 +261,16 @@ def fit(
     return languages, train(samples, len(languages)) if samples else None
 
 
-def predict(docs: DataFrame, languages: list[str], net: dict | None, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """key, lang_pred and score of every row."""
-    picked = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+def language(languages: list[str], net: dict | None, text: str = "text") -> Column:
+    """A struct of lang_pred and score for a column of texts."""
     names = np.array(languages, object)
 
-    def run(batches):
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         runner = None if net is None else Runner(net)
         for batch in batches:
             lang = np.full(len(batch), UNKNOWN, object)
             score = np.zeros(len(batch))
-            bodies = [x if isinstance(x, str) else "" for x in batch["text"]]
+            bodies = [x if isinstance(x, str) else "" for x in batch]
             known = [i for i, body in enumerate(bodies) if net is not None and _LETTER.search(body)]
             at = 0
             while at < len(known):
@@ -282,10 +282,15 @@ def predict(docs: DataFrame, languages: list[str], net: dict | None, key: str =
                 p = probabilities(runner, [bodies[i].encode() for i in group])
                 lang[group] = names[p.argmax(1)]
                 score[group] = p.max(1)
-            yield pd.DataFrame({"key": batch["key"], "lang_pred": lang, "score": score})
+            yield pd.DataFrame({"lang_pred": lang, "score": score})
+
+    return F.pandas_udf(run, "lang_pred string, score double")(F.col(text))
 
-    kind = picked.schema["key"].dataType.simpleString()
-    return picked.mapInPandas(run, f"key {kind}, lang_pred string, score double").withColumnRenamed("key", key)
+
+def predict(docs: DataFrame, languages: list[str], net: dict | None, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """key, lang_pred and score of every row."""
+    found = docs.select(F.col(key), language(languages, net, text).alias("found"))
+    return found.select(key, "found.lang_pred", "found.score")
 
 
 def held_out(key: str = "doc_id") -> Column:

@@ -20,6 +20,19 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), BLANKS), lambda w: w != "")
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with underscores added until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def packed(df: DataFrame) -> Column:
+    """All columns of ``df`` as one struct, so that names given later cannot clash."""
+    return F.struct(*(F.col(f"`{c}`") for c in df.columns))
+
+
 def saved(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage for every executor."""
     path = fresh_dir(df.sparkSession, label)

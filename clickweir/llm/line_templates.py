@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickweir.llm.frames import saved, words
+from clickweir.llm.frames import packed, saved, words
 
 DEPTH = 2
 SEGMENTS = 4
@@ -87,9 +87,8 @@ def recurring_lines(
 def drop_recurring(docs: DataFrame, key: str = "doc_id", text: str = "text", **settings) -> DataFrame:
     """All rows of ``docs`` with recurring lines taken out of ``text``."""
     lost = recurring_lines(docs.select(key, text), key, text, **settings)
-    packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
     body, who = F.col("row")[text], F.col("row")[key]
-    joined = packed.join(
+    joined = docs.select(packed(docs).alias("row")).join(
         lost, who.eqNullSafe(F.col("doc")) & (F.xxhash64(body) == F.col("text_hash")), "left",
     )
     joined = joined.withColumn("lines", F.when(F.col("dropped").isNotNull(), F.split(body, "\n")))

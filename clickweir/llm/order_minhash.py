@@ -36,7 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickweir.llm.frames import components, saved
+from clickweir.llm.frames import components, packed, saved
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -295,17 +295,19 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity
 
 def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """The row of each class whose id is its smallest; one of them if several have that id."""
-    found = classes(docs, key, text, similarity)
-    first = F.min(F.struct(F.col(key).isNull().alias("last"), F.col(key).alias("who"), "node"))
+    found = saved(classes(docs, key, text, similarity), "omh-found")
+    first = F.min(F.struct(F.col(key).isNull().alias("last"), F.col(key).alias("who"), "node", "n"))
     kept = saved(
-        found.groupBy(F.coalesce(F.col("class_id").cast("string"), F.hex("node")).alias("class")).agg(first.alias("first"))
-        .select("first.who", "first.node").distinct(), "omh-kept",
+        found.groupBy(key, "class_id", "node").agg(F.count("*").alias("n"))
+        .groupBy(F.coalesce(F.col("class_id").cast("string"), F.hex("node")).alias("class")).agg(first.alias("first"))
+        .select("first.who", "first.node", "first.n"), "omh-kept",
     )
-    packed = docs.select(
-        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
-        F.col(key).alias("own"), F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")))).alias("own_node"),
+    rows = docs.select(
+        packed(docs).alias("row"), F.col(key).alias("own"), F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")))).alias("own_node"),
     )
-    left = packed.join(kept, (F.col("own_node") == F.col("node")) & F.col("own").eqNullSafe(F.col("who")), "left_semi")
+    left = rows.join(kept, (F.col("own_node") == F.col("node")) & F.col("own").eqNullSafe(F.col("who")))
     # Rows that repeat both id and text are one document.
-    once = left.groupBy("own", "own_node").agg(F.first("row").alias("row"))
-    return once.select(*(F.col("row")[c].alias(c) for c in docs.columns))
+    single = left.where("n = 1").select("row")
+    if not kept.where("n > 1").isEmpty():
+        single = single.union(left.where("n > 1").groupBy("own", "own_node").agg(F.first("row").alias("row")).select("row"))
+    return single.select(*(F.col("row")[c].alias(c) for c in docs.columns))
