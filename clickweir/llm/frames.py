@@ -17,7 +17,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def words(text: Column) -> Column:
     """The words of a text as an array; no words for null."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), BLANKS), lambda w: w != "")
+    body = F.btrim(F.coalesce(text, F.lit("")), F.lit(" \t\n\x0b\f\r"))
+    return F.when(body == "", F.array().cast("array<string>")).otherwise(F.split(body, BLANKS))
 
 
 def unused(df: DataFrame, name: str) -> str:

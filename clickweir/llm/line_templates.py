@@ -35,20 +35,29 @@ MIN_DOCS = 3
 VARIABLE = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
 
 
-def _templates(tokens: str, n: str, depth: int, segments: int, general: int) -> Column:
-    """Hashes of the templates of a line: the masked line, and with one part left open."""
-    def part(j) -> Column:
-        return F.lit(depth) + F.floor((F.col(n) - depth) * j / segments).cast("int")
-
-    exact = F.xxhash64(F.col(n), F.lit(-1), F.col(tokens))
-    opened = [
-        F.xxhash64(
-            F.col(n), F.lit(j), F.slice(F.col(tokens), F.lit(1), part(j)),
-            F.slice(F.col(tokens), part(j + 1) + 1, F.col(n)),
-        )
-        for j in range(segments)
-    ]
-    return F.when(F.col(n) >= general, F.array(exact, *opened)).otherwise(F.array(exact))
+def _occurrences(docs: DataFrame, key: str, text: str, depth: int, segments: int, general: int, min_tokens: int) -> DataFrame:
+    """doc, text_hash, line and template: a row for every template of every line.
+
+    A line's parts are hashed once, and its templates are hashes of those. The outer form of
+    explode keeps the optimizer from computing what is exploded twice, for a filter on size.
+    """
+    def bound(j: int) -> Column:
+        return F.lit(depth) + F.floor((F.col("n") - depth) * j / segments).cast("int")
+
+    lines = docs.select(
+        F.col(key).alias("doc"), F.xxhash64(text).alias("text_hash"), F.posexplode_outer(F.split(text, "\n")).alias("line", "body"),
+    )
+    masked = F.when(F.col("body").rlike("[0-9]"), F.regexp_replace("body", VARIABLE, "<*>")).otherwise(F.col("body"))
+    tokens = lines.select("doc", "text_hash", "line", words(masked).alias("tokens")).withColumn("n", F.size("tokens"))
+    hashed = tokens.select(
+        "doc", "text_hash", "line", "n", F.xxhash64(F.slice("tokens", 1, depth)).alias("head"),
+        *(F.xxhash64(F.slice(F.col("tokens"), bound(j) + 1, F.greatest(bound(j + 1) - bound(j), F.lit(0)))).alias(f"part{j}") for j in range(segments)),
+    )
+    parts = [f"part{j}" for j in range(segments)]
+    exact = F.xxhash64(F.col("n"), F.lit(-1), F.col("head"), *map(F.col, parts))
+    opened = [F.xxhash64(F.col("n"), F.lit(j), F.col("head"), *(F.col(p) for p in parts if p != parts[j])) for j in range(segments)]
+    templates = F.when(F.col("n") >= general, F.array(exact, *opened)).when(F.col("n") >= min_tokens, F.array(exact))
+    return hashed.select("doc", "text_hash", "line", F.explode_outer(templates).alias("template")).where("template is not null")
 
 
 def recurring_lines(
@@ -56,16 +65,7 @@ def recurring_lines(
     depth: int = DEPTH, segments: int = SEGMENTS, general: int = GENERAL, min_tokens: int = MIN_TOKENS,
 ) -> DataFrame:
     """One row per document that loses lines: doc, text_hash, dropped (numbers from 0)."""
-    lines = docs.select(
-        F.col(key).alias("doc"), F.xxhash64(text).alias("text_hash"), F.posexplode(F.split(text, "\n")).alias("line", "body"),
-    )
-    tokens = lines.select(
-        "doc", "text_hash", "line", words(F.regexp_replace("body", VARIABLE, "<*>")).alias("tokens"),
-    ).withColumn("n", F.size("tokens")).where(F.col("n") >= min_tokens)
-    occurrences = saved(
-        tokens.select("doc", "text_hash", "line", F.explode(_templates("tokens", "n", depth, segments, general)).alias("template")),
-        "line-occurrences",
-    )
+    occurrences = saved(_occurrences(docs, key, text, depth, segments, general, min_tokens), "line-occurrences")
     first = F.struct(F.col("doc").isNull().alias("last"), "doc", "text_hash", "line")
     recurring = saved(
         occurrences.groupBy("template", "doc", "text_hash").agg(F.min("line").alias("line"))
@@ -78,7 +78,7 @@ def recurring_lines(
         F.col("doc").eqNullSafe(F.col("first_doc")) & (F.col("text_hash") == F.col("first_hash")) & (F.col("line") == F.col("first_line"))
     )
     return saved(
-        occurrences.join(recurring, "template").where(~is_first)
+        occurrences.join(recurring.hint("merge"), "template").where(~is_first)
         .groupBy("doc", "text_hash").agg(F.sort_array(F.collect_set("line")).alias("dropped")),
         "line-dropped",
     )
@@ -88,8 +88,9 @@ def drop_recurring(docs: DataFrame, key: str = "doc_id", text: str = "text", **s
     """All rows of ``docs`` with recurring lines taken out of ``text``."""
     lost = recurring_lines(docs.select(key, text), key, text, **settings)
     body, who = F.col("row")[text], F.col("row")[key]
+    # One way of joining at every size: what is lost grows with the documents.
     joined = docs.select(packed(docs).alias("row")).join(
-        lost, who.eqNullSafe(F.col("doc")) & (F.xxhash64(body) == F.col("text_hash")), "left",
+        lost.hint("merge"), who.eqNullSafe(F.col("doc")) & (F.xxhash64(body) == F.col("text_hash")), "left",
     )
     joined = joined.withColumn("lines", F.when(F.col("dropped").isNotNull(), F.split(body, "\n")))
     left = F.transform(

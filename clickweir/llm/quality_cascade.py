@@ -86,10 +86,11 @@ def counted(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     covered = F.when(F.size("starts") == 0, F.lit(0)).otherwise(F.size(F.array_distinct(F.concat(
         F.col("starts"), F.transform("starts", lambda s: s + 1), F.transform("starts", lambda s: s + 2),
     ))))
-    return starts.select(
-        "key", "text", "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines",
-        covered.cast("long").alias("n_repeat_words"),
-    )
+    # As a generated column the counts are computed once, whatever is asked of them later: the
+    # optimizer would otherwise put their expressions into every condition on them.
+    return starts.select("key", "text", F.inline(F.array(F.struct(
+        "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", covered.cast("long").alias("n_repeat_words"),
+    ))))
 
 
 def base_failed() -> Column:
