@@ -171,12 +171,15 @@ def _word_codes(texts: pa.Array):
 
 
 def sketches(docs: DataFrame, key: str = "doc_id", text: str = "text", slots: int = SLOTS, picked: int = PICKED) -> DataFrame:
-    """One row per row of ``docs``: doc, node (of its text), keys, words (32-bit hashes)."""
+    """One row per row of ``docs``: doc, node (of its text), keys, words (32-bit hashes, compressed)."""
     body = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(F.col(key).alias("doc"), F.unhex(F.md5(body)).alias("node"), body.alias("text"))
     key_list = pa.list_(pa.int64())
 
     def run(batches):
+        import zstandard
+
+        packer = zstandard.ZstdCompressor(level=3)
         for batch in batches:
             begin, count = 0, batch.num_rows
             sizes = np.cumsum(np.asarray(pc.binary_length(batch["text"])))
@@ -186,7 +189,7 @@ def sketches(docs: DataFrame, key: str = "doc_id", text: str = "text", slots: in
                 coded = list(_word_codes(part["text"]))
                 yield pa.RecordBatch.from_arrays([
                     part["doc"], part["node"], pa.array([sketch(w, slots, picked) for w in coded], key_list),
-                    pa.array([w.tobytes() for w in coded], pa.binary()),
+                    pa.array([packer.compress(w.tobytes()) for w in coded], pa.binary()),
                 ], ["doc", "node", "keys", "words"])
                 begin = end
 
@@ -197,17 +200,21 @@ def sketches(docs: DataFrame, key: str = "doc_id", text: str = "text", slots: in
 def aligned(pairs: DataFrame, texts: DataFrame, limit: float) -> DataFrame:
     """(a, b, distance) of every pair of nodes; the distance is null beyond ``limit``."""
     joined = (
-        pairs.join(texts.select(F.col("node").alias("a"), F.col("words").alias("words_a")), "a")
-        .join(texts.select(F.col("node").alias("b"), F.col("words").alias("words_b")), "b")
+        pairs.join(texts.select(F.col("node").alias("a"), F.col("words").alias("words_a")).hint("merge"), "a")
+        .join(texts.select(F.col("node").alias("b"), F.col("words").alias("words_b")).hint("merge"), "b")
         .select("a", "b", "words_a", "words_b")
     )
 
     def run(batches):
+        import zstandard
+
+        unpacker = zstandard.ZstdDecompressor()
+
+        def read(words):
+            return shingles(np.frombuffer(unpacker.decompress(words), np.uint32))
+
         for batch in batches:
-            found = [
-                alignment_distance(shingles(np.frombuffer(x, np.uint32)), shingles(np.frombuffer(y, np.uint32)), limit)
-                for x, y in zip(batch["words_a"], batch["words_b"], strict=True)
-            ]
+            found = [alignment_distance(read(x), read(y), limit) for x, y in zip(batch["words_a"], batch["words_b"], strict=True)]
             yield pd.DataFrame({"a": batch["a"], "b": batch["b"], "distance": pd.array(found, "Float64")})
 
     return joined.mapInPandas(run, "a binary, b binary, distance double")
@@ -219,15 +226,16 @@ def links(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     ``rows`` are those of ``sketches``; rows of the same node are equal.
     """
     near, far = 1 - similarity + 1e-9, 2 * (1 - similarity) + 1e-9
-    nodes = rows.groupBy("node").agg(F.first("keys").alias("keys"))
-    every = nodes.select("node", F.posexplode("keys").alias("slot", "key")).select("node", "key", F.xxhash64("slot", "key").alias("bucket"))
-    members = saved(every, "omh-buckets")
-    shared = members.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1").select("bucket")
-    members = saved(members.join(shared, "bucket", "left_semi"), "omh-members")
+    nodes = saved(rows.select("node", "keys").groupBy("node").agg(F.first("keys").alias("keys")), "omh-nodes")
+    every = nodes.select("node", F.posexplode_outer("keys").alias("slot", "key")).where("key is not null").select(
+        "node", "key", F.xxhash64("slot", "key").alias("bucket"),
+    )
+    shared = saved(every.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1").select("bucket"), "omh-shared")
+    members = saved(every.join(shared.hint("merge"), "bucket", "left_semi"), "omh-members")
     wanted = saved(members.select("node").distinct(), "omh-wanted")
     # From here on only texts that share a key with another one matter.
     texts = saved(
-        rows.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("words").alias("words")), "omh-texts",
+        rows.select("node", "words").join(wanted.hint("merge"), "node", "left_semi").groupBy("node").agg(F.first("words").alias("words")), "omh-texts",
     )
     keys = saved(members.select("node", "key").distinct(), "omh-keys")
     rounds, known = [], None
