@@ -54,7 +54,7 @@ def op6_pii(spark: SparkSession, folder: str) -> DataFrame:
 
 def op7_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     model = tokenizer_path("piece_bpe_32k.model")
-    return viterbi_pieces.digest(viterbi_pieces.encode(table(spark, folder, "documents"), model), model)
+    return viterbi_pieces.digest(viterbi_pieces.encode(table(spark, folder, "documents"), model, verify=True))
 
 
 def op8_topk(spark: SparkSession, folder: str) -> DataFrame:
