@@ -11,12 +11,12 @@ The similarity of two texts is matches / (shingles of both - matches), where the
 those of the best alignment of the two sequences (of texts without moved parts: the Jaccard
 similarity of their shingles). One minus it is a metric, which is used below.
 
-Pairs are never enumerated within a bucket. Equal texts are one node. In a bucket all nodes
-are aligned with its smallest node, the leader; those that are no link stay for a next round
-among themselves, in buckets refined by a second shared slot, until none is left. A node
-that is no link to the leader may still link to one that is: by the triangle inequality only
-if its distance is at most twice the threshold, and only to nodes that are far enough from
-the leader. Such pairs are compared in the end if they are still in different components.
+Equal texts are one node, and the nodes of a bucket are not met pair by pair. All of them are
+aligned with its smallest and its largest node, the pivots, which joins a crowd of near
+copies to one component. Then only nodes outside a bucket's largest component are met with
+the nodes of other components, where the distances from both pivots allow a link by the
+triangle inequality. This loses no pair of a bucket; it costs the square of a bucket's size
+only where its texts are alike enough to share a key and yet all unlike each other.
 
 Texts are read once; what is shuffled are keys and, for candidates only, word hashes. Every
 intermediate table is written to the shared folder.
@@ -33,7 +33,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickweir.llm.frames import components, packed, saved
@@ -237,49 +237,50 @@ def links(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     texts = saved(
         rows.select("node", "words").join(wanted.hint("merge"), "node", "left_semi").groupBy("node").agg(F.first("words").alias("words")), "omh-texts",
     )
-    keys = saved(members.select("node", "key").distinct(), "omh-keys")
-    rounds, known = [], None
-    while True:
-        leaders = saved(
-            members.groupBy("bucket").agg(F.min("node").alias("a"), F.count("*").alias("size")).where("size > 1").drop("size"),
-            "omh-leaders",
-        )
-        met = saved(
-            members.join(leaders, "bucket").where("node <> a").select("bucket", "a", F.col("node").alias("b")).distinct(), "omh-met",
-        )
-        pairs = met.select("a", "b").distinct()
-        fresh = pairs if known is None else pairs.join(known, ["a", "b"], "left_anti")
-        fresh = saved(fresh, "omh-pairs")
-        found = saved(aligned(fresh, texts, far), "omh-aligned")
-        known = found if known is None else saved(known.union(found), "omh-known")
-        status = saved(met.join(known, ["a", "b"]), "omh-status")
-        rounds.append(status)
-        rest = status.where(f"distance is null or distance > {near}").select("bucket", F.col("b").alias("node"))
-        # A node meets the others of its bucket again where they share a second slot.
-        again = rest.join(keys, "node").select("node", "key", F.xxhash64("bucket", "key").alias("bucket"))
-        crowded = again.groupBy("bucket").agg(F.count("*").alias("size"), F.min("node").alias("least"), F.max("node").alias("largest")).where("least <> largest")
-        members = saved(again.join(crowded.select("bucket"), "bucket", "left_semi"), "omh-members")
-        if members.isEmpty():
-            break
+    ends = members.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"))
+    pivots = saved(ends.where("low <> high"), "omh-pivots")
+    met = saved(members.join(pivots.hint("merge"), "bucket"), "omh-met")
+    pairs = met.where("node <> low").select(F.col("low").alias("a"), F.col("node").alias("b")).union(
+        met.where("node <> high and node <> low").select(F.col("node").alias("a"), F.col("high").alias("b")),
+    )
+    known = saved(aligned(saved(pairs.distinct(), "omh-pairs"), texts, far), "omh-aligned")
     linked = known.where(f"distance <= {near}").select("a", "b")
-    return _across(rounds, known, linked, texts, near, far)
+    roots = saved(components(linked, "omh-first"), "omh-roots")
 
+    # What is left are pairs of a bucket in different components. In the common case a bucket
+    # is one component but for a few nodes, so only nodes outside its largest one are met with
+    # all others; distances from either pivot then rule out most pairs.
+    def distance(end: str) -> DataFrame:
+        one, two = ("a", "b") if end == "low" else ("b", "a")
+        return known.select(F.col(one).alias(end), F.col(two).alias("node"), F.col("distance").alias(f"to_{end}"))
+
+    def possible(x: str, y: str) -> Column:
+        """Whether a link is, by the distances from a pivot; null is any beyond ``far``."""
+        x, y = F.col(x), F.col(y)
+        return (
+            F.when(x.isNull() & y.isNull(), True).when(x.isNull(), y > near).when(y.isNull(), x > near)
+            .otherwise(F.abs(x - y) <= near)
+        )
 
-def _across(rounds: list[DataFrame], known: DataFrame, linked: DataFrame, texts: DataFrame, near: float, far: float) -> DataFrame:
-    """``linked`` and the links between nodes that their leader separates."""
-    status = rounds[0]
-    for more in rounds[1:]:
-        status = status.union(more)
-    roots = saved(components(linked, "omh-first"), "omh-roots")
-    root = roots.select(F.col("node").alias("b"), "root")
-    placed = status.where(f"distance <= {far}").join(root, "b", "left").select(
-        "bucket", "a", "b", "distance", F.coalesce("root", "b").alias("root"),
+    placed = saved(
+        met.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        .join(distance("low"), ["low", "node"], "left").join(distance("high"), ["high", "node"], "left")
+        .select(
+            "bucket", "node", "root",
+            *(F.when(F.col("node") == F.col(e), 0.0).otherwise(F.col(f"to_{e}")).alias(f"to_{e}") for e in ("low", "high")),
+        ), "omh-placed",
+    )
+    main = placed.groupBy("bucket", "root").agg(F.count("*").alias("size")).groupBy("bucket").agg(
+        F.max(F.struct("size", "root")).alias("main"), F.count("*").alias("parts"),
+    ).where("parts > 1").select("bucket", F.col("main.root").alias("main"))
+    split = placed.join(saved(main, "omh-main").hint("merge"), "bucket")
+    minor = split.where("root <> main").select(
+        "bucket", F.col("node").alias("x"), F.col("root").alias("rx"), F.col("to_low").alias("lx"), F.col("to_high").alias("hx"),
     )
-    inside = placed.where(f"distance <= {near}").select("bucket", "a", F.col("b").alias("x"), F.col("distance").alias("dx"), F.col("root").alias("rx"))
-    outside = placed.where(f"distance > {near}").select("bucket", "a", F.col("b").alias("y"), F.col("distance").alias("dy"), F.col("root").alias("ry"))
     apart = (
-        outside.join(inside, ["bucket", "a"]).where((F.col("rx") != F.col("ry")) & (F.col("dx") >= F.col("dy") - near))
-        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+        minor.join(split.drop("main").hint("merge"), "bucket").where(
+            (F.col("root") != F.col("rx")) & possible("to_low", "lx") & possible("to_high", "hx")
+        ).select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
     )
     done = known.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     apart = saved(apart.join(done, ["a", "b"], "left_anti"), "omh-apart")
