@@ -10,12 +10,13 @@ from clickweir.session import fresh_dir
 from clickweir.sources import files
 
 
-def land_dumps(bronze: DataFrame, root: str) -> None:
+def land_dumps(bronze: DataFrame, root: str, parts: int | None = None) -> None:
     """Write (lang, year, month, prev, curr, type, n) rows below ``root`` as
     ``YYYY-MM/clickstream-<lang>wiki-YYYY-MM[.k].tsv.gz``.
 
     Spark writes the lines in parallel; the driver only renames the finished files. A
-    partition too large for one task becomes several numbered files.
+    partition too large for one task becomes several numbered files, and with ``parts``
+    every partition does.
     """
     spark = bronze.sparkSession
     fields = [F.coalesce(F.col(c), F.lit("")) for c in ("prev", "curr", "type", "n")]
@@ -23,9 +24,9 @@ def land_dumps(bronze: DataFrame, root: str) -> None:
         month_text().alias("dump_month"), "lang", F.concat_ws("\t", *fields).alias("value")
     )
     raw = fresh_dir(spark, "landing")
+    dealt = lines.repartition(parts) if parts else lines.hint("rebalance", "dump_month", "lang")
     (
-        lines.hint("rebalance", "dump_month", "lang")
-        .sortWithinPartitions("dump_month", "lang")
+        dealt.sortWithinPartitions("dump_month", "lang")
         .write.partitionBy("dump_month", "lang")
         .option("compression", "gzip")
         .text(raw)

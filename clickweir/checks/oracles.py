@@ -37,7 +37,8 @@ _LAYERS: dict[str, tuple[list[str], str]] = {
     "lenient": (["clicks_raw"], """
         SELECT lang, year, month, prev AS prev_title, curr AS curr_title, type, n
         FROM clicks_raw
-        WHERE n >= 1 AND curr <> '' AND prev IS NOT NULL AND type <> 'redlink'"""),
+        WHERE n >= 1 AND curr <> '' AND curr <> 'curr' AND prev IS NOT NULL
+          AND list_contains(['link', 'external', 'other'], type)"""),
     "mixed": (["silver", "lenient"], """
         SELECT * FROM silver WHERE year < 2000 UNION ALL SELECT * FROM lenient WHERE year >= 2000"""),
     "title_uses": (["silver"], """
@@ -61,6 +62,21 @@ _LAYERS: dict[str, tuple[list[str], str]] = {
     "edges": (["pairs"], """
         SELECT lang, year, month, prev_id, curr_id, n AS total_transitions
         FROM pairs WHERE prev_id IS NOT NULL AND n >= 10"""),
+    "referred": (["pairs"], """
+        SELECT lang, year, month, prev_id, curr_id, n AS total_transitions
+        FROM pairs WHERE prev_id IS NOT NULL AND n >= 7"""),
+    "foreign_pairs": (["foreign_rows", "articles"], """
+        SELECT f.lang, f.year, f.month, p.id AS prev_id, c.id AS curr_id, CAST(sum(f.n) AS BIGINT) AS n
+        FROM foreign_rows f
+        JOIN articles c ON c.lang = f.lang AND c.title = f.curr_title
+        JOIN articles p ON p.lang = f.lang AND p.title = f.prev_title
+        GROUP BY ALL"""),
+    "readings": (["clicks_raw"], """
+        SELECT lang, year, month, count(*) FILTER (n >= 1 AND curr <> '') AS rows_read,
+               count(*) FILTER (n >= 1 AND curr <> '' AND curr <> prev
+                 AND list_contains(['link', 'external', 'other'], type)
+                 AND NOT regexp_matches(curr, '^(Special|User|File|Talk|Category):|404')) AS rows_clean
+        FROM clicks_raw GROUP BY lang, year, month"""),
     "yearly": (["popularity"], """
         SELECT lang, year, curr_id, CAST(sum(total_clicks) AS BIGINT) AS clicks_year
         FROM popularity GROUP BY lang, year, curr_id"""),
@@ -103,7 +119,7 @@ _LAYERS: dict[str, tuple[list[str], str]] = {
         FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY pct_delta DESC NULLS LAST,
                                            abs_delta DESC, curr_id) AS place FROM growth) g
         JOIN articles a ON a.lang = g.lang AND a.id = g.curr_id
-        WHERE place <= 1000"""),
+        WHERE place <= 5"""),
     "period_keys": (["clicks_raw"], """
         SELECT DISTINCT lang, year, month, printf('%04d-%02d', year, month) AS ym FROM clicks_raw"""),
     "paths": (["period_keys"], """
@@ -130,6 +146,9 @@ _LAYERS: dict[str, tuple[list[str], str]] = {
         SELECT 'clickstream-' || lang || 'wiki-' || ym || '.tsv.gz' AS file,
                lang || 'wiki' AS site, ym AS dump_month
         FROM period_keys"""),
+    "months": (["period_keys"], """
+        SELECT ym AS dump_month FROM period_keys
+        UNION SELECT strftime(make_date(year, month, 1) + INTERVAL 1 MONTH, '%Y-%m') FROM period_keys"""),
     "known_uses": (["silver"], """
         SELECT lang, title, min(year * 12 + month) FILTER (year >= 1998) AS early_ym,
                min(year * 12 + month) FILTER (year < 1998) AS late_ym
@@ -169,12 +188,15 @@ _QUERIES: dict[str, tuple[list[str], str]] = {
         SELECT href, count(*) AS uses
         FROM (SELECT unnest(regexp_extract_all(html, 'href="([^"]+)"', 1)) AS href FROM pages)
         GROUP BY href"""),
-    "listing_months": (["files"], "SELECT DISTINCT dump_month FROM files"),
-    "listing_files": (["files"], "SELECT file, site, dump_month FROM files"),
-    "acquisition_plan": (["files", "silver"], """
-        SELECT dump_month, file, site FROM files
+    "listing_months": (["months"], "SELECT dump_month FROM months"),
+    "listing_files": (["files"], """
+        SELECT file, site, dump_month, 'http://dumps.example/' || dump_month || '/' || file AS file_url FROM files"""),
+    "acquisition_plan": (["files", "months", "silver"], """
+        SELECT dump_month, file, site, 'http://dumps.example/' || dump_month || '/' || file AS file_url,
+               dump_month || '/' || file AS target
+        FROM files
         WHERE dump_month >= '1996-07' AND site IN ('euwiki', 'afwiki', 'amwiki')
-          AND dump_month IN (SELECT DISTINCT dump_month FROM files WHERE dump_month >= '1996-07'
+          AND dump_month IN (SELECT dump_month FROM months WHERE dump_month >= '1996-07'
                              ORDER BY dump_month DESC LIMIT 40)
           AND file NOT IN (SELECT 'clickstream-' || lang || 'wiki-'
                                   || printf('%04d-%02d', year, month) || '.tsv.gz'
@@ -192,11 +214,13 @@ _QUERIES: dict[str, tuple[list[str], str]] = {
         SELECT lang, year, month, prev_title, curr_title, type, max(n) AS n
         FROM lenient GROUP BY ALL"""),
     "qc_counts_strict": (["clicks_raw"], _QC.format(
-        read="n >= 1",
-        keep="n >= 1 AND curr <> '' AND curr <> prev AND type <> 'redlink' AND NOT "
+        read="n >= 1 AND curr IS NOT NULL",
+        keep="n >= 1 AND curr <> '' AND curr <> prev AND list_contains(['link', 'external', 'other'], type) AND NOT "
              "regexp_matches(curr, '^(Special|User|File|Talk|Category):|404')")),
     "qc_counts_lenient": (["clicks_raw"], _QC.format(
-        read="true", keep="n >= 1 AND curr <> '' AND prev IS NOT NULL AND type <> 'redlink'")),
+        read="curr IS NOT NULL AND n IS NOT NULL AND curr <> 'curr'",
+        keep="n >= 1 AND curr <> '' AND curr <> 'curr' AND prev IS NOT NULL "
+             "AND list_contains(['link', 'external', 'other'], type)")),
     "partition_row_counts": (["silver"], """
         SELECT lang, year, month, count(*) AS row_count FROM silver GROUP BY lang, year, month"""),
     "profile_lang": (["silver"], """
@@ -217,7 +241,8 @@ _QUERIES: dict[str, tuple[list[str], str]] = {
     "title_functions": (["clicks_raw"], """
         SELECT DISTINCT curr, type, trim(translate(curr, '_', ' '), ' ') AS title, type AS kind,
                regexp_matches(curr, '^(Special|User|File|Talk|Category):|404') AS is_noise,
-               curr <> '' AS has_title, type <> 'redlink' AS known_type
+               curr <> '' AS has_title,
+               list_contains(['link', 'external', 'other'], type) AS known_type
         FROM clicks_raw"""),
     "period_functions": (["period_keys"], """
         SELECT lang, year, month, ym AS month_text, year * 12 + month AS month_index,
@@ -253,7 +278,32 @@ _QUERIES: dict[str, tuple[list[str], str]] = {
     "hot_titles": (["articles", "title_uses"], """
         SELECT lang, id, title FROM articles JOIN title_uses USING (lang, title)
         WHERE uses * 512 > (SELECT sum(uses) FROM title_uses)"""),
+    "silver_reingest_noise_only": (["silver"], "SELECT * FROM silver WHERE year < 2000"),
+    "ingest_split_dumps": (["silver"], "SELECT * FROM silver"),
+    "ingest_last_file_empty": (["silver"], "SELECT * FROM silver"),
+    "ingest_lenient": (["lenient"], "SELECT * FROM lenient"),
+    "ingest_report": (["readings"], """
+        SELECT *, rows_read - rows_clean AS rows_filtered FROM readings WHERE rows_read > 0"""),
+    "gold_latest_month": (["silver"], """
+        SELECT lang, year, month, curr_title, CAST(sum(n) AS BIGINT) AS total_clicks FROM silver
+        WHERE year * 12 + month = (SELECT max(year * 12 + month) FROM silver) GROUP BY ALL"""),
+    "gold_rebuilt_higher_threshold": (["pairs"], """
+        SELECT lang, year, month, prev_id, curr_id, n AS total_transitions
+        FROM pairs WHERE prev_id IS NOT NULL AND n >= 40"""),
+    "referrers_top_foreign": (["foreign_pairs"], """
+        SELECT * FROM (SELECT lang, year, month, curr_id, prev_id, n AS clicks_from_prev,
+                              row_number() OVER (PARTITION BY lang, year, month, curr_id
+                                                 ORDER BY n DESC, prev_id) AS rn
+                       FROM foreign_pairs WHERE n >= 7) WHERE rn <= 2"""),
+    "edges_monthly_foreign": (["foreign_pairs"], """
+        SELECT lang, year, month, prev_id, curr_id, n AS total_transitions FROM foreign_pairs WHERE n >= 10"""),
+    "decode_ids_cold": (["edges", "articles"], """
+        SELECT e.lang, year, month, p.title AS prev_title, c.title AS curr_title, total_transitions
+        FROM edges e JOIN articles p ON p.lang = e.lang AND p.id = prev_id
+        JOIN articles c ON c.lang = e.lang AND c.id = curr_id"""),
     "encode_ids": (["ids"], "SELECT * FROM ids"),
+    "encode_ids_cold": (["ids"], "SELECT * FROM ids"),
+    "encode_ids_mixed": (["ids"], "SELECT * FROM ids"),
     "encode_ids_foreign": (["foreign_rows", "articles"], """
         SELECT f.lang, f.year, f.month, p.id AS prev_id, c.id AS curr_id, f.n
         FROM foreign_rows f
@@ -268,11 +318,11 @@ _QUERIES: dict[str, tuple[list[str], str]] = {
         SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, year, month
                                                     ORDER BY total_clicks DESC, curr_id) AS rn
                        FROM popularity) WHERE rn <= 20"""),
-    "referrers_top": (["edges"], """
+    "referrers_top": (["referred"], """
         SELECT lang, year, month, curr_id, prev_id, total_transitions AS clicks_from_prev, rn
         FROM (SELECT *, row_number() OVER (PARTITION BY lang, year, month, curr_id
                                            ORDER BY total_transitions DESC, prev_id) AS rn
-              FROM edges) WHERE rn <= 2"""),
+              FROM referred) WHERE rn <= 2"""),
     "edges_monthly": (["edges"], "SELECT * FROM edges"),
     "latest_month_only": (["silver"], """
         SELECT * FROM silver
@@ -296,7 +346,7 @@ _QUERIES: dict[str, tuple[list[str], str]] = {
                         AS place FROM edge_window) w
         JOIN articles p ON p.lang = w.lang AND p.id = w.prev_id
         JOIN articles c ON c.lang = w.lang AND c.id = w.curr_id
-        WHERE place <= 100000"""),
+        WHERE place <= 150"""),
     "trending_mom": (["trending"], "SELECT * FROM trending"),
     "referrers_6m": (["edge_window", "articles"], """
         SELECT w.lang, CAST((last - 1) // 12 AS INT) AS year, CAST((last - 1) % 12 + 1 AS INT) AS month,
@@ -347,6 +397,7 @@ _QUERIES: dict[str, tuple[list[str], str]] = {
         FROM top10 a JOIN top10 b ON b.lang = a.lang AND b.year = a.year AND b.rn = 2
         WHERE a.lang = 'eu' AND a.year = 2000 AND a.rn = 1"""),
 }
+_QUERIES["decode_ids_mixed"] = _QUERIES["decode_ids_cold"]
 _QUERIES["partition_overwrite"] = _QUERIES["partition_replace"]
 _QUERIES["skip_existing"] = (["silver", "lenient"], """
     SELECT * FROM lenient WHERE year >= 2000 UNION ALL

@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickweir.checks.workbench import GOLD_OPTIONS, INSIGHT_OPTIONS, Workbench, workbench
+from clickweir.checks.landing import land_dumps
+from clickweir.checks.workbench import GOLD_OPTIONS, Workbench, workbench
 from clickweir.functions import periods as P
 from clickweir.functions import titles as T
 from clickweir.operators import analytics as N
@@ -109,16 +110,16 @@ def acquisition_plan(w: Workbench) -> DataFrame:
     return listing.acquisition_plan(
         listing.listed_files(w.index_pages()),
         w.present_files(),
+        listing.listed_months(w.index_pages()),
         since="1996-07",
         latest=40,
-        sites=listing.parse_sites("euwiki, afwiki amwiki"),
+        sites=["euwiki", "afwiki", "amwiki"],
     )
 
 
 @_query
 def silver_table_scan(w: Workbench) -> DataFrame:
-    assert w.silver is not None
-    return w.lake.silver()
+    return w.silver
 
 
 @_query
@@ -128,8 +129,7 @@ def silver_partition_scan(w: Workbench) -> DataFrame:
 
 @_query
 def language_list(w: Workbench) -> DataFrame:
-    popularity, edges = w.gold("article_popularity"), w.gold("edges_monthly")
-    return popularity.select("lang").union(edges.select("lang")).distinct()
+    return w.built.languages()
 
 
 # -- cleaning -----------------------------------------------------------------------
@@ -264,16 +264,56 @@ def partition_export(w: Workbench) -> DataFrame:
 @_query
 def pending_partitions(w: Workbench) -> DataFrame:
     """Silver months still to do when an output holds only one language and year."""
-    assert w.silver is not None
     path = fresh_dir(w.spark, "partial")
     tables.export_partitions(w.silver, path, (F.col("lang") == "eu") & (F.col("year") == 2000))
-    pending = increments.pending_periods(w.spark, w.lake.silver_path, [path])
-    return layers.periods_frame(w.spark, pending)
+    return increments.pending_periods(w.silver, [layers.read_layer(w.spark, path, SILVER)])
+
+
+@_query
+def silver_reingest_noise_only(w: Workbench) -> DataFrame:
+    """Months from 2000 on come again with noise titles only, which empties them."""
+    lake = w.other_lake()
+    lake.ingest(_last_year(w.raw).withColumn("curr", F.lit("Special:Noise")))
+    return lake.silver()
+
+
+@_query
+def ingest_split_dumps(w: Workbench) -> DataFrame:
+    """Every partition's dump in several numbered files, all of which count."""
+    root, lake = fresh_dir(w.spark, "split"), w.other_lake(with_silver=False)
+    land_dumps(w.raw, root, parts=3)
+    lake.ingest_dumps(root)
+    return lake.silver()
+
+
+@_query
+def ingest_last_file_empty(w: Workbench) -> DataFrame:
+    """Later dumps without a readable row do not take the place of earlier ones."""
+    root, lake = fresh_dir(w.spark, "late"), w.other_lake(with_silver=False)
+    land_dumps(w.raw, root)
+    land_dumps(_last_year(w.raw).withColumn("n", F.lit("0")), f"{root}/zz")
+    lake.ingest_dumps(root)
+    return lake.silver()
+
+
+@_query
+def ingest_lenient(w: Workbench) -> DataFrame:
+    lake = w.other_lake(with_silver=False)
+    lake.ingest_dumps(w.dumps, profile="lenient")
+    return lake.silver()
+
+
+@_query
+def ingest_report(w: Workbench) -> DataFrame:
+    """Rows read, kept and filtered per partition, as the ingest of the dumps reports them."""
+    report = w.other_lake(with_silver=False).ingest_dumps(w.dumps)
+    names = "lang string, year int, month int, rows_read long, rows_clean long, rows_filtered long"
+    return w.spark.createDataFrame(report["partitions"], names)
 
 
 @_query
 def catalog_refresh(w: Workbench) -> DataFrame:
-    assert w.silver is not None
+    w.silver.schema  # written before the table is made
     name = "silver_" + w.lake.root.rsplit("-", 1)[1]
     table = tables.refresh_table(w.spark, name, SILVER, w.lake.silver_path)
     return Q.partition_counts(table)
@@ -282,8 +322,7 @@ def catalog_refresh(w: Workbench) -> DataFrame:
 @_query
 def catalog_views(w: Workbench) -> DataFrame:
     """SQL text with parameters over the registered insight views."""
-    assert not w.insight("top10_by_year").isEmpty()
-    w.lake.register_views()
+    w.finished.register_views()
     return w.spark.sql(
         "SELECT t.lang, t.year, t.curr_title, t.clicks_year, a.clicks_all_time "
         "FROM gs_top10_by_year t JOIN gs_all_time_top a USING (lang, curr_title) "
@@ -314,14 +353,15 @@ def dictionary_increment(w: Workbench) -> DataFrame:
     tables.write_partitions(first, path, ["lang"])
     known = layers.read_layer(w.spark, path, DICTIONARY)
     late = stage(ids.title_stats(silver.filter(F.col("year") < 1998)), "late-stats")
-    added = ids.number_titles(ids.new_titles(late, known), known)
+    added = ids.number_titles(ids.match_titles(late, known).filter("id is null"), known)
     return known.unionByName(added)
 
 
 @_query
 def new_titles(w: Workbench) -> DataFrame:
     """Titles of the lenient Silver that the dictionary does not hold."""
-    return ids.new_titles(ids.title_stats(w.lenient), w.dictionary).select("lang", "title")
+    matched = ids.match_titles(ids.title_stats(w.lenient), w.dictionary)
+    return matched.filter("id is null").select("lang", "title")
 
 
 @_query
@@ -339,6 +379,19 @@ def encode_ids(w: Workbench) -> DataFrame:
     return w.encoded()
 
 
+@_query
+def encode_ids_cold(w: Workbench) -> DataFrame:
+    """Every id from the shuffled lookup."""
+    return ids.encode_ids(layers.read_positive(w.silver), w.dictionary)
+
+
+@_query
+def encode_ids_mixed(w: Workbench) -> DataFrame:
+    """A few hot titles answered by broadcast, all others by the shuffled lookup."""
+    hot = stage(ids.hot_titles(w.stats, w.dictionary, limit=512), "hot-titles")
+    return ids.encode_ids(layers.read_positive(w.silver), w.dictionary, hot)
+
+
 @_query
 def encode_ids_foreign(w: Workbench) -> DataFrame:
     """Rows without a referrer or with unknown titles, as another writer might leave them."""
@@ -352,12 +405,35 @@ def encode_ids_foreign(w: Workbench) -> DataFrame:
     return ids.encode_ids(numbered, w.dictionary, w.hot, row_no="row_no")
 
 
+@_query
+def referrers_top_foreign(w: Workbench) -> DataFrame:
+    """Unknown referrers take no place among the strongest."""
+    return G.referrers_top(G.pair_totals(encode_ids_foreign(w)), 2, 7)
+
+
+@_query
+def edges_monthly_foreign(w: Workbench) -> DataFrame:
+    return G.edges_monthly(G.pair_totals(encode_ids_foreign(w)), 10)
+
+
 @_query
 def decode_ids(w: Workbench) -> DataFrame:
     popularity = w.gold("article_popularity")
     return ids.decode_ids(popularity, w.dictionary, ids.hot_ids(popularity, w.dictionary))
 
 
+@_query
+def decode_ids_cold(w: Workbench) -> DataFrame:
+    """Both titles from the shuffled lookup."""
+    return ids.decode_ids(w.gold("edges_monthly"), w.dictionary)
+
+
+@_query
+def decode_ids_mixed(w: Workbench) -> DataFrame:
+    edges = w.gold("edges_monthly")
+    return ids.decode_ids(edges, w.dictionary, ids.hot_ids(edges, w.dictionary, limit=512))
+
+
 # -- Gold ---------------------------------------------------------------------------
 
 
@@ -373,30 +449,50 @@ def article_popularity(w: Workbench) -> DataFrame:
 
 @_query
 def article_top(w: Workbench) -> DataFrame:
-    return G.article_top(w.gold("article_popularity"), GOLD_OPTIONS["topn"])
+    return w.gold("article_top")
 
 
 @_query
 def referrers_top(w: Workbench) -> DataFrame:
-    return G.referrers_top(w.pairs, GOLD_OPTIONS["topm"], GOLD_OPTIONS["min_referrers"])
+    return w.gold("referrers_top")
 
 
 @_query
 def edges_monthly(w: Workbench) -> DataFrame:
-    return G.edges_monthly(w.pairs, GOLD_OPTIONS["min_edges"])
+    return w.gold("edges_monthly")
 
 
 @_query
 def latest_month_only(w: Workbench) -> DataFrame:
-    return G.latest_month_only(w.silver)
+    """Silver of the latest month found in any language, as the Gold job selects it."""
+    w.silver.schema  # written before its folders are listed
+    path = w.lake.silver_path
+    newest = increments.newest_periods(layers.list_periods(w.spark, path))
+    return layers.read_periods(w.spark, path, SILVER, newest)
 
 
-# -- insights -----------------------------------------------------------------------
+@_query
+def gold_latest_month(w: Workbench) -> DataFrame:
+    """Popularity of the latest month only, from a build without edges and referrers."""
+    lake = w.other_lake()
+    lake.build_gold(latest_month=True, edges=False, referrers=False)
+    popularity = lake.gold("article_popularity").unionByName(
+        # tables that were not asked for have no rows
+        lake.gold("edges_monthly").select(*PERIOD, "curr_id", F.col("total_transitions").alias("total_clicks"))
+    )
+    return ids.decode_ids(popularity, lake.dictionary())
+
 
+@_query
+def gold_rebuilt_higher_threshold(w: Workbench) -> DataFrame:
+    """A second build with a higher threshold leaves nothing of the first one behind."""
+    lake = w.other_lake()
+    lake.build_gold(**GOLD_OPTIONS)
+    lake.build_gold(skip_existing=False, **GOLD_OPTIONS | {"min_edges": 40})
+    return lake.gold("edges_monthly")
 
-def _titled(w: Workbench, ranked: DataFrame) -> DataFrame:
-    winners = stage(ranked, "winners")
-    return I.with_titles(winners, w.dictionary, w.hot, row_count=winners.count())
+
+# -- insights -----------------------------------------------------------------------
 
 
 @_query
@@ -417,7 +513,7 @@ def years_listed(w: Workbench) -> DataFrame:
 
 @_query
 def top10_by_year(w: Workbench) -> DataFrame:
-    return _titled(w, I.top10_by_year(w.gold("article_popularity")))
+    return w.insight("top10_by_year")
 
 
 @_query
@@ -428,26 +524,22 @@ def top10_by_year_ids(w: Workbench) -> DataFrame:
 
 @_query
 def all_time_top(w: Workbench) -> DataFrame:
-    ranked = I.all_time_top(w.gold("article_popularity"), INSIGHT_OPTIONS["topn_all_time"])
-    return _titled(w, ranked)
+    return w.insight("all_time_top")
 
 
 @_query
 def edges_6m(w: Workbench) -> DataFrame:
-    return _titled(w, I.edges_6m(w.gold("edges_monthly")))
+    return w.insight("edges_6m")
 
 
 @_query
 def trending_mom(w: Workbench) -> DataFrame:
-    return _titled(w, I.trending_mom(w.gold("article_popularity")))
+    return w.insight("trending_mom")
 
 
 @_query
 def referrers_6m(w: Workbench) -> DataFrame:
-    """Decoded by shuffle with the hot titles taken out: rows grow with the targets."""
-    ranked = I.referrers_6m(w.gold("edges_monthly"), INSIGHT_OPTIONS["topm_referrers"])
-    winners = stage(ranked, "winners")
-    return I.with_titles(winners, w.dictionary, ids.hot_ids(winners, w.dictionary))
+    return w.insight("referrers_6m")
 
 
 # -- queries on the insight tables ----------------------------------------------------

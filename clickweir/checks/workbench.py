@@ -4,20 +4,21 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickweir.operators import cleaning, gold
 from clickweir.operators import dictionary as ids
 from clickweir.plans.lakehouse import Lakehouse
 from clickweir.session import fresh_dir, stage, tune
-from clickweir.sinks.landing import land_dumps
+from clickweir.checks.landing import land_dumps
+from clickweir.sinks import tables
 from clickweir.sources import files, layers
 from clickweir.sources.star_schema import clicks_raw
 
 # Thresholds and list lengths of the registered queries.
-GOLD_OPTIONS = {"topn": 20, "topm": 2, "min_edges": 10, "min_referrers": 10}
-INSIGHT_OPTIONS = {"topn_all_time": 20, "topm_referrers": 3}
+GOLD_OPTIONS = {"topn": 20, "topm": 2, "min_edges": 10, "min_referrers": 7}
+INSIGHT_OPTIONS = {"topn_all_time": 20, "topm_referrers": 3, "topn_edges": 150, "topn_trending": 5}
 
 _open: dict[tuple[str, str], "Workbench"] = {}
 
@@ -59,6 +60,13 @@ class Workbench:
         self.lake.ingest(self.raw)
         return self.lake.silver()
 
+    def other_lake(self, with_silver: bool = True) -> Lakehouse:
+        """A lakehouse of its own, with the same Silver or none."""
+        lake = Lakehouse(self.spark, fresh_dir(self.spark, "lake"))
+        if with_silver:
+            tables.write_partitions(self.silver, lake.silver_path)
+        return lake
+
     @cached_property
     def stats(self) -> DataFrame:
         return stage(ids.title_stats(layers.read_positive(self.silver)), "title-stats")
@@ -81,24 +89,23 @@ class Workbench:
         return stage(ids.encode_ids(totals, self.dictionary, self.hot), "pair-totals")
 
     @cached_property
-    def _gold_built(self) -> bool:
-        assert self.dictionary is not None
+    def built(self) -> Lakehouse:
+        """The lakehouse with Gold."""
+        self.dictionary.schema  # Silver and the dictionary come first
         self.lake.build_gold(**GOLD_OPTIONS)
-        return True
+        return self.lake
 
     def gold(self, topic: str) -> DataFrame:
-        assert self._gold_built
-        return self.lake.gold(topic)
+        return self.built.gold(topic)
 
     @cached_property
-    def _insights_built(self) -> bool:
-        assert self._gold_built
-        self.lake.build_insights(**INSIGHT_OPTIONS)
-        return True
+    def finished(self) -> Lakehouse:
+        """The lakehouse with Gold and insights."""
+        self.built.build_insights(**INSIGHT_OPTIONS)
+        return self.built
 
     def insight(self, topic: str) -> DataFrame:
-        assert self._insights_built
-        return self.lake.insight(topic)
+        return self.finished.insight(topic)
 
     # -- inputs of the acquisition and file-selection operators, derived from raw -----
 
@@ -120,13 +127,21 @@ class Workbench:
         return self.period_keys().select(F.explode(F.array(*forms)).alias("path"))
 
     def index_pages(self) -> DataFrame:
-        """Index pages with month, file and other links for each (lang, month)."""
-        ym = F.date_format(F.make_date("year", "month", F.lit(1)), "yyyy-MM")
+        """A page for each month, with its files, a file of the next month and month links.
+
+        The next month's file doesn't belong there; some linked months have no page.
+        """
+        first = F.make_date("year", "month", F.lit(1))
+        ym, later = F.date_format(first, "yyyy-MM"), F.date_format(F.add_months(first, 1), "yyyy-MM")
+
+        def file(month) -> Column:
+            return F.concat(F.lit('<a href="clickstream-'), F.col("lang"), F.lit("wiki-"), month, F.lit('.tsv.gz">dump</a>'))
+
         html = F.concat(
-            F.lit('<a href="../">up</a><a href="'), ym, F.lit('/">month</a><a href="clickstream-'),
-            F.col("lang"), F.lit("wiki-"), ym, F.lit('.tsv.gz">dump</a><a href="readme.html">notes</a>'),
+            F.lit('<a href="../">up</a><a href="'), ym, F.lit('/">month</a><a href="'), later, F.lit('">next</a>'),
+            file(ym), file(later), F.lit('<a href="readme.html">notes</a>'),
         )
-        return self.period_keys().select(html.alias("html"))
+        return self.period_keys().select(F.concat(F.lit("http://dumps.example/"), ym, F.lit("/")).alias("url"), html.alias("html"))
 
     def present_files(self) -> DataFrame:
         """Dump files taken as already fetched: months with a count of 49 or more."""

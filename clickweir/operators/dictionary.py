@@ -18,8 +18,6 @@ from clickweir.session import stage
 HOT_TITLES = 100_000
 # Hot and missing keys are spread over this many stand-in keys that match nothing.
 STAND_INS = 1 << 20
-# Rows up to this measured count are broadcast when decoding.
-BROADCAST_ROWS = 200_000
 # monotonically_increasing_id() keeps the partition number above this bit.
 _ROW_BITS = 33
 
@@ -47,10 +45,6 @@ def match_titles(stats: DataFrame, dictionary: DataFrame) -> DataFrame:
     return stats.join(dictionary, ["lang", "title"], "left")
 
 
-def new_titles(stats: DataFrame, dictionary: DataFrame) -> DataFrame:
-    return stats.join(dictionary, ["lang", "title"], "left_anti")
-
-
 def largest_ids(dictionary: DataFrame) -> DataFrame:
     return dictionary.groupBy("lang").agg(F.max("id").alias("base"))
 
@@ -188,29 +182,38 @@ def encode_ids(
     )
 
 
-def decode_ids(
-    rows: DataFrame,
-    dictionary: DataFrame,
-    hot: DataFrame | None = None,
-    row_count: int | None = None,
-) -> DataFrame:
-    """Replace every ``<side>_id`` column by ``<side>_title``.
+def decode_ids(rows: DataFrame, dictionary: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+    """Replace every ``<side>_id`` column by ``<side>_title``, for rows as many as Gold's.
 
-    With a known small ``row_count`` the ids are broadcast against the dictionary, which
-    is then scanned without being shuffled. Otherwise both sides are shuffled, with the
-    hot titles taken out first.
+    Both sides are shuffled, with the hot titles taken out first.
     """
     sides = [side for side in ("curr", "prev") if f"{side}_id" in rows.columns]
-    if row_count is not None and row_count <= BROADCAST_ROWS:
-        wanted = None
-        for side in sides:
-            ids = rows.select("lang", F.col(f"{side}_id").alias("id"))
-            wanted = ids if wanted is None else wanted.unionByName(ids)
-        entries = dictionary.join(F.broadcast(wanted), ["lang", "id"], "left_semi")
-        for side in sides:
-            labels = entries.withColumnsRenamed({"id": f"{side}_id", "title": f"{side}_title"})
-            rows = rows.join(F.broadcast(labels), ["lang", f"{side}_id"], "left")
-        return rows.drop(*[f"{side}_id" for side in sides])
     for side in sides:
         rows = _attach(rows, dictionary, "id", "title", f"{side}_id", f"{side}_title", hot)
     return rows.drop(*[f"{side}_id" for side in sides])
+
+
+def used_entries(frames: list[DataFrame], dictionary: DataFrame) -> DataFrame:
+    """Dictionary entries of all ids in ``frames``; the dictionary is read once for them."""
+    used = [
+        frame.select("lang", F.col(c).alias("id"))
+        for frame in frames for c in ("curr_id", "prev_id") if c in frame.columns
+    ]
+    wanted = used[0]
+    for more in used[1:]:
+        wanted = wanted.union(more)
+    wanted = stage(wanted.filter(F.col("id").isNotNull()).distinct(), "used-ids")
+    return dictionary.join(wanted, ["lang", "id"], "left_semi")
+
+
+def label_ids(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """Replace every ``<side>_id`` column by the title that ``labels`` has for it.
+
+    For ranked rows, which hold an id a few times at most; which side is sent where is the
+    planner's choice, as written tables have known sizes.
+    """
+    for side in ("curr", "prev"):
+        if f"{side}_id" in rows.columns:
+            entries = labels.withColumnsRenamed({"id": f"{side}_id", "title": f"{side}_title"})
+            rows = rows.join(entries, ["lang", f"{side}_id"], "left").drop(f"{side}_id")
+    return rows

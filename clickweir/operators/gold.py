@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickweir.functions.periods import month_index
 from clickweir.operators.ranking import top_n
 from clickweir.schemas import PERIOD
 
@@ -27,13 +26,9 @@ def article_popularity(ids: DataFrame) -> DataFrame:
 
 
 def article_top(popularity: DataFrame, n: int = 1000) -> DataFrame:
-    """The ``n`` most clicked targets of every language and month.
-
-    The written popularity table keeps a month in few files, so few tasks hold
-    candidates for it and one ranking is enough.
-    """
+    """The ``n`` most clicked targets of every language and month."""
     order = [F.desc("total_clicks"), F.asc("curr_id")]
-    return top_n(popularity, PERIOD, order, n, slice_by=["curr_id"], slices=1)
+    return top_n(popularity, PERIOD, order, n, sliced=True)
 
 
 def edges_monthly(pairs: DataFrame, min_clicks: int = 1) -> DataFrame:
@@ -49,14 +44,4 @@ def referrers_top(pairs: DataFrame, m: int = 50, min_clicks: int = 1) -> DataFra
         *PERIOD, "curr_id", "prev_id", F.col("n").alias("clicks_from_prev")
     )
     order = [F.desc("clicks_from_prev"), F.asc("prev_id")]
-    return top_n(strong, [*PERIOD, "curr_id"], order, m, slice_by=["prev_id"])
-
-
-def latest_month_only(df: DataFrame) -> DataFrame:
-    """Rows of the latest month found in any language.
-
-    The scalar subquery is evaluated first, and as it meets partition columns only, the
-    scan then prunes folders.
-    """
-    newest = df.agg(F.max(month_index())).scalar()
-    return df.filter(month_index() == newest)
+    return top_n(strong, [*PERIOD, "curr_id"], order, m)

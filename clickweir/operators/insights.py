@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from clickweir.functions.periods import index_month, index_year, month_index, month_start, window_months
 from clickweir.functions.ratios import pct_delta
 from clickweir.functions.titles import title_column
-from clickweir.operators.dictionary import decode_ids
+from clickweir.operators.dictionary import label_ids
 from clickweir.operators.ranking import top_n
 
 
@@ -38,15 +38,10 @@ def _keyed(gold: DataFrame, *sides: str) -> tuple[DataFrame, list[str]]:
     return gold, keys
 
 
-def with_titles(
-    insight: DataFrame,
-    dictionary: DataFrame | None = None,
-    hot: DataFrame | None = None,
-    row_count: int | None = None,
-) -> DataFrame:
-    """Replace ids by titles; without a dictionary the id itself is shown as text."""
-    if dictionary is not None:
-        return decode_ids(insight, dictionary, hot, row_count)
+def with_titles(insight: DataFrame, labels: DataFrame | None = None) -> DataFrame:
+    """Replace ids by titles; without dictionary entries the id itself is shown as text."""
+    if labels is not None:
+        return label_ids(insight, labels)
     for side in ("curr", "prev"):
         if f"{side}_id" in insight.columns:
             text = F.col(f"{side}_id").cast("string")
@@ -96,14 +91,14 @@ def _with_period(rows: DataFrame) -> DataFrame:
 def top10_by_year(popularity: DataFrame, n: int = 10) -> DataFrame:
     gold, [key] = _keyed(popularity, "curr")
     yearly = gold.groupBy("lang", "year", key).agg(F.sum("total_clicks").alias("clicks_year"))
-    return top_n(yearly, ["lang", "year"], [F.desc("clicks_year"), F.asc(key)], n, slice_by=[key])
+    return top_n(yearly, ["lang", "year"], [F.desc("clicks_year"), F.asc(key)], n, sliced=True)
 
 
 def all_time_top(popularity: DataFrame, n: int = 500) -> DataFrame:
     gold, [key] = _keyed(popularity, "curr")
     totals = gold.groupBy("lang", key).agg(F.sum("total_clicks").alias("clicks_all_time"))
     order = [F.desc("clicks_all_time"), F.asc(key)]
-    return top_n(totals, ["lang"], order, n, slice_by=[key], rank=None)
+    return top_n(totals, ["lang"], order, n, rank=None, sliced=True)
 
 
 def window_pair_totals(edges: DataFrame, months: int = 6) -> DataFrame:
@@ -124,7 +119,7 @@ def busiest_pairs(totals: DataFrame, n: int = 100_000) -> DataFrame:
     """The ``n`` pairs with the largest totals per language."""
     keys = [_side_key(totals, "prev"), _side_key(totals, "curr")]
     order = [F.desc("total"), *[F.asc(k) for k in keys]]
-    top = top_n(totals, ["lang"], order, n, slice_by=keys, rank=None)
+    top = top_n(totals, ["lang"], order, n, rank=None, sliced=True)
     return _with_period(top.withColumnRenamed("total", "transitions_6m"))
 
 
@@ -132,18 +127,10 @@ def strongest_referrers(totals: DataFrame, m: int = 50) -> DataFrame:
     """The ``m`` referrers with the largest totals for every target."""
     target, referrer = _side_key(totals, "curr"), _side_key(totals, "prev")
     order = [F.desc("total"), F.asc(referrer)]
-    top = top_n(totals, ["lang", target], order, m, slice_by=[referrer])
+    top = top_n(totals, ["lang", target], order, m)
     return _with_period(top.withColumnRenamed("total", "clicks_6m"))
 
 
-def edges_6m(edges: DataFrame, n: int = 100_000, months: int = 6) -> DataFrame:
-    return busiest_pairs(window_pair_totals(edges, months), n)
-
-
-def referrers_6m(edges: DataFrame, m: int = 50, months: int = 6) -> DataFrame:
-    return strongest_referrers(window_pair_totals(edges, months), m)
-
-
 def trending_mom(popularity: DataFrame, n: int = 1000) -> DataFrame:
     """Targets by growth from the month before the latest to the latest month.
 
@@ -161,4 +148,4 @@ def trending_mom(popularity: DataFrame, n: int = 1000) -> DataFrame:
         "*", (now - before).alias("abs_delta"), pct_delta(now, before).alias("pct_delta")
     )
     order = [F.desc_nulls_last("pct_delta"), F.desc("abs_delta"), F.asc(key)]
-    return _with_period(top_n(change, ["lang"], order, n, slice_by=[key], rank=None))
+    return _with_period(top_n(change, ["lang"], order, n, rank=None, sliced=True))

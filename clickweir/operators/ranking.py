@@ -5,36 +5,35 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# From this many rows per group on, candidates are first cut in hashed slices.
-SLICED_FROM = 100
-SLICES = 64
+# Groups that every task has rows of are first ranked in so many slices, then in so many
+# bundles of slices.
+SLICES = 1024
+BUNDLES = 32
 
 
 def top_n(
-    df: DataFrame,
-    group: list[str],
-    order: list[Column],
-    n: int,
-    slice_by: list[str],
-    rank: str | None = "rn",
-    slices: int = SLICES,
+    df: DataFrame, group: list[str], order: list[Column], n: int, rank: str | None = "rn", sliced: bool = False,
 ) -> DataFrame:
     """The first ``n`` rows of each group in ``order``, numbered from 1 in ``rank``.
 
     ``order`` has to be total (end in a unique column). Spark turns ``row_number() <= n``
     into a group limit ahead of the shuffle, so a task sends at most n rows per group.
-    For large n that still adds up over thousands of tasks, so the rows are first ranked
-    within hashed slices of the group: any row of the final answer is among the first n
-    of its slice, and the last ranking sees at most ``slices * n`` rows per group.
+
+    Over many tasks that still adds up where there are few groups, all of them in every task.
+    ``sliced`` then puts two rankings in front, by slices and by bundles of slices. A slice is
+    made of whole input tasks, so a task feeds one slice of a group and sends n rows to it, no
+    more than without slices; a bundle and the last ranking see at most ``BUNDLES * n`` rows
+    of a group. Any row of the answer is among the first n of its slice and bundle, so this
+    is exact.
     """
 
     def first(rows: DataFrame, keys: list[str]) -> DataFrame:
         place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
         return rows.withColumn("_place", place).filter(F.col("_place") <= n)
 
-    if n >= SLICED_FROM and slices > 1:
-        slice_no = F.pmod(F.xxhash64(*slice_by), F.lit(slices))
-        df = first(df.withColumn("_slice", slice_no), [*group, "_slice"]).drop("_slice", "_place")
+    if sliced:
+        df = first(df.withColumn("_slice", F.spark_partition_id() % SLICES), [*group, "_slice"]).drop("_place")
+        df = first(df.withColumn("_slice", F.col("_slice") % BUNDLES), [*group, "_slice"]).drop("_place", "_slice")
     ranked = first(df, group)
     if rank is None:
         return ranked.drop("_place")

@@ -24,4 +24,4 @@ def yearly_tops(raw: DataFrame, n: int = 10) -> DataFrame:
     hot = stage(ids.hot_titles(stats, dictionary), "hot-titles")
     encoded = ids.encode_ids(G.pair_totals(silver), dictionary, hot)
     winners = stage(I.top10_by_year(G.article_popularity(encoded), n), "winners")
-    return I.with_titles(winners, dictionary, row_count=winners.count())
+    return I.with_titles(winners, ids.used_entries([winners], dictionary))

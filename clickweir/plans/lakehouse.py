@@ -8,9 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 from functools import partial
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickweir import schemas
@@ -18,7 +19,8 @@ from clickweir.operators import dictionary as ids
 from clickweir.operators import gold as G
 from clickweir.operators import insights as I
 from clickweir.operators.cleaning import clean, keepable, readable
-from clickweir.session import stage
+from clickweir.schemas import PERIOD
+from clickweir.session import scratch, stage, tuned
 from clickweir.sinks import tables
 from clickweir.sources import bronze, files, layers
 from clickweir.streaming import increments
@@ -27,7 +29,8 @@ from clickweir.streaming import increments
 def _together(jobs: list[Callable[[], None]]) -> None:
     """Submit independent writes at once, so one's tail overlaps another's start."""
     with ThreadPoolExecutor(max_workers=max(1, len(jobs))) as pool:
-        for done in [pool.submit(job) for job in jobs]:
+        # each job sees the caller's scratch list
+        for done in [pool.submit(copy_context().run, job) for job in jobs]:
             done.result()
 
 
@@ -66,47 +69,87 @@ class Lakehouse:
     def insight(self, topic: str) -> DataFrame:
         return layers.read_layer(self.spark, self.insight_path(topic), schemas.INSIGHTS[topic])
 
-    def languages(self) -> list[str]:
+    def languages(self) -> DataFrame:
         """Languages with popularity or edges."""
-        topics = ("article_popularity", "edges_monthly")
-        return layers.list_languages(self.spark, *[self.gold_path(t) for t in topics])
+        return layers.list_languages(self.gold("article_popularity"), self.gold("edges_monthly"))
 
     # -- Bronze -> Silver --------------------------------------------------------
 
     def ingest_dumps(
         self, folder: str, profile: str = "strict", skip_existing: bool = False, **selection
-    ) -> dict[str, int]:
-        """Clean the dump files below ``folder`` into Silver; returns the row counts.
+    ) -> dict[str, object]:
+        """Clean the dump files below ``folder`` into Silver; returns a report.
 
         ``selection`` is lang, year, month and limit. The strict profile also takes the
         month from a file name, the lenient one only from the folder. Files of finished
-        partitions are not opened, and the counts come from the write itself.
+        partitions are not opened.
+
+        A first pass counts the rows of every dump. Of several dumps of a partition the last
+        one with a readable row counts; a file that cannot be read to its end takes its dump
+        out and doesn't stop the others. The report has ``partitions`` (lang, year, month,
+        rows read, clean and filtered), their totals ``rows_read`` and ``rows_clean``, and the
+        paths that were ``rejected`` by name, ``superseded`` and ``unreadable``.
         """
         done = layers.list_periods(self.spark, self.silver_path) if skip_existing else None
-        dumps = bronze.select_files(
-            self.spark, folder, allow_name_form=profile == "strict", done=done, **selection
-        )
-        if not dumps:
-            return {"rows_read": 0, "rows_clean": 0}
-        counts = Observation("ingest")
-        rows = bronze.scan(self.spark, dumps).observe(
-            counts,
-            F.count_if(readable(profile)).alias("rows_read"),
-            F.count_if(keepable(profile)).alias("rows_clean"),
-        )
-        self.ingest(rows, profile)
-        return counts.get
+        with tuned(self.spark, files.total_bytes(self.spark, folder)):
+            found = bronze.inspect_files(
+                self.spark, folder, allow_name_form=profile == "strict", done=done, **selection
+            )
+            accepted, unreadable = [f for f in found if f.accepted], []
+            try:
+                counts = self._dump_counts(accepted, profile)
+            except Exception:
+                unreadable = bronze.unreadable_files(self.spark, accepted)
+                if not unreadable:
+                    raise
+                lost = {f.dump for f in unreadable}
+                counts = self._dump_counts([f for f in accepted if f.dump not in lost], profile)
+            dumps = bronze.last_dumps(accepted, {dump for dump, (read, _) in counts.items() if read})
+            chosen = {f.dump: (f.lang, f.year, f.month) for f in dumps}
+            if dumps:
+                self._write_silver(bronze.scan(self.spark, dumps), profile, sorted(set(chosen.values())))
+        partitions = [
+            (*period, read, kept, read - kept)
+            for dump, period in sorted(chosen.items(), key=lambda x: x[1]) for read, kept in [counts[dump]]
+        ]
+        best = {period: dump for dump, period in chosen.items()}
+        return {
+            "rows_read": sum(p[3] for p in partitions),
+            "rows_clean": sum(p[4] for p in partitions),
+            "partitions": partitions,
+            "rejected": [f.path for f in found if not f.accepted],
+            "superseded": [
+                f.path for f in accepted
+                if best.get((f.lang, f.year, f.month), f.dump) != f.dump and f not in unreadable
+            ],
+            "unreadable": [f.path for f in unreadable],
+        }
+
+    def _dump_counts(self, dumps: list, profile: str) -> dict[str, tuple[int, int]]:
+        """Readable and clean rows of each dump."""
+        names = self.spark.createDataFrame([(f.uri, f.dump) for f in dumps], "uri string, dump string")
+        counted = bronze.scan(self.spark, dumps, with_file=True).groupBy("uri").agg(
+            F.count_if(readable(profile)).alias("read"), F.count_if(keepable(profile)).alias("clean"),
+        ).join(names, "uri").groupBy("dump").agg(F.sum("read").alias("read"), F.sum("clean").alias("clean"))
+        return {r["dump"]: (r["read"], r["clean"]) for r in counted.collect()}
 
     def ingest(self, rows: DataFrame, profile: str = "strict", skip_existing: bool = False) -> None:
         """Clean raw edges into Silver, replacing the partitions they belong to.
 
-        Partitions without a valid row write nothing. ``skip_existing`` leaves finished
-        partitions out before anything is shuffled.
+        A partition without a readable row is left alone; one whose readable rows are all
+        noise becomes empty. ``skip_existing`` leaves finished partitions out before anything
+        is shuffled.
         """
         if skip_existing:
             done = layers.list_periods(self.spark, self.silver_path)
             rows = tables.without_existing(rows, layers.periods_frame(self.spark, done))
-        tables.write_partitions(clean(rows, profile), self.silver_path, sort_by=("curr_title",))
+        handled = rows.filter(readable(profile)).select(*PERIOD).distinct().collect()
+        self._write_silver(rows, profile, [tuple(p) for p in handled])
+
+    def _write_silver(self, rows: DataFrame, profile: str, handled: list[increments.Period]) -> None:
+        tables.write_partitions(
+            clean(rows, profile), self.silver_path, sort_by=("curr_title",), handled=handled
+        )
 
     # -- Silver -> Gold ----------------------------------------------------------
 
@@ -133,11 +176,14 @@ class Lakehouse:
         topics = ["article_popularity", "article_top"]
         topics += ["referrers_top"] if referrers else []
         topics += ["edges_monthly"] if edges else []
+        periods = layers.list_periods(self.spark, self.silver_path)
         if skip_existing:
-            outputs = [self.gold_path(t) for t in topics]
-            periods = increments.pending_periods(self.spark, self.silver_path, outputs)
-        else:
-            periods = layers.list_periods(self.spark, self.silver_path)
+            def frame(path: str) -> DataFrame:
+                return layers.periods_frame(self.spark, layers.list_periods(self.spark, path))
+
+            outputs = [frame(self.gold_path(t)) for t in topics]
+            pending = increments.pending_periods(layers.periods_frame(self.spark, periods), outputs)
+            periods = [tuple(p) for p in pending.collect()]
         periods = increments.pick_periods(periods, lang, year, month)
         if latest_month:
             every = layers.list_periods(self.spark, self.silver_path)
@@ -146,6 +192,13 @@ class Lakehouse:
         if not periods:
             return []
 
+        with tuned(self.spark, files.total_bytes(self.spark, self.silver_path)), scratch(self.spark):
+            self._build_gold(periods, topics, topn, topm, min_edges, min_referrers)
+        return periods
+
+    def _build_gold(
+        self, periods: list[increments.Period], topics: list[str], topn: int, topm: int, min_edges: int, min_referrers: int
+    ) -> None:
         silver = layers.read_positive(
             layers.read_periods(self.spark, self.silver_path, schemas.SILVER, periods)
         )
@@ -156,20 +209,20 @@ class Lakehouse:
         # or copies of rows it had. Titles and ids correspond, so the totals stay apart.
         pairs = stage(ids.encode_ids(G.pair_totals(silver), entries, hot), "pair-totals")
 
+        def write(topic: str, rows: DataFrame) -> None:
+            tables.write_partitions(rows, self.gold_path(topic), sort_by=("curr_id",), handled=periods)
+
         def popularity_and_top() -> None:
-            self._write_gold("article_popularity", G.article_popularity(pairs))
+            write("article_popularity", G.article_popularity(pairs))
             written = self._gold_part("article_popularity", periods)
-            self._write_gold("article_top", G.article_top(written, topn))
+            write("article_top", G.article_top(written, topn))
 
         jobs = [popularity_and_top]
-        if referrers:
-            top = G.referrers_top(pairs, topm, min_referrers)
-            jobs.append(lambda: self._write_gold("referrers_top", top))
-        if edges:
-            strong = G.edges_monthly(pairs, min_edges)
-            jobs.append(lambda: self._write_gold("edges_monthly", strong))
+        if "referrers_top" in topics:
+            jobs.append(lambda: write("referrers_top", G.referrers_top(pairs, topm, min_referrers)))
+        if "edges_monthly" in topics:
+            jobs.append(lambda: write("edges_monthly", G.edges_monthly(pairs, min_edges)))
         _together(jobs)
-        return periods
 
     def extend_dictionary(self, stats: DataFrame, languages: list[str] | None = None) -> DataFrame:
         """Append the titles of ``stats`` that the dictionary lacks, with new ids.
@@ -181,7 +234,7 @@ class Lakehouse:
         known = self.dictionary()
         if languages is not None:
             known = known.filter(F.col("lang").isin(languages))
-        if layers.list_languages(self.spark, self.dictionary_path):
+        if files.hive_partitions(self.spark, self.dictionary_path, ["lang"]):
             matched = stage(ids.match_titles(stats, known), "matched-titles")
             unseen = matched.filter(F.col("id").isNull())
             found = matched.filter(F.col("id").isNotNull()).select(*schemas.DICTIONARY.names)
@@ -193,9 +246,6 @@ class Lakehouse:
         tables.write_partitions(fresh, self.dictionary_path, ["lang"], ("id",), mode="append")
         return fresh if found is None else found.unionByName(fresh)
 
-    def _write_gold(self, topic: str, rows: DataFrame) -> None:
-        tables.write_partitions(rows, self.gold_path(topic), sort_by=("curr_id",))
-
     # -- Gold -> insights --------------------------------------------------------
 
     def build_insights(
@@ -212,61 +262,59 @@ class Lakehouse:
         With ``skip_existing`` the partitions already written are left out, so the
         Gold rows of finished languages are not even read.
         """
-        def write(topic: str, build: Callable[[], DataFrame]) -> Callable[[], None]:
-            return partial(self._write_insight, topic, build, languages)
-
-        def window_insights() -> None:
-            pending = {
-                topic: self._pending_window(topic, "edges_monthly", 6, languages, skip_existing)
-                for topic in ("edges_6m", "referrers_6m")
-            }
-            months = sorted({p for periods in pending.values() for p in periods})
-            edges = self._gold_part("edges_monthly", months)
-            totals = stage(I.window_pair_totals(edges), "window-totals")
+        def popularity(periods: list[increments.Period]) -> DataFrame:
+            return self._gold_part("article_popularity", periods)
+
+        def window(topic: str, source: str, months: int) -> list[increments.Period]:
+            return self._pending_window(topic, source, months, languages, skip_existing)
+
+        yearly = self._pending_years(languages, skip_existing)
+        whole = self._pending_languages(languages, skip_existing)
+        trending = window("trending_mom", "article_popularity", 2)
+        paired = {topic: window(topic, "edges_monthly", 6) for topic in ("edges_6m", "referrers_6m")}
+        months = sorted({p for periods in paired.values() for p in periods})
+        pending = sorted({p[0] for periods in (yearly, whole, trending, months) for p in periods})
+        if not pending:
+            return
+        size = files.total_bytes(self.spark, f"{self.root}/gold")
+        with tuned(self.spark, size), scratch(self.spark):
+            totals = stage(I.window_pair_totals(self._gold_part("edges_monthly", months)), "window-totals")
 
             def of(topic: str) -> DataFrame:
-                return totals.filter(F.col("lang").isin(sorted({p[0] for p in pending[topic]})))
+                return totals.filter(F.col("lang").isin(sorted({p[0] for p in paired[topic]})))
+
+            winners: dict[str, DataFrame] = {}
+
+            def rank(topic: str, build: Callable[[], DataFrame]) -> Callable[[], None]:
+                def run() -> None:
+                    winners[topic] = stage(build(), topic)
+
+                return run
 
             _together([
-                write("edges_6m", lambda: I.busiest_pairs(of("edges_6m"), topn_edges)),
-                write("referrers_6m", lambda: I.strongest_referrers(of("referrers_6m"), topm_referrers)),
+                rank("edges_6m", lambda: I.busiest_pairs(of("edges_6m"), topn_edges)),
+                rank("referrers_6m", lambda: I.strongest_referrers(of("referrers_6m"), topm_referrers)),
+                rank("top10_by_year", lambda: I.top10_by_year(popularity(yearly))),
+                rank("all_time_top", lambda: I.all_time_top(popularity(whole), topn_all_time)),
+                rank("trending_mom", lambda: I.trending_mom(popularity(trending), topn_trending)),
             ])
+            # One look at the dictionary, of the pending languages, labels all insights.
+            entries = self.dictionary().filter(F.col("lang").isin(pending))
+            labels = stage(ids.used_entries([*winners.values()], entries), "labels")
+            _together([partial(self._write_insight, topic, rows, labels) for topic, rows in winners.items()])
 
-        def popularity(periods: list[increments.Period]) -> DataFrame:
-            return self._gold_part("article_popularity", periods)
-
-        _together([
-            window_insights,
-            write("top10_by_year", lambda: I.top10_by_year(
-                popularity(self._pending_years(languages, skip_existing)))),
-            write("all_time_top", lambda: I.all_time_top(
-                popularity(self._pending_languages(languages, skip_existing)), topn_all_time)),
-            write("trending_mom", lambda: I.trending_mom(
-                popularity(self._pending_window(
-                    "trending_mom", "article_popularity", 2, languages, skip_existing)),
-                topn_trending)),
-        ])
-
-    def _write_insight(
-        self, topic: str, build: Callable[[], DataFrame], languages: list[str] | None
-    ) -> None:
-        winners = stage(build(), topic)
-        dictionary, count, hot = self.dictionary(), winners.count(), None
-        if languages is not None:
-            dictionary = dictionary.filter(F.col("lang").isin(languages))
-        if count > ids.BROADCAST_ROWS:
-            hot = stage(ids.hot_ids(winners, dictionary), "hot-ids")
-        labelled = I.with_titles(winners, dictionary, hot, row_count=count)
+    def _write_insight(self, topic: str, winners: DataFrame, labels: DataFrame) -> None:
         columns = schemas.INSIGHTS[topic].names
         by = schemas.INSIGHT_PARTITIONS[topic]
         order = {"top10_by_year": ("rn",), "referrers_6m": ("curr_title", "rn")}.get(topic, ())
-        tables.write_partitions(labelled.select(*columns), self.insight_path(topic), by, order)
+        labelled = I.with_titles(winners, labels).select(*columns)
+        tables.write_partitions(labelled, self.insight_path(topic), by, order)
 
     def _gold_part(self, topic: str, periods: list[increments.Period]) -> DataFrame:
         return layers.read_periods(self.spark, self.gold_path(topic), schemas.GOLD[topic], periods)
 
     def _gold_periods(self, topic: str, languages: list[str] | None):
-        periods = layers.list_periods(self.spark, self.gold_path(topic))
+        periods = layers.list_periods(self.spark, self.gold_path(topic), filled=True)
         return [p for p in periods if languages is None or p[0] in languages]
 
     def _pending_years(self, languages, skip_existing: bool) -> list[increments.Period]:
@@ -281,7 +329,8 @@ class Lakehouse:
     def _pending_languages(self, languages, skip_existing: bool) -> list[increments.Period]:
         periods = self._gold_periods("article_popularity", languages)
         if skip_existing:
-            have = layers.list_languages(self.spark, self.insight_path("all_time_top"))
+            found = files.hive_partitions(self.spark, self.insight_path("all_time_top"), ["lang"])
+            have = {lang for (lang,) in found}
             periods = [p for p in periods if p[0] not in have]
         return periods
 

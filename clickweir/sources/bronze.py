@@ -66,26 +66,31 @@ def first_files(files: DataFrame, count: int) -> DataFrame:
     return files.orderBy("path").limit(count)
 
 
+def with_dump(manifest: DataFrame) -> DataFrame:
+    """Add ``dump``, the path without extension: the numbered parts of one dump share it."""
+    return manifest.withColumn("dump", F.regexp_replace("path", r"(\.\d+)?\.tsv(\.gz)?$", ""))
+
+
 def last_file_per_partition(manifest: DataFrame) -> DataFrame:
-    """One file per (lang, year, month): the last one in path order."""
-    latest = Window.partitionBy("lang", "year", "month").orderBy(F.desc("path"))
+    """The files of one dump per (lang, year, month): the last one in path order, with all its parts."""
+    latest = Window.partitionBy("lang", "year", "month").orderBy(F.desc("dump"))
     return (
-        manifest.withColumn("_place", F.row_number().over(latest))
+        with_dump(manifest).withColumn("_place", F.rank().over(latest))
         .filter(F.col("_place") == 1)
-        .drop("_place")
+        .drop("_place", "dump")
     )
 
 
-def scan(spark: SparkSession, manifest: list[Row]) -> DataFrame:
+def scan(spark: SparkSession, manifest: list[Row], with_file: bool = False) -> DataFrame:
     """Rows of the dump files in ``manifest`` (path, uri, lang, year, month).
 
     Every field is read as text, so one reader serves both cleaning profiles. Quotes
     are literal, short rows are padded with NULL, an empty field is NULL, and rows with
-    more than four fields are dropped. The partition values are looked up by file in a
-    broadcast frame with one row per file, not parsed from the path for every line.
+    more than four fields are dropped. The partition values are looked up by file in a frame
+    with one row per file, not parsed from the path for every line.
     """
     if not manifest:
-        return spark.createDataFrame([], BRONZE)
+        return spark.createDataFrame([], BRONZE if not with_file else BRONZE.add("uri", "string"))
     files = spark.createDataFrame([(m.uri, m.lang, m.year, m.month) for m in manifest], FILES)
     # Exploding a one-element array keeps each line one row, and makes the split fields a
     # column of their own. Without it the optimizer would push every later rule below the
@@ -94,11 +99,12 @@ def scan(spark: SparkSession, manifest: list[Row]) -> DataFrame:
         F.explode(F.array(F.split("value", "\t", -1))).alias("parts"),
         F.col("_metadata.file_path").alias("uri"),
     )
+    extra = ["uri"] if with_file else []
     fields = [F.nullif(F.get("parts", F.lit(i)), F.lit("")).alias(f) for i, f in enumerate(FIELDS)]
     return (
         lines.filter(F.size("parts") <= len(FIELDS))
-        .join(F.broadcast(files), "uri")
-        .select("lang", "year", "month", *fields)
+        .join(files, "uri")
+        .select("lang", "year", "month", *fields, *extra)
     )
 
 
@@ -117,16 +123,53 @@ def select_files(
 
     Only this list reaches the driver, which needs it to plan the scan.
     """
-    files = discover(spark, root)
+    accepted = [f for f in inspect_files(spark, root, limit, allow_name_form, lang, year, month, done) if f.accepted]
+    return last_dumps(accepted) if one_file_per_partition else accepted
+
+
+def inspect_files(
+    spark: SparkSession,
+    root: str,
+    limit: int | None = None,
+    allow_name_form: bool = True,
+    lang: str | None = None,
+    year: int | None = None,
+    month: int | None = None,
+    done: list[tuple[str, int, int]] | None = None,
+) -> list[Row]:
+    """All dump files below ``root`` in path order, of the wanted partitions or ``accepted`` by none."""
+    found = discover(spark, root)
     if limit is not None:
-        files = first_files(files, limit)
-    manifest = with_partition(files, allow_name_form).filter("accepted")
-    manifest = select_partitions(manifest, lang, year, month)
+        found = first_files(found, limit)
+    manifest = with_dump(with_partition(found, allow_name_form))
+    wanted = select_partitions(manifest.filter("accepted"), lang, year, month)
     if done:
-        manifest = manifest.filter(~in_periods(done))
-    if one_file_per_partition:
-        manifest = last_file_per_partition(manifest)
-    return manifest.orderBy("path").collect()
+        wanted = wanted.filter(~in_periods(done))
+    return wanted.union(manifest.filter("not accepted")).orderBy("path").collect()
+
+
+def last_dumps(manifest: list[Row], valid: set[str] | None = None) -> list[Row]:
+    """The files of the last dump of each partition; ``valid`` names the dumps that may be taken."""
+    last: dict[tuple, str] = {}
+    for f in manifest:
+        if valid is None or f.dump in valid:
+            last[f.lang, f.year, f.month] = max(f.dump, last.get((f.lang, f.year, f.month), f.dump))
+    return [f for f in manifest if last.get((f.lang, f.year, f.month)) == f.dump]
+
+
+def unreadable_files(spark: SparkSession, manifest: list[Row]) -> list[Row]:
+    """Those files that cannot be read to their end, found by halving the list."""
+    def broken(some: list[Row]) -> list[Row]:
+        try:
+            spark.read.text([f.path for f in some]).write.format("noop").mode("overwrite").save()
+            return []
+        except Exception:
+            if len(some) == 1:
+                return some
+            middle = len(some) // 2
+            return broken(some[:middle]) + broken(some[middle:])
+
+    return broken(manifest) if manifest else []
 
 
 def read_dumps(spark: SparkSession, root: str, **selection) -> DataFrame:

@@ -39,16 +39,29 @@ def rename(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"cannot move {source} to {target}")
 
 
-def hive_partitions(spark: SparkSession, root: str, columns: Iterable[str]) -> list[tuple[str, ...]]:
-    """Partition values below ``root``, from folder names alone.
+def delete(spark: SparkSession, path: str) -> None:
+    fs, target = _handle(spark, path)
+    fs.delete(target, True)
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, target = _handle(spark, path)
+    fs.mkdirs(target)
+
+
+def hive_partitions(
+    spark: SparkSession, root: str, columns: Iterable[str], filled: bool = False
+) -> list[tuple[str, ...]]:
+    """Partition values below ``root``, from folder names alone; ``filled``: of those with files.
 
-    One listing of folders, no Spark job and no file opened: the cost follows the
-    number of partitions, not the data.
+    One listing, no Spark job and no file opened: the cost follows the number of partitions
+    (or files), not the data.
     """
     columns = list(columns)
-    pattern = root + "".join(f"/{name}=*" for name in columns)
-    values = []
+    pattern = root + "".join(f"/{name}=*" for name in columns) + "/part-*" * filled
+    values = {}
     for path in glob(spark, pattern):
-        steps = path.rstrip("/").split("/")[-len(columns):]
-        values.append(tuple(step.split("=", 1)[1] for step in steps))
-    return values
+        steps = path.rstrip("/").split("/")
+        steps = (steps[:-1] if filled else steps)[-len(columns):]
+        values[tuple(step.split("=", 1)[1] for step in steps)] = None
+    return list(values)

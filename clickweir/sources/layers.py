@@ -37,15 +37,21 @@ def read_periods(
     return spark.read.schema(layout).option("basePath", path).parquet(*folders)
 
 
-def list_periods(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
-    """(lang, year, month) of every partition, from folder names."""
-    found = files.hive_partitions(spark, path, PERIOD)
+def list_periods(spark: SparkSession, path: str, filled: bool = False) -> list[tuple[str, int, int]]:
+    """(lang, year, month) of every partition, from folder names; ``filled``: of those with rows.
+
+    A partition that was handled and got no rows is an empty folder.
+    """
+    found = files.hive_partitions(spark, path, PERIOD, filled)
     return sorted((lang, int(year), int(month)) for lang, year, month in found)
 
 
-def list_languages(spark: SparkSession, *paths: str) -> list[str]:
+def list_languages(*tables: DataFrame) -> DataFrame:
     """Languages present in any of the given tables."""
-    return sorted({lang for path in paths for (lang,) in files.hive_partitions(spark, path, ["lang"])})
+    found = tables[0].select("lang")
+    for table in tables[1:]:
+        found = found.union(table.select("lang"))
+    return found.distinct()
 
 
 def periods_frame(spark: SparkSession, periods: list[tuple[str, int, int]]) -> DataFrame:

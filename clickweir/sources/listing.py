@@ -5,8 +5,6 @@ Fetching itself is not a Spark job; these operators start from a table of pages.
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,41 +31,46 @@ def listed_months(pages: DataFrame) -> DataFrame:
     )
 
 
-def listed_files(pages: DataFrame) -> DataFrame:
-    """Distinct dump files: file name, site and month."""
-    found = links(pages).select("href").filter(F.col("href").rlike(FILE_LINK)).distinct()
-    return found.select(
+def listed_files(pages: DataFrame, url: str = "url") -> DataFrame:
+    """Distinct dump files on the page of their own month: file, site, month and URL.
+
+    A month's page has a URL that ends in the month; a link to a file of another month
+    doesn't count there.
+    """
+    found = links(pages.select(F.col(url).alias("page"), "html")).filter(F.col("href").rlike(FILE_LINK))
+    files = found.select(
         F.col("href").alias("file"),
         F.regexp_extract("href", FILE_LINK, 1).alias("site"),
         F.regexp_extract("href", FILE_LINK, 2).alias("dump_month"),
+        F.rtrim(F.col("page"), F.lit("/")).alias("page"),
     )
-
-
-def parse_sites(text: str | None) -> list[str] | None:
-    """Sites from 'a, b c'; ``None`` (no filter) for nothing, 'all' or '*'."""
-    sites = [site for site in re.split(r"[,\s]+", (text or "").strip()) if site]
-    return None if not sites or text.strip().lower() in ("all", "*") else sites
+    own = F.substring_index("page", "/", -1) == F.col("dump_month")
+    return files.filter(own).select(
+        "file", "site", "dump_month", F.concat_ws("/", "page", "file").alias("file_url"),
+    ).distinct()
 
 
 def acquisition_plan(
     available: DataFrame,
     present: DataFrame,
+    months: DataFrame,
     since: str | None = None,
     latest: int | None = None,
     sites: list[str] | None = None,
 ) -> DataFrame:
-    """Files to fetch: (file, site, dump_month) rows of ``available`` not in ``present``.
+    """Files to fetch: rows of ``available`` not in ``present``, with the ``target`` path.
 
-    ``since`` keeps months from 'YYYY-MM' on, ``latest`` the last so many of the months
-    that are left (0 or None keeps all), ``sites`` only the named ones.
+    ``since`` keeps months from 'YYYY-MM' on, ``latest`` the last so many of the listed
+    ``months`` that are left, with files or without (0 or None keeps all), ``sites`` only the
+    named ones.
     """
-    plan = available
+    wanted = months.select("dump_month").distinct()
     if since:
-        plan = plan.filter(F.col("dump_month") >= since)
+        wanted = wanted.filter(F.col("dump_month") >= since)
     if latest:
-        # ``latest`` rows at most, so the months are safe to broadcast.
-        newest = plan.select("dump_month").distinct().orderBy(F.desc("dump_month")).limit(latest)
-        plan = plan.join(F.broadcast(newest), "dump_month", "left_semi")
+        wanted = wanted.orderBy(F.desc("dump_month")).limit(latest)
+    plan = available.join(wanted, "dump_month", "left_semi")
     if sites:
         plan = plan.filter(F.col("site").isin(sites))
-    return plan.join(present.select("dump_month", "file"), ["dump_month", "file"], "left_anti")
+    missing = plan.join(present.select("dump_month", "file"), ["dump_month", "file"], "left_anti")
+    return missing.withColumn("target", F.concat_ws("/", "dump_month", "file"))

@@ -2,21 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from clickweir.sources.layers import list_periods
+from clickweir.schemas import PERIOD
 
 Period = tuple[str, int, int]
 
 
-def pending_periods(spark: SparkSession, source: str, outputs: list[str]) -> list[Period]:
-    """Source partitions that at least one of the output tables lacks.
+def pending_periods(source: DataFrame, outputs: list[DataFrame]) -> DataFrame:
+    """Months of ``source`` that at least one of ``outputs`` lacks; frames with a row per month.
 
-    Works on folder names only. A partition whose rows all fall below an output's
-    threshold leaves no folder there and is offered again; rewriting it is idempotent.
+    Tables serve as well: only their partition columns are looked at.
     """
-    done = [set(list_periods(spark, path)) for path in outputs]
-    return [p for p in list_periods(spark, source) if not all(p in have for have in done)]
+    done = outputs[0].select(*PERIOD).distinct()
+    for more in outputs[1:]:
+        done = done.join(more.select(*PERIOD), PERIOD, "left_semi")
+    return source.select(*PERIOD).distinct().join(done, PERIOD, "left_anti").orderBy(*map(F.col, PERIOD))
 
 
 def newest_periods(periods: list[Period]) -> list[Period]:

@@ -61,7 +61,7 @@ def test_months_in_order_equal_a_backfill(spark, silver):
     known = spark.createDataFrame([], DICTIONARY)
     for month in (1, 4, 7):
         stats = ids.title_stats(small.filter(F.col("month") == month))
-        known = known.unionByName(ids.number_titles(ids.new_titles(stats, known), known))
+        known = known.unionByName(ids.number_titles(ids.match_titles(stats, known).filter("id is null"), known))
         known = spark.createDataFrame(known.collect(), DICTIONARY)
     assert rows(known) == rows(ids.backfill(ids.title_stats(small)), "lang", "id", "title")
 
@@ -69,14 +69,14 @@ def test_months_in_order_equal_a_backfill(spark, silver):
 def test_late_month_appends_and_keeps_ids(spark):
     known = spark.createDataFrame([("es", 1, "B"), ("es", 2, "A")], DICTIONARY)
     late = spark.createDataFrame([("es", 24_000, "0", 1), ("es", 24_000, "A", 1), ("xx", 24_001, "A", 1)], COUNTS)
-    added = ids.number_titles(ids.new_titles(late, known), known)
+    added = ids.number_titles(ids.match_titles(late, known).filter("id is null"), known)
     assert rows(added, "lang", "id", "title") == [("es", 3, "0"), ("xx", 1, "A")]
 
 
 def test_nothing_new_adds_nothing(spark):
     known = spark.createDataFrame([("es", 1, "B")], DICTIONARY)
     stats = spark.createDataFrame([("es", 24_000, "B", 1)], COUNTS)
-    assert ids.number_titles(ids.new_titles(stats, known), known).count() == 0
+    assert ids.number_titles(ids.match_titles(stats, known).filter("id is null"), known).count() == 0
 
 
 def test_hot_titles_stay_within_their_bound(silver):
@@ -154,7 +154,6 @@ def test_decoding_both_ways(silver):
     columns = ["lang", "year", "month", "prev_title", "curr_title", "n"]
     for options in (
         {},
-        {"row_count": encoded.count()},
         {"hot": ids.hot_ids(encoded, dictionary, 30)},
         {"hot": ids.hot_ids(encoded, dictionary)},
     ):

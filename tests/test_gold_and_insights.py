@@ -59,21 +59,18 @@ def test_referrers_and_edges_apply_thresholds(encoded):
         (1, 2, 8), (2, 3, 12), (3, 2, 8)]
 
 
-def test_latest_month_is_global(encoded):
-    assert rows(G.latest_month_only(encoded), "lang", "month") == [("es", 2)]
-
-
 @pytest.mark.parametrize("n", [1, 40, 1_500])
 def test_sliced_ranking_equals_one_window(spark, monkeypatch, n):
-    monkeypatch.setattr(ranking, "SLICED_FROM", 10)
+    monkeypatch.setattr(ranking, "SLICES", 4)
+    monkeypatch.setattr(ranking, "BUNDLES", 2)
     row = F.col("id")
-    df = spark.range(20_000).select(
+    df = spark.range(0, 20_000, 1, 6).select(
         F.when(row % 3 == 0, "hot").otherwise(F.concat(F.lit("g"), row % 40)).alias("g"),
         (row * 7919 % 100).alias("v"),
         row.alias("k"),
     )
     order = [F.desc("v"), F.asc("k")]
-    found = ranking.top_n(df, ["g"], order, n, slice_by=["k"])
+    found = ranking.top_n(df, ["g"], order, n, sliced=True)
     place = F.row_number().over(Window.partitionBy("g").orderBy(*order)).cast("long")
     expected = df.withColumn("rn", place).filter(F.col("rn") <= n)
     assert rows(found, "g", "k", "rn") == rows(expected, "g", "k", "rn")
@@ -100,9 +97,9 @@ def test_window_counts_calendar_months(spark):
         + [("en", 2020, 5, 1, 2, 3)],
         GOLD["edges_monthly"],
     )
-    found = rows(I.edges_6m(edges), "lang", "year", "month", "transitions_6m")
+    found = rows(I.busiest_pairs(I.window_pair_totals(edges)), "lang", "year", "month", "transitions_6m")
     assert found == [("en", 2020, 5, 3), ("es", 2024, 3, 1111)]
-    assert rows(I.referrers_6m(edges), "lang", "clicks_6m", "rn") == [("en", 3, 1), ("es", 1111, 1)]
+    assert rows(I.strongest_referrers(I.window_pair_totals(edges)), "lang", "clicks_6m", "rn") == [("en", 3, 1), ("es", 1111, 1)]
     assert rows(I.latest_period(edges)) == [("en", 2020, 5), ("es", 2024, 3)]
 
 
@@ -134,7 +131,7 @@ def test_empty_gold_gives_empty_insights(spark):
     edges = spark.createDataFrame([], GOLD["edges_monthly"])
     for insight in (
         I.top10_by_year(popularity), I.all_time_top(popularity), I.trending_mom(popularity),
-        I.edges_6m(edges), I.referrers_6m(edges),
+        I.busiest_pairs(I.window_pair_totals(edges)), I.strongest_referrers(I.window_pair_totals(edges)),
     ):
         assert insight.count() == 0
 
