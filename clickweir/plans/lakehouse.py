@@ -140,11 +140,12 @@ class Lakehouse:
         noise becomes empty. ``skip_existing`` leaves finished partitions out before anything
         is shuffled.
         """
-        if skip_existing:
-            done = layers.list_periods(self.spark, self.silver_path)
-            rows = tables.without_existing(rows, layers.periods_frame(self.spark, done))
-        handled = rows.filter(readable(profile)).select(*PERIOD).distinct().collect()
-        self._write_silver(rows, profile, [tuple(p) for p in handled])
+        with tuned(self.spark):
+            if skip_existing:
+                done = layers.list_periods(self.spark, self.silver_path)
+                rows = tables.without_existing(rows, layers.periods_frame(self.spark, done))
+            handled = rows.filter(readable(profile)).select(*PERIOD).distinct().collect()
+            self._write_silver(rows, profile, [tuple(p) for p in handled])
 
     def _write_silver(self, rows: DataFrame, profile: str, handled: list[increments.Period]) -> None:
         tables.write_partitions(
