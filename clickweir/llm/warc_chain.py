@@ -14,8 +14,8 @@ file (the set reached and the jump length double in each round) finds the nodes
 chain of true records visits. All other candidates are text inside payloads. The number of
 rounds is the logarithm of the breaks in a file, none if no payload holds the magic.
 
-Files may be split anywhere. The text sink and source are Spark's, so any store that Spark
-reads will do. Offsets are bytes.
+Files that aren't compressed may be split anywhere. The text sink and source are Spark's, so
+any store that Spark reads will do. Offsets are bytes of the uncompressed text.
 
 Defined results: null HTML is an empty payload; a null page_id comes back as null and is
 nobody's original unless all copies have null ids; rows that repeat a page_id with equal
@@ -49,8 +49,12 @@ def _urn(page_id: Column) -> Column:
     return F.concat(F.lit("<urn:page:"), F.coalesce(page_id.cast("string"), F.lit("")), F.lit(">"))
 
 
-def write_warc(pages: DataFrame, path: str, min_dedup: int = MIN_DEDUP) -> None:
-    """Write one record per row of ``pages`` (page_id, url, html) below ``path``."""
+def write_warc(pages: DataFrame, path: str, min_dedup: int = MIN_DEDUP, compression: str = "gzip") -> None:
+    """Write one record per row of ``pages`` (page_id, url, html) below ``path``.
+
+    Compressed files are a third as large, and each is read by one task; files written with
+    ``compression="none"`` are read in splits.
+    """
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("payload")).select(
         "*", F.octet_length("payload").alias("size"), F.sha2("payload", 256).alias("digest"),
     )
@@ -86,7 +90,7 @@ def write_warc(pages: DataFrame, path: str, min_dedup: int = MIN_DEDUP) -> None:
         )
     )
     joined = rows.join(originals, rows["digest"] == originals["copied"], "left")
-    joined.withColumn("http", http).select(record.alias("value")).write.option("lineSep", END).text(path)
+    joined.withColumn("http", http).select(record.alias("value")).write.option("lineSep", END).option("compression", compression).text(path)
 
 
 def _field(name: str, value: str, head: str = "head") -> Column:

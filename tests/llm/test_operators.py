@@ -644,7 +644,7 @@ def test_warc_rejects_magic_inside_payloads(spark):
     rows = [(i, f"http://h/{i} \r\nWARC-Type: x", b) for i, b in enumerate(bodies)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({c: F.lit("clash") for c in ("size", "digest", "payload", "original", "value")})
     path = fresh_dir(spark, "warc-test")
-    warc_chain.write_warc(pages.coalesce(1), path)
+    warc_chain.write_warc(pages.coalesce(1), path, compression="none")
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     try:
         for split in ("128m", "300", "1000"):  # splits that cut records and magics
@@ -668,7 +668,7 @@ def test_warc_rejects_magic_inside_payloads(spark):
 
 def test_warc_file_is_a_warc_file(spark):
     path = fresh_dir(spark, "warc-test")
-    warc_chain.write_warc(spark.createDataFrame([(7, "http://h/", "hi")], "page_id long, url string, html string"), path)
+    warc_chain.write_warc(spark.createDataFrame([(7, "http://h/", "hi")], "page_id long, url string, html string"), path, compression="none")
     data = b"".join(r["content"] for r in spark.read.format("binaryFile").load(path).collect())
     head, block = data.split(b"\r\n\r\n", 1)
     assert head.startswith(b"WARC/1.1\r\nWARC-Type: response\r\n")
