@@ -26,8 +26,6 @@ empty table yields no pieces.
 from __future__ import annotations
 
 import re
-import sys
-import types
 from array import array
 from collections.abc import Iterable, Iterator
 from itertools import islice
@@ -47,7 +45,7 @@ SENTENCE_CUT = 8.0
 INNER_CUT = 64.0
 STEP = 64
 PIECES_AT_ONCE = 2048
-KNOWN_WORDS = 600_000
+KNOWN_WORDS = 200_000
 HORIZON = 1 << 20
 CARRIED = 4
 BYTES_AT_ONCE = 1 << 24
@@ -73,10 +71,7 @@ class ChunkCoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        # Functions shipped by value get new globals with every task; what a worker process
-        # has learnt is kept where its next task finds it.
-        shelf = sys.modules.setdefault("_clickweir_kept", types.ModuleType("_clickweir_kept"))
-        self.words: dict[str, bytes] = vars(shelf).setdefault(path, {})
+        self.words: dict[str, bytes] = {}
 
     def _letters(self, words: list[str]) -> list[bytes]:
         """Ids of runs of plain lower-case letters: each is one pre-token in normal form."""
