@@ -12,8 +12,8 @@ those of the best alignment of the two sequences (of texts without moved parts:
 similarity of their shingles). One minus it is a metric, which is used below.
 
 Equal texts are one node, and the nodes of a bucket are not met pair by pair. All of them are
-aligned with its smallest and its largest node, the pivots, which joins a crowd of near
-copies to one component. Then only nodes outside a bucket's largest component are met with
+aligned with two pivots, the nodes that share most keys with others, which joins a crowd of
+near copies to one component. Then only nodes outside a bucket's largest component are met with
 the nodes of other components, where the distances from both pivots allow a link by the
 triangle inequality. This loses no pair of a bucket; it costs the square of a bucket's size
 only where its texts are alike enough to share a key and yet all unlike each other.
@@ -237,13 +237,25 @@ def links(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     texts = saved(
         rows.select("node", "words").join(wanted.hint("merge"), "node", "left_semi").groupBy("node").agg(F.first("words").alias("words")), "omh-texts",
     )
-    ends = members.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"))
-    pivots = saved(ends.where("low <> high"), "omh-pivots")
-    met = saved(members.join(pivots.hint("merge"), "bucket"), "omh-met")
-    pairs = met.where("node <> low").select(F.col("low").alias("a"), F.col("node").alias("b")).union(
-        met.where("node <> high and node <> low").select(F.col("node").alias("a"), F.col("high").alias("b")),
+    # The pivots of a bucket are its most central nodes, those with the most company in all
+    # their buckets: the text that a crowd was copied from is close to all of the crowd.
+    sizes = members.groupBy("bucket").agg(F.count("*").alias("size"))
+    central = members.join(sizes.hint("merge"), "bucket").groupBy("node").agg(F.sum("size").alias("central"))
+    ranked = saved(members.join(saved(central, "omh-central").hint("merge"), "node"), "omh-ranked")
+    best = F.max(F.struct("central", "node"))
+    low = ranked.groupBy("bucket").agg(best.alias("best"), F.count("*").alias("size")).where("size > 1")
+    first = saved(ranked.join(low.select("bucket", F.col("best.node").alias("low")).hint("merge"), "bucket"), "omh-pivots")
+    high = first.where("node <> low").groupBy("bucket").agg(best.alias("best"))
+    met = saved(
+        first.select("bucket", "node", "low").join(high.select("bucket", F.col("best.node").alias("high")).hint("merge"), "bucket"), "omh-met",
     )
+    pairs = met.where("node <> low").select(F.col("low").alias("p"), F.col("node").alias("q")).union(
+        met.where("node <> high and node <> low").select(F.col("high").alias("p"), F.col("node").alias("q")),
+    ).select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"))
     known = saved(aligned(saved(pairs.distinct(), "omh-pairs"), texts, far), "omh-aligned")
+    both = known.select(F.col("a").alias("pivot"), F.col("b").alias("node"), "distance").union(
+        known.select(F.col("b").alias("pivot"), F.col("a").alias("node"), "distance"),
+    )
     linked = known.where(f"distance <= {near}").select("a", "b")
     roots = saved(components(linked, "omh-first"), "omh-roots")
 
@@ -251,8 +263,7 @@ def links(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     # is one component but for a few nodes, so only nodes outside its largest one are met with
     # all others; distances from either pivot then rule out most pairs.
     def distance(end: str) -> DataFrame:
-        one, two = ("a", "b") if end == "low" else ("b", "a")
-        return known.select(F.col(one).alias(end), F.col(two).alias("node"), F.col("distance").alias(f"to_{end}"))
+        return both.select(F.col("pivot").alias(end), "node", F.col("distance").alias(f"to_{end}"))
 
     def possible(x: str, y: str) -> Column:
         """Whether a link is, by the distances from a pivot; null is any beyond ``far``."""
@@ -282,8 +293,7 @@ def links(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
             (F.col("root") != F.col("rx")) & possible("to_low", "lx") & possible("to_high", "hx")
         ).select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
     )
-    done = known.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    apart = saved(apart.join(done, ["a", "b"], "left_anti"), "omh-apart")
+    apart = saved(apart.join(known.select("a", "b"), ["a", "b"], "left_anti"), "omh-apart")
     if apart.isEmpty():
         return linked
     found = aligned(apart, texts, far).where(f"distance <= {near}").select("a", "b")
