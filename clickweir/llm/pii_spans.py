@@ -4,7 +4,8 @@ Base kinds (email, ip, card, phone) are decided by pattern and validator alone a
 dropped. The method adds kinds whose pattern alone says little:
 
 * ``iban``: country letters, two check digits and up to 30 further characters; confirmed
-  by mod-97;
+  by mod-97. Words and numbers may follow it behind a blank, so every end of a group is tried:
+  first the length of the country, then the others from the longest on;
 * ``id_number``: 9 to 12 digits in groups, confirmed only by context words before it;
 * ``secret``: a long mixed token that follows a word such as ``password`` or ``token``, or
   an access key of a fixed form.
@@ -50,6 +51,16 @@ _IP = re.compile(r"(?<![0-9])([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+_IBAN_LEAST = 15
+# Lengths in the registry of ISO 13616.
+_IBAN_LENGTHS = {
+    country: size for size, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+        25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV",
+        29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items() for country in countries.split()
+}
 _ID = re.compile(r"(?<![0-9A-Za-z.-])[0-9]{2,4}(?:[ -]?[0-9]{2,4}){2,3}(?![0-9A-Za-z])")
 _SECRET = re.compile(
     r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}(?![0-9A-Za-z])"
@@ -88,6 +99,25 @@ def emails(text: str) -> Iterator[tuple[int, int]]:
         at = text.find("@", end)
 
 
+def ibans(text: str) -> Iterator[tuple[int, int]]:
+    """Spans confirmed by mod-97; behind a failed proposal the search goes on after its check digits."""
+    m = _IBAN.search(text)
+    while m:
+        start = at = m.start()
+        ends, size = [], 0  # (characters without blanks, end) of every group, longest first
+        for group in m[0].split(" "):
+            at += len(group) + 1
+            size += len(group)
+            if size >= _IBAN_LEAST:
+                ends.insert(0, (size, at - 1))
+        own = _IBAN_LENGTHS.get(m[0][:2])
+        ends.sort(key=lambda x: x[0] != own)
+        end = next((end for _, end in ends if mod97(text[start:end].replace(" ", ""))), None)
+        if end is not None:
+            yield start, end
+        m = _IBAN.search(text, start + 4 if end is None else end)
+
+
 def _digits(text: str) -> str:
     return "".join(c for c in text if "0" <= c <= "9")
 
@@ -126,26 +156,24 @@ def more_spans(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, i
     """Spans the method adds; none of them overlaps a base span or one of an earlier kind."""
     if _HAS_DIGIT.search(text) is None:
         return []
-    proposals = [("iban", m, mod97(m[0].replace(" ", ""))) for m in _IBAN.finditer(text)]
+    proposals = [("iban", *span, True) for span in ibans(text)]
     if WORDS["id_number"].search(text):
-        proposals += [("id_number", m, False) for m in _ID.finditer(text) if 9 <= len(_digits(m[0])) <= 12]
+        proposals += [("id_number", *m.span(), False) for m in _ID.finditer(text) if 9 <= len(_digits(m[0])) <= 12]
     if "AKIA" in text or WORDS["secret"].search(text):
         proposals += [
-            ("secret", m, m[0].startswith("AKIA") or _KEY.search(text[max(0, m.start() - NEAR):m.start()]) is not None)
+            ("secret", *m.span(), m[0].startswith("AKIA") or _KEY.search(text[max(0, m.start() - NEAR):m.start()]) is not None)
             for m in _SECRET.finditer(text) if _HAS_DIGIT.search(m[0])
         ]
     found: list[tuple[int, int, str]] = []
     taken = bytearray(len(text) if proposals else 0)
     for start, end, _ in base if proposals else ():
         taken[start:end] = b"\1" * (end - start)
-    for kind, m, checked in proposals:
-        if kind == "iban" and not checked:
-            continue
-        if _score(kind, text, m.start(), m.end(), checked) < KEEP:
+    for kind, start, end, checked in proposals:
+        if _score(kind, text, start, end, checked) < KEEP:
             continue
-        if taken.find(1, m.start(), m.end()) < 0:
-            found.append((m.start(), m.end(), kind))
-            taken[m.start():m.end()] = b"\1" * (m.end() - m.start())
+        if taken.find(1, start, end) < 0:
+            found.append((start, end, kind))
+            taken[start:end] = b"\1" * (end - start)
     return found
 
 
