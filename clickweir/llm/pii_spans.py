@@ -64,7 +64,7 @@ _IBAN_LENGTHS = {
 _ID = re.compile(r"(?<![0-9A-Za-z.-])[0-9]{2,4}(?:[ -]?[0-9]{2,4}){2,3}(?![0-9A-Za-z])")
 _SECRET = re.compile(
     r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}(?![0-9A-Za-z])"
-    r"|(?<=[=: \"'])[A-Za-z0-9_/+-]{12,128}(?![A-Za-z0-9_/+-]))"
+    r"|(?<=[=: \"'])[A-Za-z0-9_/+-]{12,}+)"
 )
 _KEY = re.compile(r"(?i)(?:password|passwd|pwd|secret|token|api[_-]?key)[\"' ]{0,2}[=:][\"' ]{0,2}\Z")
 

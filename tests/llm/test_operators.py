@@ -459,6 +459,12 @@ def test_pii_iban_before_other_words():
         assert [text[a:b] for a, b, k in pii_spans.more_spans(text, []) if k == "iban"] == spans
 
 
+def test_pii_secrets_of_any_length():
+    for size in (12, 128, 129, 5000):
+        text = f"token={'a1' * (size // 2)}{'b' * (size % 2)}. end"
+        assert pii_spans.more_spans(text, []) == [(6, 6 + size, "secret")]
+
+
 def test_pii_is_linear():
     import time
 
