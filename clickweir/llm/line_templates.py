@@ -6,6 +6,10 @@ where all lines have the same length, a template is the masked line, or, for lin
 ``GENERAL`` tokens or more, the masked line with one of ``SEGMENTS`` equal parts of the rest
 left open, which generalises fields that hold no digit. A template that occurs in at least
 ``MIN_DOCS`` documents recurs: its first line by document and place stays, all others go.
+With ``long_docs`` the masked line of a long line recurs from that many documents on; long are
+lines of ``GENERAL`` tokens, at least half of them fixed, or of ``LONG_CHARS`` fixed characters,
+as such lines hardly repeat by chance. ``PASSAGES`` sets it for the pipeline; ``op1_lines`` has
+the plain settings, which are those of its SQL.
 
 Templates are hashed, counted with partial aggregation by (template, document) and then by
 template, so a line that every third document holds is one row a task. Texts are shuffled
@@ -30,16 +34,22 @@ SEGMENTS = 4
 GENERAL = 12
 MIN_TOKENS = 3
 MIN_DOCS = 3
+LONG_CHARS = 60
+PASSAGES = {"long_docs": 2}
+FIELD = "<*>"
 
 # A token with a digit, met at the token's start only, so that long tokens cost linear time.
 VARIABLE = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
 
 
-def _occurrences(docs: DataFrame, key: str, text: str, depth: int, segments: int, general: int, min_tokens: int) -> DataFrame:
+def _occurrences(
+    docs: DataFrame, key: str, text: str, depth: int, segments: int, general: int, min_tokens: int, long_docs: int | None,
+) -> DataFrame:
     """doc, text_hash, line and template: a row for every template of every line.
 
     A line's parts are hashed once, and its templates are hashes of those. The outer form of
     explode keeps the optimizer from computing what is exploded twice, for a filter on size.
+    With ``long_docs`` the lowest bit of a template tells whether it is of a whole long line.
     """
     def bound(j: int) -> Column:
         return F.lit(depth) + F.floor((F.col("n") - depth) * j / segments).cast("int")
@@ -47,15 +57,25 @@ def _occurrences(docs: DataFrame, key: str, text: str, depth: int, segments: int
     lines = docs.select(
         F.col(key).alias("doc"), F.xxhash64(text).alias("text_hash"), F.posexplode_outer(F.split(text, "\n")).alias("line", "body"),
     )
-    masked = F.when(F.col("body").rlike("[0-9]"), F.regexp_replace("body", VARIABLE, "<*>")).otherwise(F.col("body"))
-    tokens = lines.select("doc", "text_hash", "line", words(masked).alias("tokens")).withColumn("n", F.size("tokens"))
+    masked = F.when(F.col("body").rlike("[0-9]"), F.regexp_replace("body", VARIABLE, FIELD)).otherwise(F.col("body"))
+    read = lines.select("doc", "text_hash", "line", masked.alias("masked"))
+    n_chars, fixed_chars = F.length("masked"), F.length(F.replace("masked", F.lit(FIELD), F.lit("")))
+    tokens = read.select(
+        "doc", "text_hash", "line", words(F.col("masked")).alias("tokens"),
+        fixed_chars.alias("fixed_chars"), ((n_chars - fixed_chars) / len(FIELD)).cast("int").alias("fields"),
+    ).withColumn("n", F.size("tokens"))
+    long = ((F.col("n") >= general) & (2 * F.col("fields") <= F.col("n"))) | (F.col("fixed_chars") >= LONG_CHARS)
     hashed = tokens.select(
-        "doc", "text_hash", "line", "n", F.xxhash64(F.slice("tokens", 1, depth)).alias("head"),
+        "doc", "text_hash", "line", "n", long.alias("long"), F.xxhash64(F.slice("tokens", 1, depth)).alias("head"),
         *(F.xxhash64(F.slice(F.col("tokens"), bound(j) + 1, F.greatest(bound(j + 1) - bound(j), F.lit(0)))).alias(f"part{j}") for j in range(segments)),
     )
     parts = [f"part{j}" for j in range(segments)]
     exact = F.xxhash64(F.col("n"), F.lit(-1), F.col("head"), *map(F.col, parts))
     opened = [F.xxhash64(F.col("n"), F.lit(j), F.col("head"), *(F.col(p) for p in parts if p != parts[j])) for j in range(segments)]
+    if long_docs is not None:
+        even = F.lit(-2).cast("long")
+        exact = exact.bitwiseAND(even).bitwiseOR(F.col("long").cast("long"))
+        opened = [x.bitwiseAND(even) for x in opened]
     templates = F.when(F.col("n") >= general, F.array(exact, *opened)).when(F.col("n") >= min_tokens, F.array(exact))
     return hashed.select("doc", "text_hash", "line", F.explode_outer(templates).alias("template")).where("template is not null")
 
@@ -63,14 +83,18 @@ def _occurrences(docs: DataFrame, key: str, text: str, depth: int, segments: int
 def recurring_lines(
     docs: DataFrame, key: str = "doc_id", text: str = "text", min_docs: int = MIN_DOCS,
     depth: int = DEPTH, segments: int = SEGMENTS, general: int = GENERAL, min_tokens: int = MIN_TOKENS,
+    long_docs: int | None = None,
 ) -> DataFrame:
     """One row per document that loses lines: doc, text_hash, dropped (numbers from 0)."""
-    occurrences = saved(_occurrences(docs, key, text, depth, segments, general, min_tokens), "line-occurrences")
+    occurrences = saved(_occurrences(docs, key, text, depth, segments, general, min_tokens, long_docs), "line-occurrences")
     first = F.struct(F.col("doc").isNull().alias("last"), "doc", "text_hash", "line")
+    needed = F.lit(min_docs)
+    if long_docs is not None:
+        needed = F.when(F.col("template").bitwiseAND(F.lit(1)) == 1, long_docs).otherwise(min_docs)
     recurring = saved(
         occurrences.groupBy("template", "doc", "text_hash").agg(F.min("line").alias("line"))
         .groupBy("template").agg(F.count("*").alias("docs"), F.min(first).alias("first"))
-        .where(F.col("docs") >= min_docs)
+        .where(F.col("docs") >= needed)
         .select("template", F.col("first.doc").alias("first_doc"), F.col("first.text_hash").alias("first_hash"), F.col("first.line").alias("first_line")),
         "line-templates",
     )

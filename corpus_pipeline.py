@@ -40,7 +40,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, folder: str) -> Data
 
 def drop_lines(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """All documents, without lines that recur in others."""
-    return _resized(line_templates.drop_recurring(docs))
+    return _resized(line_templates.drop_recurring(docs, **line_templates.PASSAGES))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

@@ -11,6 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from clickweir.llm import (
     byte_gru,
     chat_schema,
@@ -80,6 +81,22 @@ def test_line_dedup_leaves_unlike_lines(spark):
     assert {r["text"] for r in line_templates.drop_recurring(frame).collect()} == {t for _, t in rows}
 
 
+def pipeline_lines(spark, rows):
+    """doc_id to the lines that the pipeline's stage leaves."""
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    return {r["doc_id"]: r["text"].split("\n") for r in corpus_pipeline.drop_lines(spark, frame, FOLDER).collect()}
+
+
+def test_line_dedup_of_passages_in_two_documents(spark):
+    words = [f"w{chr(97 + i)}" for i in range(12)]
+    passage, script = " ".join([*words[:6], "2024", *words[6:]]), "\u4e2d\u6587" * 20 + " " + "\u6587\u672c" * 20 + " x"
+    numbers = " ".join(str(i) for i in range(12))
+    rows = [(i, f"{passage.replace('2024', str(2000 + i))}\n{script}\nshort line of both\n{numbers}\nown {'ab'[i]}") for i in range(2)]
+    cut = pipeline_lines(spark, rows)
+    assert cut[0] == rows[0][1].split("\n")
+    assert cut[1] == ["short line of both", numbers, "own b"]
+
+
 def test_line_dedup_odd(spark, odd):
     out = line_templates.drop_recurring(odd)
     assert out.columns == odd.columns
