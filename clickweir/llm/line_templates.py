@@ -8,8 +8,10 @@ left open, which generalises fields that hold no digit. A template that occurs i
 ``MIN_DOCS`` documents recurs: its first line by document and place stays, all others go.
 With ``long_docs`` the masked line of a long line recurs from that many documents on; long are
 lines of ``GENERAL`` tokens, at least half of them fixed, or of ``LONG_CHARS`` fixed characters,
-as such lines hardly repeat by chance. ``PASSAGES`` sets it for the pipeline; ``op1_lines`` has
-the plain settings, which are those of its SQL.
+as such lines hardly repeat by chance. With ``min_chars`` lines of fewer than ``MIN_TOKENS``
+tokens (a script without blanks, a URL) are counted too if they have that many characters; in
+these only the digits of a token vary. ``PASSAGES`` sets both for the pipeline; ``op1_lines``
+has the plain settings, which are those of its SQL.
 
 Templates are hashed, counted with partial aggregation by (template, document) and then by
 template, so a line that every third document holds is one row a task. Texts are shuffled
@@ -17,8 +19,8 @@ once, to meet the numbers of the lines they lose.
 
 Defined results: a document is its id and text, so rows repeated in full count once and all
 get the same result; a null text stays null and an empty one empty; a null id is ordered
-after all others; lines of fewer than ``MIN_TOKENS`` tokens always stay; ties cannot occur,
-as places differ; other columns are carried along whatever their names; an empty table gives
+after all others; lines of fewer than ``MIN_TOKENS`` tokens always stay, with ``min_chars``
+only if they are shorter; ties cannot occur, as places differ; other columns are carried along whatever their names; an empty table gives
 no rows.
 """
 
@@ -27,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickweir.llm.frames import packed, saved, words
+from clickweir.llm.frames import BLANKS, packed, saved, words
 
 DEPTH = 2
 SEGMENTS = 4
@@ -35,15 +37,18 @@ GENERAL = 12
 MIN_TOKENS = 3
 MIN_DOCS = 3
 LONG_CHARS = 60
-PASSAGES = {"long_docs": 2}
+MIN_CHARS = 30
+PASSAGES = {"long_docs": 2, "min_chars": MIN_CHARS}
 FIELD = "<*>"
+TOKEN = r"[^\x20\x09-\x0D]++"
 
 # A token with a digit, met at the token's start only, so that long tokens cost linear time.
 VARIABLE = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
 
 
 def _occurrences(
-    docs: DataFrame, key: str, text: str, depth: int, segments: int, general: int, min_tokens: int, long_docs: int | None,
+    docs: DataFrame, key: str, text: str, depth: int, segments: int, general: int, min_tokens: int,
+    long_docs: int | None, min_chars: int | None,
 ) -> DataFrame:
     """doc, text_hash, line and template: a row for every template of every line.
 
@@ -57,16 +62,22 @@ def _occurrences(
     lines = docs.select(
         F.col(key).alias("doc"), F.xxhash64(text).alias("text_hash"), F.posexplode_outer(F.split(text, "\n")).alias("line", "body"),
     )
-    masked = F.when(F.col("body").rlike("[0-9]"), F.regexp_replace("body", VARIABLE, FIELD)).otherwise(F.col("body"))
-    read = lines.select("doc", "text_hash", "line", masked.alias("masked"))
+    has_digit, counted = F.col("body").rlike("[0-9]"), F.col("n") >= min_tokens
+    masked = F.when(has_digit, F.regexp_replace("body", VARIABLE, FIELD)).otherwise(F.col("body"))
+    if min_chars is not None:
+        # One or two tokens, as many as min_tokens leaves out.
+        few = F.col("body").rlike(rf"^(?:{BLANKS}+)?+(?:{TOKEN}{BLANKS}+){{0,{min_tokens - 2}}}{TOKEN}(?:{BLANKS}+)?+$")
+        masked = F.when(has_digit & few, F.regexp_replace("body", "[0-9]++", FIELD)).otherwise(masked)
+        counted = counted | ((F.col("n") > 0) & (F.col("size") >= min_chars))
+    read = lines.select("doc", "text_hash", "line", F.length(F.btrim("body", F.lit(" \t\n\x0b\f\r"))).alias("size"), masked.alias("masked"))
     n_chars, fixed_chars = F.length("masked"), F.length(F.replace("masked", F.lit(FIELD), F.lit("")))
     tokens = read.select(
-        "doc", "text_hash", "line", words(F.col("masked")).alias("tokens"),
+        "doc", "text_hash", "line", "size", words(F.col("masked")).alias("tokens"),
         fixed_chars.alias("fixed_chars"), ((n_chars - fixed_chars) / len(FIELD)).cast("int").alias("fields"),
     ).withColumn("n", F.size("tokens"))
     long = ((F.col("n") >= general) & (2 * F.col("fields") <= F.col("n"))) | (F.col("fixed_chars") >= LONG_CHARS)
     hashed = tokens.select(
-        "doc", "text_hash", "line", "n", long.alias("long"), F.xxhash64(F.slice("tokens", 1, depth)).alias("head"),
+        "doc", "text_hash", "line", "n", "size", long.alias("long"), F.xxhash64(F.slice("tokens", 1, depth)).alias("head"),
         *(F.xxhash64(F.slice(F.col("tokens"), bound(j) + 1, F.greatest(bound(j + 1) - bound(j), F.lit(0)))).alias(f"part{j}") for j in range(segments)),
     )
     parts = [f"part{j}" for j in range(segments)]
@@ -76,17 +87,17 @@ def _occurrences(
         even = F.lit(-2).cast("long")
         exact = exact.bitwiseAND(even).bitwiseOR(F.col("long").cast("long"))
         opened = [x.bitwiseAND(even) for x in opened]
-    templates = F.when(F.col("n") >= general, F.array(exact, *opened)).when(F.col("n") >= min_tokens, F.array(exact))
+    templates = F.when(F.col("n") >= general, F.array(exact, *opened)).when(counted, F.array(exact))
     return hashed.select("doc", "text_hash", "line", F.explode_outer(templates).alias("template")).where("template is not null")
 
 
 def recurring_lines(
     docs: DataFrame, key: str = "doc_id", text: str = "text", min_docs: int = MIN_DOCS,
     depth: int = DEPTH, segments: int = SEGMENTS, general: int = GENERAL, min_tokens: int = MIN_TOKENS,
-    long_docs: int | None = None,
+    long_docs: int | None = None, min_chars: int | None = None,
 ) -> DataFrame:
     """One row per document that loses lines: doc, text_hash, dropped (numbers from 0)."""
-    occurrences = saved(_occurrences(docs, key, text, depth, segments, general, min_tokens, long_docs), "line-occurrences")
+    occurrences = saved(_occurrences(docs, key, text, depth, segments, general, min_tokens, long_docs, min_chars), "line-occurrences")
     first = F.struct(F.col("doc").isNull().alias("last"), "doc", "text_hash", "line")
     needed = F.lit(min_docs)
     if long_docs is not None:

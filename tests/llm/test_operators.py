@@ -97,6 +97,16 @@ def test_line_dedup_of_passages_in_two_documents(spark):
     assert cut[1] == ["short line of both", numbers, "own b"]
 
 
+def test_line_dedup_of_long_lines_of_few_tokens(spark):
+    script = "\u672c\u7ad9\u7248\u6743\u6240\u6709\u8f6c\u8f7d\u8bf7\u6ce8\u660e" * 3
+    rows = [(i, f"{script}{i}\u5e74\nhttps://example.org/{'abcd'[i]}/some/long/path/{i}\n https://example.org/same/path/for/all {i}\nHome\nown {'abcd'[i]}") for i in range(4)]
+    cut = pipeline_lines(spark, rows)
+    assert cut[0] == rows[0][1].split("\n")
+    for i in (1, 2, 3):
+        # a URL that differs in a letter is another line, and a short one stays
+        assert cut[i] == [f"https://example.org/{'abcd'[i]}/some/long/path/{i}", "Home", f"own {'abcd'[i]}"]
+
+
 def test_line_dedup_odd(spark, odd):
     out = line_templates.drop_recurring(odd)
     assert out.columns == odd.columns
