@@ -10,8 +10,14 @@ With ``long_docs`` the masked line of a long line recurs from that many document
 lines of ``GENERAL`` tokens, at least half of them fixed, or of ``LONG_CHARS`` fixed characters,
 as such lines hardly repeat by chance. With ``min_chars`` lines of fewer than ``MIN_TOKENS``
 tokens (a script without blanks, a URL) are counted too if they have that many characters; in
-these only the digits of a token vary. ``PASSAGES`` sets both for the pipeline; ``op1_lines``
-has the plain settings, which are those of its SQL.
+these only the digits of a token vary. With ``cuts`` the open parts are as long but start at
+every ``cuts``-th of their length, so that a field across the border of two parts is in a third
+one. ``PASSAGES`` sets these for the pipeline; ``op1_lines`` has the plain settings, which are
+those of its SQL.
+
+What still escapes: fields without a digit that lie in different parts or are longer than one,
+among the first ``DEPTH`` tokens, that change the number of tokens, and those of lines of fewer
+than ``GENERAL`` tokens, where one open word would also join sentences that are merely alike.
 
 Templates are hashed, counted with partial aggregation by (template, document) and then by
 template, so a line that every third document holds is one row a task. Texts are shuffled
@@ -38,7 +44,7 @@ MIN_TOKENS = 3
 MIN_DOCS = 3
 LONG_CHARS = 60
 MIN_CHARS = 30
-PASSAGES = {"long_docs": 2, "min_chars": MIN_CHARS}
+PASSAGES = {"long_docs": 2, "min_chars": MIN_CHARS, "cuts": 2}
 FIELD = "<*>"
 TOKEN = r"[^\x20\x09-\x0D]++"
 
@@ -48,7 +54,7 @@ VARIABLE = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
 
 def _occurrences(
     docs: DataFrame, key: str, text: str, depth: int, segments: int, general: int, min_tokens: int,
-    long_docs: int | None, min_chars: int | None,
+    long_docs: int | None, min_chars: int | None, cuts: int,
 ) -> DataFrame:
     """doc, text_hash, line and template: a row for every template of every line.
 
@@ -56,8 +62,10 @@ def _occurrences(
     explode keeps the optimizer from computing what is exploded twice, for a filter on size.
     With ``long_docs`` the lowest bit of a template tells whether it is of a whole long line.
     """
+    n_parts = segments * cuts
+
     def bound(j: int) -> Column:
-        return F.lit(depth) + F.floor((F.col("n") - depth) * j / segments).cast("int")
+        return F.lit(depth) + F.floor((F.col("n") - depth) * j / n_parts).cast("int")
 
     lines = docs.select(
         F.col(key).alias("doc"), F.xxhash64(text).alias("text_hash"), F.posexplode_outer(F.split(text, "\n")).alias("line", "body"),
@@ -66,7 +74,7 @@ def _occurrences(
     masked = F.when(has_digit, F.regexp_replace("body", VARIABLE, FIELD)).otherwise(F.col("body"))
     if min_chars is not None:
         # One or two tokens, as many as min_tokens leaves out.
-        few = F.col("body").rlike(rf"^(?:{BLANKS}+)?+(?:{TOKEN}{BLANKS}+){{0,{min_tokens - 2}}}{TOKEN}(?:{BLANKS}+)?+$")
+        few = F.col("body").rlike(rf"^(?:{BLANKS}+)?+(?:{TOKEN}{BLANKS}+){{0,{max(min_tokens - 2, 0)}}}{TOKEN}(?:{BLANKS}+)?+$")
         masked = F.when(has_digit & few, F.regexp_replace("body", "[0-9]++", FIELD)).otherwise(masked)
         counted = counted | ((F.col("n") > 0) & (F.col("size") >= min_chars))
     read = lines.select("doc", "text_hash", "line", F.length(F.btrim("body", F.lit(" \t\n\x0b\f\r"))).alias("size"), masked.alias("masked"))
@@ -78,11 +86,13 @@ def _occurrences(
     long = ((F.col("n") >= general) & (2 * F.col("fields") <= F.col("n"))) | (F.col("fixed_chars") >= LONG_CHARS)
     hashed = tokens.select(
         "doc", "text_hash", "line", "n", "size", long.alias("long"), F.xxhash64(F.slice("tokens", 1, depth)).alias("head"),
-        *(F.xxhash64(F.slice(F.col("tokens"), bound(j) + 1, F.greatest(bound(j + 1) - bound(j), F.lit(0)))).alias(f"part{j}") for j in range(segments)),
+        *(F.xxhash64(F.slice(F.col("tokens"), bound(j) + 1, F.greatest(bound(j + 1) - bound(j), F.lit(0)))).alias(f"part{j}") for j in range(n_parts)),
     )
-    parts = [f"part{j}" for j in range(segments)]
+    parts = [f"part{j}" for j in range(n_parts)]
     exact = F.xxhash64(F.col("n"), F.lit(-1), F.col("head"), *map(F.col, parts))
-    opened = [F.xxhash64(F.col("n"), F.lit(j), F.col("head"), *(F.col(p) for p in parts if p != parts[j])) for j in range(segments)]
+    opened = [
+        F.xxhash64(F.col("n"), F.lit(j), F.col("head"), *map(F.col, parts[:j] + parts[j + cuts:])) for j in range(n_parts - cuts + 1)
+    ]
     if long_docs is not None:
         even = F.lit(-2).cast("long")
         exact = exact.bitwiseAND(even).bitwiseOR(F.col("long").cast("long"))
@@ -94,10 +104,10 @@ def _occurrences(
 def recurring_lines(
     docs: DataFrame, key: str = "doc_id", text: str = "text", min_docs: int = MIN_DOCS,
     depth: int = DEPTH, segments: int = SEGMENTS, general: int = GENERAL, min_tokens: int = MIN_TOKENS,
-    long_docs: int | None = None, min_chars: int | None = None,
+    long_docs: int | None = None, min_chars: int | None = None, cuts: int = 1,
 ) -> DataFrame:
     """One row per document that loses lines: doc, text_hash, dropped (numbers from 0)."""
-    occurrences = saved(_occurrences(docs, key, text, depth, segments, general, min_tokens, long_docs, min_chars), "line-occurrences")
+    occurrences = saved(_occurrences(docs, key, text, depth, segments, general, min_tokens, long_docs, min_chars, cuts), "line-occurrences")
     first = F.struct(F.col("doc").isNull().alias("last"), "doc", "text_hash", "line")
     needed = F.lit(min_docs)
     if long_docs is not None:

@@ -107,6 +107,13 @@ def test_line_dedup_of_long_lines_of_few_tokens(spark):
         assert cut[i] == [f"https://example.org/{'abcd'[i]}/some/long/path/{i}", "Home", f"own {'abcd'[i]}"]
 
 
+def test_line_dedup_generalises_across_the_border_of_two_parts(spark):
+    words = [f"w{chr(97 + i)}" for i in range(18)]
+    rows = [(i, f"{' '.join([*words[:5], f'open{x}', f'more{x}', *words[7:]])}\nown {x}") for i, x in enumerate("abcd")]
+    cut = pipeline_lines(spark, rows)
+    assert cut == {0: rows[0][1].split("\n")} | {i: [f"own {'abcd'[i]}"] for i in (1, 2, 3)}
+
+
 def test_line_dedup_odd(spark, odd):
     out = line_templates.drop_recurring(odd)
     assert out.columns == odd.columns
