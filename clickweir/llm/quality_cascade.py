@@ -8,8 +8,10 @@ left alone by all rules behind the one that rejects it. The order changes the ti
 the verdict.
 
 Repeated windows: every window of three words gets a 40-bit hash above its 24-bit position;
-after one sort of these numbers equal windows are neighbours, whose words are then compared,
-so a collision of hashes counts nothing.
+after one sort of these numbers equal windows are neighbours, whose words are then compared.
+Where neighbours of one hash have different words, or positions need more than 24 bits, the
+windows of that document are sorted by their words instead, so a collision of hashes neither
+counts nor hides anything.
 
 Defined results: a null, empty or blank text has no words, zero counts and fails the base
 rule; a null doc_id stays null; repeated rows are judged alike, once per row; other columns,
@@ -80,9 +82,25 @@ def counted(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
             & (F.get(w, i) == F.get(w, j)) & (F.get(w, i + 1) == F.get(w, j + 1)) & (F.get(w, i + 2) == F.get(w, j + 2))
         )
 
+    def hash_of(a: Column) -> Column:
+        return F.shiftright(a, POSITION_BITS)
+
     v = F.col("windows")
+    collided = F.filter(v, lambda x, i: F.coalesce((hash_of(x) == hash_of(F.get(v, i + 1))) & ~same(x, F.get(v, i + 1)), F.lit(False)))
+    sure = keyed.withColumn("exact", (F.col("n_words") > low) | (F.size(collided) > 0))
     found = F.filter(v, lambda x, i: F.coalesce(same(x, F.get(v, i + 1)), F.lit(False)) | ((i > 0) & F.coalesce(same(x, F.get(v, i - 1)), F.lit(False))))
-    starts = keyed.withColumn("starts", F.transform(found, lambda x: x.bitwiseAND(low)))
+    by_words = sure.withColumn("windows_by_words", F.when(F.col("exact"), F.sort_array(F.transform(
+        places, lambda i: F.struct(F.get(w, i - 1).alias("a"), F.get(w, i).alias("b"), F.get(w, i + 1).alias("c"), i.cast("long").alias("i")),
+    ))))
+    u = F.col("windows_by_words")
+
+    def equal(x: Column, y: Column) -> Column:
+        return F.coalesce((x["a"] == y["a"]) & (x["b"] == y["b"]) & (x["c"] == y["c"]), F.lit(False))
+
+    found_by_words = F.filter(u, lambda x, i: equal(x, F.get(u, i + 1)) | ((i > 0) & equal(x, F.get(u, i - 1))))
+    starts = by_words.withColumn("starts", F.when(
+        F.col("exact"), F.transform(found_by_words, lambda x: x["i"]),
+    ).otherwise(F.transform(found, lambda x: x.bitwiseAND(low))))
     covered = F.when(F.size("starts") == 0, F.lit(0)).otherwise(F.size(F.array_distinct(F.concat(
         F.col("starts"), F.transform("starts", lambda s: s + 1), F.transform("starts", lambda s: s + 2),
     ))))

@@ -234,6 +234,17 @@ def test_quality_counts(odd, docs):
     assert got == sorted(counts_of(r["text"]) for r in docs.select("text").union(odd.select("text")).collect())
 
 
+@pytest.mark.parametrize("bits", [4, 58])
+def test_quality_counts_with_few_bits(spark, monkeypatch, bits):
+    """Texts of more words than positions have bits for, and many collisions of hashes."""
+    monkeypatch.setattr(quality_cascade, "POSITION_BITS", bits)
+    rng = random.Random(bits)
+    texts = [" ".join(rng.choices("abcdefgh", k=k)) for k in (3, 15, 16, 17, 60, 300) for _ in range(5)]
+    frame = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
+    got = {r["key"]: r["n_repeat_words"] for r in quality_cascade.counted(frame).collect()}
+    assert got == {i: counts_of(t)[-1] for i, t in enumerate(texts)}
+
+
 def test_quality_order_does_not_change_the_verdict(docs):
     counts = quality_cascade.counted(docs)
     order = quality_cascade.ordered_rules(counts)
