@@ -22,8 +22,9 @@ Texts are read once; what is shuffled are keys and, for candidates only, word ha
 intermediate table is written to the shared folder.
 
 Defined results: a null text counts as an empty one; texts without words are copies only of
-equal texts; texts of fewer than five words are one shingle; a class is named by its smallest
-id, and by null if it has none; rows repeated in full are copies; other columns, whatever
+equal texts; texts of fewer than five words are one shingle; a class is its component, named by
+its smallest id, by null if it has none, and by its root besides where ids repeat; one row of
+each is kept; rows repeated in full are copies; other columns, whatever
 their names, are ignored; an empty table gives no rows.
 """
 
@@ -301,7 +302,10 @@ def links(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
 
 
 def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
-    """One row per row of ``docs``: key, class_id, and ``node``, which names its text."""
+    """One row per row of ``docs``: key, class_id, ``node``, which names its text, and ``root``.
+
+    Classes whose smallest ids are the same id differ in ``root``.
+    """
     rows = saved(sketches(docs, key, text), "omh-sketches")
     roots = saved(components(links(rows, similarity), "omh"), "omh-classes")
     placed = rows.select("doc", "node").join(roots, "node", "left").select(
@@ -309,7 +313,7 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity
     )
     placed = saved(placed, "omh-placed")
     names = saved(placed.groupBy("root").agg(F.min("doc").alias("class_id")), "omh-names")
-    return placed.join(names, "root").select(F.col("doc").alias(key), "class_id", "node")
+    return placed.join(names, "root").select(F.col("doc").alias(key), "class_id", "node", "root")
 
 
 def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
@@ -317,8 +321,7 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", simil
     found = saved(classes(docs, key, text, similarity), "omh-found")
     first = F.min(F.struct(F.col(key).isNull().alias("last"), F.col(key).alias("who"), "node", "n"))
     kept = saved(
-        found.groupBy(key, "class_id", "node").agg(F.count("*").alias("n"))
-        .groupBy(F.coalesce(F.col("class_id").cast("string"), F.hex("node")).alias("class")).agg(first.alias("first"))
+        found.groupBy(key, "root", "node").agg(F.count("*").alias("n")).groupBy("root").agg(first.alias("first"))
         .select("first.who", "first.node", "first.n"), "omh-kept",
     )
     rows = docs.select(

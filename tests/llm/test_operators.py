@@ -432,6 +432,17 @@ def test_near_duplicates_odd(spark, odd):
     assert order_minhash.classes(empty(spark)).collect() == []
 
 
+def test_near_duplicates_of_repeated_and_missing_ids(spark):
+    long = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(60)]
+    a, b = " ".join(long), " ".join(long[1:])
+    twice = spark.createDataFrame([(1, "red green blue"), (2, "red green blue"), (1, "one two three")], "doc_id long, text string")
+    assert sorted(r["text"] for r in order_minhash.deduplicated(twice).collect()) == ["one two three", "red green blue"]
+    roots = {(r["doc_id"], r["root"]) for r in order_minhash.classes(twice).collect()}
+    assert len(roots) == 3 and len({root for _, root in roots}) == 2
+    nameless = spark.createDataFrame([(None, a), (None, b), (None, "x")], "doc_id long, text string")
+    assert len(kept := [r["text"] for r in order_minhash.deduplicated(nameless).collect()]) == 2 and "x" in kept
+
+
 def test_components(spark):
     rng = random.Random(1)
     edges = [(i, i + 1) for i in range(60)] + [(100, 100 + i) for i in range(1, 40)] + [(rng.randrange(200, 400), rng.randrange(200, 400)) for _ in range(150)]
