@@ -4,8 +4,11 @@ A text is its sequence of five-word shingles (words in lower case). Shingles are
 with the number of their occurrence, and each of ``SLOTS`` samples takes the ``PICKED``
 labelled shingles with the smallest hashes and keeps them in text order: two texts share a
 slot's key if they share those shingles in that order, so keys follow edit similarity. Texts
-of similarity 0.8 share a slot with probability 0.8 ** PICKED at least, and miss all of them
-less than once in 50,000.
+that have s of all their u shingles in common share a slot with probability C(s, PICKED) /
+C(u, PICKED); at similarity 0.8 and from 16 shingles on they miss all slots less than once in
+50,000. Of short texts this is not enough, so texts of up to ``SHORT`` shingles have further
+keys: by one order of hashes their first shingles, as many as may not be lacking in the other
+text plus one. Two such texts of similarity 0.8 have one of these in common for certain.
 
 The similarity of two texts is matches / (shingles of both - matches), where the matches are
 those of the best alignment of the two sequences (of texts without moved parts: the Jaccard
@@ -30,6 +33,8 @@ their names, are ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -43,6 +48,7 @@ SHINGLE = 5
 SIMILARITY = 0.8
 SLOTS = 24
 PICKED = 4
+SHORT = 15
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _BYTES_AT_ONCE = 1 << 23
 
@@ -81,7 +87,7 @@ def _labelled(codes: np.ndarray) -> np.ndarray:
 
 
 def sketch(words: np.ndarray, slots: int = SLOTS, picked: int = PICKED) -> np.ndarray:
-    """One key per slot; none for a text without words."""
+    """One key per slot, and those of a short text behind them; none for a text without words."""
     codes = shingles(words)
     if len(codes) == 0:
         return np.zeros(0, np.int64)
@@ -95,6 +101,9 @@ def sketch(words: np.ndarray, slots: int = SLOTS, picked: int = PICKED) -> np.nd
         for code in codes[chosen].tolist():
             key = np.uint64((int(key) * 0x9E3779B97F4A7C15 + code) & 0xFFFFFFFFFFFFFFFF)
         keys[slot] = key
+    if len(codes) <= SHORT:
+        needed = math.ceil(SIMILARITY * len(codes) - 1e-9)
+        keys = np.concatenate([keys, np.sort(labelled)[:len(codes) - needed + 1]])
     return _mixed(keys).view(np.int64)
 
 
@@ -228,8 +237,9 @@ def links(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """
     near, far = 1 - similarity + 1e-9, 2 * (1 - similarity) + 1e-9
     nodes = saved(rows.select("node", "keys").groupBy("node").agg(F.first("keys").alias("keys")), "omh-nodes")
-    every = nodes.select("node", F.posexplode_outer("keys").alias("slot", "key")).where("key is not null").select(
-        "node", "key", F.xxhash64("slot", "key").alias("bucket"),
+    # A key tells its slot; those of short texts meet at any place.
+    every = nodes.select("node", F.explode_outer("keys").alias("key")).where("key is not null").select(
+        "node", "key", F.xxhash64("key").alias("bucket"),
     )
     shared = saved(every.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1").select("bucket"), "omh-shared")
     members = saved(every.join(shared.hint("merge"), "bucket", "left_semi"), "omh-members")

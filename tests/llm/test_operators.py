@@ -443,6 +443,15 @@ def test_near_duplicates_of_repeated_and_missing_ids(spark):
     assert len(kept := [r["text"] for r in order_minhash.deduplicated(nameless).collect()]) == 2 and "x" in kept
 
 
+def test_short_near_duplicates_share_a_key():
+    """A text of 4 to 12 shingles and the same with words added at its end, similarity 0.8 or more."""
+    rng = np.random.default_rng(7)
+    for n in (4, 5, 8, 9, 12):
+        for _ in range(3000):
+            words = rng.integers(0, 1 << 32, n + 4 + n // 4, dtype=np.uint32)
+            assert np.intersect1d(order_minhash.sketch(words), order_minhash.sketch(words[:n + 4])).size
+
+
 def test_components(spark):
     rng = random.Random(1)
     edges = [(i, i + 1) for i in range(60)] + [(100, 100 + i) for i in range(1, 40)] + [(rng.randrange(200, 400), rng.randrange(200, 400)) for _ in range(150)]
