@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickweir.llm import byte_gru, chat_schema, line_templates, norm_topk, order_minhash, packing, pii_spans, quality_cascade, viterbi_pieces, warc_chain
+from clickweir.llm import byte_gru, chat_schema, line_templates, norm_topk, order_minhash, packing, pii_spans, quality_cascade, spelling_fst, viterbi_pieces, warc_chain
 from clickweir.llm.frames import table
 from clickweir.session import fresh_dir
 
@@ -74,6 +74,10 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc_chain.page_rows(warc_chain.read_warc(spark, path, payloads=False))
 
 
+def op11_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling_fst.variants(spelling_fst.vocabulary(table(spark, folder, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lines": op1_lines,
     "op2_packing": op2_packing,
@@ -85,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_topk": op8_topk,
     "op9_language": op9_language,
     "op10_warc": op10_warc,
+    "op11_spelling": op11_spelling,
 }
 
 ORACLES: dict[str, str] = {
@@ -199,4 +204,43 @@ ORACLES: dict[str, str] = {
             CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
         FROM firsts
     """,
+    # The CRC runs over UTF-8 bytes: runs hold letters up to U+00FF, of one or two bytes each.
+    "op11_spelling": r"""
+        WITH RECURSIVE crc_table AS (
+            SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, [0, 0, 0, 0, 0, 0, 0, 0]),
+                lambda r, x: CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384) ELSE r >> 1 END)) AS t
+        ), runs AS (
+            SELECT coalesce(doc_id::VARCHAR, '') AS id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents
+        ), hashed AS (
+            SELECT run, xor(4294967295, list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(id || ':' || run, ''),
+                lambda ch: CASE WHEN ord(ch) < 128 THEN [ord(ch)::BIGINT] ELSE [195::BIGINT, ord(ch)::BIGINT - 64] END))),
+                lambda r, b: xor(r >> 8, t[(xor(r, b) & 255) + 1]))) AS h
+            FROM runs, crc_table WHERE length(run) >= 7
+        ), words AS (
+            SELECT CASE WHEN h % 31 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, count(*) AS n
+            FROM hashed GROUP BY 1 HAVING length(word) >= 7 AND n >= 2
+        ), places AS (
+            SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words
+        ), cut AS (
+            SELECT DISTINCT word, n, left(word, i - 1) || substr(word, i + 1) AS rest FROM places
+        ), gaps AS (
+            SELECT word, n, left(word, i - 1) || chr(1) || substr(word, i + 1) AS rest FROM places
+        ), near AS (
+            SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM gaps a JOIN gaps b ON a.rest = b.rest AND a.word <> b.word
+            UNION ALL SELECT a.word, a.n, b.word, b.n FROM cut a JOIN words b ON a.rest = b.word
+            UNION ALL SELECT b.word, b.n, a.word, a.n FROM cut a JOIN words b ON a.rest = b.word
+        ), best AS (
+            SELECT *, count(*) OVER (PARTITION BY word) AS n_near, row_number() OVER (PARTITION BY word ORDER BY other_n DESC, other) AS r FROM near
+        ), forms AS (
+            SELECT w.word, w.n, coalesce(b.n_near, 0)::BIGINT AS n_near, CASE WHEN other_n >= 10 * w.n THEN other END AS form,
+                CASE WHEN other_n >= 10 * w.n THEN other_n END AS form_n
+            FROM words w LEFT JOIN best b ON b.word = w.word AND r = 1
+        ), chain AS (
+            SELECT word, word AS at FROM forms
+            UNION ALL SELECT c.word, f.form FROM chain c JOIN forms f ON f.word = c.at WHERE f.form IS NOT NULL
+        )
+        SELECT f.word, f.form, c.at AS root, f.n, f.n_near, f.form_n
+        FROM forms f JOIN chain c USING (word) JOIN forms last ON last.word = c.at WHERE last.form IS NULL
+    """,
 }
