@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clickweir.session import fresh_dir
@@ -41,6 +41,28 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame, key: str, order: str, label: str) -> DataFrame:
+    """``df`` with ``rank``, the number from 0 of each row among those of its ``key``, by ``order``.
+
+    Range partitions are sorted in parallel and written with their positions; a count for each
+    (partition, key) turns positions into ranks, so no key passes through one task. For keys
+    of few values: there are fewer such counts than partitions and values together, and they
+    are broadcast.
+    """
+    placed = saved(
+        df.repartitionByRange(key, order).sortWithinPartitions(key, order).withColumn("row_", F.monotonically_increasing_id()),
+        label,
+    )
+    part = F.shiftright("row_", 33)
+    before = Window.partitionBy(key).orderBy("part_").rowsBetween(Window.unboundedPreceding, -1)
+    slices = (
+        placed.groupBy(key, part.alias("part_")).agg(F.count("*").alias("size_"), F.min("row_").alias("start_"))
+        .withColumn("skip_", F.coalesce(F.sum("size_").over(before), F.lit(0)))
+    )
+    joined = placed.withColumn("part_", part).join(F.broadcast(slices), [key, "part_"])
+    return joined.withColumn("rank", F.col("row_") - F.col("start_") + F.col("skip_")).select(*df.columns, "rank")
+
+
 def components(links: DataFrame, label: str) -> DataFrame:
     """(node, root) for every end of ``links`` (a, b): the smallest node of its component.
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickweir.llm import byte_gru, chat_schema, line_templates, norm_topk, order_minhash, packing, pii_spans, quality_cascade, spelling_fst, viterbi_pieces, warc_chain
+from clickweir.llm import best_fit, byte_gru, chat_schema, line_templates, norm_topk, order_minhash, packing, pii_spans, prefix_trie, quality_cascade, spelling_fst, viterbi_pieces, warc_chain
 from clickweir.llm.frames import table
 from clickweir.session import fresh_dir
 
@@ -78,6 +78,14 @@ def op11_spelling(spark: SparkSession, folder: str) -> DataFrame:
     return spelling_fst.variants(spelling_fst.vocabulary(table(spark, folder, "documents")))
 
 
+def op12_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.nodes(table(spark, folder, "conversations"))
+
+
+def op13_best_fit(spark: SparkSession, folder: str) -> DataFrame:
+    return best_fit.pack(table(spark, folder, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lines": op1_lines,
     "op2_packing": op2_packing,
@@ -90,6 +98,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_language": op9_language,
     "op10_warc": op10_warc,
     "op11_spelling": op11_spelling,
+    "op12_trie": op12_trie,
+    "op13_best_fit": op13_best_fit,
 }
 
 ORACLES: dict[str, str] = {
@@ -243,4 +253,41 @@ ORACLES: dict[str, str] = {
         SELECT f.word, f.form, c.at AS root, f.n, f.n_near, f.form_n
         FROM forms f JOIN chain c USING (word) JOIN forms last ON last.word = c.at WHERE last.form IS NULL
     """,
+    "op12_trie": r"""
+        WITH crc_table AS (
+            SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, [0, 0, 0, 0, 0, 0, 0, 0]),
+                lambda r, x: CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384) ELSE r >> 1 END)) AS t
+        ), turns AS (
+            SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS pos
+            FROM conversations WHERE conv_id IS NOT NULL
+        ), convs AS (
+            SELECT c, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(c::VARCHAR, ''), lambda ch: ord(ch)::BIGINT)),
+                lambda r, b: xor(r >> 8, t[(xor(r, b) & 255) + 1]))) % 9 AS h
+            FROM (SELECT DISTINCT c FROM turns), crc_table
+        ), rebuilt AS (
+            SELECT v.c, 0 AS half, t.pos, t.role, t.text FROM convs v JOIN turns t ON t.c = v.c - v.c % 5 AND t.pos < v.h
+            UNION ALL SELECT v.c, 1, t.pos, t.role, t.text FROM convs v JOIN turns t ON t.c = v.c AND t.pos >= v.h
+        ), paths AS (
+            SELECT c, row_number() OVER w AS depth, strlen(text) AS bytes,
+                md5(string_agg(length(role) || ':' || role || length(text) || ':' || text, '') OVER w) AS node
+            FROM rebuilt WINDOW w AS (PARTITION BY c ORDER BY half, pos)
+            UNION ALL SELECT c, 0, 0, '' FROM convs
+        ), linked AS (
+            SELECT *, lag(node) OVER (PARTITION BY c ORDER BY depth) AS above, max(depth) OVER (PARTITION BY c) = depth AS last FROM paths
+        ), nodes AS (
+            SELECT depth, node, min(c) AS conv_id, count(*) AS n_convs, any_value(above) AS above, any_value(bytes) AS bytes,
+                sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (last), '')) AS ends_sha256
+            FROM linked GROUP BY depth, node
+        ), children AS (
+            SELECT depth - 1 AS depth, above AS node, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL
+        ), counted AS (
+            SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN children USING (depth, node)
+        ), sums AS (
+            SELECT up.depth, up.node, count(*) FILTER (n.n_children = 0) AS n_leaves, sum((n.n_convs - 1) * n.bytes) AS saved_tokens
+            FROM counted n JOIN paths up ON up.c = n.conv_id AND up.depth <= n.depth GROUP BY ALL
+        )
+        SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, n_leaves, saved_tokens::BIGINT AS saved_tokens, n.ends_sha256
+        FROM counted n JOIN sums USING (depth, node) LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.node = n.above
+    """,
 }
