@@ -14,11 +14,11 @@ Repeated rows get the same answer; other columns, whatever their names, are igno
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,7 +32,7 @@ RATE = 0.02
 SEQUENCES_AT_ONCE = 512
 BYTES_AT_ONCE = 1 << 21
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 _PAD = 256  # an input row of its own for positions behind the end of a text
 
 

@@ -35,10 +35,12 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import _parse_datatype_string
 
 ASSISTANT = "assistant"
 # Names that nested layouts give the three roles; turn rows keep theirs.
@@ -183,13 +185,21 @@ def turns_of_json(records: DataFrame, key: str, record: str) -> DataFrame:
     def parse(batches):
         for batch in batches:
             rows = []
-            for who, body in zip(batch["conv_id"], batch["record"], strict=True):
+            for who, body in zip(batch["conv_id"].to_pylist(), batch["record"].to_pylist(), strict=True):
                 layout, turns = _json_turns(body)
                 rows += [(who, i, role, text, layout) for i, (role, text) in enumerate(turns)] or [(who, None, None, None, layout)]
-            yield pd.DataFrame(rows, columns=["conv_id", "turn", "role", "text", "layout"]).astype({"turn": "Int64"})
+            yield _arrow(rows, schema)
 
     kind = picked.schema["conv_id"].dataType.simpleString()
-    return picked.mapInPandas(parse, f"conv_id {kind}, turn long, role string, text string, layout string")
+    shape = f"conv_id {kind}, turn long, role string, text string, layout string"
+    schema = to_arrow_schema(_parse_datatype_string(shape))
+    return picked.mapInArrow(parse, shape)
+
+
+def _arrow(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    """Rows as Arrow: ids stay integers beside null ones."""
+    columns = zip(*rows, strict=True) if rows else ((),) * len(schema)
+    return pa.RecordBatch.from_arrays([pa.array(list(x), kind) for x, kind in zip(columns, schema.types, strict=True)], schema=schema)
 
 
 _CONTROL = r"\[/?(?:INST|OUT|ROLE)\]|</?s>"
@@ -249,16 +259,14 @@ def digest(fragments: DataFrame) -> DataFrame:
         fragments.select("conv_id", "turn", "role", "formatted", "loss_start", "loss_end")
         .repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "formatted")
     )
-    names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
-
     def run(batches):
         current, open_ = None, False
         turns = loss = None
         n = chars = size = 0
         for batch in batches:
             done = []
-            who = batch["conv_id"].astype(object).where(batch["conv_id"].notna(), None)
-            for conv, text, start, end in zip(who, batch["formatted"], batch["loss_start"], batch["loss_end"], strict=True):
+            columns = (batch[x].to_pylist() for x in ("conv_id", "formatted", "loss_start", "loss_end"))
+            for conv, text, start, end in zip(*columns, strict=True):
                 if not open_ or conv != current:
                     if open_:
                         done.append((current, n, turns.hexdigest(), chars, loss.hexdigest(), size))
@@ -267,14 +275,15 @@ def digest(fragments: DataFrame) -> DataFrame:
                 for role, said in read_fragment(text):
                     turns.update(f"{role}\n{said}\n".encode())
                     n += 1
-                if start == start and start is not None:
-                    masked = _unescape(text[int(start):int(end)])
+                if start is not None:
+                    masked = _unescape(text[start:end])
                     loss.update(masked.encode())
                     chars += len(masked)
                 size += len(text)
-            yield pd.DataFrame(done, columns=names)
+            yield _arrow(done, schema)
         if open_:
-            yield pd.DataFrame([(current, n, turns.hexdigest(), chars, loss.hexdigest(), size)], columns=names)
+            yield _arrow([(current, n, turns.hexdigest(), chars, loss.hexdigest(), size)], schema)
 
     shape = f"conv_id {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
-    return ordered.mapInPandas(run, shape)
+    schema = to_arrow_schema(_parse_datatype_string(shape))
+    return ordered.mapInArrow(run, shape)

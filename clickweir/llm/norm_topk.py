@@ -20,10 +20,11 @@ thing that passes through the driver: its size is the square of the dimension.
 
 Defined results: vectors that are null, empty or hold a null or non-finite component take no
 part, nor do rows without an id; vectors of different dimensions are never compared; rows of
-equal vectors are separate candidates, ranked by id; of rows that repeat an id each is a
-candidate, except for the query itself: all rows of its own id are left out; a query with
-fewer than k candidates gets them all; other columns, whatever their names, are ignored; an
-empty table gives no rows.
+equal vectors are separate candidates, ranked by id; rows that repeat an id are queries and
+candidates of their own: a query row leaves out itself only; a query with fewer than k
+candidates gets them all; other columns, whatever their names, are ignored; an empty table
+gives no rows. Scores are exact sums of doubles as long as no product of two lengths reaches
+2 ** 53; longer vectors are refused.
 """
 
 from __future__ import annotations
@@ -50,7 +51,7 @@ def scaled(vectors: DataFrame, key: str, vector: str, scale: int) -> DataFrame:
         & F.forall("x", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))),
     )
     exact = F.transform("x", lambda c: F.floor(c * scale).cast("double"))
-    return usable.select("id", exact.alias("v"), F.size("x").alias("dim")).withColumn(
+    return usable.select("id", exact.alias("v"), F.size("x").alias("dim"), F.monotonically_increasing_id().alias("row")).withColumn(
         "norm", F.sqrt(F.aggregate("v", F.lit(0.0), lambda total, c: total + c * c)),
     )
 
@@ -77,11 +78,11 @@ def _rotations(rows: DataFrame) -> dict[int, np.ndarray]:
 def _blocks(rows: DataFrame, size: int, rotations: dict[int, np.ndarray], label: str) -> DataFrame:
     """Blocks of at most ``size`` rows of one dimension, by descending length.
 
-    One row per block: block (a number), dim, top (its greatest length), ids, norms, and the
-    integer and rotated vectors as matrices.
+    One row per block: block (a number), dim, top (its greatest length), ids, rows, norms, and
+    the integer and rotated vectors as matrices.
     """
     ranges = max(1, -(-rows.count() // size))
-    spread = rows.repartitionByRange(ranges, "dim", F.desc("norm"), "id").sortWithinPartitions("dim", F.desc("norm"), "id")
+    spread = rows.repartitionByRange(ranges, "dim", F.desc("norm"), "id", "row").sortWithinPartitions("dim", F.desc("norm"), "id")
 
     def cut(batches):
         number = TaskContext.get().partitionId() << 24
@@ -92,12 +93,13 @@ def _blocks(rows: DataFrame, size: int, rotations: dict[int, np.ndarray], label:
                     exact = np.stack(some["v"].to_numpy())
                     yield pd.DataFrame({
                         "block": [number], "dim": [dim], "top": [some["norm"].max()],
-                        "ids": [some["id"].to_numpy(np.int64).tobytes()], "norms": [some["norm"].to_numpy().tobytes()],
+                        "ids": [some["id"].to_numpy(np.int64).tobytes()], "rows": [some["row"].to_numpy(np.int64).tobytes()],
+                        "norms": [some["norm"].to_numpy().tobytes()],
                         "exact": [exact.tobytes()], "rotated": [(exact @ rotations[dim]).tobytes()],
                     })
                     number += 1
 
-    shape = "block long, dim int, top double, ids binary, norms binary, exact binary, rotated binary"
+    shape = "block long, dim int, top double, ids binary, rows binary, norms binary, exact binary, rotated binary"
     return saved(spread.mapInPandas(cut, shape), label)
 
 
@@ -105,6 +107,7 @@ class _Block:
     def __init__(self, row, prefix: str):
         dim = int(row["dim"])
         self.ids = np.frombuffer(row[f"{prefix}ids"], np.int64)
+        self.rows = np.frombuffer(row[f"{prefix}rows"], np.int64)
         self.norms = np.frombuffer(row[f"{prefix}norms"])
         self.exact = np.frombuffer(row[f"{prefix}exact"]).reshape(-1, dim)
         rotated = np.frombuffer(row[f"{prefix}rotated"]).reshape(-1, dim)
@@ -129,7 +132,7 @@ def scan(queries: _Block, others: _Block, bounds: np.ndarray, k: int) -> tuple[n
         q = np.flatnonzero(open_)
         reach = queries.norms[q, None] * others.norms[None, part]
         best = queries.lead[q] @ others.lead[part].T + queries.rest[q, None] * others.rest[None, part] + SLACK * reach
-        near = (best >= bounds[q, None]) & (queries.ids[q, None] != others.ids[None, part])
+        near = (best >= bounds[q, None]) & (queries.rows[q, None] != others.rows[None, part])
         columns = np.flatnonzero(near.any(0))
         rows = np.flatnonzero(near.any(1))
         if not len(rows):
@@ -153,7 +156,7 @@ def scan(queries: _Block, others: _Block, bounds: np.ndarray, k: int) -> tuple[n
     return found, who[found, slot], held[found, slot]
 
 
-_QUERY = ["ids", "norms", "exact", "rotated"]
+_QUERY = ["ids", "rows", "norms", "exact", "rotated"]
 
 
 def top_k(
@@ -166,6 +169,9 @@ def top_k(
     """
     kind = vectors.schema[key].dataType.simpleString()
     rows = saved(scaled(vectors, key, vector, scale), "topk-scaled")
+    longest = rows.agg(F.max("norm")).first()[0]
+    if longest is not None and longest * longest >= 2.0**53:
+        raise ValueError(f"scores of vectors as long as {longest:.3g} (scaled) are not exact")
     rotations = _rotations(rows)
     others = _blocks(rows, block_rows, rotations, "topk-blocks")
     asked = _blocks(rows.where(query), query_rows, rotations, "topk-queries").select(
@@ -206,14 +212,16 @@ def top_k(
             for _, row in batch.iterrows():
                 queries, block = _Block(row, "q_"), _Block(row, "")
                 at, other, scores = scan(queries, block, np.frombuffer(row["bounds"]), k)
-                yield pd.DataFrame({"query_id": queries.ids[at], "other": block.ids[other], "score": scores.astype(np.int64)})
+                yield pd.DataFrame({
+                    "query_id": queries.ids[at], "query_row": queries.rows[at], "other": block.ids[other], "score": scores.astype(np.int64),
+                })
 
     met = (
         saved(meetings, "topk-meetings").join(asked.join(bounded.select("q_block", "bounds"), "q_block"), "q_block")
         .join(others.drop("dim", "top"), "block")
     )
-    found = met.mapInPandas(scoring, "query_id long, other long, score long")
-    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "other"))
+    found = met.mapInPandas(scoring, "query_id long, query_row long, other long, score long")
+    place = F.row_number().over(Window.partitionBy("query_row").orderBy(F.desc("score"), "other"))
     return found.withColumn("rank", place).where(F.col("rank") <= k).select(
         F.col("query_id").cast(kind), "rank", F.col("other").cast(kind).alias(key), "score",
     )

@@ -25,6 +25,7 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -198,17 +199,17 @@ def find_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
 
     def scan(batches):
         for batch in batches:
-            rows = []
-            for body in batch["text"]:
+            found, every = [], []
+            for body in batch["text"].to_pylist():
                 body = body or ""
                 base = base_spans(body)
-                rows.append((joined(base), joined(base + more_spans(body, base))))
-            out = pd.DataFrame(rows, columns=["base_spans", "spans"])
-            out.insert(0, "key", batch["key"])
-            yield out
+                found.append(joined(base))
+                every.append(joined(base + more_spans(body, base)))
+            texts = [pa.array(x, pa.string()) for x in (found, every)]
+            yield pa.RecordBatch.from_arrays([batch["key"], *texts], ["key", "base_spans", "spans"])
 
     kind = picked.schema["key"].dataType.simpleString()
-    return picked.mapInPandas(scan, f"key {kind}, base_spans string, spans string").withColumnRenamed("key", key)
+    return picked.mapInArrow(scan, f"key {kind}, base_spans string, spans string").withColumnRenamed("key", key)
 
 
 def mask(docs: DataFrame, text: str = "text") -> DataFrame:

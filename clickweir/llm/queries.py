@@ -71,7 +71,7 @@ def op9_language(spark: SparkSession, folder: str) -> DataFrame:
 def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     path = fresh_dir(spark, "warc")
     warc_chain.write_warc(table(spark, folder, "pages"), path)
-    return warc_chain.page_rows(warc_chain.read_warc(spark, path, payloads=False))
+    return warc_chain.page_rows(warc_chain.read_warc(spark, path, payloads=False, strict=True))
 
 
 def op11_spelling(spark: SparkSession, folder: str) -> DataFrame:
@@ -191,14 +191,14 @@ ORACLES: dict[str, str] = {
     """,
     "op8_topk": """
         WITH usable AS (
-            SELECT vec_id, list_transform(embedding, lambda c: floor(256 * c::DOUBLE)) AS v FROM embeddings
+            SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda c: floor(256 * c::DOUBLE)) AS v FROM embeddings
             WHERE vec_id IS NOT NULL AND len(embedding) > 0
                 AND len(list_filter(embedding, lambda c: c IS NOT NULL AND isfinite(c))) = len(embedding)
         ), scored AS (
-            SELECT q.vec_id AS query_id, x.vec_id, list_inner_product(q.v, x.v)::BIGINT AS score
-            FROM usable q JOIN usable x ON q.vec_id % 50 = 0 AND q.vec_id <> x.vec_id AND len(q.v) = len(x.v)
+            SELECT q.row, q.vec_id AS query_id, x.vec_id, list_inner_product(q.v, x.v)::BIGINT AS score
+            FROM usable q JOIN usable x ON q.vec_id % 50 = 0 AND q.row <> x.row AND len(q.v) = len(x.v)
         )
-        SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
+        SELECT query_id, (row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
         FROM scored QUALIFY rank <= 5
     """,
     "op10_warc": """

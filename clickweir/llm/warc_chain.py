@@ -19,10 +19,12 @@ any store that Spark reads will do. Offsets are bytes of the uncompressed text.
 
 Defined results: null HTML is an empty payload; a null page_id comes back as null and is
 nobody's original unless all copies have null ids; rows that repeat a page_id with equal
-payload are each ``response`` if that id is the smallest; control characters and blanks in a
-URL are percent-escaped; an empty table gives no records; other columns, whatever their
-names, are ignored. Reading ends a file's chain at the first record that doesn't lead to
-another one; a file that doesn't begin with the magic has no records.
+payload are each ``response`` if that id is the smallest; all but printable ASCII in a URL is
+percent-escaped; an empty table gives no records; other columns, whatever their names, are
+ignored. Reading ends a file's chain at the first record that doesn't lead to another one; a
+file that doesn't begin with the magic has no records. With ``strict`` a file whose chain
+does not reach its end is an error. A compressed file is one stream, not a member for each
+record; offsets are of the uncompressed text.
 """
 
 from __future__ import annotations
@@ -42,7 +44,11 @@ DATE = "1970-01-01T00:00:00Z"
 
 
 def _escaped(url: Column) -> Column:
-    return F.regexp_replace(F.coalesce(url, F.lit("")), r"[\x00-\x20\x7f]", "%20")
+    """``url`` with everything but printable ASCII as percent-escaped UTF-8, so that no header line can end in it."""
+    plain = F.coalesce(url, F.lit(""))
+    one = F.transform(F.split(plain, ""), lambda c: F.when(c.rlike("[!-~]"), c).otherwise(
+        F.regexp_replace(F.hex(F.encode(c, "utf-8")), "(..)", "%$1")))
+    return F.when(plain.rlike("[^!-~]"), F.array_join(one, "")).otherwise(plain)
 
 
 def _urn(page_id: Column) -> Column:
@@ -93,8 +99,9 @@ def write_warc(pages: DataFrame, path: str, min_dedup: int = MIN_DEDUP, compress
     joined.withColumn("http", http).select(record.alias("value")).write.option("lineSep", END).option("compression", compression).text(path)
 
 
-def _field(name: str, value: str, head: str = "head") -> Column:
-    return F.regexp_extract(head, rf"(?im)^{name}: *({value}) *$", 1)
+def _field(name: str, value: str, head: str | Column = "head") -> Column:
+    """A header's value; only CRLF ends a line."""
+    return F.regexp_extract(head, rf"(?i)(?:^|\r\n){name}: *({value}) *(?:\r\n|\z)", 1)
 
 
 def _pieces(spark: SparkSession, path: str) -> DataFrame:
@@ -110,7 +117,7 @@ def _pieces(spark: SparkSession, path: str) -> DataFrame:
     fields = head.select(
         "file", "block", "pos", "value",
         F.octet_length("value").cast("long").alias("size"),
-        F.when(_field("WARC-Type", "[a-z]+") != "", (F.octet_length("head") + 2 * len(END)).cast("long") + F.expr("try_cast(" + r"regexp_extract(head, '(?im)^Content-Length: *([0-9]+) *$', 1)" + " as bigint)")).alias("record"),
+        F.when(_field("WARC-Type", "[a-z]+") != "", (F.octet_length("head") + 2 * len(END)).cast("long") + _field("Content-Length", "[0-9]+").try_cast("long")).alias("record"),
         F.length("head").alias("head_chars"),
         F.lower(_field("WARC-Type", "[a-z]+")).alias("record_type"),
         _field("WARC-Record-ID", r"<[^>]*>").alias("id"),
@@ -125,7 +132,7 @@ def _with_payload(records: DataFrame) -> DataFrame:
     """Records whose ``value`` is complete, with their payload's text, size and digest."""
     body = F.substring(F.col("value"), F.col("head_chars") + len(END) + 1, F.length("value"))
     http = F.instr("body", END)
-    declared = F.expr(r"try_cast(regexp_extract(substring(body, 1, http), '(?im)^Content-Length: *([0-9]+) *$', 1) as bigint)")
+    declared = _field("Content-Length", "[0-9]+", F.substring(F.col("body"), F.lit(1), F.col("http") - 1)).try_cast("long")
     full = (
         records.withColumn("body", body).withColumn("http", http)
         .withColumn("payload", F.when(
@@ -162,9 +169,10 @@ def _reached(nodes: DataFrame, pieces: DataFrame) -> DataFrame:
     return reached
 
 
-def read_warc(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
+def read_warc(spark: SparkSession, path: str, payloads: bool = True, strict: bool = False) -> DataFrame:
     """The true records below ``path``: file, offset, record_type, id, refers, url, payload
-    (null for revisits), payload_bytes, payload_digest. ``payloads=False`` leaves the text out.
+    (null for revisits), payload_bytes, payload_digest. ``payloads=False`` leaves the text out;
+    ``strict`` refuses files with something behind their last record.
     """
     # The text of every piece is kept: it may be part of another record's payload. Figures of
     # the payload hold where the piece is a whole record.
@@ -187,6 +195,12 @@ def read_warc(spark: SparkSession, path: str, payloads: bool = True) -> DataFram
     reached = _reached(nodes, chained)
     true = chained.join(reached, ["file", "node"]).where("offset >= entry and record is not null").drop("entry")
 
+    if strict:
+        length = chained.groupBy("file").agg(F.max(F.col("offset") + F.col("size") + magic).alias("length"))
+        chain = true.groupBy("file").agg(F.max("successor").alias("end"))
+        cut = length.join(chain, "file", "left").where(~F.col("length").eqNullSafe(F.col("end"))).select("file").take(5)
+        if cut:
+            raise ValueError(f"the chain of records ends before the file does: {', '.join(r['file'] for r in cut)}")
     names = ["file", "offset", "record_type", "id", "refers", "url", "payload_bytes", "payload_digest", *(["payload"] if payloads else [])]
     place = ["file", "block", "pos"]
     plain = true.where("whole").select(*place, "offset").join(pieces, place)

@@ -772,3 +772,59 @@ def test_warc_odd(spark):
     nothing = fresh_dir(spark, "warc-test")
     warc_chain.write_warc(pages.where("false"), nothing)
     assert warc_chain.read_warc(spark, nothing).collect() == []
+
+
+# Ids beside null ones, header lines, letters, repeated queries
+
+BIG = [None, 2**53, 2**53 + 1, 2**53 + 3]
+
+
+def test_large_ids_beside_null_stay_as_they_are(spark):
+    turns = spark.createDataFrame([(c, 0, "user", "hi") for c in BIG], "conv_id long, turn long, role string, text string")
+    out = chat_schema.digest(chat_schema.format_turns(chat_schema.turns_of_table(turns)).coalesce(1)).collect()
+    assert sorted((r["conv_id"] for r in out), key=str) == sorted(BIG, key=str)
+    records = spark.createDataFrame([(c, '{"prompt": "a", "response": "b"}') for c in BIG], "id long, record string").coalesce(1)
+    read = chat_schema.turns_of_json(records, "id", "record").collect()
+    assert sorted((r["conv_id"] for r in read), key=str) == sorted([*BIG, *BIG], key=str)
+    docs = spark.createDataFrame([(c, "mail a@b.org") for c in BIG], "doc_id long, text string").coalesce(1)
+    assert sorted((r["doc_id"] for r in pii_spans.find_spans(docs).collect()), key=str) == sorted(BIG, key=str)
+
+
+@pytest.mark.parametrize("mark", ["\u0085", " ", " ", "\r\n", "\n", "\x0b"])
+def test_urls_cannot_add_header_lines(spark, mark):
+    rows = [(1, "http://a/", "one"), (2, f"http://b/{mark}Content-Length:5{mark}WARC-Payload-Digest: sha256:00", "two " * 50), (3, "http://c/é", "two " * 50)]
+    path = fresh_dir(spark, "warc-lines")
+    warc_chain.write_warc(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1), path)
+    read = warc_chain.read_warc(spark, path, strict=True)
+    pages = {r["page_id"]: r for r in warc_chain.page_rows(read).collect()}
+    assert {k: r["payload_digest"] for k, r in pages.items()} == {i: hashlib.sha256(html.encode()).hexdigest() for i, _, html in rows}
+    assert {r["url"] for r in read.collect()} >= {"http://a/", "http://c/%C3%A9"}
+
+
+def test_an_archive_that_is_cut_is_refused(spark):
+    path = fresh_dir(spark, "warc-cut")
+    text = f"{warc_chain.MAGIC}WARC-Type: response\r\nContent-Length: 3\r\n\r\nabc\r\n\r\nand more"
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.option("lineSep", "\n\n").text(path)
+    with pytest.raises(ValueError):
+        warc_chain.read_warc(spark, path, strict=True)
+
+
+def test_numbers_are_no_letters(spark):
+    docs = spark.createDataFrame([(i, "some words of text", "en") for i in range(40)] + [(i, "und noch ein Text", "de") for i in range(40, 80)], "doc_id long, text string, lang string")
+    languages, net = byte_gru.fit(docs, F.lit(True))
+    odd = spark.createDataFrame([(1, "²½ ①"), (2, "Ⅷ 12"), (3, "ª")], "doc_id long, text string")
+    found = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in byte_gru.predict(odd, languages, net).collect()}
+    assert found[1] == found[2] == (byte_gru.UNKNOWN, 0.0) and found[3][0] != byte_gru.UNKNOWN
+
+
+def test_rows_that_repeat_a_query_are_queries_of_their_own(spark):
+    rows = [(50, [1.0, 0.0]), (50, [1.0, 0.5]), (3, [0.5, 0.5]), (4, [0.25, 0.0]), (5, [0.0, 1.0]), (6, [-1.0, 0.0]), (7, [0.1, 0.1])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = sorted(map(tuple, norm_topk.top_k(frame, F.col("id") % 50 == 0).collect()))
+    want = []
+    for i in (0, 1):
+        scores = sorted((-sum(int(256 * np.float32(a) // 1) * int(256 * np.float32(b) // 1) for a, b in zip(rows[i][1], x, strict=True)), v) for j, (v, x) in enumerate(rows) if j != i)
+        want += [(50, r, v, -s) for r, (s, v) in enumerate(scores[:5], 1)]
+    assert got == sorted(want)
+    with pytest.raises(ValueError):
+        norm_topk.top_k(spark.createDataFrame([(50, [1e12]), (1, [1.0])], "vec_id long, embedding array<double>"), F.lit(True))
