@@ -10,13 +10,14 @@ from clickweir.session import fresh_dir
 from clickweir.sources import files
 
 
-def land_dumps(bronze: DataFrame, root: str, parts: int | None = None) -> None:
+def land_dumps(bronze: DataFrame, root: str, parts: int | None = None, cut: bool = False) -> None:
     """Write (lang, year, month, prev, curr, type, n) rows below ``root`` as
     ``YYYY-MM/clickstream-<lang>wiki-YYYY-MM[.k].tsv.gz``.
 
     Spark writes the lines in parallel; the driver only renames the finished files. A
     partition too large for one task becomes several numbered files, and with ``parts``
-    every partition does.
+    every partition does. With ``cut`` every file loses its last bytes, so that it cannot be
+    decoded to its end.
     """
     spark = bronze.sparkSession
     fields = [F.coalesce(F.col(c), F.lit("")) for c in ("prev", "curr", "type", "n")]
@@ -36,4 +37,7 @@ def land_dumps(bronze: DataFrame, root: str, parts: int | None = None) -> None:
         month, lang = (step.split("=", 1)[1] for step in path.split("/")[-3:-1])
         nth = seen[month, lang] = seen.get((month, lang), -1) + 1
         suffix = f".{nth}" if nth else ""
-        files.rename(spark, path, f"{root}/{month}/clickstream-{lang}wiki-{month}{suffix}.tsv.gz")
+        target = f"{root}/{month}/clickstream-{lang}wiki-{month}{suffix}.tsv.gz"
+        files.rename(spark, path, target)
+        if cut:
+            files.truncate(spark, target, files.total_bytes(spark, target) - 9)

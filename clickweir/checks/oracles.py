@@ -284,6 +284,17 @@ _QUERIES: dict[str, tuple[list[str], str]] = {
     "ingest_lenient": (["lenient"], "SELECT * FROM lenient"),
     "ingest_report": (["readings"], """
         SELECT *, rows_read - rows_clean AS rows_filtered FROM readings WHERE rows_read > 0"""),
+    "ingest_header_rows": (["lenient"], "SELECT * FROM lenient"),
+    "ingest_truncated_file": (["silver"], "SELECT * FROM silver"),
+    "stream_ingest": (["silver"], "SELECT * FROM silver"),
+    "ingest_file_log": (["readings"], """
+        SELECT state, count(*) AS dumps, CAST(sum(rows_read) AS BIGINT) AS rows_read, CAST(sum(rows_clean) AS BIGINT) AS rows_clean
+        FROM (SELECT CASE WHEN rows_read > 0 THEN 'taken' ELSE 'empty' END AS state, rows_read, rows_clean FROM readings
+              UNION ALL
+              SELECT CASE WHEN rows_read > 0 THEN 'superseded' ELSE 'empty' END, rows_read, rows_clean
+              FROM readings WHERE year >= 2000
+              UNION ALL SELECT 'unreadable', 0, 0 FROM readings WHERE lang = 'eu' AND year = 2000 AND month <= 3)
+        GROUP BY state"""),
     "gold_latest_month": (["silver"], """
         SELECT lang, year, month, curr_title, CAST(sum(n) AS BIGINT) AS total_clicks FROM silver
         WHERE year * 12 + month = (SELECT max(year * 12 + month) FROM silver) GROUP BY ALL"""),

@@ -21,6 +21,7 @@ from clickweir.operators import dictionary as ids
 from clickweir.operators import gold as G
 from clickweir.operators import insights as I
 from clickweir.operators import quality as Q
+from clickweir.plans import ingest
 from clickweir.schemas import DICTIONARY, PERIOD, SILVER
 from clickweir.session import fresh_dir, stage
 from clickweir.sinks import tables
@@ -225,6 +226,10 @@ def _last_year(df: DataFrame) -> DataFrame:
     return df.filter(F.col("year") >= 2000)
 
 
+def _one_year(df: DataFrame) -> DataFrame:
+    return df.filter((F.col("lang") == "eu") & (F.col("year") == 2000) & (F.col("month") <= 3))
+
+
 @_query
 def partition_replace(w: Workbench) -> DataFrame:
     """Strict Silver in a managed table, its months from 2000 on replaced by lenient rows."""
@@ -303,12 +308,61 @@ def ingest_lenient(w: Workbench) -> DataFrame:
     return lake.silver()
 
 
+@_query
+def ingest_header_rows(w: Workbench) -> DataFrame:
+    """Every dump has a header line that only its title gives away."""
+    root, lake = fresh_dir(w.spark, "headers"), w.other_lake(with_silver=False)
+    header = w.period_keys().select(
+        *PERIOD, F.lit("prev_id").alias("prev"), F.lit("curr_id").alias("curr"), F.lit("link").alias("type"), F.lit("7").alias("n"),
+    )
+    land_dumps(w.raw.unionByName(header), root)
+    lake.ingest_dumps(root, profile="lenient")
+    return lake.silver()
+
+
 @_query
 def ingest_report(w: Workbench) -> DataFrame:
-    """Rows read, kept and filtered per partition, as the ingest of the dumps reports them."""
-    report = w.other_lake(with_silver=False).ingest_dumps(w.dumps)
-    names = "lang string, year int, month int, rows_read long, rows_clean long, rows_filtered long"
-    return w.spark.createDataFrame(report["partitions"], names)
+    """Rows read, kept and filtered per partition, as the ingest of the dumps has recorded them."""
+    lake = w.other_lake(with_silver=False)
+    lake.ingest_dumps(w.dumps)
+    return ingest.partition_counts(lake.ingest_log())
+
+
+@_query
+def ingest_truncated_file(w: Workbench) -> DataFrame:
+    """Later dumps of a language and year break off; the earlier dumps of their months stand in."""
+    root, lake = fresh_dir(w.spark, "cut"), w.other_lake(with_silver=False)
+    land_dumps(w.raw, root)
+    land_dumps(_one_year(w.raw).withColumn("n", F.lit("7")), f"{root}/zz", cut=True)
+    lake.ingest_dumps(root)
+    return lake.silver()
+
+
+@_query
+def ingest_file_log(w: Workbench) -> DataFrame:
+    """What becomes of intact, superseded, damaged and misnamed dump files: how many, with how many rows."""
+    root, lake = fresh_dir(w.spark, "log"), w.other_lake(with_silver=False)
+    land_dumps(w.raw, root)
+    land_dumps(_last_year(w.raw), f"{root}/aa")
+    land_dumps(_one_year(w.raw), f"{root}/zz", cut=True)
+    lake.ingest_dumps(root)
+    return lake.ingest_log().groupBy("state").agg(
+        F.count_distinct("uri").alias("dumps"), F.sum("rows_read").alias("rows_read"), F.sum("rows_clean").alias("rows_clean"),
+    )
+
+
+@_query
+def stream_ingest(w: Workbench) -> DataFrame:
+    """Dumps up to 1999 first, those from 2000 on and later dumps of 1999 by a second run."""
+    root, lake = fresh_dir(w.spark, "stream"), w.other_lake(with_silver=False)
+    old = w.raw.filter("year < 2000")
+    land_dumps(old.withColumn("n", F.when(F.col("year") == 1999, "1").otherwise(F.col("n"))), f"{root}/aa")
+    lake.stream_dumps(root, files_at_once=100)
+    land_dumps(_last_year(w.raw), f"{root}/aa")
+    land_dumps(w.raw.filter("year = 1999"), f"{root}/bb")
+    lake.stream_dumps(root, files_at_once=100)
+    lake.stream_dumps(root)
+    return lake.silver()
 
 
 @_query

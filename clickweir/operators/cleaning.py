@@ -46,22 +46,30 @@ def clean(bronze: DataFrame, profile: str = "strict", **noise) -> DataFrame:
     ``strict`` normalises titles and keeps the largest count among duplicates, which
     costs one shuffle with map-side combine. ``lenient`` is filter and projection only.
     """
+    kept = bronze.filter(keepable(profile, **noise)).select(*PERIOD, *_values(profile))
+    return kept if profile == "lenient" else keep_largest(kept)
+
+
+def marked(bronze: DataFrame, profile: str = "strict", **noise) -> DataFrame:
+    """Readable rows with ``kept``; those that cleaning drops have partition and file only.
+
+    What is kept is Silver but for the strict profile's duplicates.
+    """
+    kept = F.coalesce(keepable(profile, **noise), F.lit(False))
+    rows = bronze.filter(readable(profile)).withColumn("kept", kept)
+    values = [F.when(F.col("kept"), v).alias(name) for name, v in zip(SILVER.names[3:], _values(profile), strict=True)]
+    return rows.select("file", "kept", *PERIOD, *values)
+
+
+def _values(profile: str) -> list[Column]:
+    """Titles, type and count as Silver has them."""
     if profile not in PROFILES:
         raise ValueError(f"profile must be one of {PROFILES}")
-    kept = bronze.filter(keepable(profile, **noise))
     if profile == "lenient":
-        return kept.select(
-            *PERIOD, F.col("prev").alias("prev_title"), F.col("curr").alias("curr_title"), "type",
-            _count().alias("n"),
-        )
-    normal = kept.select(
-        *PERIOD,
-        T.normalise_title(F.col("prev")).alias("prev_title"),
-        T.normalise_title(F.col("curr")).alias("curr_title"),
-        T.normalise_type(F.col("type")).alias("type"),
-        _count().alias("n"),
-    )
-    return keep_largest(normal)
+        columns = [F.col("prev"), F.col("curr"), F.col("type"), _count()]
+    else:
+        columns = [T.normalise_title(F.col("prev")), T.normalise_title(F.col("curr")), T.normalise_type(F.col("type")), _count()]
+    return [c.alias(name) for c, name in zip(columns, SILVER.names[3:], strict=True)]
 
 
 def keep_largest(silver: DataFrame) -> DataFrame:

@@ -6,19 +6,21 @@ outputs share is written once to the shared folder and read back.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from contextvars import copy_context
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from clickweir import schemas
 from clickweir.operators import dictionary as ids
 from clickweir.operators import gold as G
 from clickweir.operators import insights as I
-from clickweir.operators.cleaning import clean, keepable, readable
+from clickweir.operators.cleaning import clean, readable
+from clickweir.plans import ingest
 from clickweir.schemas import PERIOD
 from clickweir.session import scratch, stage, tuned
 from clickweir.sinks import tables
@@ -43,6 +45,10 @@ class Lakehouse:
 
     # -- paths and readers -------------------------------------------------------
 
+    @property
+    def ingest_path(self) -> str:
+        return f"{self.root}/_ingests"
+
     @property
     def silver_path(self) -> str:
         return f"{self.root}/silver"
@@ -84,54 +90,101 @@ class Lakehouse:
         month from a file name, the lenient one only from the folder. Files of finished
         partitions are not opened.
 
-        A first pass counts the rows of every dump. Of several dumps of a partition the last
-        one with a readable row counts; a file that cannot be read to its end takes its dump
-        out and doesn't stop the others. The report has ``partitions`` (lang, year, month,
-        rows read, clean and filtered), their totals ``rows_read`` and ``rows_clean``, and the
-        paths that were ``rejected`` by name, ``superseded`` and ``unreadable``.
+        Every file is decoded once, into staged rows and a record of its counts. Of several
+        dumps of a partition the last complete one with a readable row counts; a file that
+        cannot be decoded takes its dump out and doesn't stop the others, while any other
+        error ends the job. The records are kept, see ``ingest_log``. The report has
+        ``partitions`` (lang, year, month, rows read, clean and filtered), their totals
+        ``rows_read`` and ``rows_clean``, and the paths that were ``rejected`` by name,
+        ``superseded`` and ``unreadable``.
         """
         done = layers.list_periods(self.spark, self.silver_path) if skip_existing else None
-        with tuned(self.spark, files.total_bytes(self.spark, folder)):
+        with tuned(self.spark, files.total_bytes(self.spark, folder)), scratch(self.spark):
             found = bronze.inspect_files(
                 self.spark, folder, allow_name_form=profile == "strict", done=done, **selection
             )
-            accepted, unreadable = [f for f in found if f.accepted], []
-            try:
-                counts = self._dump_counts(accepted, profile)
-            except Exception:
-                unreadable = bronze.unreadable_files(self.spark, accepted)
-                if not unreadable:
-                    raise
-                lost = {f.dump for f in unreadable}
-                counts = self._dump_counts([f for f in accepted if f.dump not in lost], profile)
-            dumps = bronze.last_dumps(accepted, {dump for dump, (read, _) in counts.items() if read})
-            chosen = {f.dump: (f.lang, f.year, f.month) for f in dumps}
-            if dumps:
-                self._write_silver(bronze.scan(self.spark, dumps), profile, sorted(set(chosen.values())))
-        partitions = [
-            (*period, read, kept, read - kept)
-            for dump, period in sorted(chosen.items(), key=lambda x: x[1]) for read, kept in [counts[dump]]
-        ]
-        best = {period: dump for dump, period in chosen.items()}
+            return self._ingest_files(found, profile, uuid.uuid4().hex)
+
+    def _ingest_files(
+        self, found: list[Row], profile: str, label: str, taken: dict[tuple, str] | None = None
+    ) -> dict[str, object]:
+        """Stage, choose, write, record. ``taken``: the dumps that partitions hold already."""
+        accepted, rejected = [f for f in found if f.accepted], [f for f in found if not f.accepted]
+        staged, records = ingest.stage_files(self.spark, accepted, profile)
+        best = ingest.choose(records, taken)
+        new = {r.file.dump for r in records if best.get((r.file.lang, r.file.year, r.file.month)) == r.file.dump}
+        periods = sorted({(r.file.lang, r.file.year, r.file.month) for r in records if r.file.dump in new})
+        if periods:
+            rows = ingest.silver_rows(staged, records, new, profile)
+            tables.write_partitions(rows, self.silver_path, sort_by=("curr_title",), handled=periods)
+        if found:
+            log = ingest.file_log(self.spark, records, rejected, new, best)
+            log.coalesce(1).write.mode("overwrite").parquet(f"{self.ingest_path}/ingest={label}")
+        totals = {p: [0, 0] for p in periods}
+        for r in records:
+            if r.file.dump in new:
+                here = totals[r.file.lang, r.file.year, r.file.month]
+                here[0], here[1] = here[0] + r.rows_read, here[1] + r.rows_clean
         return {
-            "rows_read": sum(p[3] for p in partitions),
-            "rows_clean": sum(p[4] for p in partitions),
-            "partitions": partitions,
-            "rejected": [f.path for f in found if not f.accepted],
+            "rows_read": sum(read for read, _ in totals.values()),
+            "rows_clean": sum(kept for _, kept in totals.values()),
+            "partitions": [(*p, read, kept, read - kept) for p, (read, kept) in totals.items()],
+            "rejected": [f.path for f in rejected],
             "superseded": [
-                f.path for f in accepted
-                if best.get((f.lang, f.year, f.month), f.dump) != f.dump and f not in unreadable
+                r.file.path for r in records
+                if r.complete and best.get((r.file.lang, r.file.year, r.file.month), r.file.dump) != r.file.dump
             ],
-            "unreadable": [f.path for f in unreadable],
+            "unreadable": [r.file.path for r in records if not r.complete],
         }
 
-    def _dump_counts(self, dumps: list, profile: str) -> dict[str, tuple[int, int]]:
-        """Readable and clean rows of each dump."""
-        names = self.spark.createDataFrame([(f.uri, f.dump) for f in dumps], "uri string, dump string")
-        counted = bronze.scan(self.spark, dumps, with_file=True).groupBy("uri").agg(
-            F.count_if(readable(profile)).alias("read"), F.count_if(keepable(profile)).alias("clean"),
-        ).join(names, "uri").groupBy("dump").agg(F.sum("read").alias("read"), F.sum("clean").alias("clean"))
-        return {r["dump"]: (r["read"], r["clean"]) for r in counted.collect()}
+    def ingest_log(self) -> DataFrame:
+        """What became of every dump file that an ingest has seen, with its counts of rows."""
+        if not files.glob(self.spark, f"{self.ingest_path}/ingest=*"):
+            return ingest.file_log(self.spark, [], [], set(), {}).withColumn("ingest", F.lit(""))
+        return self.spark.read.option("basePath", self.ingest_path).parquet(f"{self.ingest_path}/ingest=*")
+
+    def stream_dumps(
+        self, folder: str, profile: str = "strict", pattern: str = "*.tsv.gz", files_at_once: int = bronze.BATCH_FILES
+    ) -> None:
+        """Take in the dump files below ``folder`` that no earlier call has read, then stop.
+
+        A streaming query finds them: its checkpoint, beside Silver, remembers all files that
+        it has listed, and hands out a bounded number of new ones at a time. Only their names
+        flow through it; content is read by the ingest of each batch. A late dump replaces the
+        one that its partition holds if it comes later in path order, and a late part of a
+        dump brings the dump's earlier parts with it. A batch that is repeated after a crash
+        writes the same partitions and the same records again.
+        """
+        listed = (
+            self.spark.readStream.format("binaryFile")
+            .schema("path string, modificationTime timestamp, length long, content binary")
+            .option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
+            .option("maxFilesPerTrigger", files_at_once)
+            .load(folder).select("path", F.col("_metadata.file_path").alias("uri"))
+        )
+
+        def take(batch: DataFrame, number: int) -> None:
+            label = f"stream-{number}"
+            named = bronze.with_dump(bronze.with_partition(batch, allow_name_form=profile == "strict"))
+            found = named.orderBy("path").collect()
+            before = self.ingest_log().filter((F.col("ingest") != label) & (F.col("state") != "rejected"))
+            held = {
+                (r.lang, r.year, r.month): r.dump
+                for r in before.filter("state = 'taken'").groupBy(*PERIOD).agg(F.max("dump").alias("dump")).collect()
+            }
+            dumps = sorted({f.dump for f in found if f.accepted})
+            parts = before.filter(F.col("dump").isin(dumps)).select("path", "uri").distinct()
+            parts = bronze.with_dump(bronze.with_partition(parts, allow_name_form=profile == "strict"))
+            have = {f.path for f in found}
+            found += [f for f in parts.collect() if f.path not in have]
+            with tuned(self.spark), scratch(self.spark):
+                self._ingest_files(found, profile, label, held)
+
+        query = (
+            listed.writeStream.foreachBatch(take).trigger(availableNow=True)
+            .option("checkpointLocation", f"{self.root}/_stream").start()
+        )
+        query.awaitTermination()
 
     def ingest(self, rows: DataFrame, profile: str = "strict", skip_existing: bool = False) -> None:
         """Clean raw edges into Silver, replacing the partitions they belong to.
@@ -144,13 +197,15 @@ class Lakehouse:
             if skip_existing:
                 done = layers.list_periods(self.spark, self.silver_path)
                 rows = tables.without_existing(rows, layers.periods_frame(self.spark, done))
-            handled = rows.filter(readable(profile)).select(*PERIOD).distinct().collect()
-            self._write_silver(rows, profile, [tuple(p) for p in handled])
-
-    def _write_silver(self, rows: DataFrame, profile: str, handled: list[increments.Period]) -> None:
-        tables.write_partitions(
-            clean(rows, profile), self.silver_path, sort_by=("curr_title",), handled=handled
-        )
+            # The pass that writes also notes the partitions with readable rows. A set does
+            # not change if a task is run again.
+            seen = Observation()
+            period = F.when(readable(profile), F.struct(*PERIOD))
+            rows = rows.observe(seen, F.collect_set(period).alias("periods"))
+            tables.write_partitions(
+                clean(rows, profile), self.silver_path, sort_by=("curr_title",),
+                handled=lambda: [tuple(p) for p in seen.get["periods"]],
+            )
 
     # -- Silver -> Gold ----------------------------------------------------------
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql.types import (
+    BooleanType,
     DoubleType,
     IntegerType,
     LongType,
@@ -11,7 +12,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
-_TYPES = {"string": StringType(), "int": IntegerType(), "long": LongType(), "double": DoubleType()}
+_TYPES = {"string": StringType(), "int": IntegerType(), "long": LongType(), "double": DoubleType(), "boolean": BooleanType()}
 
 
 def _layout(spec: str) -> StructType:
@@ -23,6 +24,10 @@ PERIOD = ["lang", "year", "month"]
 
 BRONZE = _layout("lang:string year:int month:int prev:string curr:string type:string n:string")
 SILVER = _layout("lang:string year:int month:int prev_title:string curr_title:string type:string n:int")
+# Readable rows of dump files, before the dumps that count are chosen.
+STAGED = _layout(
+    "file:int kept:boolean lang:string year:int month:int prev_title:string curr_title:string type:string n:int"
+)
 MANIFEST = _layout("path:string lang:string year:int month:int")
 PARTITIONS = _layout("lang:string year:int month:int")
 

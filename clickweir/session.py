@@ -115,6 +115,15 @@ def scratch(spark: SparkSession) -> Iterator[None]:
             target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def staging_dir(spark: SparkSession, label: str) -> str:
+    """A new path below the shared folder, removed at the end of the surrounding ``scratch``."""
+    path = fresh_dir(spark, label)
+    paths = _staged.get()
+    if paths is not None:
+        paths.append(path)
+    return path
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and return a frame that reads it.
 
@@ -123,9 +132,6 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     checkpointed RDD it keeps column pruning and filter pushdown.
     """
     spark = df.sparkSession
-    path = fresh_dir(spark, label)
-    paths = _staged.get()
-    if paths is not None:
-        paths.append(path)
+    path = staging_dir(spark, label)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +13,8 @@ from clickweir.schemas import PERIOD
 from clickweir.sources import files
 from clickweir.sources.layers import list_periods, periods_frame
 
+Period = tuple[str, int, int]
+
 
 def write_partitions(
     df: DataFrame,
@@ -20,13 +22,14 @@ def write_partitions(
     by: list[str] = PERIOD,
     sort_by: tuple[str, ...] = (),
     mode: str = "overwrite",
-    handled: list[tuple[str, int, int]] | None = None,
+    handled: list[Period] | Callable[[], list[Period]] | None = None,
 ) -> None:
     """Write ``df`` as ZSTD Parquet, replacing the partitions it has rows for.
 
     ``handled`` names (lang, year, month) partitions that the rows are the whole new content
     of: one of them without rows loses its old files, and stays as an empty folder, which
-    shows that it has been dealt with.
+    shows that it has been dealt with. A function is called after the write, for what only
+    the write finds out.
 
     Rows are gathered by partition first, so a small partition becomes one file; the
     rebalance hint lets adaptive execution split a large partition over several tasks
@@ -47,14 +50,14 @@ def write_partitions(
         .parquet(path)
     )
     if handled:
-        _settle(spark, path, handled, set(before))
+        _settle(spark, path, set(handled() if callable(handled) else handled), set(before))
 
 
 def _data_files(spark: SparkSession, path: str) -> list[str]:
     return files.glob(spark, path + "".join(f"/{c}=*" for c in PERIOD) + "/part-*")
 
 
-def _settle(spark: SparkSession, path: str, handled: list[tuple[str, int, int]], before: set[str]) -> None:
+def _settle(spark: SparkSession, path: str, handled: set[Period], before: set[str]) -> None:
     """Empty the handled partitions whose old files the write has left in place."""
     after = _data_files(spark, path)
     filled, stale = set(), set()
@@ -62,7 +65,7 @@ def _settle(spark: SparkSession, path: str, handled: list[tuple[str, int, int]],
         folder = file.rsplit("/", 1)[0]
         lang, year, month = (step.split("=", 1)[1] for step in folder.rsplit("/", 3)[1:])
         filled.add((lang, int(year), int(month)))
-        if file in before and (lang, int(year), int(month)) in set(handled):
+        if file in before and (lang, int(year), int(month)) in handled:
             stale.add((lang, int(year), int(month)))
             files.delete(spark, folder)
     for lang, year, month in handled:

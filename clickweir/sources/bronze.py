@@ -6,6 +6,8 @@ partition (lang, year, month) comes from the path, never from the content.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -15,6 +17,8 @@ from clickweir.sources.layers import in_periods
 
 FIELDS = ["prev", "curr", "type", "n"]
 FILES = "uri string, lang string, year int, month int"
+# Dump files of one scan. Their lookup frame stays far below any broadcast limit.
+BATCH_FILES = 1024
 
 
 def discover(spark: SparkSession, root: str) -> DataFrame:
@@ -81,33 +85,66 @@ def last_file_per_partition(manifest: DataFrame) -> DataFrame:
     )
 
 
-def scan(spark: SparkSession, manifest: list[Row], with_file: bool = False) -> DataFrame:
-    """Rows of the dump files in ``manifest`` (path, uri, lang, year, month).
+def batches(manifest: list[Row], batch_files: int = BATCH_FILES) -> list[list[tuple[int, Row]]]:
+    """The files, numbered by their place, in batches of bounded size."""
+    numbered = list(enumerate(manifest))
+    return [numbered[i:i + batch_files] for i in range(0, len(numbered), batch_files)]
+
+
+def scan_batch(spark: SparkSession, batch: list[tuple[int, Row]]) -> DataFrame:
+    """Rows of some numbered dump files (path, uri, lang, year, month), with ``file``, their number.
 
     Every field is read as text, so one reader serves both cleaning profiles. Quotes
     are literal, short rows are padded with NULL, an empty field is NULL, and rows with
-    more than four fields are dropped. The partition values are looked up by file in a frame
-    with one row per file, not parsed from the path for every line.
+    more than four fields are dropped. A file's partition is looked up in a broadcast frame
+    with a row for each file, which the size of a batch bounds; no line is shuffled for it.
     """
-    if not manifest:
-        return spark.createDataFrame([], BRONZE if not with_file else BRONZE.add("uri", "string"))
-    files = spark.createDataFrame([(m.uri, m.lang, m.year, m.month) for m in manifest], FILES)
+    files = spark.createDataFrame([(i, m.uri, m.lang, m.year, m.month) for i, m in batch], f"file int, {FILES}")
     # Exploding a one-element array keeps each line one row, and makes the split fields a
     # column of their own. Without it the optimizer would push every later rule below the
     # projection and split the line anew for each of them (measured: three times slower).
-    lines = spark.read.text([m.path for m in manifest]).select(
+    lines = spark.read.text([m.path for _, m in batch]).select(
         F.explode(F.array(F.split("value", "\t", -1))).alias("parts"),
         F.col("_metadata.file_path").alias("uri"),
     )
-    extra = ["uri"] if with_file else []
     fields = [F.nullif(F.get("parts", F.lit(i)), F.lit("")).alias(f) for i, f in enumerate(FIELDS)]
     return (
         lines.filter(F.size("parts") <= len(FIELDS))
-        .join(files, "uri")
-        .select("lang", "year", "month", *fields, *extra)
+        .join(F.broadcast(files), "uri")
+        .select("lang", "year", "month", *fields, "file")
     )
 
 
+def scan(spark: SparkSession, manifest: list[Row], batch_files: int = BATCH_FILES) -> DataFrame:
+    """Rows of all dump files in ``manifest``, batch by batch in one frame."""
+    if not manifest:
+        return spark.createDataFrame([], BRONZE)
+    parts = [scan_batch(spark, batch).drop("file") for batch in batches(manifest, batch_files)]
+    rows = parts[0]
+    for more in parts[1:]:
+        rows = rows.unionByName(more)
+    return rows
+
+
+def undecodable(error: Exception) -> str | None:
+    """The file whose compressed content could not be decoded, if that made a job fail.
+
+    The first cause was then raised by a decompressor. What a store or a network raises comes
+    from below the decompressor, and so do errors of any other kind from elsewhere; for them
+    the answer is None. Where no file is named it is empty.
+    """
+    cause, path = getattr(error, "java_exception", None) or getattr(error, "_origin", None), ""
+    while cause is not None:
+        named = re.match(r"\[FAILED_READ_FILE\.\S+\] Encountered error while reading file (\S+)\.\s", f"{cause.getMessage()} ")
+        path = named[1] if named else path
+        if cause.getCause() is None:
+            frames = cause.getStackTrace()
+            inside = len(frames) and frames[0].getClassName().startswith("org.apache.hadoop.io.compress.")
+            return path if inside else None
+        cause = cause.getCause()
+    return None
+
+
 def select_files(
     spark: SparkSession,
     root: str,
@@ -148,28 +185,12 @@ def inspect_files(
     return wanted.union(manifest.filter("not accepted")).orderBy("path").collect()
 
 
-def last_dumps(manifest: list[Row], valid: set[str] | None = None) -> list[Row]:
-    """The files of the last dump of each partition; ``valid`` names the dumps that may be taken."""
+def last_dumps(manifest: list[Row]) -> list[Row]:
+    """The files of the last dump of each partition."""
     last: dict[tuple, str] = {}
     for f in manifest:
-        if valid is None or f.dump in valid:
-            last[f.lang, f.year, f.month] = max(f.dump, last.get((f.lang, f.year, f.month), f.dump))
-    return [f for f in manifest if last.get((f.lang, f.year, f.month)) == f.dump]
-
-
-def unreadable_files(spark: SparkSession, manifest: list[Row]) -> list[Row]:
-    """Those files that cannot be read to their end, found by halving the list."""
-    def broken(some: list[Row]) -> list[Row]:
-        try:
-            spark.read.text([f.path for f in some]).write.format("noop").mode("overwrite").save()
-            return []
-        except Exception:
-            if len(some) == 1:
-                return some
-            middle = len(some) // 2
-            return broken(some[:middle]) + broken(some[middle:])
-
-    return broken(manifest) if manifest else []
+        last[f.lang, f.year, f.month] = max(f.dump, last.get((f.lang, f.year, f.month), f.dump))
+    return [f for f in manifest if last[f.lang, f.year, f.month] == f.dump]
 
 
 def read_dumps(spark: SparkSession, root: str, **selection) -> DataFrame:

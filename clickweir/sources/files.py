@@ -39,6 +39,17 @@ def rename(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"cannot move {source} to {target}")
 
 
+def truncate(spark: SparkSession, path: str, size: int) -> None:
+    """Keep the first ``size`` bytes of a small file."""
+    fs, target = _handle(spark, path)
+    source = fs.open(target)
+    head = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(source, size)
+    source.close()
+    out = fs.create(target, True)
+    out.write(head)
+    out.close()
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, target = _handle(spark, path)
     fs.delete(target, True)
