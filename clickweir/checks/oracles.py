@@ -329,6 +329,16 @@ _QUERIES: dict[str, tuple[list[str], str]] = {
         SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, year, month
                                                     ORDER BY total_clicks DESC, curr_id) AS rn
                        FROM popularity) WHERE rn <= 20"""),
+    "gold_after_failed_rebuild": (["referred"], """
+        SELECT lang, year, month, curr_id, prev_id, total_transitions AS clicks_from_prev, rn
+        FROM (SELECT *, row_number() OVER (PARTITION BY lang, year, month, curr_id
+                                           ORDER BY total_transitions DESC, prev_id) AS rn
+              FROM referred) WHERE rn <= 2"""),
+    "insights_rebuilt_empty": (["top10", "all_time", "trending"], """
+        SELECT 'top10_by_year' AS topic, count(*) AS row_count FROM top10
+        UNION ALL SELECT 'all_time_top', count(*) FROM all_time
+        UNION ALL SELECT 'trending_mom', count(*) FROM trending
+        UNION ALL SELECT 'edges_6m', 0 UNION ALL SELECT 'referrers_6m', 0"""),
     "referrers_top": (["referred"], """
         SELECT lang, year, month, curr_id, prev_id, total_transitions AS clicks_from_prev, rn
         FROM (SELECT *, row_number() OVER (PARTITION BY lang, year, month, curr_id

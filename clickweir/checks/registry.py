@@ -7,12 +7,14 @@ earlier jobs, as they do in production.
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import suppress
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickweir.checks.landing import land_dumps
-from clickweir.checks.workbench import GOLD_OPTIONS, Workbench, workbench
+from clickweir.checks.workbench import GOLD_OPTIONS, INSIGHT_OPTIONS, Workbench, workbench
 from clickweir.functions import periods as P
 from clickweir.functions import titles as T
 from clickweir.operators import analytics as N
@@ -22,7 +24,8 @@ from clickweir.operators import gold as G
 from clickweir.operators import insights as I
 from clickweir.operators import quality as Q
 from clickweir.plans import ingest
-from clickweir.schemas import DICTIONARY, PERIOD, SILVER
+from clickweir.plans.lakehouse import Lakehouse
+from clickweir.schemas import DICTIONARY, INSIGHTS, PERIOD, SILVER
 from clickweir.session import fresh_dir, stage
 from clickweir.sinks import tables
 from clickweir.sources import bronze, layers, listing
@@ -546,6 +549,37 @@ def gold_rebuilt_higher_threshold(w: Workbench) -> DataFrame:
     return lake.gold("edges_monthly")
 
 
+class _Failing(Lakehouse):
+    """Stops between the writes of a build."""
+
+    def _write_version(self, log, rows, topic, *rest):
+        if topic == "edges_monthly":
+            raise RuntimeError("stopped")
+        return super()._write_version(log, rows, topic, *rest)
+
+
+@_query
+def gold_after_failed_rebuild(w: Workbench) -> DataFrame:
+    """A rebuild that stops between two tables leaves readers on the old version of all."""
+    lake = w.other_lake()
+    lake.build_gold(**GOLD_OPTIONS)
+    with suppress(RuntimeError):
+        _Failing(w.spark, lake.root).build_gold(skip_existing=False, **GOLD_OPTIONS | {"topn": 3, "topm": 1})
+    return lake.gold("referrers_top")
+
+
+@_query
+def insights_rebuilt_empty(w: Workbench) -> DataFrame:
+    """Rows of each insight after Gold has lost all its edges: nothing old is left of the windows."""
+    lake = w.other_lake()
+    lake.build_gold(**GOLD_OPTIONS)
+    lake.build_insights(**INSIGHT_OPTIONS)
+    lake.build_gold(skip_existing=False, **GOLD_OPTIONS | {"min_edges": 10**9})
+    lake.build_insights(skip_existing=False, **INSIGHT_OPTIONS)
+    counts = [lake.insight(t).agg(F.count("*").alias("row_count")).select(F.lit(t).alias("topic"), "row_count") for t in INSIGHTS]
+    return reduce(DataFrame.unionAll, counts)
+
+
 # -- insights -----------------------------------------------------------------------
 
 

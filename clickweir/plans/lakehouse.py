@@ -7,6 +7,7 @@ outputs share is written once to the shared folder and read back.
 from __future__ import annotations
 
 import uuid
+import warnings
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from contextvars import copy_context
@@ -24,6 +25,7 @@ from clickweir.plans import ingest
 from clickweir.schemas import PERIOD
 from clickweir.session import scratch, stage, tuned
 from clickweir.sinks import tables
+from clickweir.sinks.commits import CommitLog, new_token
 from clickweir.sources import bronze, files, layers
 from clickweir.streaming import increments
 
@@ -70,10 +72,25 @@ class Lakehouse:
         return layers.read_layer(self.spark, self.dictionary_path, schemas.DICTIONARY)
 
     def gold(self, topic: str) -> DataFrame:
-        return layers.read_layer(self.spark, self.gold_path(topic), schemas.GOLD[topic])
+        """The last published version of a Gold table."""
+        return self.gold_log.read(topic, schemas.GOLD[topic], PERIOD)
 
     def insight(self, topic: str) -> DataFrame:
-        return layers.read_layer(self.spark, self.insight_path(topic), schemas.INSIGHTS[topic])
+        """The last published version of an insight table."""
+        return self.insight_log.read(topic, schemas.INSIGHTS[topic], schemas.INSIGHT_PARTITIONS[topic])
+
+    @property
+    def gold_log(self) -> CommitLog:
+        return CommitLog(self.spark, f"{self.root}/gold")
+
+    @property
+    def insight_log(self) -> CommitLog:
+        return CommitLog(self.spark, f"{self.root}/insights")
+
+    def vacuum(self) -> None:
+        """Remove the versions of Gold and insight tables that are no longer read."""
+        self.gold_log.vacuum({topic: PERIOD for topic in schemas.GOLD})
+        self.insight_log.vacuum(schemas.INSIGHT_PARTITIONS)
 
     def languages(self) -> DataFrame:
         """Languages with popularity or edges."""
@@ -227,17 +244,14 @@ class Lakehouse:
 
         The dictionary is appended to before anything is written with its ids. A crash
         in between leaves it ahead of the tables, which is harmless: a rerun finds the
-        titles present.
+        titles present. The tables are written as a new version and published together.
         """
         topics = ["article_popularity", "article_top"]
         topics += ["referrers_top"] if referrers else []
         topics += ["edges_monthly"] if edges else []
         periods = layers.list_periods(self.spark, self.silver_path)
         if skip_existing:
-            def frame(path: str) -> DataFrame:
-                return layers.periods_frame(self.spark, layers.list_periods(self.spark, path))
-
-            outputs = [frame(self.gold_path(t)) for t in topics]
+            outputs = [layers.periods_frame(self.spark, self.gold_log.partitions(t)) for t in topics]
             pending = increments.pending_periods(layers.periods_frame(self.spark, periods), outputs)
             periods = [tuple(p) for p in pending.collect()]
         periods = increments.pick_periods(periods, lang, year, month)
@@ -265,12 +279,14 @@ class Lakehouse:
         # or copies of rows it had. Titles and ids correspond, so the totals stay apart.
         pairs = stage(ids.encode_ids(G.pair_totals(silver), entries, hot), "pair-totals")
 
+        token, changes = new_token(), {}
+
         def write(topic: str, rows: DataFrame) -> None:
-            tables.write_partitions(rows, self.gold_path(topic), sort_by=("curr_id",), handled=periods)
+            changes[topic] = self._write_version(self.gold_log, rows, topic, PERIOD, token, periods, ("curr_id",))
 
         def popularity_and_top() -> None:
             write("article_popularity", G.article_popularity(pairs))
-            written = self._gold_part("article_popularity", periods)
+            written = self.gold_log.read_version("article_popularity", schemas.GOLD["article_popularity"], PERIOD, token)
             write("article_top", G.article_top(written, topn))
 
         jobs = [popularity_and_top]
@@ -279,6 +295,12 @@ class Lakehouse:
         if "edges_monthly" in topics:
             jobs.append(lambda: write("edges_monthly", G.edges_monthly(pairs, min_edges)))
         _together(jobs)
+        self.gold_log.publish(changes)
+
+    def _write_version(
+        self, log: CommitLog, rows: DataFrame, topic: str, by: list[str], token: str, handled: list[tuple], sort_by: tuple[str, ...]
+    ) -> dict[tuple, str | None]:
+        return log.write(rows, topic, by, token, handled, sort_by)
 
     def extend_dictionary(self, stats: DataFrame, languages: list[str] | None = None) -> DataFrame:
         """Append the titles of ``stats`` that the dictionary lacks, with new ids.
@@ -316,7 +338,9 @@ class Lakehouse:
         """Write the five insight tables for the given languages (default: all).
 
         With ``skip_existing`` the partitions already written are left out, so the
-        Gold rows of finished languages are not even read.
+        Gold rows of finished languages are not even read. Without it, partitions whose Gold
+        rows are gone become empty. All five tables are published together; a table that
+        turns out to have no rows is warned about, and counts as done.
         """
         def popularity(periods: list[increments.Period]) -> DataFrame:
             return self._gold_part("article_popularity", periods)
@@ -330,7 +354,10 @@ class Lakehouse:
         paired = {topic: window(topic, "edges_monthly", 6) for topic in ("edges_6m", "referrers_6m")}
         months = sorted({p for periods in paired.values() for p in periods})
         pending = sorted({p[0] for periods in (yearly, whole, trending, months) for p in periods})
+        gone = {} if skip_existing else self._without_gold(languages)
         if not pending:
+            if any(gone.values()):
+                self.insight_log.publish(gone)
             return
         size = files.total_bytes(self.spark, f"{self.root}/gold")
         with tuned(self.spark, size), scratch(self.spark):
@@ -357,46 +384,67 @@ class Lakehouse:
             # One look at the dictionary, of the pending languages, labels all insights.
             entries = self.dictionary().filter(F.col("lang").isin(pending))
             labels = stage(ids.used_entries([*winners.values()], entries), "labels")
-            _together([partial(self._write_insight, topic, rows, labels) for topic, rows in winners.items()])
-
-    def _write_insight(self, topic: str, winners: DataFrame, labels: DataFrame) -> None:
-        columns = schemas.INSIGHTS[topic].names
-        by = schemas.INSIGHT_PARTITIONS[topic]
-        order = {"top10_by_year": ("rn",), "referrers_6m": ("curr_title", "rn")}.get(topic, ())
-        labelled = I.with_titles(winners, labels).select(*columns)
-        tables.write_partitions(labelled, self.insight_path(topic), by, order)
+            handled = {
+                "top10_by_year": {p[:2] for p in yearly}, "all_time_top": {p[:1] for p in whole},
+                "trending_mom": layers.latest_window(trending, 1),
+                **{topic: layers.latest_window(periods, 1) for topic, periods in paired.items()},
+            }
+            token, changes = new_token(), gone
+
+            def write(topic: str) -> None:
+                keys = sorted(handled[topic])
+                rows = I.with_titles(winners[topic], labels).select(*schemas.INSIGHTS[topic].names)
+                order = {"top10_by_year": ("rn",), "referrers_6m": ("curr_title", "rn")}.get(topic, ())
+                written = self._write_version(self.insight_log, rows, topic, schemas.INSIGHT_PARTITIONS[topic], token, keys, order)
+                changes[topic] = changes.get(topic, {}) | written
+                if keys and not any(written.values()):
+                    warnings.warn(f"{topic}: no rows for any of {len(keys)} partitions", stacklevel=2)
+
+            _together([partial(write, topic) for topic in winners])
+            self.insight_log.publish(changes)
+
+    def _without_gold(self, languages: list[str] | None) -> dict[str, dict[tuple, None]]:
+        """Published partitions of insights for which no Gold rows are left."""
+        gone = {}
+        for topic, by in schemas.INSIGHT_PARTITIONS.items():
+            source = "edges_monthly" if topic in ("edges_6m", "referrers_6m") else "article_popularity"
+            width = 2 if topic == "top10_by_year" else 1
+            left = {p[:width] for p in self._gold_periods(source, None)}
+            known = {p[:width] for p in self.gold_log.partitions(source)}
+            gone[topic] = {
+                key: None for key in self.insight_log.partitions(topic, filled=True)
+                if key[:width] in known - left and (languages is None or key[0] in languages)
+            }
+        return gone
 
     def _gold_part(self, topic: str, periods: list[increments.Period]) -> DataFrame:
-        return layers.read_periods(self.spark, self.gold_path(topic), schemas.GOLD[topic], periods)
+        return self.gold_log.read(topic, schemas.GOLD[topic], PERIOD, periods)
 
     def _gold_periods(self, topic: str, languages: list[str] | None):
-        periods = layers.list_periods(self.spark, self.gold_path(topic), filled=True)
+        periods = self.gold_log.partitions(topic, filled=True)
         return [p for p in periods if languages is None or p[0] in languages]
 
     def _pending_years(self, languages, skip_existing: bool) -> list[increments.Period]:
         periods = self._gold_periods("article_popularity", languages)
         if skip_existing:
-            path = self.insight_path("top10_by_year")
-            done = files.hive_partitions(self.spark, path, ["lang", "year"])
-            have = {(lang, int(year)) for lang, year in done}
+            have = set(self.insight_log.partitions("top10_by_year"))
             periods = [p for p in periods if p[:2] not in have]
         return periods
 
     def _pending_languages(self, languages, skip_existing: bool) -> list[increments.Period]:
         periods = self._gold_periods("article_popularity", languages)
         if skip_existing:
-            found = files.hive_partitions(self.spark, self.insight_path("all_time_top"), ["lang"])
-            have = {lang for (lang,) in found}
+            have = {lang for (lang,) in self.insight_log.partitions("all_time_top")}
             periods = [p for p in periods if p[0] not in have]
         return periods
 
     def _pending_window(
         self, topic: str, source: str, months: int, languages, skip_existing: bool
     ) -> list[increments.Period]:
-        """The Gold months a windowed insight needs, found from folder names."""
+        """The Gold months a windowed insight needs, found from the logs."""
         periods = self._gold_periods(source, languages)
         if skip_existing:
-            have = set(layers.list_periods(self.spark, self.insight_path(topic)))
+            have = set(self.insight_log.partitions(topic))
             finished = {p[0] for p in layers.latest_window(periods, 1) if p in have}
             periods = [p for p in periods if p[0] not in finished]
         return layers.latest_window(periods, months)

@@ -55,6 +55,32 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` as listings name it, with scheme and host."""
+    fs, target = _handle(spark, path)
+    return fs.makeQualified(target).toString()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """The content of a small file."""
+    fs, target = _handle(spark, path)
+    source = fs.open(target)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+    finally:
+        source.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A new small file."""
+    fs, target = _handle(spark, path)
+    out = fs.create(target, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
 def make_folder(spark: SparkSession, path: str) -> None:
     fs, target = _handle(spark, path)
     fs.mkdirs(target)
