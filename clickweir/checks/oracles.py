@@ -419,6 +419,10 @@ _QUERIES: dict[str, tuple[list[str], str]] = {
         WHERE a.lang = 'eu' AND a.year = 2000 AND a.rn = 1"""),
 }
 _QUERIES["decode_ids_mixed"] = _QUERIES["decode_ids_cold"]
+_QUERIES["profile_lang_merged"] = _QUERIES["profile_lang"]
+_QUERIES["top10_by_year_incremental"] = _QUERIES["top10_by_year"]
+_QUERIES["all_time_top_incremental"] = _QUERIES["all_time_top"]
+_QUERIES |= {f"{name}_sql": query for name, query in _QUERIES.items() if name[0] == "n" and name[1:3].isdigit()}
 _QUERIES["partition_overwrite"] = _QUERIES["partition_replace"]
 _QUERIES["skip_existing"] = (["silver", "lenient"], """
     SELECT * FROM lenient WHERE year >= 2000 UNION ALL

@@ -179,6 +179,18 @@ def profile_lang(w: Workbench) -> DataFrame:
     return Q.profile_languages(w.silver)
 
 
+@_query
+def profile_lang_merged(w: Workbench) -> DataFrame:
+    """The profile from states of single months, half of them added later."""
+    lake = w.other_lake(with_silver=False)
+    tables.write_partitions(w.silver.filter("year < 1997"), lake.silver_path)
+    lake.build_gold()
+    lake.profile_languages()
+    tables.write_partitions(w.silver.filter("year >= 1997"), lake.silver_path)
+    lake.build_gold()
+    return lake.profile_languages()
+
+
 @_query
 def profile_range(w: Workbench) -> DataFrame:
     return Q.profile_range(w.silver)
@@ -610,6 +622,17 @@ def top10_by_year_ids(w: Workbench) -> DataFrame:
     return I.with_titles(I.top10_by_year(w.gold("article_popularity")))
 
 
+@_query
+def top10_by_year_incremental(w: Workbench) -> DataFrame:
+    """Months up to June 1998 first; the later ones are added to the totals."""
+    return w.grown.insight("top10_by_year")
+
+
+@_query
+def all_time_top_incremental(w: Workbench) -> DataFrame:
+    return w.grown.insight("all_time_top")
+
+
 @_query
 def all_time_top(w: Workbench) -> DataFrame:
     return w.insight("all_time_top")
@@ -686,3 +709,66 @@ def n10_comebacks(w: Workbench) -> DataFrame:
 @_query
 def n11_leader_margin(w: Workbench) -> DataFrame:
     return N.leader_margin(w.insight("top10_by_year"), "eu", 2000)
+
+
+# -- the same as SQL text with arguments -----------------------------------------------
+
+
+def _sql(w: Workbench, text: str) -> DataFrame:
+    w.finished.register_views()
+    return w.spark.sql(text)
+
+
+@_query
+def n01_top_of_year_sql(w: Workbench) -> DataFrame:
+    return _sql(w, "SELECT * FROM top_of_year('eu', 2000)")
+
+
+@_query
+def n02_top_of_years_sql(w: Workbench) -> DataFrame:
+    return _sql(w, "SELECT * FROM top_of_years('eu', array(1999, 2000))")
+
+
+@_query
+def n03_all_time_sql(w: Workbench) -> DataFrame:
+    return _sql(w, "SELECT * FROM all_time_leaders('eu')")
+
+
+@_query
+def n04_compare_languages_sql(w: Workbench) -> DataFrame:
+    return _sql(w, "SELECT * FROM compare_languages(array('eu', 'as', 'af'), 2000)")
+
+
+@_query
+def n05_new_in_top_sql(w: Workbench) -> DataFrame:
+    return _sql(w, "SELECT * FROM new_in_top('eu', 2000, 1999)")
+
+
+@_query
+def n06_fastest_growth_sql(w: Workbench) -> DataFrame:
+    return _sql(w, "SELECT * FROM fastest_growth('mi')")
+
+
+@_query
+def n07_most_years_sql(w: Workbench) -> DataFrame:
+    return _sql(w, "SELECT * FROM most_years_in_top('eu')")
+
+
+@_query
+def n08_popular_in_both_sql(w: Workbench) -> DataFrame:
+    return _sql(w, "SELECT * FROM popular_in_both('eu', 'as', 2000)")
+
+
+@_query
+def n09_leaders_sql(w: Workbench) -> DataFrame:
+    return _sql(w, "SELECT * FROM leader_of_each_year('eu')")
+
+
+@_query
+def n10_comebacks_sql(w: Workbench) -> DataFrame:
+    return _sql(w, "SELECT * FROM comebacks('eu')")
+
+
+@_query
+def n11_leader_margin_sql(w: Workbench) -> DataFrame:
+    return _sql(w, "SELECT * FROM leader_margin('eu', 2000)")

@@ -104,6 +104,17 @@ class Workbench:
         self.built.build_insights(**INSIGHT_OPTIONS)
         return self.built
 
+    @cached_property
+    def grown(self) -> Lakehouse:
+        """A lakehouse whose insights grew in two steps."""
+        lake = self.other_lake(with_silver=False)
+        late = (F.col("year") * 12 + F.col("month")) > 1998 * 12 + 6
+        for rows in (self.silver.filter(~late), self.silver.filter(late)):
+            tables.write_partitions(rows, lake.silver_path)
+            lake.build_gold(**GOLD_OPTIONS)
+            lake.build_insights(**INSIGHT_OPTIONS, incremental=True)
+        return lake
+
     def insight(self, topic: str) -> DataFrame:
         return self.finished.insight(topic)
 

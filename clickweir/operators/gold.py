@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickweir.operators.ranking import top_n
+from clickweir.operators.ranking import top_n, top_n_of_few
 from clickweir.schemas import PERIOD
 
 
@@ -26,9 +26,8 @@ def article_popularity(ids: DataFrame) -> DataFrame:
 
 
 def article_top(popularity: DataFrame, n: int = 1000) -> DataFrame:
-    """The ``n`` most clicked targets of every language and month."""
-    order = [F.desc("total_clicks"), F.asc("curr_id")]
-    return top_n(popularity, PERIOD, order, n, sliced=True)
+    """The ``n`` most clicked targets of every language and month, of a written table."""
+    return top_n_of_few(popularity, PERIOD, ["-total_clicks", "curr_id"], n)
 
 
 def edges_monthly(pairs: DataFrame, min_clicks: int = 1) -> DataFrame:
@@ -43,5 +42,4 @@ def referrers_top(pairs: DataFrame, m: int = 50, min_clicks: int = 1) -> DataFra
     strong = pairs.filter(F.col("prev_id").isNotNull() & (F.col("n") >= min_clicks)).select(
         *PERIOD, "curr_id", "prev_id", F.col("n").alias("clicks_from_prev")
     )
-    order = [F.desc("clicks_from_prev"), F.asc("prev_id")]
-    return top_n(strong, [*PERIOD, "curr_id"], order, m)
+    return top_n(strong, [*PERIOD, "curr_id"], ["-clicks_from_prev", "prev_id"], m)

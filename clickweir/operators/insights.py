@@ -15,7 +15,8 @@ from clickweir.functions.periods import index_month, index_year, month_index, mo
 from clickweir.functions.ratios import pct_delta
 from clickweir.functions.titles import title_column
 from clickweir.operators.dictionary import label_ids
-from clickweir.operators.ranking import top_n
+from clickweir.operators.ranking import top_n, top_n_of_few
+from clickweir.session import stage
 
 
 def _keyed(gold: DataFrame, *sides: str) -> tuple[DataFrame, list[str]]:
@@ -91,14 +92,13 @@ def _with_period(rows: DataFrame) -> DataFrame:
 def top10_by_year(popularity: DataFrame, n: int = 10) -> DataFrame:
     gold, [key] = _keyed(popularity, "curr")
     yearly = gold.groupBy("lang", "year", key).agg(F.sum("total_clicks").alias("clicks_year"))
-    return top_n(yearly, ["lang", "year"], [F.desc("clicks_year"), F.asc(key)], n, sliced=True)
+    return top_n_of_few(stage(yearly, "yearly-totals"), ["lang", "year"], ["-clicks_year", key], n)
 
 
 def all_time_top(popularity: DataFrame, n: int = 500) -> DataFrame:
     gold, [key] = _keyed(popularity, "curr")
     totals = gold.groupBy("lang", key).agg(F.sum("total_clicks").alias("clicks_all_time"))
-    order = [F.desc("clicks_all_time"), F.asc(key)]
-    return top_n(totals, ["lang"], order, n, rank=None, sliced=True)
+    return top_n_of_few(stage(totals, "all-time-totals"), ["lang"], ["-clicks_all_time", key], n, rank=None)
 
 
 def window_pair_totals(edges: DataFrame, months: int = 6) -> DataFrame:
@@ -116,18 +116,16 @@ def _side_key(totals: DataFrame, side: str) -> str:
 
 
 def busiest_pairs(totals: DataFrame, n: int = 100_000) -> DataFrame:
-    """The ``n`` pairs with the largest totals per language."""
-    keys = [_side_key(totals, "prev"), _side_key(totals, "curr")]
-    order = [F.desc("total"), *[F.asc(k) for k in keys]]
-    top = top_n(totals, ["lang"], order, n, rank=None, sliced=True)
+    """The ``n`` pairs with the largest totals per language, of written totals."""
+    order = ["-total", _side_key(totals, "prev"), _side_key(totals, "curr")]
+    top = top_n_of_few(totals, ["lang"], order, n, rank=None)
     return _with_period(top.withColumnRenamed("total", "transitions_6m"))
 
 
 def strongest_referrers(totals: DataFrame, m: int = 50) -> DataFrame:
     """The ``m`` referrers with the largest totals for every target."""
     target, referrer = _side_key(totals, "curr"), _side_key(totals, "prev")
-    order = [F.desc("total"), F.asc(referrer)]
-    top = top_n(totals, ["lang", target], order, m)
+    top = top_n(totals, ["lang", target], ["-total", referrer], m)
     return _with_period(top.withColumnRenamed("total", "clicks_6m"))
 
 
@@ -147,5 +145,5 @@ def trending_mom(popularity: DataFrame, n: int = 1000) -> DataFrame:
     change = pivoted.filter(now.isNotNull() & before.isNotNull()).select(
         "*", (now - before).alias("abs_delta"), pct_delta(now, before).alias("pct_delta")
     )
-    order = [F.desc_nulls_last("pct_delta"), F.desc("abs_delta"), F.asc(key)]
-    return _with_period(top_n(change, ["lang"], order, n, rank=None, sliced=True))
+    order = ["-pct_delta", "-abs_delta", key]
+    return _with_period(top_n_of_few(stage(change, "month-changes"), ["lang"], order, n, rank=None))

@@ -75,3 +75,30 @@ def profile_top_titles(silver: DataFrame, k: int = 10) -> DataFrame:
         .orderBy(F.desc("total_clicks"), F.asc("curr_title"))
         .limit(k)
     )
+
+
+def profile_state(silver: DataFrame, popularity: DataFrame) -> DataFrame:
+    """What profiles of languages need of each month, in a form that merges.
+
+    ``bits`` marks the targets of a month by their dictionary ids, one bitmap for each bucket
+    of 32,768 ids; the rows of Silver are counted in a row without bitmap.
+    """
+    counted = silver.groupBy(*PERIOD).agg(F.count("*").alias("records"))
+    marked = popularity.groupBy(*PERIOD, F.bitmap_bucket_number("curr_id").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("curr_id")).alias("bits"), F.sum("total_clicks").alias("total_clicks"),
+    )
+    return marked.unionByName(counted, allowMissingColumns=True)
+
+
+def merged_profile(state: DataFrame) -> DataFrame:
+    """``profile_languages`` of any months, exactly, from their states."""
+    by_bucket = state.groupBy("lang", "bucket").agg(
+        F.sum("records").alias("records"), F.sum("total_clicks").alias("total_clicks"),
+        F.bitmap_count(F.bitmap_or_agg("bits")).alias("titles"),
+    )
+    return (
+        by_bucket.groupBy("lang").agg(
+            F.sum("records").alias("records"), F.sum("total_clicks").alias("total_clicks"), F.sum("titles").alias("unique_articles"),
+        )
+        .orderBy(F.desc("records"), F.asc("lang"))
+    )

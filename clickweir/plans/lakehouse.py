@@ -20,8 +20,9 @@ from clickweir import schemas
 from clickweir.operators import dictionary as ids
 from clickweir.operators import gold as G
 from clickweir.operators import insights as I
+from clickweir.operators import quality
 from clickweir.operators.cleaning import clean, readable
-from clickweir.plans import ingest
+from clickweir.plans import ingest, sql_queries
 from clickweir.schemas import PERIOD
 from clickweir.session import scratch, stage, tuned
 from clickweir.sinks import tables
@@ -87,10 +88,19 @@ class Lakehouse:
     def insight_log(self) -> CommitLog:
         return CommitLog(self.spark, f"{self.root}/insights")
 
+    @property
+    def state_log(self) -> CommitLog:
+        return CommitLog(self.spark, f"{self.root}/state")
+
+    def state(self, topic: str, keys: list[tuple] | None = None) -> DataFrame:
+        """The last published version of a table that grows by month."""
+        return self.state_log.read(topic, schemas.STATES[topic], schemas.STATE_PARTITIONS[topic], keys)
+
     def vacuum(self) -> None:
         """Remove the versions of Gold and insight tables that are no longer read."""
         self.gold_log.vacuum({topic: PERIOD for topic in schemas.GOLD})
         self.insight_log.vacuum(schemas.INSIGHT_PARTITIONS)
+        self.state_log.vacuum(schemas.STATE_PARTITIONS)
 
     def languages(self) -> DataFrame:
         """Languages with popularity or edges."""
@@ -334,6 +344,7 @@ class Lakehouse:
         topn_edges: int = 100_000,
         topm_referrers: int = 50,
         skip_existing: bool = True,
+        incremental: bool = False,
     ) -> None:
         """Write the five insight tables for the given languages (default: all).
 
@@ -341,15 +352,24 @@ class Lakehouse:
         Gold rows of finished languages are not even read. Without it, partitions whose Gold
         rows are gone become empty. All five tables are published together; a table that
         turns out to have no rows is warned about, and counts as done.
+
+        ``incremental`` brings the yearly and all-time lists up to date: the new months are
+        added to kept totals (``update_totals``), and only years and languages with new months
+        are ranked, from the totals. The lists of the latest months follow as usual.
         """
+        if incremental:
+            with tuned(self.spark), scratch(self.spark):
+                changed = self.update_totals()
+            changed = [k for k in changed if languages is None or k[0] in languages]
+
         def popularity(periods: list[increments.Period]) -> DataFrame:
             return self._gold_part("article_popularity", periods)
 
         def window(topic: str, source: str, months: int) -> list[increments.Period]:
             return self._pending_window(topic, source, months, languages, skip_existing)
 
-        yearly = self._pending_years(languages, skip_existing)
-        whole = self._pending_languages(languages, skip_existing)
+        yearly = changed if incremental else self._pending_years(languages, skip_existing)
+        whole = changed if incremental else self._pending_languages(languages, skip_existing)
         trending = window("trending_mom", "article_popularity", 2)
         paired = {topic: window(topic, "edges_monthly", 6) for topic in ("edges_6m", "referrers_6m")}
         months = sorted({p for periods in paired.values() for p in periods})
@@ -366,6 +386,12 @@ class Lakehouse:
             def of(topic: str) -> DataFrame:
                 return totals.filter(F.col("lang").isin(sorted({p[0] for p in paired[topic]})))
 
+            def years(keys: list[tuple]) -> DataFrame:
+                return self.state("yearly_totals", keys) if incremental else popularity(keys)
+
+            def ever(keys: list[tuple]) -> DataFrame:
+                return self.state("all_time_totals", sorted({k[:1] for k in keys})) if incremental else popularity(keys)
+
             winners: dict[str, DataFrame] = {}
 
             def rank(topic: str, build: Callable[[], DataFrame]) -> Callable[[], None]:
@@ -377,8 +403,8 @@ class Lakehouse:
             _together([
                 rank("edges_6m", lambda: I.busiest_pairs(of("edges_6m"), topn_edges)),
                 rank("referrers_6m", lambda: I.strongest_referrers(of("referrers_6m"), topm_referrers)),
-                rank("top10_by_year", lambda: I.top10_by_year(popularity(yearly))),
-                rank("all_time_top", lambda: I.all_time_top(popularity(whole), topn_all_time)),
+                rank("top10_by_year", lambda: I.top10_by_year(years(yearly))),
+                rank("all_time_top", lambda: I.all_time_top(ever(whole), topn_all_time)),
                 rank("trending_mom", lambda: I.trending_mom(popularity(trending), topn_trending)),
             ])
             # One look at the dictionary, of the pending languages, labels all insights.
@@ -403,6 +429,59 @@ class Lakehouse:
             _together([partial(write, topic) for topic in winners])
             self.insight_log.publish(changes)
 
+    def update_totals(self) -> list[tuple[str, int]]:
+        """Add Gold months that are new since the last call to the yearly and all-time totals.
+
+        Returns the (lang, year) with new rows. Only the new months are read, and the totals of
+        their years and languages. Where a month that is already in the totals has got another
+        version, its year is summed up anew from its months, and its language from its years.
+        """
+        log, gold = self.state_log, self.gold_log.snapshot().get("article_popularity", {})
+        seen = log.snapshot().get("seen", {})
+        new = [p for p, token in gold.items() if p not in seen and token]
+        other = [p for p, token in gold.items() if p in seen and seen[p] != token]
+        keys = sorted({p[:2] for p in [*new, *other]})
+        if not keys:
+            if fresh := {p: token for p, token in gold.items() if p not in seen}:
+                log.publish({"seen": fresh})
+            return []
+        anew = {p[:2] for p in other}
+        months = [p for p in gold if p[:2] in anew] + [p for p in new if p[:2] not in anew]
+        token, names = new_token(), schemas.STATES["yearly_totals"].names
+
+        def summed(parts: list[DataFrame], by: list[str]) -> DataFrame:
+            rows = parts[0].select(*by, "curr_id", "total_clicks").unionByName(parts[1].select(*by, "curr_id", "total_clicks"))
+            return rows.groupBy(*by, "curr_id").agg(F.sum("total_clicks").alias("total_clicks"))
+
+        added = self._gold_part("article_popularity", months)
+        yearly = summed([self.state("yearly_totals", [k for k in keys if k not in anew]), added], ["lang", "year"])
+        changes = {"yearly_totals": log.write(yearly, "yearly_totals", ["lang", "year"], token, keys)}
+        langs, redone = sorted({k[:1] for k in keys}), {k[:1] for k in anew}
+        fresh_years = log.read_version("yearly_totals", schemas.STATES["yearly_totals"], ["lang", "year"], token)
+        kept_years = self.state("yearly_totals", [k for k in log.partitions("yearly_totals") if k[:1] in redone and k not in keys])
+        again = kept_years.unionByName(fresh_years.filter(F.col("lang").isin([x for (x,) in redone]))).select(*names)
+        plain = [k for k in langs if k not in redone]
+        ever = summed([self.state("all_time_totals", plain), added.filter(F.col("lang").isin([x for (x,) in plain]))], ["lang"])
+        ever = ever.unionByName(again.groupBy("lang", "curr_id").agg(F.sum("total_clicks").alias("total_clicks")))
+        changes["all_time_totals"] = log.write(ever, "all_time_totals", ["lang"], token, langs)
+        log.publish(changes | {"seen": dict(gold)})
+        return keys
+
+    def profile_languages(self) -> DataFrame:
+        """Rows, clicks and distinct targets per language, from states of single months.
+
+        Months whose Gold version is not yet in the states are read, no others.
+        """
+        log, gold = self.state_log, self.gold_log.snapshot().get("article_popularity", {})
+        seen = log.snapshot().get("profiled", {})
+        months = [p for p, token in gold.items() if seen.get(p, "") != token]
+        if months:
+            silver = layers.read_periods(self.spark, self.silver_path, schemas.SILVER, months)
+            state = quality.profile_state(silver, self._gold_part("article_popularity", months))
+            written = log.write(state.select(*schemas.STATES["profiles"].names), "profiles", PERIOD, new_token(), months)
+            log.publish({"profiles": written, "profiled": {p: gold[p] for p in months}})
+        return quality.merged_profile(self.state("profiles"))
+
     def _without_gold(self, languages: list[str] | None) -> dict[str, dict[tuple, None]]:
         """Published partitions of insights for which no Gold rows are left."""
         gone = {}
@@ -452,10 +531,15 @@ class Lakehouse:
     # -- catalog -----------------------------------------------------------------
 
     def register_views(self) -> None:
-        """Temporary views over every layer; insight views are named ``gs_<table>``."""
+        """Temporary views over every layer; insight views are named ``gs_<table>``.
+
+        The analytical queries become table functions of SQL, see ``sql_queries``.
+        """
         self.silver().createOrReplaceTempView("clickstream_silver")
         self.dictionary().createOrReplaceTempView("articles")
         for topic in schemas.GOLD:
             self.gold(topic).createOrReplaceTempView(topic)
         for topic in schemas.INSIGHTS:
             self.insight(topic).createOrReplaceTempView(f"gs_{topic}")
+        for statement in sql_queries.FUNCTIONS.values():
+            self.spark.sql(statement)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql.types import (
+    BinaryType,
     BooleanType,
     DoubleType,
     IntegerType,
@@ -12,7 +13,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
-_TYPES = {"string": StringType(), "int": IntegerType(), "long": LongType(), "double": DoubleType(), "boolean": BooleanType()}
+_TYPES = {"string": StringType(), "int": IntegerType(), "long": LongType(), "double": DoubleType(), "boolean": BooleanType(), "binary": BinaryType()}
 
 
 def _layout(spec: str) -> StructType:
@@ -67,3 +68,11 @@ INSIGHT_PARTITIONS = {
     "trending_mom": PERIOD,
     "referrers_6m": PERIOD,
 }
+
+# What grows by month: totals that new months are added to, and the parts of profiles.
+STATES = {
+    "yearly_totals": _layout("lang:string year:int curr_id:long total_clicks:long"),
+    "all_time_totals": _layout("lang:string curr_id:long total_clicks:long"),
+    "profiles": _layout("lang:string year:int month:int bucket:long bits:binary records:long total_clicks:long"),
+}
+STATE_PARTITIONS = {"yearly_totals": ["lang", "year"], "all_time_totals": ["lang"], "profiles": PERIOD}

@@ -22,8 +22,8 @@ from clickweir.sources import files
 
 Key = tuple
 VERSION = "commit"
-# Files in which readers name every folder; beyond, the planner prunes the listed tree.
-NAMED_FOLDERS = 1024
+# Readers name so many folders at most; beyond, the planner prunes the listed tree.
+NAMED_FOLDERS = 32
 
 
 def new_token() -> str:
