@@ -13,6 +13,7 @@ from concurrent.futures import ThreadPoolExecutor
 from contextvars import copy_context
 from functools import partial
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
@@ -228,11 +229,17 @@ class Lakehouse:
             # not change if a task is run again.
             seen = Observation()
             period = F.when(readable(profile), F.struct(*PERIOD))
-            rows = rows.observe(seen, F.collect_set(period).alias("periods"))
-            tables.write_partitions(
-                clean(rows, profile), self.silver_path, sort_by=("curr_title",),
-                handled=lambda: [tuple(p) for p in seen.get["periods"]],
-            )
+            watched = rows.observe(seen, F.collect_set(period).alias("periods"))
+
+            def handled() -> list[increments.Period]:
+                try:
+                    found = seen.get["periods"]
+                except Py4JJavaError:
+                    # The planner saw that no row can be kept, and so read none.
+                    found = rows.filter(readable(profile)).select(*PERIOD).distinct().collect()
+                return [tuple(p) for p in found]
+
+            tables.write_partitions(clean(watched, profile), self.silver_path, sort_by=("curr_title",), handled=handled)
 
     # -- Silver -> Gold ----------------------------------------------------------
 

@@ -59,21 +59,28 @@ def test_referrers_and_edges_apply_thresholds(encoded):
         (1, 2, 8), (2, 3, 12), (3, 2, 8)]
 
 
-@pytest.mark.parametrize("n", [1, 40, 1_500])
-def test_sliced_ranking_equals_one_window(spark, monkeypatch, n):
-    monkeypatch.setattr(ranking, "SLICES", 4)
-    monkeypatch.setattr(ranking, "BUNDLES", 2)
+@pytest.mark.parametrize("n", [1, 7, 40, 10_000])
+def test_ranking_by_cutoff_equals_one_window(spark, n):
+    """Groups of any size, ties, nulls, negative and huge values, keys of numbers and of text."""
     row = F.col("id")
-    df = spark.range(0, 20_000, 1, 6).select(
-        F.when(row % 3 == 0, "hot").otherwise(F.concat(F.lit("g"), row % 40)).alias("g"),
-        (row * 7919 % 100).alias("v"),
-        row.alias("k"),
-    )
-    order = [F.desc("v"), F.asc("k")]
-    found = ranking.top_n(df, ["g"], order, n, sliced=True)
-    place = F.row_number().over(Window.partitionBy("g").orderBy(*order)).cast("long")
-    expected = df.withColumn("rn", place).filter(F.col("rn") <= n)
-    assert rows(found, "g", "k", "rn") == rows(expected, "g", "k", "rn")
+    df = spark.range(6000).select(
+        F.when(row % 3 == 0, "a").when(row % 300 == 1, "b").otherwise("c").alias("g"),
+        F.when(row % 500 != 7, F.when(row % 2 == 0, row * 7919 % 101 - 50).otherwise(row * row * row)).alias("v"),
+        (row % 13 / 7 - 0.5).alias("d"), F.md5(row.cast("string")).alias("t"), row.alias("k"),
+    ).repartition(37)
+    for order in (["-v", "k"], ["-d", "-v", "k"], ["v", "t", "k"], ["t", "k"]):
+        want = ranking.top_n(df, ["g"], order, n)
+        found = ranking.top_n_of_few(df, ["g"], order, n)
+        assert sorted(map(tuple, found.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+
+
+def test_ranking_by_cutoff_shuffles_few_rows(spark):
+    """However many tasks have rows of a group, and however many rows are equal at the cutoff."""
+    df = spark.range(0, 400_000, 1, 400).select(F.lit("a").alias("g"), (F.col("id") % 50_000 == 0).cast("long").alias("v"), "id")
+    assert ranking.candidates(df, ["g"], ["-v", "id"], 1000).count() < 1010
+    wide = df.withColumn("v", F.col("id") * 3)
+    assert ranking.candidates(wide, ["g"], ["-v", "id"], 1000).count() == 1000
+
 
 
 def test_trending_needs_both_months(spark):
