@@ -12,14 +12,14 @@ text plus one. Two such texts of similarity 0.8 have one of these in common for
 
 The similarity of two texts is matches / (shingles of both - matches), where the matches are
 those of the best alignment of the two sequences (of texts without moved parts: the Jaccard
-similarity of their shingles). One minus it is a metric, which is used below.
+similarity of their shingles; it is never more).
 
 Equal texts are one node, and the nodes of a bucket are not met pair by pair. All of them are
 aligned with two pivots, the nodes that share most keys with others, which joins a crowd of
-near copies to one component. Then only nodes outside a bucket's largest component are met with
-the nodes of other components, where the distances from both pivots allow a link by the
-triangle inequality. This loses no pair of a bucket; it costs the square of a bucket's size
-only where its texts are alike enough to share a key and yet all unlike each other.
+near copies to one component. Nodes of buckets with more than one component are then met by
+their rarest labelled shingles (``rare_pairs``), which loses no linked pair. In a crowd of
+texts that were edited apart the edits are the rare shingles, and no two texts share them; so
+such texts hardly meet, however many share a key.
 
 Texts are read once; what is shuffled are keys and, for candidates only, word hashes. Every
 intermediate table is written to the shared folder.
@@ -51,6 +51,7 @@ PICKED = 4
 SHORT = 15
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _BYTES_AT_ONCE = 1 << 23
+_CELLS_AT_ONCE = 1 << 13
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -92,15 +93,15 @@ def sketch(words: np.ndarray, slots: int = SLOTS, picked: int = PICKED) -> np.nd
     if len(codes) == 0:
         return np.zeros(0, np.int64)
     labelled = _labelled(codes)
-    keys = np.empty(slots, np.uint64)
+    keys = np.arange(1, slots + 1, dtype=np.uint64)
     take = min(picked, len(codes))
-    for slot in range(slots):
-        order = _mixed(labelled ^ _mixed(np.uint64([slot + 1]) * _MULTIPLIER))
-        chosen = np.sort(np.argpartition(order, take - 1)[:take])
-        key = np.uint64(slot + 1)
-        for code in codes[chosen].tolist():
-            key = np.uint64((int(key) * 0x9E3779B97F4A7C15 + code) & 0xFFFFFFFFFFFFFFFF)
-        keys[slot] = key
+    at_once = max(1, _CELLS_AT_ONCE // len(codes))
+    for begin in range(0, slots, at_once):  # all slots of a text together, unless it is very long
+        part = slice(begin, begin + at_once)
+        order = _mixed(labelled[None, :] ^ _mixed(keys[part] * _MULTIPLIER)[:, None])
+        chosen = np.sort(np.argpartition(order, take - 1, axis=1)[:, :take], axis=1)
+        for column in codes[chosen].T:
+            keys[part] = keys[part] * _MULTIPLIER + column
     if len(codes) <= SHORT:
         needed = math.ceil(SIMILARITY * len(codes) - 1e-9)
         keys = np.concatenate([keys, np.sort(labelled)[:len(codes) - needed + 1]])
@@ -230,12 +231,62 @@ def aligned(pairs: DataFrame, texts: DataFrame, limit: float) -> DataFrame:
     return joined.mapInPandas(run, "a binary, b binary, distance double")
 
 
+def rare_pairs(nodes: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """(a, b) of the ``nodes`` (node, root, minor) of different roots that can be linked.
+
+    Of two linked texts of n <= m shingles each lacks few of the other's: both together at most
+    r * (n + m) with r = (1 - similarity) / (1 + similarity), the one with n at most r * n, the
+    other at most (1 - similarity) * m. In one order of all labelled shingles, rarest first,
+    their first common one is therefore among the first r * n + 1 of the one and the first
+    (1 - similarity) * m + 1 of the other. What stands before it in either is lacking, so the
+    two places add up to no more than r * (n + m); a text with too many shingles that no other
+    node has takes no part.
+    """
+    ratio, share = (1 - similarity) / (1 + similarity) + 1e-9, 1 - similarity + 1e-9
+    code_list = pa.list_(pa.int64())
+
+    def coded(batches):
+        import zstandard
+
+        unpacker = zstandard.ZstdDecompressor()
+        for batch in batches:
+            found = [_labelled(shingles(np.frombuffer(unpacker.decompress(w), np.uint32))).view(np.int64) for w in batch["words"].to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch["node"], pa.array(found, code_list)], ["node", "codes"])
+
+    chosen = texts.join(nodes.select("node").hint("merge"), "node", "left_semi").select("node", "words")
+    codes = saved(chosen.mapInArrow(coded, "node binary, codes array<bigint>").select("node", F.explode("codes").alias("code")), "omh-codes")
+    common = codes.groupBy("code").agg(F.count("*").alias("uses"))
+    ranked = saved(
+        codes.join(common.hint("merge"), "code").groupBy("node").agg(
+            F.count("*").alias("n"), F.count_if(F.col("uses") == 1).alias("own"), F.sort_array(F.collect_list(F.struct("uses", "code"))).alias("codes"),
+        )
+        .where(F.col("own") <= F.col("n") * share)
+        .select("node", "n", "own", F.slice("codes.code", F.lit(1), (F.col("n") * share).cast("int") + 1).alias("codes"))
+        .join(nodes.hint("merge"), "node"), "omh-rare",
+    )
+
+    def side(mark: str, rows: DataFrame, codes: Column) -> DataFrame:
+        names = ["node", "root", "minor", "n"]
+        return rows.select(F.posexplode(codes).alias(f"{mark}_at", "code"), *(F.col(c).alias(f"{mark}_{c}") for c in names))
+
+    less = side("s", ranked.where(F.col("own") <= F.col("n") * ratio), F.slice("codes", F.lit(1), (F.col("n") * ratio).cast("int") + 1))
+    more = side("l", ranked, F.col("codes"))
+    fits = (
+        (F.col("s_root") != F.col("l_root")) & (F.col("s_minor") | F.col("l_minor"))
+        & (F.col("s_n") <= F.col("l_n")) & (F.col("l_n") * (1 - share) <= F.col("s_n"))
+        & (F.col("s_at") + F.col("l_at") <= (F.col("s_n") + F.col("l_n")) * ratio)
+    )
+    return less.join(more.hint("merge"), "code").where(fits).select(
+        F.least("s_node", "l_node").alias("a"), F.greatest("s_node", "l_node").alias("b"),
+    ).distinct()
+
+
 def links(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(a, b) of linked nodes: enough of them to hold every component together.
 
     ``rows`` are those of ``sketches``; rows of the same node are equal.
     """
-    near, far = 1 - similarity + 1e-9, 2 * (1 - similarity) + 1e-9
+    near = 1 - similarity + 1e-9
     nodes = saved(rows.select("node", "keys").groupBy("node").agg(F.first("keys").alias("keys")), "omh-nodes")
     # A key tells its slot; those of short texts meet at any place.
     every = nodes.select("node", F.explode_outer("keys").alias("key")).where("key is not null").select(
@@ -263,51 +314,26 @@ def links(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     pairs = met.where("node <> low").select(F.col("low").alias("p"), F.col("node").alias("q")).union(
         met.where("node <> high and node <> low").select(F.col("high").alias("p"), F.col("node").alias("q")),
     ).select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"))
-    known = saved(aligned(saved(pairs.distinct(), "omh-pairs"), texts, far), "omh-aligned")
-    both = known.select(F.col("a").alias("pivot"), F.col("b").alias("node"), "distance").union(
-        known.select(F.col("b").alias("pivot"), F.col("a").alias("node"), "distance"),
-    )
+    known = saved(aligned(saved(pairs.distinct(), "omh-pairs"), texts, near), "omh-aligned")
     linked = known.where(f"distance <= {near}").select("a", "b")
     roots = saved(components(linked, "omh-first"), "omh-roots")
 
     # What is left are pairs of a bucket in different components. In the common case a bucket
-    # is one component but for a few nodes, so only nodes outside its largest one are met with
-    # all others; distances from either pivot then rule out most pairs.
-    def distance(end: str) -> DataFrame:
-        return both.select(F.col("pivot").alias(end), "node", F.col("distance").alias(f"to_{end}"))
-
-    def possible(x: str, y: str) -> Column:
-        """Whether a link is, by the distances from a pivot; null is any beyond ``far``."""
-        x, y = F.col(x), F.col(y)
-        return (
-            F.when(x.isNull() & y.isNull(), True).when(x.isNull(), y > near).when(y.isNull(), x > near)
-            .otherwise(F.abs(x - y) <= near)
-        )
-
+    # is one component but for a few nodes.
     placed = saved(
-        met.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        .join(distance("low"), ["low", "node"], "left").join(distance("high"), ["high", "node"], "left")
-        .select(
-            "bucket", "node", "root",
-            *(F.when(F.col("node") == F.col(e), 0.0).otherwise(F.col(f"to_{e}")).alias(f"to_{e}") for e in ("low", "high")),
-        ), "omh-placed",
+        met.select("bucket", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "omh-placed",
     )
     main = placed.groupBy("bucket", "root").agg(F.count("*").alias("size")).groupBy("bucket").agg(
         F.max(F.struct("size", "root")).alias("main"), F.count("*").alias("parts"),
     ).where("parts > 1").select("bucket", F.col("main.root").alias("main"))
-    split = placed.join(saved(main, "omh-main").hint("merge"), "bucket")
-    minor = split.where("root <> main").select(
-        "bucket", F.col("node").alias("x"), F.col("root").alias("rx"), F.col("to_low").alias("lx"), F.col("to_high").alias("hx"),
-    )
-    apart = (
-        minor.join(split.drop("main").hint("merge"), "bucket").where(
-            (F.col("root") != F.col("rx")) & possible("to_low", "lx") & possible("to_high", "hx")
-        ).select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
+    split = placed.join(saved(main, "omh-main").hint("merge"), "bucket").groupBy("node", "root").agg(
+        F.bool_or(F.col("root") != F.col("main")).alias("minor"),
     )
+    apart = rare_pairs(saved(split, "omh-split"), texts, similarity)
     apart = saved(apart.join(known.select("a", "b"), ["a", "b"], "left_anti"), "omh-apart")
     if apart.isEmpty():
         return linked
-    found = aligned(apart, texts, far).where(f"distance <= {near}").select("a", "b")
+    found = aligned(apart, texts, near).where(f"distance <= {near}").select("a", "b")
     return linked.union(saved(found, "omh-across"))
 
 

@@ -828,3 +828,34 @@ def test_rows_that_repeat_a_query_are_queries_of_their_own(spark):
     assert got == sorted(want)
     with pytest.raises(ValueError):
         norm_topk.top_k(spark.createDataFrame([(50, [1e12]), (1, [1.0])], "vec_id long, embedding array<double>"), F.lit(True))
+
+
+def test_a_crowd_of_texts_edited_apart(spark, monkeypatch):
+    """Copies of one text with edits of their own: classes as by brute force, from few candidates."""
+    rnd = random.Random(5)
+    base = [f"w{i}" for i in range(120)]
+    texts = []
+    for i in range(300):
+        words = base.copy()
+        for k in range(rnd.choice([1, 4, 5, 6, 7])):
+            words[rnd.randrange(120)] = f"e{i}x{k}"
+        texts.append(" ".join(words))
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    met, real = [], order_minhash.rare_pairs
+    monkeypatch.setattr(order_minhash, "rare_pairs", lambda *x: (met.append(real(*x)), met[-1])[1])
+    got = {r["doc_id"]: r["class_id"] for r in order_minhash.classes(frame).select("doc_id", "class_id").collect()}
+    assert sum(x.count() for x in met) < len(texts) * (len(texts) - 1) / 2 / 10
+    codes = [order_minhash.shingles(next(iter(order_minhash._word_codes(pa.array([t]))))) for t in texts]
+    root = list(range(len(texts)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if order_minhash.alignment_distance(codes[i], codes[j], 0.2 + 1e-9) is not None:
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    assert got == {i: find(i) for i in range(len(texts))}
