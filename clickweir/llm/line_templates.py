@@ -12,8 +12,7 @@ as such lines hardly repeat by chance. With ``min_chars`` lines of fewer than ``
 tokens (a script without blanks, a URL) are counted too if they have that many characters; in
 these only the digits of a token vary. With ``cuts`` the open parts are as long but start at
 every ``cuts``-th of their length, so that a field across the border of two parts is in a third
-one. ``PASSAGES`` sets these for the pipeline; ``op1_lines`` has the plain settings, which are
-those of its SQL.
+one. ``PASSAGES`` sets these for the query and the pipeline.
 
 What still escapes: fields without a digit that lie in different parts or are longer than one,
 among the first ``DEPTH`` tokens, that change the number of tokens, and those of lines of fewer

@@ -20,7 +20,7 @@ def tokenizer_path(name: str) -> str:
 
 def op1_lines(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", F.col("text").alias("before"))
-    cut = line_templates.drop_recurring(docs)
+    cut = line_templates.drop_recurring(docs, **line_templates.PASSAGES)
     n_chars = F.coalesce(F.length("text"), F.lit(0))
     return cut.select(
         "doc_id", "text", (F.coalesce(F.length("before"), F.lit(0)) - n_chars).cast("long").alias("chars_dropped"),
@@ -112,24 +112,32 @@ ORACLES: dict[str, str] = {
             SELECT doc, doc_id, string_split(text, chr(10)) AS lines FROM same WHERE row = doc AND text IS NOT NULL
         ), lines AS (
             SELECT doc, doc_id, unnest(lines) AS body, unnest(range(len(lines))) AS line FROM split
-        ), tokens AS (
-            SELECT doc, doc_id, line, list_transform(
-                regexp_extract_all(body, '[^\x20\x09-\x0D]+'),
-                lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END) AS t
+        ), masked AS (
+            SELECT *, CASE WHEN len(regexp_extract_all(body, '[^\x20\x09-\x0D]+')) < 3 THEN regexp_replace(body, '[0-9]+', '<*>', 'g')
+                ELSE regexp_replace(body, '[^\x20\x09-\x0D0-9]*[0-9][^\x20\x09-\x0D]*', '<*>', 'g') END AS m
             FROM lines
+        ), measured AS (
+            SELECT doc, doc_id, line, regexp_extract_all(m, '[^\x20\x09-\x0D]+') AS t, length(replace(m, '<*>', '')) AS fixed,
+                (length(m) - length(replace(m, '<*>', ''))) // 3 AS fields,
+                length(trim(body, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))) AS size
+            FROM masked
+        ), tokens AS (
+            SELECT *, len(t) AS n_tokens, (len(t) >= 12 AND 2 * fields <= len(t)) OR fixed >= 60 AS long FROM measured
         ), occurrences AS (
-            SELECT doc, doc_id, line, -1 AS part, t AS template FROM tokens WHERE len(t) >= 3
+            SELECT doc, doc_id, line, n_tokens, long, -1 AS part, t AS template
+            FROM tokens WHERE n_tokens >= 3 OR (n_tokens > 0 AND size >= 30)
             UNION ALL
-            SELECT doc, doc_id, line, part, t[:2 + (len(t) - 2) * part // 4] || ['<open>'] || t[2 + (len(t) - 2) * (part + 1) // 4 + 1:]
-            FROM tokens, (SELECT unnest(range(4)) AS part) WHERE len(t) >= 12
+            SELECT doc, doc_id, line, n_tokens, false, part,
+                t[:2 + (n_tokens - 2) * part // 8] || ['<open>'] || t[2 + (n_tokens - 2) * (part + 2) // 8 + 1:]
+            FROM tokens, (SELECT unnest(range(7)) AS part) WHERE n_tokens >= 12
         ), ranked AS (
-            SELECT *, row_number() OVER (PARTITION BY part, template, n_tokens ORDER BY doc_id NULLS LAST, doc, line) AS place,
-                dense_rank() OVER (PARTITION BY part, template, n_tokens ORDER BY doc) AS r
-            FROM (SELECT o.*, len(t) AS n_tokens FROM occurrences o JOIN tokens USING (doc, line))
+            SELECT *, row_number() OVER (PARTITION BY part, template, n_tokens, long ORDER BY doc_id NULLS LAST, doc, line) AS place,
+                dense_rank() OVER (PARTITION BY part, template, n_tokens, long ORDER BY doc) AS r
+            FROM occurrences
         ), recurring AS (
-            SELECT *, max(r) OVER (PARTITION BY part, template, n_tokens) AS docs FROM ranked
+            SELECT *, max(r) OVER (PARTITION BY part, template, n_tokens, long) AS docs FROM ranked
         ), lost AS (
-            SELECT DISTINCT doc, line FROM recurring WHERE docs >= 3 AND place > 1
+            SELECT DISTINCT doc, line FROM recurring WHERE docs >= CASE WHEN long THEN 2 ELSE 3 END AND place > 1
         ), kept AS (
             SELECT l.doc, string_agg(body, chr(10) ORDER BY line) FILTER (lost.doc IS NULL) AS text
             FROM lines l LEFT JOIN lost USING (doc, line) GROUP BY l.doc
