@@ -34,6 +34,8 @@ their names, are ignored; an empty table gives no rows.
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pandas as pd
@@ -49,6 +51,7 @@ SIMILARITY = 0.8
 SLOTS = 24
 PICKED = 4
 SHORT = 15
+PARITY_BITS = 2048
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _BYTES_AT_ONCE = 1 << 23
 _CELLS_AT_ONCE = 1 << 13
@@ -240,7 +243,9 @@ def rare_pairs(nodes: DataFrame, texts: DataFrame, similarity: float) -> DataFra
     their first common one is therefore among the first r * n + 1 of the one and the first
     (1 - similarity) * m + 1 of the other. What stands before it in either is lacking, so the
     two places add up to no more than r * (n + m); a text with too many shingles that no other
-    node has takes no part.
+    node has takes no part. Each text also has a bitmap of the parities of its shingles' hashes:
+    every bit in which two differ takes a shingle that one of them lacks, so more than
+    r * (n + m) of them rule a pair out.
     """
     ratio, share = (1 - similarity) / (1 + similarity) + 1e-9, 1 - similarity + 1e-9
     code_list = pa.list_(pa.int64())
@@ -250,11 +255,15 @@ def rare_pairs(nodes: DataFrame, texts: DataFrame, similarity: float) -> DataFra
 
         unpacker = zstandard.ZstdDecompressor()
         for batch in batches:
-            found = [_labelled(shingles(np.frombuffer(unpacker.decompress(w), np.uint32))).view(np.int64) for w in batch["words"].to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch["node"], pa.array(found, code_list)], ["node", "codes"])
+            found = [_labelled(shingles(np.frombuffer(unpacker.decompress(w), np.uint32))) for w in batch["words"].to_pylist()]
+            odd = [np.packbits(np.bincount(x % np.uint64(PARITY_BITS), minlength=PARITY_BITS).astype(np.uint8) & 1).view(np.int64) for x in found]
+            yield pa.RecordBatch.from_arrays(
+                [batch["node"], pa.array([x.view(np.int64) for x in found], code_list), pa.array(odd, code_list)], ["node", "codes", "parity"],
+            )
 
     chosen = texts.join(nodes.select("node").hint("merge"), "node", "left_semi").select("node", "words")
-    codes = saved(chosen.mapInArrow(coded, "node binary, codes array<bigint>").select("node", F.explode("codes").alias("code")), "omh-codes")
+    read = saved(chosen.mapInArrow(coded, "node binary, codes array<bigint>, parity array<bigint>"), "omh-codes")
+    codes = read.select("node", F.explode("codes").alias("code"))
     common = codes.groupBy("code").agg(F.count("*").alias("uses"))
     ranked = saved(
         codes.join(common.hint("merge"), "code").groupBy("node").agg(
@@ -262,19 +271,21 @@ def rare_pairs(nodes: DataFrame, texts: DataFrame, similarity: float) -> DataFra
         )
         .where(F.col("own") <= F.col("n") * share)
         .select("node", "n", "own", F.slice("codes.code", F.lit(1), (F.col("n") * share).cast("int") + 1).alias("codes"))
-        .join(nodes.hint("merge"), "node"), "omh-rare",
+        .join(nodes.hint("merge"), "node").join(read.select("node", "parity").hint("merge"), "node"), "omh-rare",
     )
 
     def side(mark: str, rows: DataFrame, codes: Column) -> DataFrame:
-        names = ["node", "root", "minor", "n"]
+        names = ["node", "root", "minor", "n", "parity"]
         return rows.select(F.posexplode(codes).alias(f"{mark}_at", "code"), *(F.col(c).alias(f"{mark}_{c}") for c in names))
 
     less = side("s", ranked.where(F.col("own") <= F.col("n") * ratio), F.slice("codes", F.lit(1), (F.col("n") * ratio).cast("int") + 1))
     more = side("l", ranked, F.col("codes"))
+    unlike = [F.bit_count(F.get("s_parity", F.lit(i)).bitwiseXOR(F.get("l_parity", F.lit(i)))) for i in range(PARITY_BITS // 64)]
     fits = (
         (F.col("s_root") != F.col("l_root")) & (F.col("s_minor") | F.col("l_minor"))
         & (F.col("s_n") <= F.col("l_n")) & (F.col("l_n") * (1 - share) <= F.col("s_n"))
         & (F.col("s_at") + F.col("l_at") <= (F.col("s_n") + F.col("l_n")) * ratio)
+        & (reduce(add, unlike) <= (F.col("s_n") + F.col("l_n")) * ratio)
     )
     return less.join(more.hint("merge"), "code").where(fits).select(
         F.least("s_node", "l_node").alias("a"), F.greatest("s_node", "l_node").alias("b"),

@@ -2,8 +2,8 @@ r"""Quality rules as a short-circuit cascade, all of it in built-in functions.
 
 The counts of a document (words, symbols, repeated lines, repeated three-word windows) are
 computed inside its row, without a shuffle. Rules are conditions that reject a document. On
-a sample the cost of each rule is timed and its rejections are counted; rules are then put in
-the order of rejections per second and become branches of one CASE, so that a document is
+a sample of bounded size the cost of each rule is timed and its rejections are counted; rules
+are then put in the order of rejections per second and become branches of one CASE, so that a document is
 left alone by all rules behind the one that rejects it. The order changes the time, never
 the verdict.
 
@@ -31,6 +31,10 @@ from clickweir.llm.frames import words
 
 MIN_WORDS = 50
 SAMPLE_ROWS = 2000
+# Variants of a text that a rule is timed on, and times each query is run.
+REPEATS = 16
+ROUNDS = 2
+LEAST_SECONDS = 0.005
 POSITION_BITS = 24
 
 
@@ -116,17 +120,35 @@ def base_failed() -> Column:
 
 
 def ordered_rules(counts: DataFrame, rules: list[Rule] | None = None, sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
-    """Rules by rejections per second on up to ``sample_rows`` rows of ``counts``, best first."""
+    """Rules by rejections per second on the first ``sample_rows`` rows of ``counts``, best first.
+
+    Each query below ends in a limit, so Spark starts with one task and takes more only until
+    there are enough rows, whatever the number of tasks; flags and sizes come back, no texts.
+    A rule is evaluated on ``REPEATS`` variants of each text, so that its own time stands out
+    from that of computing the counts, which a query with an empty rule measures alike.
+    """
     rules = RULES if rules is None else rules
-    sample = counts.limit(sample_rows).cache()
-    total = max(1, sample.count())
-    rated = []
-    for rule in rules:
-        start = time.perf_counter()
-        rejected = sample.agg(F.count_if(F.coalesce(F.expr(rule.rejects), F.lit(False)))).first()[0]
-        cost = max(time.perf_counter() - start, 1e-6)
-        rated.append(((rejected / total) / cost, rule))
-    sample.unpersist()
+    flags = [F.coalesce(F.expr(rule.rejects), F.lit(False)).cast("int").alias(f"rule{i}") for i, rule in enumerate(rules)]
+    seen = counts.select(*flags).limit(sample_rows).collect()
+    if not seen:
+        return list(rules)
+    rejected = [sum(row[i] for row in seen) for i in range(len(rules))]
+    variants = f"transform(sequence(1, {REPEATS}), i -> concat(text, cast(i AS string)))"
+    read = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words"]
+
+    def seconds(condition: str) -> float:
+        # within the lambda ``text`` is the variant
+        hits = F.expr(f"size(filter({variants}, text -> coalesce({condition}, false)))")
+        query = counts.select(F.least(hits, *(F.col(c).cast("int") for c in read)).alias("x")).limit(sample_rows)
+        times = []
+        for _ in range(ROUNDS):
+            start = time.perf_counter()
+            query.collect()
+            times.append(time.perf_counter() - start)
+        return min(times)
+
+    empty = seconds("text IS NULL")
+    rated = [(hits / max(seconds(rule.rejects) - empty, LEAST_SECONDS), rule) for hits, rule in zip(rejected, rules, strict=True)]
     return [rule for _, rule in sorted(rated, key=lambda x: -x[0])]
 
 
@@ -140,9 +162,8 @@ def cascade(counts: DataFrame, rules: list[Rule]) -> DataFrame:
 
 def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", rules: list[Rule] | None = None) -> DataFrame:
     """Counts of every document, ``base_failed`` and ``kept``."""
-    # The sample is of documents: counts are computed for its rows only.
-    order = ordered_rules(counted(docs.select(key, text).limit(SAMPLE_ROWS), key, text), rules)
-    judged = cascade(counted(docs, key, text), order)
+    counts = counted(docs, key, text)
+    judged = cascade(counts, ordered_rules(counts, rules))
     return judged.select(
         F.col("key").alias(key), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         base_failed().alias("base_failed"), F.col("rejected_by").isNull().alias("kept"),
