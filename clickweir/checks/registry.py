@@ -715,7 +715,7 @@ def n11_leader_margin(w: Workbench) -> DataFrame:
 
 
 def _sql(w: Workbench, text: str) -> DataFrame:
-    w.finished.register_views()
+    assert w.views
     return w.spark.sql(text)
 
 

@@ -115,6 +115,12 @@ class Workbench:
             lake.build_insights(**INSIGHT_OPTIONS, incremental=True)
         return lake
 
+    @cached_property
+    def views(self) -> bool:
+        """Views and table functions of the finished lakehouse are registered."""
+        self.finished.register_views()
+        return True
+
     def insight(self, topic: str) -> DataFrame:
         return self.finished.insight(topic)
 

@@ -1,7 +1,7 @@
 """Gold aggregates, rankings, insight tables and the queries on them."""
 
 import pytest
-from pyspark.sql import Window
+
 from pyspark.sql import functions as F
 
 from clickweir.operators import analytics as N

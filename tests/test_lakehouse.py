@@ -509,5 +509,11 @@ def test_plans_prune_and_limit_early(spark, lake, raw):
     assert "dynamicpruning" in plan_of(I.window_pair_totals(lake.gold("edges_monthly")))
     yearly = plan_of(lake.insight("top10_by_year").filter("lang = 'es' and year = 2024"))
     assert "(lang" in yearly.split("PartitionFilters")[1].split("PushedFilters")[0]
+    lake.register_views()
+    asked = plan_of(spark.sql("SELECT * FROM top_of_year('es', 2024) WHERE rn < 3"))
+    filters = asked.split("PartitionFilters")[1].split("PushedFilters")[0]
+    assert "(lang" in filters and "(year" in filters
+    both = spark.sql("SELECT l.lang, t.curr_title FROM VALUES ('es'), ('en') AS l(lang), LATERAL leader_of_each_year(l.lang) AS t")
+    assert {r.lang for r in both.collect()} == {"en", "es"}
     assert "partial_max" in plan_of(lake.silver().groupBy("lang").agg(F.max("n")))
     assert "PushedFilters: [IsNotNull(n), GreaterThan(n,0)]" in plan_of(layers.read_positive(lake.silver()))
