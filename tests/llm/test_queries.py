@@ -1,10 +1,17 @@
 """Registered queries against their SQL, and the pipeline."""
 
+import zlib
+from collections import defaultdict
+
 import duckdb
+import numpy as np
+import pyarrow as pa
 import pytest
+from tokenizers import Tokenizer
 
 import corpus_pipeline
-from clickweir.llm.queries import ORACLES, QUERIES
+from clickweir.llm import order_minhash, pii_spans
+from clickweir.llm.queries import ORACLES, QUERIES, tokenizer_path
 
 FOLDER = "/root/testdata/sf0.001"
 TABLES = "documents embeddings pages conversations".split()
@@ -65,3 +72,44 @@ def test_pipeline_stages_of_odd_tables(spark):
             assert out.dtypes == frame.dtypes
             out.collect()
         corpus_pipeline.STAGES[-1][1](spark, frame, FOLDER).collect()
+
+
+def test_pipeline_equals_its_stages_by_brute_force(spark):
+    """Each stage against another way to its result, then run() against the last one."""
+    named = corpus_pipeline.identify_language(spark, spark.read.parquet(f"{FOLDER}/documents.parquet"), FOLDER).toPandas()
+    con = duckdb.connect()
+    con.register("documents", named)
+    texts = {r[0]: r[1] for r in con.execute(f"SELECT doc_id, text FROM ({ORACLES['op1_lines']})").fetchall()}
+
+    codes = {d: order_minhash.shingles(next(iter(order_minhash._word_codes(pa.array([t or ""]))))) for d, t in texts.items()}
+    root = {d: d for d in texts}
+
+    def find(d):
+        while root[d] != d:
+            d = root[d]
+        return d
+
+    ids = sorted(texts)
+    for i, a in enumerate(ids):
+        for b in ids[:i]:
+            alike = texts[a] == texts[b] or (len(codes[a]) and len(codes[b]) and order_minhash.alignment_distance(codes[a], codes[b], 0.2 + 1e-9) is not None)
+            if alike:
+                low, high = sorted((find(a), find(b)))
+                root[high] = low
+    kept = {d: texts[d] for d in ids if find(d) == d}
+
+    tokenizer, want = Tokenizer.from_file(tokenizer_path("word_bpe_49k.json")), {}
+    for d, text in kept.items():
+        base = pii_spans.base_spans(text or "")
+        masked = pii_spans._masked(text or "", base + pii_spans.more_spans(text or "", base))
+        want[d] = np.array([*tokenizer.encode(masked, add_special_tokens=False).ids, 1], "<u4")
+    got = defaultdict(list)
+    for r in corpus_pipeline.run(spark, FOLDER).collect():
+        got[r["doc_id"]].append((r["start"], r["length"], r["ids_crc32"], r["doc_tokens"]))
+    assert set(got) == set(want)
+    for d, pieces in got.items():
+        at = 0
+        for start, length, crc, tokens in sorted(pieces):
+            assert start == at and tokens == len(want[d]) and crc == zlib.crc32(want[d][start:start + length].tobytes())
+            at += length
+        assert at == len(want[d])
