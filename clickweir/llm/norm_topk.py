@@ -7,16 +7,19 @@ split after ``LEADING`` rotated coordinates, Cauchy-Schwarz gives
 
     <q, x> <= |q| |x|   and   <q, x> <= <q', x'> + |q''| |x''|.
 
-Vectors are sorted by descending length and cut into blocks. A first pass over the block of
-the longest vectors, and over each query's own block of similar ones, gives every query a
-lower bound of its k-th score. A block whose longest vector cannot reach the bound of any
-query of a block of queries is never joined with it; inside a joined pair of blocks rows are
-met by descending length until the first bound ends the scan, and the second bound leaves
-few rows to be scored exactly. Ties are kept by pruning strictly below the bound.
-
-Blocks of queries and of vectors meet in an equi-join on the number of the block, so no side
-is broadcast and no task holds more than one block of each. The moment matrix is the only
-thing that passes through the driver: its size is the square of the dimension.
+Vectors are sorted by descending length and cut into blocks. Seeds, the longest vectors of
+each dimension, give every query a lower bound of its k-th score. A block of queries meets
+just the longest blocks, up to the first whose longest vector cannot reach the bound of any
+of its queries: blocks and bounds are ranked together, and only that many numbers are
+written out for it. Inside a joined pair of blocks rows are met by descending length until
+the first bound ends the scan, and the second bound leaves few rows to be scored exactly.
+Ties are kept by pruning strictly below the bound.
+
+Blocks of queries and of vectors meet in an equi-join on the number of the block, so neither
+is broadcast and no task holds more than one block of each; adaptive execution splits the
+queries of a block that many of them meet. Two things pass through the driver: the moment
+matrix of each dimension, its size the square of the dimension, and the seeds, ``SEED_BYTES``
+for all dimensions together, but at least ``k + 1`` vectors of each.
 
 Defined results: vectors that are null, empty or hold a null or non-finite component take no
 part, nor do rows without an id; vectors of different dimensions are never compared; rows of
@@ -35,12 +38,13 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickweir.llm.frames import saved
+from clickweir.llm.frames import numbered, saved
 
 BLOCK_ROWS = 8192
 QUERY_ROWS = 2048
 LEADING = 16
 STEP = 512
+SEED_BYTES = 1 << 23
 SLACK = 1e-6  # relative error allowed to rotated sums
 
 
@@ -103,6 +107,50 @@ def _blocks(rows: DataFrame, size: int, rotations: dict[int, np.ndarray], label:
     return saved(spread.mapInPandas(cut, shape), label)
 
 
+def _seeds(others: DataFrame, rotations: dict[int, np.ndarray], k: int) -> dict[int, dict]:
+    """The first rows of the block of the longest vectors of each dimension."""
+    longest = others.groupBy("dim").agg(F.max_by("block", "top").alias("block")).select("block")
+    room = SEED_BYTES // max(1, len(rotations))
+
+    def cut(batches):
+        for batch in batches:
+            for _, row in batch.iterrows():
+                dim = int(row["dim"])
+                rows = max(k + 1, room // (16 * dim))
+                yield pd.DataFrame({
+                    "dim": [dim], **{c: [row[c][:8 * rows]] for c in ("ids", "rows", "norms")},
+                    **{c: [row[c][:8 * rows * dim]] for c in ("exact", "rotated")},
+                })
+
+    shape = "dim int, ids binary, rows binary, norms binary, exact binary, rotated binary"
+    heads = others.join(longest, "block", "left_semi").mapInPandas(cut, shape)
+    return {r["dim"]: r.asDict() for r in heads.toLocalIterator()}
+
+
+def _meetings(bounded: DataFrame, others: DataFrame) -> DataFrame:
+    """(q_block, block) for every block that may hold one of the best of a block of queries.
+
+    ``bounded`` has q_block, dim and reach, the least length that is still of use. A block of
+    queries is preceded by its blocks in the common order; their number is its place in it less
+    its place among queries.
+    """
+    by = F.struct("value", "asks", "number").alias("order")
+    blocks = others.select("dim", (-F.col("top") * (1 + SLACK)).alias("value"), F.lit(0).alias("asks"), F.col("block").alias("number"))
+    asking = bounded.select("dim", (-F.col("reach")).alias("value"), F.lit(1).alias("asks"), F.col("q_block").alias("number"))
+    asking = asking.select("dim", by)
+    blocks = blocks.select("dim", by)
+    among_all = numbered(blocks.union(asking), "dim", "order", "topk-order").where("order.asks = 1")
+    among_queries = numbered(asking, "dim", "order", "topk-asking")
+    reached = (
+        among_all.select(F.col("order.number").alias("q_block"), "dim", F.col("rank").alias("before"))
+        .join(among_queries.select(F.col("order.number").alias("q_block"), "rank"), "q_block")
+        .where("before > rank")
+        .select("q_block", "dim", F.explode(F.sequence(F.lit(0).cast("long"), F.col("before") - F.col("rank") - 1)).alias("rank"))
+    )
+    places = numbered(blocks, "dim", "order", "topk-places").select("dim", "rank", F.col("order.number").alias("block"))
+    return reached.join(places, ["dim", "rank"]).select("q_block", "block")
+
+
 class _Block:
     def __init__(self, row, prefix: str):
         dim = int(row["dim"])
@@ -178,15 +226,13 @@ def top_k(
         F.col("block").alias("q_block"), "dim", *(F.col(c).alias(f"q_{c}") for c in _QUERY),
     )
 
-    # First pass: the block of the longest vectors of each dimension bounds every query.
-    longest = others.groupBy("dim").agg(F.max_by("block", "top").alias("block"))
-    first = others.join(longest.select("block"), "block", "left_semi")
+    seeds = _seeds(others, rotations, k)
 
     def bounding(batches):
         for batch in batches:
             out = []
             for _, row in batch.iterrows():
-                queries, block = _Block(row, "q_"), _Block(row, "")
+                queries, block = _Block(row, "q_"), _Block(seeds[int(row["dim"])], "")
                 bounds = np.full(len(queries.ids), -np.inf)
                 at, _, scores = scan(queries, block, bounds, k)
                 full = np.bincount(at, minlength=len(bounds)) == k
@@ -197,15 +243,8 @@ def top_k(
                 out.append((row["q_block"], row["dim"], float(reach.min()), bounds.tobytes()))
             yield pd.DataFrame(out, columns=["q_block", "dim", "reach", "bounds"])
 
-    bounded = saved(
-        asked.join(first, "dim").mapInPandas(bounding, "q_block long, dim int, reach double, bounds binary"), "topk-bounds",
-    )
-
-    # Which blocks have to meet: numbers only, salted by block, as all share a few dimensions.
-    salts = 64
-    wanted = bounded.select("q_block", "dim", "reach", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
-    offered = others.select("block", "dim", "top", F.pmod(F.xxhash64("block"), F.lit(salts)).cast("int").alias("salt"))
-    meetings = wanted.join(offered, ["dim", "salt"]).where(F.col("top") * (1 + SLACK) >= F.col("reach")).select("q_block", "block")
+    bounded = saved(asked.mapInPandas(bounding, "q_block long, dim int, reach double, bounds binary"), "topk-bounds")
+    meetings = _meetings(bounded, others)
 
     def scoring(batches):
         for batch in batches:
