@@ -14,6 +14,11 @@ neighbours do, so at every position one step survives. Verdicts on pairs of piec
 looked up in a sorted table, which grows as new pairs turn up. Characters without a piece
 fall back to the pieces of their bytes.
 
+A chunk of more than ``SPAN`` characters, such as a text without blanks, is cut first, where
+no piece that occurs in it lies across: no step and no merge can do so either, so its parts
+are encoded like chunks of their own. In a part that stays as long, the probes of many
+positions are made at once instead of those of many chunks.
+
 Only models with identity normalization are read; spaces are written as U+2581, so that sign
 comes back as a space, and everything else comes back as it was.
 
@@ -27,6 +32,8 @@ from __future__ import annotations
 import sys
 import types
 from array import array
+from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +45,9 @@ from clickweir.llm.packing import spread
 
 BLANK = "▁"
 KNOWN_CHUNKS = 300_000
+KNOWN_PAIRS = 1_000_000
+SPAN = 256
+PROBED_AT_ONCE = 1 << 16
 BYTES_AT_ONCE = 1 << 23
 GROUP_CELLS = 1 << 20
 _CUT = "\x1f"  # set before chunks; texts that hold it are cut by another path
@@ -78,6 +88,7 @@ class Pieces:
         self.maybe[self.hashes >> _COARSE] = True
         self.pair_keys = np.zeros(0, np.int64)
         self.pair_stands = np.zeros(0, bool)
+        self.verdicts: dict[int, bool] = {}
         self.chunks: dict[str, bytes] = {}
         texts = [bytes([int(p.piece[3:5], 16)]) if p.type == BYTE else p.piece.replace(BLANK, " ").encode() if p.type in (NORMAL, USER) else b"" for p in model.pieces]
         self.out_size = np.array(list(map(len, texts)))
@@ -209,14 +220,96 @@ def _with_bytes(pieces: Pieces, tokens: list[int]) -> list[int]:
     return out
 
 
+def _occurrences(pieces: Pieces, chunk: str) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Ends, sizes and ids of all pieces found in ``chunk``, by end and then size, in batches."""
+    base, mask = int(_BASE), (1 << 64) - 1
+    hashes = accumulate(map(ord, chunk), lambda code, char: (code * base + char + 1) & mask, initial=0)
+    prefix = np.fromiter(hashes, np.uint64, len(chunk) + 1)
+    for begin in range(1, len(chunk) + 1, PROBED_AT_ONCE):
+        stop = min(begin + PROBED_AT_ONCE, len(chunk) + 1)
+        ends, sizes, ids = [], [], []
+        for size in range(1, min(stop - 1, pieces.longest) + 1):
+            first = max(begin, size)
+            power = np.uint64(pow(base, size, 1 << 64))
+            found = pieces.find(prefix[first:stop] - prefix[first - size:stop - size] * power)
+            at = np.flatnonzero(found >= 0)
+            ends.append(at + first)
+            sizes.append(np.full(len(at), size))
+            ids.append(found[at])
+        ends, sizes, ids = np.concatenate(ends), np.concatenate(sizes), np.concatenate(ids)
+        order = np.argsort(ends, kind="stable")
+        yield ends[order], sizes[order], ids[order]
+
+
+def parts_of(pieces: Pieces, chunk: str) -> list[str]:
+    """``chunk`` cut wherever none of the pieces that occur in it lies across."""
+    across = np.zeros(len(chunk) + 2, np.int64)
+    for ends, sizes, _ in _occurrences(pieces, chunk):
+        np.add.at(across, ends - sizes + 1, 1)
+        np.add.at(across, ends, -1)
+    cuts = np.flatnonzero(np.cumsum(across)[1:len(chunk)] == 0) + 1
+    bounds = [0, *cuts.tolist(), len(chunk)]
+    return [chunk[i:j] for i, j in zip(bounds[:-1], bounds[1:], strict=True)]
+
+
+def viterbi_long(pieces: Pieces, chunk: str) -> list[int]:
+    """What ``viterbi`` gives for one long chunk: many positions are probed at once."""
+    names, unigram = len(pieces.names), pieces.kind == UNIGRAM
+    verdicts, scores = pieces.verdicts, pieces.scores.tolist()
+    if len(verdicts) > KNOWN_PAIRS:
+        verdicts.clear()
+    worst = float(pieces.scores.min()) - 10
+    best = array("d", [0.0]) + array("d", [-np.inf]) * len(chunk)
+    last = array("q", [-1]) * (len(chunk) + 1)
+    step = array("i", [0]) * (len(chunk) + 1)
+
+    def stands(before: int, piece: int) -> bool:
+        key = (before + 1 if before < names else 0) * names + piece
+        verdict = verdicts.get(key)
+        if verdict is None:
+            left, right = divmod(key, names)
+            parts = [pieces.names[right]] if left == 0 else [pieces.names[left - 1], pieces.names[right]]
+            verdict = verdicts[key] = pieces.merged("".join(parts)) == parts
+        return verdict
+
+    begin = 1
+    for ends, sizes, ids in _occurrences(pieces, chunk):
+        stop = min(begin + PROBED_AT_ONCE, len(chunk) + 1)
+        bounds = np.searchsorted(ends, np.arange(begin, stop + 1)).tolist()
+        sizes, ids = sizes.tolist(), ids.tolist()
+        for end, low, high in zip(range(begin, stop), bounds[:-1], bounds[1:], strict=True):
+            if low == high or sizes[low] > 1:  # a character without a piece
+                best[end] = best[end - 1] + (worst if unigram else 0)
+                last[end], step[end] = names + ord(chunk[end - 1]), 1
+            for i in range(low, high):
+                size, piece = sizes[i], ids[i]
+                value = best[end - size]
+                if unigram:
+                    value += scores[piece]
+                if value > best[end] and (unigram or stands(last[end - size], piece)):
+                    best[end], last[end], step[end] = value, piece, size
+        begin = stop
+    tokens, at = [], len(chunk)
+    while at:
+        tokens.append(last[at])
+        at -= step[at]
+    return tokens[::-1]
+
+
 def _encoded(pieces: Pieces, chunks: list[str]) -> list[bytes]:
     """Ids of distinct chunks as 32-bit integers."""
     known = pieces.chunks
     if len(known) > KNOWN_CHUNKS:
         known.clear()
+    parts = {chunk: parts_of(pieces, chunk) for chunk in chunks if len(chunk) > SPAN}
+    long: dict[str, bytes] = {}
     by_length: dict[int, list[str]] = {}
-    for chunk in chunks:
-        if chunk not in known:
+    wanted = dict.fromkeys(chunk for chunk in chunks if len(chunk) <= SPAN)
+    wanted.update(dict.fromkeys(part for some in parts.values() for part in some))
+    for chunk in wanted:
+        if len(chunk) > SPAN:
+            long[chunk] = array("I", _with_bytes(pieces, viterbi_long(pieces, chunk))).tobytes()
+        elif chunk not in known:
             by_length.setdefault(len(chunk), []).append(chunk)
     for length, group in by_length.items():
         if length == 0:
@@ -227,7 +320,9 @@ def _encoded(pieces: Pieces, chunks: list[str]) -> list[bytes]:
             part = group[begin:begin + most]
             for chunk, tokens in zip(part, viterbi(pieces, part), strict=True):
                 known[chunk] = array("I", _with_bytes(pieces, tokens)).tobytes()
-    return [known[chunk] for chunk in chunks]
+    for chunk, some in parts.items():
+        long[chunk] = b"".join([long[part] if len(part) > SPAN else known[part] for part in some])
+    return [long[chunk] if len(chunk) > SPAN else known[chunk] for chunk in chunks]
 
 
 def _chunk_lists(pieces: Pieces, texts: pa.Array) -> pa.Array:
@@ -256,7 +351,6 @@ def encode_texts(pieces: Pieces, texts: pa.Array) -> list[np.ndarray]:
         if odd[i]:
             whole = pieces.prefix + texts[i].as_py().replace(" ", BLANK)
             out.append(np.frombuffer(_encoded(pieces, [whole])[0], np.uint32))
-            pieces.chunks.pop(whole, None)
         else:
             out.append(values[spread(start, size, which[begin:end])[0]])
     return out
