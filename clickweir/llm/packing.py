@@ -11,9 +11,10 @@ padding, ``window - (P[j] - P[i])``, so
 and the minimum slides over a monotone queue: every position enters and leaves it once.
 Windows whose length is a power of two need no padding and are met as extra transitions.
 
-Memory is bounded: after ``HORIZON`` ids the best path is fixed except for its last few
-windows, whose ids are carried into the next round. Nothing is shuffled, and a task that is
-run again reads the same split and yields the same sequences.
+Memory is bounded by the ids of one document: after ``HORIZON`` ids, which may end inside a
+document, the best path is fixed except for its last few windows, whose ids are carried into
+the next round. Nothing is shuffled, and a task that is run again reads the same split and
+yields the same sequences.
 
 Text is cut at blanks and every distinct chunk of some megabytes of text is tokenized once; neither the
 normalizer nor the pre-tokenizer of the vocabulary looks across a blank.
@@ -196,14 +197,17 @@ def best_windows(positions: np.ndarray, penalty: np.ndarray, window: int = WINDO
 
 def _pieces(docs: Iterable[tuple[object, np.ndarray, np.ndarray]], first: int, window: int, horizon: int) -> Iterator[tuple]:
     """Pieces of documents (key, ids, sentence ends); sequences are numbered from ``first``."""
-    held: list[list] = []  # key, ids, sentence ends, ids already placed
+    held: list[list] = []  # key, ids, sentence ends, ids already placed, ids at hand
     pending, sequence = 0, first
 
     def place(last: bool) -> Iterator[tuple]:
         nonlocal held, pending, sequence
-        lengths = np.array([len(ids) - done for _, ids, _, done in held])
+        lengths = np.array([stop - done for _, _, _, done, stop in held])
         starts = np.cumsum(lengths) - lengths
-        inner = [ends[ends > done] - done + start for (_, _, ends, done), start in zip(held, starts, strict=True)]
+        inner = [
+            ends[(ends > done) & (ends < stop)] - done + start
+            for (_, _, ends, done, stop), start in zip(held, starts, strict=True)
+        ]
         ends = best_windows(*cut_positions(lengths, np.concatenate(inner)), window)
         if not last:
             ends = ends[:-CARRIED]
@@ -211,22 +215,27 @@ def _pieces(docs: Iterable[tuple[object, np.ndarray, np.ndarray]], first: int, w
         for end in ends:
             at = begin
             while at < end:
-                while held[doc][3] == len(held[doc][1]):
+                while held[doc][3] == held[doc][4]:
                     doc += 1
-                key, ids, _, done = held[doc]
-                size = min(end - at, len(ids) - done)
+                key, ids, _, done, stop = held[doc]
+                size = min(end - at, stop - done)
                 yield key, done, size, len(ids), sequence, at - begin, ids[done:done + size].tobytes()
                 held[doc][3] += size
                 at += size
             begin, sequence = end, sequence + 1
-        held = [x for x in held[doc:] if x[3] < len(x[1])]
-        pending = sum(len(ids) - done for _, ids, _, done in held)
+        held = [x for x in held[doc:] if x[3] < x[4]]
+        pending = sum(stop - done for _, _, _, done, stop in held)
 
     for key, ids, ends in docs:
-        held.append([key, ids, ends, 0])
-        pending += len(ids)
-        if pending > horizon:
-            yield from place(last=False)
+        for begin in range(0, len(ids), horizon):
+            stop = min(begin + horizon, len(ids))
+            if begin and held:  # the rest of the document's last slice, which is carried
+                held[-1][4] = stop
+            else:
+                held.append([key, ids, ends, begin, stop])
+            pending += stop - begin
+            if pending > horizon:
+                yield from place(last=False)
     if held:
         yield from place(last=True)
 
