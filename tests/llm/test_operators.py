@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -205,6 +206,28 @@ def test_packing_carries_over_the_horizon(docs, texts):
     assert check_pieces(rows, texts) < 0.03
 
 
+def test_packing_feeds_a_long_document_in_slices():
+    import tracemalloc
+
+    size, horizon = 3_000_000, 200_000
+    ids = np.random.default_rng(3).integers(0, 49_000, size).astype("<u4")
+    ends = np.arange(37, size, 37)
+    few = [(1, ids[:500], ends[ends < 500]), (2, ids, ends), (3, ids[:700], ends[ends < 700])]
+    tracemalloc.start()
+    at, sequences, whole = {}, {}, {}
+    for key, start, length, total, sequence, offset, data in packing._pieces(iter(few), 0, 2048, horizon):
+        assert start == at.get(key, 0) and offset == sequences.get(sequence, 0)
+        at[key], sequences[sequence] = start + length, offset + length
+        whole[key] = zlib.crc32(data, whole.get(key, 0))
+        assert total == len(few[key - 1][1])
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 40 * horizon + (16 << 20)  # some arrays of a slice, none of the document
+    assert whole == {key: zlib.crc32(data.tobytes()) for key, data, _ in few}
+    used = list(sequences.values())
+    assert max(used) <= 2048 and sum(2048 - x for x in used if x & (x - 1)) < 0.01 * size
+
+
 def test_packing_odd(spark, odd):
     rows = packing.digest(packing.pack(odd.where("doc_id is not null").dropDuplicates(["doc_id"]), TOKENIZER)).collect()
     check_pieces(rows, {1: None, 2: "", 3: " \n\t ", 4: LONG, 5: "one two three four five six", 6: "one two three four five six", 7: "x" * 20_000, 8: "\x1f▁ é漢\U0001f600 <|endoftext|> </s>"})
@@ -570,6 +593,49 @@ def test_pieces_equal_the_library(texts):
         assert viterbi_pieces.decode_ids(pieces, ids) == text
 
 
+def without_blanks():
+    draw = random.Random(5)
+    return {
+        "han": "".join(chr(draw.randrange(0x4E00, 0x9FA5)) for _ in range(100_000)),
+        "latin": "".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(30_000)),
+        "digits": "".join(draw.choice("0123456789abcdefABCDEF+/=") for _ in range(100_000)),
+        "kana": "".join(chr(draw.randrange(0x3041, 0x3096)) for _ in range(30_000)),
+        "one letter": "a" * 100_000,
+        "words": "".join(draw.choice(["water", "language", "running", "é", "漢", "\x1f"]) for _ in range(10_000)),
+    }
+
+
+def test_texts_without_blanks_equal_the_library():
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    pieces = viterbi_pieces.Pieces(MODEL)
+    texts = without_blanks()
+    began = time.process_time()
+    coded = viterbi_pieces.encode_texts(pieces, pa.array(texts.values()))
+    assert time.process_time() - began < 60  # a millisecond a character would be 370 s
+    for (name, text), ids in zip(texts.items(), coded, strict=True):
+        assert ids.tolist() == library.encode(text), name
+    assert not any(len(chunk) > viterbi_pieces.SPAN for chunk in pieces.chunks)
+
+
+@pytest.mark.parametrize("kind", [viterbi_pieces.UNIGRAM, viterbi_pieces.BPE])
+def test_parts_of_a_chunk_are_encoded_like_the_chunk(kind):
+    pieces = viterbi_pieces.Pieces(MODEL)
+    pieces.kind = kind
+    if kind == viterbi_pieces.UNIGRAM:
+        pieces.scores = np.random.default_rng(2).uniform(-12, -1, len(pieces.names))
+    cuts = 0
+    for text in without_blanks().values():
+        chunk = text[:700]
+        whole = viterbi_pieces.viterbi(pieces, [chunk])[0]
+        parts = viterbi_pieces.parts_of(pieces, chunk)
+        cuts += len(parts) - 1
+        assert "".join(parts) == chunk and viterbi_pieces.viterbi_long(pieces, chunk) == whole
+        assert [t for part in parts for t in viterbi_pieces.viterbi(pieces, [part])[0]] == whole
+    assert cuts > 700
+
+
 def test_unigram_viterbi_is_the_best_path():
     pieces = viterbi_pieces.Pieces(MODEL)
     pieces.kind = viterbi_pieces.UNIGRAM
@@ -628,6 +694,35 @@ def test_top_k_equals_brute_force(spark, sizes):
     assert got == {q: v for q, v in brute_top(rows, 5, 10).items() if v}
 
 
+def test_top_k_with_few_seeds(spark, monkeypatch):
+    monkeypatch.setattr(norm_topk, "SEED_BYTES", 1)
+    rng = np.random.default_rng(9)
+    rows = [(i, (rng.normal(size=6) * rng.choice([0.01, 1, 30])).round(3).tolist()) for i in range(300)]
+    rows += [(300 + i, [1.0 * i, 0.5]) for i in range(4)] + [(400, [0.0] * 6), (401, [2.0] * 7)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in norm_topk.top_k(frame, F.col("id") % 10 == 0, block_rows=16, query_rows=4).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+    assert got == {q: v for q, v in brute_top(rows, 5, 10).items() if v}
+
+
+def test_blocks_meet_up_to_the_bound_only(spark):
+    tops = {(d, b): float((b * 7919) % 101) for d in (8, 16) for b in range(60)}
+    others = spark.createDataFrame([(100 * d + b, d, top) for (d, b), top in tops.items()], "block long, dim int, top double")
+    reach = {(8, 0): 50.0, (8, 1): 101.0, (8, 2): float("-inf"), (16, 3): 7.0, (16, 4): 7.0, (16, 5): 0.0, (32, 6): 1.0}
+    bounded = spark.createDataFrame([(q, d, x) for (d, q), x in reach.items()], "q_block long, dim int, reach double")
+    met = norm_topk._meetings(bounded, others)
+    want = {(q, 100 * d + b) for (d, q), x in reach.items() for (e, b), top in tops.items() if d == e and top * (1 + norm_topk.SLACK) >= x}
+    assert len(met.collect()) == len(want) and {tuple(r) for r in met.collect()} == want
+
+
+def test_no_key_of_the_search_is_a_dimension(spark):
+    frame = spark.read.parquet(f"{FOLDER}/embeddings.parquet")
+    plan = norm_topk.top_k(frame, F.col("id") % 50 == 0)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    assert not re.search(r"hashpartitioning\(dim#\d+, \d+\)", plan)
+
+
 def test_top_k_empty(spark):
     none = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert norm_topk.top_k(none, F.col("id") % 50 == 0).collect() == []
