@@ -6,7 +6,7 @@ never changed once given; later titles are numbered after the largest id.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickweir.functions.periods import month_index
@@ -18,6 +18,10 @@ from clickweir.session import stage
 HOT_TITLES = 100_000
 # Hot and missing keys are spread over this many stand-in keys that match nothing.
 STAND_INS = 1 << 20
+# A sieve has at most this many words of 64 bits, some 80 MB as a broadcast frame.
+SIEVE_WORDS = 1 << 21
+# This many keys share a word. With three bits each, some 2 % of other keys pass.
+SIEVE_KEYS = 4
 # monotonically_increasing_id() keeps the partition number above this bit.
 _ROW_BITS = 33
 
@@ -40,6 +44,40 @@ def title_stats(silver: DataFrame) -> DataFrame:
     )
 
 
+def _sieve_place(by: list[str], words: int) -> tuple[Column, Column]:
+    """A key's word in a sieve, and its three bits there."""
+    code = F.xxhash64(*by)
+    one = F.lit(1).cast("long")
+    bits = [
+        F.call_function("shiftleft", one, F.shiftright(code, start).bitwiseAND(63).cast("int"))
+        for start in (24, 34, 44)
+    ]
+    return F.pmod(code, F.lit(words)), bits[0].bitwiseOR(bits[1]).bitwiseOR(bits[2])
+
+
+def sifted(dictionary: DataFrame, wanted: DataFrame, by: list[str]) -> DataFrame:
+    """The dictionary without most of the entries whose key ``wanted`` does not hold.
+
+    A Bloom filter of one word for each key, ahead of an exact join on ``by``: what it
+    drops is in no row of ``wanted``. Made of ``wanted``, a written table, and broadcast;
+    its size is checked, and with too many keys for it the dictionary stays as it is.
+    """
+    keys, words = wanted.count(), 1
+    while words * SIEVE_KEYS < keys:
+        words *= 2
+    if words > SIEVE_WORDS:
+        return dictionary
+    word, bits = _sieve_place(by, words)
+    sieve = wanted.groupBy(word.alias("_word")).agg(F.bit_or(bits).alias("_bits"))
+    place, asked = _sieve_place(by, words)
+    return (
+        dictionary.withColumns({"_place": place, "_asked": asked})
+        .join(F.broadcast(sieve), F.col("_place") == F.col("_word"))
+        .filter(F.col("_bits").bitwiseAND(F.col("_asked")) == F.col("_asked"))
+        .select(*dictionary.columns)
+    )
+
+
 def match_titles(stats: DataFrame, dictionary: DataFrame) -> DataFrame:
     """The statistics with the ids already given; ``id`` is NULL for a new title."""
     return stats.join(dictionary, ["lang", "title"], "left")
@@ -203,7 +241,7 @@ def used_entries(frames: list[DataFrame], dictionary: DataFrame) -> DataFrame:
     for more in used[1:]:
         wanted = wanted.union(more)
     wanted = stage(wanted.filter(F.col("id").isNotNull()).distinct(), "used-ids")
-    return dictionary.join(wanted, ["lang", "id"], "left_semi")
+    return sifted(dictionary, wanted, ["lang", "id"]).join(wanted, ["lang", "id"], "left_semi")
 
 
 def label_ids(rows: DataFrame, labels: DataFrame) -> DataFrame:

@@ -323,14 +323,16 @@ class Lakehouse:
         """Append the titles of ``stats`` that the dictionary lacks, with new ids.
 
         Returns the dictionary rows of exactly those titles. The whole dictionary is
-        joined once, here; encoding then works with the rows it needs. ``languages``
+        read once, here, and a sieve of the titles at hand keeps most of it out of the
+        join; encoding then works with the rows it needs. ``languages``
         names those that occur in ``stats``, so that no others are read.
         """
         known = self.dictionary()
         if languages is not None:
             known = known.filter(F.col("lang").isin(languages))
         if files.hive_partitions(self.spark, self.dictionary_path, ["lang"]):
-            matched = stage(ids.match_titles(stats, known), "matched-titles")
+            likely = ids.sifted(known, stats, ["lang", "title"])
+            matched = stage(ids.match_titles(stats, likely), "matched-titles")
             unseen = matched.filter(F.col("id").isNull())
             found = matched.filter(F.col("id").isNotNull()).select(*schemas.DICTIONARY.names)
             fresh = ids.number_titles(unseen, known)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from clickweir.operators import dictionary as ids
 from clickweir.schemas import DICTIONARY
+from clickweir.session import stage
 
 SILVER = "lang string, year int, month int, prev_title string, curr_title string, n long"
 COUNTS = "lang string, first_ym int, title string, uses long"
@@ -158,3 +159,38 @@ def test_decoding_both_ways(silver):
         {"hot": ids.hot_ids(encoded, dictionary)},
     ):
         assert rows(ids.decode_ids(encoded, dictionary, **options), *columns) == rows(silver, *columns)
+
+
+@pytest.mark.parametrize("by", [["lang", "title"], ["lang", "id"]])
+def test_a_sieve_keeps_every_wanted_entry_and_few_others(spark, by):
+    entry = F.concat(F.lit("Titel_\u00e9\u6f22_"), F.col("id"))
+    dictionary = spark.range(40_000).select(F.lit("de").alias("lang"), "id", entry.alias("title"))
+    dictionary = dictionary.union(dictionary.select(F.lit("en"), "id", "title"))
+    wanted = stage(dictionary.filter("lang = 'en' and id % 20 = 0").select(*by), "wanted")
+    wanted = stage(wanted.union(spark.createDataFrame([("xx", 5 if by[1] == "id" else "no such title")], wanted.schema)), "wanted")
+    kept = ids.sifted(dictionary, wanted, by)
+    assert kept.columns == dictionary.columns and kept.schema == dictionary.schema
+    assert rows(kept.join(wanted, by, "left_semi")) == rows(dictionary.join(wanted, by, "left_semi"))
+    assert 2_000 <= kept.count() < 2_000 + 0.05 * 78_000
+    assert rows(wanted.join(kept, by, "left"), *by, dictionary.columns[1]) == rows(wanted.join(dictionary, by, "left"), *by, dictionary.columns[1])
+
+
+def test_a_sieve_has_a_bound_and_may_be_empty(spark, monkeypatch):
+    dictionary = spark.range(1_000).select(F.lit("de").alias("lang"), "id", F.concat(F.lit("T"), "id").alias("title"))
+    nothing = stage(dictionary.filter("id < 0"), "nothing")
+    assert ids.sifted(dictionary, nothing, ["lang", "title"]).count() == 0
+    monkeypatch.setattr(ids, "SIEVE_WORDS", 8)
+    few, many = (stage(dictionary.filter(f"id < {n}"), "wanted") for n in (32, 33))
+    assert ids.sifted(dictionary, few, ["lang", "title"]).count() < 1_000
+    assert ids.sifted(dictionary, many, ["lang", "title"]) is dictionary
+
+
+def test_only_sifted_entries_are_shuffled(spark):
+    dictionary = stage(spark.range(20_000).select(F.lit("de").alias("lang"), "id", F.concat(F.lit("T"), "id").alias("title")), "dictionary")
+    stats = stage(dictionary.filter("id % 100 = 0").select("lang", F.lit(1).alias("first_ym"), "title", F.lit(1).alias("uses")), "stats")
+    with_hint = ids.match_titles(stats.hint("merge"), ids.sifted(dictionary, stats, ["lang", "title"]))
+    plan = with_hint._jdf.queryExecution().executedPlan().toString()
+    join = plan[plan.index("SortMergeJoin"):]
+    # below the exchange of the dictionary stands the join with the broadcast sieve
+    assert "Exchange hashpartitioning(lang" in join and "BroadcastHashJoin" in join
+    assert with_hint.filter("id is null").count() == 0 and with_hint.count() == 200
