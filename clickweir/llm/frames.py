@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from clickweir.session import fresh_dir
+from clickweir.session import staging_dir
 
 # White space of the word definition shared by several operators: `[^\x20\x09-\x0D]+`.
 BLANKS = r"[\x20\x09-\x0D]+"
@@ -35,8 +35,14 @@ def packed(df: DataFrame) -> Column:
 
 
 def saved(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts lineage for every executor."""
-    path = fresh_dir(df.sparkSession, label)
+    """Write ``df`` to the shared folder and read it back: cuts lineage for every executor.
+
+    Within ``session.scratch`` the copy is removed at the end of the block.
+    """
+    return written(df, staging_dir(df.sparkSession, label))
+
+
+def written(df: DataFrame, path: str) -> DataFrame:
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

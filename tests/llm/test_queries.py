@@ -63,6 +63,18 @@ def test_pipeline_stages(spark):
         map(tuple, pieces.where("start = 0").select("doc_id").collect()))
 
 
+def test_pipeline_keeps_only_its_stages(spark):
+    import os
+
+    from clickweir.session import shared_dir
+
+    before = set(os.listdir(shared_dir(spark)))
+    rows = corpus_pipeline.run(spark, FOLDER)
+    left = sorted(x.rsplit("-", 1)[0] for x in set(os.listdir(shared_dir(spark))) - before)
+    assert left == sorted(f"pipeline-{name}" for name, _ in corpus_pipeline.STAGES[:-1])
+    assert rows.count() > 0
+
+
 def test_pipeline_stages_of_odd_tables(spark):
     kind = "doc_id long, text string, lang string, source string, n_chars long, words string, node string, found_language string"
     rows = [(1, None, None, None, None, "w", "n", "l"), (2, "", "en", "s", 0, "w", "n", "l"), (3, "some plain text here", "en", "s", 20, "w", "n", "l"), (3, "some plain text here", "en", "s", 20, "w", "n", "l"), (4, "noch ein Text", "de", "s", 1, None, None, None)]
