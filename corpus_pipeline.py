@@ -14,8 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickweir.llm import byte_gru, line_templates, order_minhash, packing, pii_spans
-from clickweir.llm.frames import saved, table, unused
+from clickweir.llm.frames import table, unused, written
 from clickweir.llm.queries import tokenizer_path
+from clickweir.session import fresh_dir, scratch
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 MIN_LANGUAGE_SCORE = 0.4
@@ -73,5 +74,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     for name, stage in STAGES[:-1]:
-        docs = saved(stage(spark, docs, folder), f"pipeline-{name}")
+        kept = fresh_dir(spark, f"pipeline-{name}")
+        with scratch(spark):  # what the stage has written on its way goes with its end
+            docs = written(stage(spark, docs, folder), kept)
     return STAGES[-1][1](spark, docs, folder)
