@@ -25,9 +25,14 @@ def article_popularity(ids: DataFrame) -> DataFrame:
     return ids.groupBy(*PERIOD, "curr_id").agg(F.sum("n").alias("total_clicks"))
 
 
-def article_top(popularity: DataFrame, n: int = 1000) -> DataFrame:
-    """The ``n`` most clicked targets of every language and month, of a written table."""
-    return top_n_of_few(popularity, PERIOD, ["-total_clicks", "curr_id"], n)
+def article_top(popularity: DataFrame, n: int = 1000, by_month: bool = False) -> DataFrame:
+    """The ``n`` most clicked targets of every language and month, of a written table.
+
+    ``by_month``: it is partitioned by language and month. A task then has rows of few months
+    and a month is in few tasks, so that the group limit alone makes the shuffle small.
+    """
+    rank = top_n if by_month else top_n_of_few
+    return rank(popularity, PERIOD, ["-total_clicks", "curr_id"], n)
 
 
 def edges_monthly(pairs: DataFrame, min_clicks: int = 1) -> DataFrame:

@@ -89,12 +89,25 @@ def _with_period(rows: DataFrame) -> DataFrame:
     )
 
 
+def top10_of_totals(yearly: DataFrame, n: int = 10) -> DataFrame:
+    """``top10_by_year`` of totals with a row for each id, written by language and year.
+
+    Like all tables partitioned by the group, one pass ranks them: a task has few groups.
+    """
+    return top_n(yearly.withColumnRenamed("total_clicks", "clicks_year"), ["lang", "year"], ["-clicks_year", "curr_id"], n)
+
+
 def top10_by_year(popularity: DataFrame, n: int = 10) -> DataFrame:
     gold, [key] = _keyed(popularity, "curr")
     yearly = gold.groupBy("lang", "year", key).agg(F.sum("total_clicks").alias("clicks_year"))
     return top_n_of_few(stage(yearly, "yearly-totals"), ["lang", "year"], ["-clicks_year", key], n)
 
 
+def all_time_top_of_totals(totals: DataFrame, n: int = 500) -> DataFrame:
+    """``all_time_top`` of totals with a row for each id, written by language."""
+    return top_n(totals.withColumnRenamed("total_clicks", "clicks_all_time"), ["lang"], ["-clicks_all_time", "curr_id"], n, rank=None)
+
+
 def all_time_top(popularity: DataFrame, n: int = 500) -> DataFrame:
     gold, [key] = _keyed(popularity, "curr")
     totals = gold.groupBy("lang", key).agg(F.sum("total_clicks").alias("clicks_all_time"))

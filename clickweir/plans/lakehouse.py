@@ -268,9 +268,7 @@ class Lakehouse:
         topics += ["edges_monthly"] if edges else []
         periods = layers.list_periods(self.spark, self.silver_path)
         if skip_existing:
-            outputs = [layers.periods_frame(self.spark, self.gold_log.partitions(t)) for t in topics]
-            pending = increments.pending_periods(layers.periods_frame(self.spark, periods), outputs)
-            periods = [tuple(p) for p in pending.collect()]
+            periods = increments.periods_to_do(periods, [self.gold_log.partitions(t) for t in topics])
         periods = increments.pick_periods(periods, lang, year, month)
         if latest_month:
             every = layers.list_periods(self.spark, self.silver_path)
@@ -304,7 +302,7 @@ class Lakehouse:
         def popularity_and_top() -> None:
             write("article_popularity", G.article_popularity(pairs))
             written = self.gold_log.read_version("article_popularity", schemas.GOLD["article_popularity"], PERIOD, token)
-            write("article_top", G.article_top(written, topn))
+            write("article_top", G.article_top(written, topn, by_month=True))
 
         jobs = [popularity_and_top]
         if "referrers_top" in topics:
@@ -395,11 +393,13 @@ class Lakehouse:
             def of(topic: str) -> DataFrame:
                 return totals.filter(F.col("lang").isin(sorted({p[0] for p in paired[topic]})))
 
-            def years(keys: list[tuple]) -> DataFrame:
-                return self.state("yearly_totals", keys) if incremental else popularity(keys)
+            def best_of_years() -> DataFrame:
+                return I.top10_of_totals(self.state("yearly_totals", yearly)) if incremental else I.top10_by_year(popularity(yearly))
 
-            def ever(keys: list[tuple]) -> DataFrame:
-                return self.state("all_time_totals", sorted({k[:1] for k in keys})) if incremental else popularity(keys)
+            def best_ever() -> DataFrame:
+                if not incremental:
+                    return I.all_time_top(popularity(whole), topn_all_time)
+                return I.all_time_top_of_totals(self.state("all_time_totals", sorted({k[:1] for k in whole})), topn_all_time)
 
             winners: dict[str, DataFrame] = {}
 
@@ -412,8 +412,8 @@ class Lakehouse:
             _together([
                 rank("edges_6m", lambda: I.busiest_pairs(of("edges_6m"), topn_edges)),
                 rank("referrers_6m", lambda: I.strongest_referrers(of("referrers_6m"), topm_referrers)),
-                rank("top10_by_year", lambda: I.top10_by_year(years(yearly))),
-                rank("all_time_top", lambda: I.all_time_top(ever(whole), topn_all_time)),
+                rank("top10_by_year", best_of_years),
+                rank("all_time_top", best_ever),
                 rank("trending_mom", lambda: I.trending_mom(popularity(trending), topn_trending)),
             ])
             # One look at the dictionary, of the pending languages, labels all insights.
@@ -463,16 +463,27 @@ class Lakehouse:
             return rows.groupBy(*by, "curr_id").agg(F.sum("total_clicks").alias("total_clicks"))
 
         added = self._gold_part("article_popularity", months)
-        yearly = summed([self.state("yearly_totals", [k for k in keys if k not in anew]), added], ["lang", "year"])
-        changes = {"yearly_totals": log.write(yearly, "yearly_totals", ["lang", "year"], token, keys)}
         langs, redone = sorted({k[:1] for k in keys}), {k[:1] for k in anew}
+        changes: dict[str, dict] = {}
+
+        def write(topic: str, rows: DataFrame, handled: list[tuple]) -> None:
+            changes[topic] = log.write(rows, topic, schemas.STATE_PARTITIONS[topic], token, handled)
+
+        def write_years() -> None:
+            write("yearly_totals", summed([self.state("yearly_totals", [k for k in keys if k not in anew]), added], ["lang", "year"]), keys)
+
+        plain = [k for k in langs if k not in redone]
+        ever = summed([self.state("all_time_totals", plain), added.filter(F.col("lang").isin([x for (x,) in plain]))], ["lang"])
+        if not redone:
+            _together([write_years, lambda: write("all_time_totals", ever, langs)])
+            log.publish(changes | {"seen": dict(gold)})
+            return keys
+        write_years()
         fresh_years = log.read_version("yearly_totals", schemas.STATES["yearly_totals"], ["lang", "year"], token)
         kept_years = self.state("yearly_totals", [k for k in log.partitions("yearly_totals") if k[:1] in redone and k not in keys])
         again = kept_years.unionByName(fresh_years.filter(F.col("lang").isin([x for (x,) in redone]))).select(*names)
-        plain = [k for k in langs if k not in redone]
-        ever = summed([self.state("all_time_totals", plain), added.filter(F.col("lang").isin([x for (x,) in plain]))], ["lang"])
         ever = ever.unionByName(again.groupBy("lang", "curr_id").agg(F.sum("total_clicks").alias("total_clicks")))
-        changes["all_time_totals"] = log.write(ever, "all_time_totals", ["lang"], token, langs)
+        write("all_time_totals", ever, langs)
         log.publish(changes | {"seen": dict(gold)})
         return keys
 

@@ -21,6 +21,12 @@ def pending_periods(source: DataFrame, outputs: list[DataFrame]) -> DataFrame:
     return source.select(*PERIOD).distinct().join(done, PERIOD, "left_anti").orderBy(*map(F.col, PERIOD))
 
 
+def periods_to_do(periods: list[Period], outputs: list[list[Period]]) -> list[Period]:
+    """``pending_periods`` of lists, as the layers' listings and logs give them."""
+    done = set(outputs[0]).intersection(*outputs[1:])
+    return sorted(set(periods) - done)
+
+
 def newest_periods(periods: list[Period]) -> list[Period]:
     """Only the latest month found in any language."""
     last = max(((year, month) for _, year, month in periods), default=None)
