@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickweir.llm.frames import numbered, saved
-from clickweir.llm.packing import BYTES_AT_ONCE, END_ID, ChunkCoder
+from clickweir.llm.packing import END_ID, ChunkCoder, portions
 
 WINDOW = 4096
 # Sequences a task follows at a time.
@@ -71,15 +71,9 @@ def pieces(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str
         )
 
     def run(batches):
-        code, held, size = ChunkCoder(tokenizer_path), [], 0
-        for batch in batches:
-            held.append(batch)
-            size += batch.nbytes
-            if size >= BYTES_AT_ONCE:
-                yield coded(pa.Table.from_batches(held), code)
-                held, size = [], 0
-        if held:
-            yield coded(pa.Table.from_batches(held), code)
+        code = ChunkCoder(tokenizer_path)
+        for rows in portions(batches):
+            yield coded(rows, code)
 
     kind = picked.schema["key"].dataType.simpleString()
     return picked.mapInArrow(run, f"key {kind}, piece int, start long, length long, ids_crc32 long")

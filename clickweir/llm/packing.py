@@ -45,11 +45,12 @@ END_ID = 1
 SENTENCE_CUT = 8.0
 INNER_CUT = 64.0
 STEP = 64
-PIECES_AT_ONCE = 2048
+PIECES_AT_ONCE = 512
 KNOWN_WORDS = 200_000
 HORIZON = 1 << 20
 CARRIED = 4
-BYTES_AT_ONCE = 1 << 24
+BYTES_AT_ONCE = 1 << 22
+ROW_BYTES = 16  # counted for a row besides its text
 
 
 # Chunks of one run of Latin letters, perhaps with marks behind it: no rule of the vocabulary's
@@ -124,6 +125,33 @@ class ChunkCoder:
             yield values[place], closing[(closing > 0) & (closing < len(place))]
 
 
+def portions(batches: Iterable[pa.RecordBatch], text: str = "text", size: int = BYTES_AT_ONCE) -> Iterator[pa.Table]:
+    """The rows of ``batches`` in order, in tables of at most ``size`` bytes of text or of one row.
+
+    Arrow's pool gives back what the last table took, else a worker keeps it for good.
+    """
+    held, total = [], 0
+    for batch in batches:
+        ends = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(batch[text]), 0)).astype(np.int64) + ROW_BYTES)
+        begin = 0
+        while begin < len(ends):
+            done = int(ends[begin - 1]) if begin else 0
+            stop = int(np.searchsorted(ends, done + size - total, "right"))
+            if not held:
+                stop = max(begin + 1, stop)
+            if stop > begin:
+                held.append(batch.slice(begin, stop - begin))
+                total += int(ends[stop - 1]) - done
+                begin = stop
+            if begin < len(ends):
+                yield pa.Table.from_batches(held)
+                held, total = [], 0
+                pa.default_memory_pool().release_unused()
+    if held:
+        yield pa.Table.from_batches(held)
+    pa.default_memory_pool().release_unused()
+
+
 def spread(start: np.ndarray, size: np.ndarray, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Positions of all values of ``runs`` in order, and the number of values up to each run's end."""
     sizes = size[runs]
@@ -254,19 +282,8 @@ def pack(
     def run(batches):
         code = ChunkCoder(tokenizer_path)
 
-        def gathered():
-            held, size = [], 0
-            for batch in batches:
-                held.append(batch)
-                size += batch.nbytes
-                if size >= BYTES_AT_ONCE:
-                    yield pa.Table.from_batches(held)
-                    held, size = [], 0
-            if held:
-                yield pa.Table.from_batches(held)
-
         def coded():
-            for rows in gathered():
+            for rows in portions(batches):
                 texts = pc.fill_null(rows["text"], "").combine_chunks()
                 for key, (ids, ends) in zip(rows["key"].to_pylist(), code(texts), strict=True):
                     yield key, np.append(ids, np.uint32(end_id)).astype("<u4"), ends
