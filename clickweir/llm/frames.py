@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -9,6 +12,7 @@ from clickweir.session import staging_dir
 
 # White space of the word definition shared by several operators: `[^\x20\x09-\x0D]+`.
 BLANKS = r"[\x20\x09-\x0D]+"
+FREED_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -43,10 +47,26 @@ def saved(df: DataFrame, label: str) -> DataFrame:
 
 
 def written(df: DataFrame, path: str) -> DataFrame:
-    df.write.option("compression", "zstd").parquet(path)
+    """``df`` written and read back; the shuffle files of the write go with its end."""
+    with _shuffles_freed(df.sparkSession):
+        df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def _shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Queries of the block remove their shuffle files; else these stay until the driver collects garbage."""
+    before = spark.conf.get(FREED_SHUFFLES, None)
+    spark.conf.set(FREED_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(FREED_SHUFFLES)
+        else:
+            spark.conf.set(FREED_SHUFFLES, before)
+
+
 def numbered(df: DataFrame, key: str, order: str, label: str) -> DataFrame:
     """``df`` with ``rank``, the number from 0 of each row among those of its ``key``, by ``order``.
 

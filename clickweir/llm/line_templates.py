@@ -34,7 +34,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickweir.llm.frames import BLANKS, packed, saved, words
+from clickweir.llm.frames import BLANKS, packed, saved, words, written
+from clickweir.session import scratch, staging_dir
 
 DEPTH = 2
 SEGMENTS = 4
@@ -106,26 +107,28 @@ def recurring_lines(
     long_docs: int | None = None, min_chars: int | None = None, cuts: int = 1,
 ) -> DataFrame:
     """One row per document that loses lines: doc, text_hash, dropped (numbers from 0)."""
-    occurrences = saved(_occurrences(docs, key, text, depth, segments, general, min_tokens, long_docs, min_chars, cuts), "line-occurrences")
-    first = F.struct(F.col("doc").isNull().alias("last"), "doc", "text_hash", "line")
-    needed = F.lit(min_docs)
-    if long_docs is not None:
-        needed = F.when(F.col("template").bitwiseAND(F.lit(1)) == 1, long_docs).otherwise(min_docs)
-    recurring = saved(
-        occurrences.groupBy("template", "doc", "text_hash").agg(F.min("line").alias("line"))
-        .groupBy("template").agg(F.count("*").alias("docs"), F.min(first).alias("first"))
-        .where(F.col("docs") >= needed)
-        .select("template", F.col("first.doc").alias("first_doc"), F.col("first.text_hash").alias("first_hash"), F.col("first.line").alias("first_line")),
-        "line-templates",
-    )
-    is_first = (
-        F.col("doc").eqNullSafe(F.col("first_doc")) & (F.col("text_hash") == F.col("first_hash")) & (F.col("line") == F.col("first_line"))
-    )
-    return saved(
-        occurrences.join(recurring.hint("merge"), "template").where(~is_first)
-        .groupBy("doc", "text_hash").agg(F.sort_array(F.collect_set("line")).alias("dropped")),
-        "line-dropped",
-    )
+    dropped = staging_dir(docs.sparkSession, "line-dropped")
+    with scratch(docs.sparkSession):  # occurrences and templates go once their lines are found
+        occurrences = saved(_occurrences(docs, key, text, depth, segments, general, min_tokens, long_docs, min_chars, cuts), "line-occurrences")
+        first = F.struct(F.col("doc").isNull().alias("last"), "doc", "text_hash", "line")
+        needed = F.lit(min_docs)
+        if long_docs is not None:
+            needed = F.when(F.col("template").bitwiseAND(F.lit(1)) == 1, long_docs).otherwise(min_docs)
+        recurring = saved(
+            occurrences.groupBy("template", "doc", "text_hash").agg(F.min("line").alias("line"))
+            .groupBy("template").agg(F.count("*").alias("docs"), F.min(first).alias("first"))
+            .where(F.col("docs") >= needed)
+            .select("template", F.col("first.doc").alias("first_doc"), F.col("first.text_hash").alias("first_hash"), F.col("first.line").alias("first_line")),
+            "line-templates",
+        )
+        is_first = (
+            F.col("doc").eqNullSafe(F.col("first_doc")) & (F.col("text_hash") == F.col("first_hash")) & (F.col("line") == F.col("first_line"))
+        )
+        return written(
+            occurrences.join(recurring.hint("merge"), "template").where(~is_first)
+            .groupBy("doc", "text_hash").agg(F.sort_array(F.collect_set("line")).alias("dropped")),
+            dropped,
+        )
 
 
 def drop_recurring(docs: DataFrame, key: str = "doc_id", text: str = "text", **settings) -> DataFrame:

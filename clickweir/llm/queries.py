@@ -19,12 +19,10 @@ def tokenizer_path(name: str) -> str:
 
 
 def op1_lines(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents").select("doc_id", "text", F.col("text").alias("before"))
-    cut = line_templates.drop_recurring(docs, **line_templates.PASSAGES)
     n_chars = F.coalesce(F.length("text"), F.lit(0))
-    return cut.select(
-        "doc_id", "text", (F.coalesce(F.length("before"), F.lit(0)) - n_chars).cast("long").alias("chars_dropped"),
-    )
+    docs = table(spark, folder, "documents").select("doc_id", "text", n_chars.alias("before"))
+    cut = line_templates.drop_recurring(docs, **line_templates.PASSAGES)
+    return cut.select("doc_id", "text", (F.col("before") - n_chars).cast("long").alias("chars_dropped"))
 
 
 def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
